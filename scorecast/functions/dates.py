@@ -17,6 +17,18 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ts_literal(v) -> Column:
+    """A zone-free timestamp literal.  Python datetimes are rendered as text
+    and cast, so the session time zone never shifts them."""
+    if isinstance(v, dt.datetime):
+        text = v.strftime("%Y-%m-%d %H:%M:%S.%f")
+    elif isinstance(v, dt.date):
+        text = v.strftime("%Y-%m-%d 00:00:00")
+    else:
+        text = str(v)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def last_friday(d) -> Column:
     """Friday -> a week earlier; otherwise d - (weekday + 3) days.  On
     Saturday and Sunday this lands on the Friday *before* the previous one
@@ -82,6 +94,11 @@ def day_text(c, padded: bool = True) -> Column:
     return F.date_format(_c(c), "MM/dd/yyyy" if padded else "M/d/yyyy")
 
 
+def iso_day(c) -> Column:
+    """``yyyy-MM-dd`` text of a date or timestamp."""
+    return F.date_format(_c(c), "yyyy-MM-dd")
+
+
 def hour_label(ts, shift_hours: int) -> Column:
     """``yyyy-MM-dd HH`` after a fixed shift in hours."""
     shifted = _c(ts) + F.make_dt_interval(F.lit(0), F.lit(shift_hours))

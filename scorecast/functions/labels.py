@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ReportConfig
+from .dates import ts_literal
 
 
 def _c(c) -> Column:
@@ -64,7 +63,7 @@ def school_year(term, date, cfg: ReportConfig = DEFAULT) -> Column:
         cond = term.contains(needle)
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
     for bound, label in cfg.term_date_rules:
-        cond = date > F.lit(bound if isinstance(bound, dt.datetime) else dt.datetime.combine(bound, dt.time())).cast("timestamp_ntz")
+        cond = date > ts_literal(bound)
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
     return out.otherwise(term)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import ts_literal
+
 
 def period_bounds(periods: DataFrame):
     """(earliest start, latest end) of a period table as Python values.
@@ -25,7 +27,7 @@ def assign_periods(fact: DataFrame, ts_col: str, periods: DataFrame) -> DataFram
     """
     lo, hi = period_bounds(periods)
     ts = F.col(ts_col)
-    fact = fact.where((ts > F.lit(lo)) & (ts < F.lit(hi)))
+    fact = fact.where((ts > ts_literal(lo)) & (ts < ts_literal(hi)))
     p = F.broadcast(periods.select("period", "period_ord", "week_start", "week_end",
                                    F.col("start_ts").alias("_ps"), F.col("end_ts").alias("_pe")))
     return (fact.join(p, (ts > F.col("_ps")) & (ts < F.col("_pe")), "inner")

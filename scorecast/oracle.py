@@ -102,9 +102,9 @@ def usage_sql(cfg: ReportConfig, as_of) -> dict[str, str]:
     P = periods_cte(as_of, cfg)
     head = with_tables(_USAGE_TABLES, [P])
     out = {}
-    out["usage_results_by_date"] = head + f"""SELECT period, strftime(day, '%m/%d/%Y') AS Date, day, Total, OnlineTests, BubbleSheets
+    out["usage_results_by_date"] = head + f"""SELECT period, strftime(day, '%m/%d/%Y') AS Date, Total, OnlineTests, BubbleSheets
 FROM ({_by_date_sql(cfg, False)}) x"""
-    out["usage_results_by_date_excl"] = head + f"""SELECT period, strftime(day, '%m/%d/%Y') AS Date, day, Total, OnlineTests, BubbleSheets
+    out["usage_results_by_date_excl"] = head + f"""SELECT period, strftime(day, '%m/%d/%Y') AS Date, Total, OnlineTests, BubbleSheets
 FROM ({_by_date_sql(cfg, True)}) x"""
     totals = f"""SELECT sec.section, p.period, p.period_ord,
   CAST(coalesce(sum(x.Total), 0) AS BIGINT) AS Total,
@@ -143,7 +143,7 @@ FROM w"""
 SELECT "row", {', '.join(cols)} FROM r GROUP BY "row" """
     out["dense_daily_counts"] = head + f""", cal AS (
   SELECT period, CAST(unnest(generate_series(week_start, week_end, INTERVAL 1 DAY)) AS DATE) AS day FROM periods)
-SELECT cal.period, cal.day,
+SELECT cal.period, strftime(cal.day, '%Y-%m-%d') AS day,
   CAST(coalesce(x.Total, 0) AS BIGINT) AS Total,
   CAST(coalesce(x.OnlineTests, 0) AS BIGINT) AS OnlineTests,
   CAST(coalesce(x.BubbleSheets, 0) AS BIGINT) AS BubbleSheets
@@ -196,7 +196,7 @@ WHERE d.Name NOT ILIKE {q(cfg.demo_district_pattern)}"""
     out = {}
     for key, ts, label in (("sessions_by_start_date", "StartDate", "DateStarted"),
                            ("sessions_by_login_date", "LastLoginDate", "DateLastLogIn")):
-        out[key] = head + f"""SELECT p.period, strftime(CAST(qs.{ts} AS DATE), '%m/%d/%Y') AS {label}, CAST(qs.{ts} AS DATE) AS day,
+        out[key] = head + f"""SELECT p.period, strftime(CAST(qs.{ts} AS DATE), '%m/%d/%Y') AS {label},
   CAST(count(*) AS BIGINT) AS TotalOnlineTests, {status_cols}
 {base(ts)}
 GROUP BY p.period, CAST(qs.{ts} AS DATE)"""
@@ -236,6 +236,294 @@ def period_windows_sql(cfg: ReportConfig) -> str:
 
     return with_tables(["TestResult"]) + f""", days AS (SELECT DISTINCT CAST(UpdatedDate AS DATE) AS as_of FROM TestResult),
 w AS (SELECT as_of, CAST({lastfri('as_of')} AS DATE) AS cs, CAST({thisfri('as_of')} AS DATE) AS ce FROM days)
+SELECT strftime(as_of, '%Y-%m-%d') AS as_of, period, period_ord,
+  strftime(week_start, '%Y-%m-%d') AS week_start, strftime(week_end, '%Y-%m-%d') AS week_end FROM (
 SELECT as_of, {q(lab[0])} AS period, 1 AS period_ord, cs AS week_start, ce AS week_end FROM w
 UNION ALL SELECT as_of, {q(lab[1])}, 2, CAST({lastfri('cs')} AS DATE), cs FROM w
-UNION ALL SELECT as_of, {q(lab[2])}, 3, CAST({lastyear('cs')} AS DATE), CAST({lastyear('ce')} AS DATE) FROM w"""
+UNION ALL SELECT as_of, {q(lab[2])}, 3, CAST({lastyear('cs')} AS DATE), CAST({lastyear('ce')} AS DATE) FROM w) u"""
+
+
+# ------------------------------------------------------------- extracts ----
+
+def _ts(v) -> str:
+    return f"TIMESTAMP '{v.strftime('%Y-%m-%d %H:%M:%S')}'"
+
+
+def _like_all(col, pats):
+    return " AND ".join(f"{col} ILIKE {q(p)}" for p in pats)
+
+
+def _incl_excl(col, inc, exc):
+    s = _like_all(col, inc)
+    if exc:
+        s += " AND NOT (" + " OR ".join(f"{col} ILIKE {q(p)}" for p in exc) + ")"
+    return s
+
+
+def _school_year(term, date, cfg) -> str:
+    whens = [f"WHEN strpos({term}, {q(n)}) > 0 THEN {q(lab)}" for n, lab in cfg.term_contains_rules]
+    whens += [f"WHEN {date} > {_ts(b)} THEN {q(lab)}" for b, lab in cfg.term_date_rules]
+    return "CASE " + " ".join(whens) + f" ELSE {term} END"
+
+
+def _form(name, cfg, guarded=True) -> str:
+    pos = f"strpos({name}, {q(cfg.form_marker)})"
+    letter = f"substr({name}, {pos} + {cfg.form_offset}, 1)"
+    return f"CASE WHEN {pos} > 0 THEN {letter} ELSE ' ' END" if guarded else letter
+
+
+def _variant_cols(cfg) -> str:
+    (pt, pl), (ot, ol) = cfg.parcc_variant, cfg.other_variant
+    return (f"CASE WHEN StateID = {cfg.parcc_state_id} THEN {q(pt)} ELSE {q(ot)} END AS StateTest, "
+            f"CASE WHEN StateID = {cfg.parcc_state_id} THEN {pl} ELSE {ol} END AS lvl")
+
+
+_STAR = """FROM TestResultScore trs
+JOIN TestResult tr ON tr.TestResultID = trs.TestResultID
+JOIN VirtualTest vt ON vt.VirtualTestID = tr.VirtualTestID
+JOIN Bank b ON b.BankID = vt.BankID
+JOIN Subject sub ON sub.SubjectID = b.SubjectID
+JOIN Grade gr ON gr.GradeID = sub.GradeID
+JOIN Student s ON s.StudentID = tr.StudentID
+JOIN School sch ON sch.SchoolID = tr.SchoolID
+JOIN Class c ON c.ClassID = tr.ClassID
+JOIN DistrictTerm dt ON dt.DistrictTermID = c.DistrictTermID
+JOIN "User" u ON u.UserID = tr.UserID
+"""
+_STAR_TABLES = ["TestResultScore", "TestResult", "VirtualTest", "Bank", "Subject", "Grade", "Student",
+                "School", "Class", "DistrictTerm", "User"]
+
+_STATE = """FROM TestResultScore trs
+JOIN TestResult tr ON tr.TestResultID = trs.TestResultID
+JOIN VirtualTest vt ON vt.VirtualTestID = tr.VirtualTestID
+JOIN Bank b ON b.BankID = vt.BankID
+JOIN Subject sub ON sub.SubjectID = b.SubjectID
+JOIN Grade gr ON gr.GradeID = sub.GradeID
+JOIN Student s ON s.StudentID = tr.StudentID
+JOIN School sch ON sch.SchoolID = tr.SchoolID
+"""
+
+
+def extracts_sql(cfg: ReportConfig) -> dict[str, str]:
+    out = {}
+    out["detail_star_join"] = with_tables(_STAR_TABLES) + f"""SELECT dt.DistrictID AS DistrictID,
+  strftime(tr.UpdatedDate, '%-m/%-d/%Y') AS ResultDate,
+  {_school_year('dt.Name', 'tr.UpdatedDate', cfg)} AS DistrictTerm,
+  vt.Name AS TestName, sub.Name AS Subject, gr.Name AS Grade, {_form('vt.Name', cfg)} AS Form,
+  sch.Name AS School, u.UserID, u.Code AS TeacherCode, u.NameFirst AS TeacherFirstName,
+  u.NameLast AS TeacherLastName, c.ClassID, c.Name AS ClassName, s.StudentID, s.Code AS StudentCode,
+  s.FirstName AS StudentFirstName, s.LastName AS StudentLastName,
+  trs.ScoreRaw AS TotalPointsEarned, trs.PointsPossible AS TotalPointsPossible
+{_STAR}WHERE tr.ResultDate > {_ts(cfg.detail_since)} AND {_incl_excl('vt.Name', cfg.detail_include, cfg.detail_exclude)}"""
+
+    state_tables = ["TestResultScore", "TestResult", "VirtualTest", "Bank", "Subject", "Grade", "Student",
+                    "School", "District"]
+    pattern = cfg.state_test_name_pattern
+    pre, post = pattern.split("{test}")
+    out["state_test_extract"] = with_tables(state_tables) + f""", v AS (SELECT DistrictID, {_variant_cols(cfg)} FROM District)
+SELECT sch.DistrictID AS DistrictID, v.StateTest, substr(vt.Name, 6, 4) AS Year, vt.Name AS TestName,
+  sub.Name AS Subject, gr.Name AS Grade, sch.SchoolID, sch.Name AS SchoolName, s.StudentID,
+  s.Code AS StudentCode, s.FirstName AS StudentFirstName, s.LastName AS StudentLastName,
+  trs.ScoreScaled AS ScaledScore, trs.AchievementLevel
+{_STATE}JOIN v ON v.DistrictID = sch.DistrictID
+WHERE vt.Name ILIKE ({q(pre)} || v.StateTest || {q(post)}) AND vt.AchievementLevelSettingID = v.lvl"""
+
+    ptest, plevel = cfg.parcc_variant
+    nav = "CASE " + " ".join(f"WHEN strpos(vt.Name, {q(n)}) > 0 THEN {q(g)}" for n, g in cfg.nav_grade_rules) + " ELSE gr.Name END"
+    subj = "CASE " + " ".join(f"WHEN sub.Name = {q(a)} THEN {q(b)}" for a, b in cfg.subject_recodes) + " ELSE sub.Name END"
+    out["state_scores"] = with_tables(state_tables[:-1]) + f"""SELECT sch.DistrictID AS DistrictID, substr(vt.Name, 6, 4) AS Year, vt.Name AS TestName,
+  {subj} AS Subject, gr.Name AS Grade, {nav} AS NAVGrade, sch.Name AS SchoolID, s.StudentID,
+  s.Code AS StudentCode, s.FirstName AS StudentFirstName, s.LastName AS StudentLastName,
+  trs.ScoreScaled AS ScaledScore, trs.AchievementLevel AS ProfLevel
+{_STATE}WHERE {_incl_excl('vt.Name', (pattern.format(test=ptest),), cfg.state_score_exclude)}
+  AND vt.AchievementLevelSettingID = {plevel}"""
+
+    cl_tables = ["TestResult", "TestResultScore", "VirtualTest", "DistrictTerm", "District", "Student",
+                 "School", "Class", "User", "TestResultSubScore"]
+    keys = "DistrictID, TestName, School, ClusterName"
+    null_key = " OR ".join(f"{k} IS NULL" for k in keys.split(", "))
+    out["cluster_ratio"] = with_tables(cl_tables) + f""", base AS (
+SELECT District.DistrictID, VirtualTest.Name AS TestName, School.Name AS School, Class.ClassID,
+  Class.Name AS ClassName, TestResultSubScore.Name AS ClusterName, TestResultSubScore.ScoreScaled AS Score
+FROM TestResult
+JOIN TestResultScore trs ON trs.TestResultID = TestResult.TestResultID
+JOIN VirtualTest ON TestResult.VirtualTestID = VirtualTest.VirtualTestID
+JOIN DistrictTerm ON TestResult.DistrictTermID = DistrictTerm.DistrictTermID
+JOIN District ON District.DistrictID = DistrictTerm.DistrictID
+JOIN Student ON TestResult.StudentID = Student.StudentID
+JOIN School ON TestResult.SchoolID = School.SchoolID
+JOIN Class ON TestResult.ClassID = Class.ClassID
+JOIN "User" ON TestResult.UserID = "User".UserID
+JOIN TestResultSubScore ON TestResultSubScore.TestResultScoreID = trs.TestResultScoreID
+WHERE VirtualTest.Name ILIKE {q(pattern.format(test=ptest))} AND VirtualTest.AchievementLevelSettingID = {plevel})
+SELECT DistrictID, TestName, School, ClassID, ClassName, ClusterName,
+  CASE WHEN {null_key} THEN NULL ELSE coalesce(sum(CASE WHEN strpos(ClusterName, 'Scale Score') > 0 THEN Score
+       WHEN Score = 1 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY {keys}), 0.0) END AS NUM,
+  CASE WHEN {null_key} THEN NULL ELSE count(Score) OVER (PARTITION BY {keys}) END AS DIV
+FROM base"""
+
+    out["student_gender"] = with_tables(["Student", "Gender"]) + """SELECT s.DistrictID, s.StudentID, g.Name AS Gender
+FROM Student s JOIN Gender g ON g.GenderID = s.GenderID"""
+    out["student_race"] = with_tables(["Student", "Race"]) + """SELECT s.DistrictID, s.StudentID, r.Name AS Race
+FROM Student s JOIN Race r ON r.RaceID = s.RaceID"""
+    out["student_program"] = with_tables(["StudentProgram", "Program"]) + """SELECT p.DistrictID, sp.StudentID, p.Name AS Program
+FROM StudentProgram sp JOIN Program p ON p.ProgramID = sp.ProgramID"""
+    out["student_dimension"] = with_tables(["Student", "Gender", "Race", "StudentProgram", "Program"]) + """
+SELECT s.DistrictID, s.StudentID, 'Gender' AS Dimension, g.Name AS Value FROM Student s JOIN Gender g ON g.GenderID = s.GenderID
+UNION ALL SELECT s.DistrictID, s.StudentID, 'Race', r.Name FROM Student s JOIN Race r ON r.RaceID = s.RaceID
+UNION ALL SELECT p.DistrictID, sp.StudentID, 'Program', p.Name FROM StudentProgram sp JOIN Program p ON p.ProgramID = sp.ProgramID"""
+
+    out.update(_standards_sql(cfg))
+    out.update(_demographic_sql(cfg))
+
+    out["report_variant"] = with_tables(["District", "Student"]) + f"""SELECT d.DistrictID, d.Name AS DistrictName, d.StateID,
+  CASE WHEN d.StateID = {cfg.parcc_state_id} THEN {q(cfg.parcc_variant[0])} ELSE {q(cfg.other_variant[0])} END AS StateTest,
+  CASE WHEN d.StateID = {cfg.parcc_state_id} THEN {cfg.parcc_variant[1]} ELSE {cfg.other_variant[1]} END AS AchievementLevelSettingID,
+  CAST(coalesce(c.n, 0) AS BIGINT) AS Students
+FROM District d LEFT JOIN (SELECT DistrictID, count(*) AS n FROM Student GROUP BY DistrictID) c ON c.DistrictID = d.DistrictID"""
+    return out
+
+
+def _standards_sql(cfg) -> dict[str, str]:
+    tables = ["TestResult", "User", "School", "VirtualTest", "Bank", "Subject", "Grade", "Class", "DistrictTerm",
+              "Answer", "VirtualQuestion", "QTIItem"]
+    td = f"""td AS (
+SELECT tr.TestResultID, tr.UpdatedDate, u.DistrictID, u.UserID, u.Code AS TeacherCode,
+  u.NameFirst AS TeacherFirstName, u.NameLast AS TeacherLastName, sc.Name AS SchoolName,
+  t.TestName, t.Subject, t.Grade, ct.ClassID, ct.ClassName, ct.TermName
+FROM TestResult tr JOIN "User" u ON tr.UserID = u.UserID
+LEFT JOIN School sc ON sc.SchoolID = tr.SchoolID
+LEFT JOIN (SELECT vt.VirtualTestID, vt.Name AS TestName, sb.Name AS Subject, g.Name AS Grade
+           FROM VirtualTest vt JOIN Bank b ON vt.BankID = b.BankID
+           JOIN Subject sb ON b.SubjectID = sb.SubjectID JOIN Grade g ON sb.GradeID = g.GradeID) t
+  ON t.VirtualTestID = tr.VirtualTestID
+LEFT JOIN (SELECT c.ClassID, c.Name AS ClassName, d.Name AS TermName
+           FROM Class c JOIN DistrictTerm d ON c.DistrictTermID = d.DistrictTermID) ct ON ct.ClassID = tr.ClassID
+WHERE tr.ResultDate > {_ts(cfg.standards_since)})"""
+    group = ("td.DistrictID, td.TermName, td.TestName, td.Subject, td.Grade, td.SchoolName, td.UserID, "
+             "td.TeacherCode, td.TeacherFirstName, td.TeacherLastName, td.ClassID, td.ClassName, tda.Tag")
+    where = _incl_excl("td.TestName", cfg.standards_include, cfg.standards_exclude)
+
+    def block(bridge, bridge_key, tag_table, tag_key, tag_col, final_tag):
+        return with_tables(tables + [bridge, tag_table]) + f""", {td},
+tda AS (SELECT a.TestResultID, m.{tag_col} AS Tag,
+  CAST(trunc(a.PointsEarned) AS INTEGER) AS pe, CAST(trunc(a.PointsPossible) AS INTEGER) AS pp
+  FROM Answer a JOIN VirtualQuestion vq ON a.VirtualQuestionID = vq.VirtualQuestionID
+  JOIN QTIItem qi ON vq.QTIItemID = qi.QTIItemID
+  JOIN {bridge} br ON vq.VirtualQuestionID = br.VirtualQuestionID
+  JOIN {tag_table} m ON br.{bridge_key} = m.{tag_key}),
+agg AS (SELECT {group}, max(td.UpdatedDate) AS MostRecentDate,
+  CAST(sum(tda.pe) AS BIGINT) AS TotalPointsEarned, CAST(sum(tda.pp) AS BIGINT) AS TotalPointsPossible
+  FROM td JOIN tda ON td.TestResultID = tda.TestResultID WHERE {where} GROUP BY {group})
+SELECT DistrictID, {_school_year('TermName', 'MostRecentDate', cfg)} AS TermName, TestName, Subject, Grade,
+  {_form('TestName', cfg, guarded=False)} AS Form, SchoolName, UserID, TeacherCode, TeacherFirstName,
+  TeacherLastName, ClassID, ClassName, {final_tag}, TotalPointsEarned, TotalPointsPossible
+FROM agg"""
+
+    return {
+        "standards_summary": block("VirtualQuestionStateStandard", "StateStandardID", "MasterStandard",
+                                   "MasterStandardID", "Number", "Tag AS StandardNbr"),
+        "skills_summary": block("VirtualQuestionLessonOne", "LessonOneID", "LessonOne", "LessonOneID", "Name",
+                                "replace(replace(Tag, chr(10), ''), chr(13), '') AS Skills"),
+    }
+
+
+def _demographic_sql(cfg) -> dict[str, str]:
+    tables = ["VirtualTest", "TestResult", "School", "Student", "VirtualQuestion",
+              "VirtualQuestionStateStandard", "MasterStandard", "Answer", "District", "Gender", "Race",
+              "TestResultProgram", "Program"]
+    banks = ", ".join(f"({q(t)}, {b})" for t, ids in cfg.bank_ids.items() for b in ids)
+    head = with_tables(tables) + f""", v AS (SELECT DistrictID, {_variant_cols(cfg)} FROM District),
+banks(StateTest, BankID) AS (VALUES {banks})"""
+
+    def block(label, join, value):
+        return f"""SELECT Student.DistrictID, School.Name AS School, VirtualTest.Name AS TestName,
+  '{label}' AS Demographic, {value} AS Value, MasterStandard.Number, Answer.PointsEarned, Answer.PointsPossible
+FROM VirtualTest
+JOIN TestResult ON TestResult.VirtualTestID = VirtualTest.VirtualTestID
+JOIN School ON School.SchoolID = TestResult.SchoolID
+JOIN Student ON Student.StudentID = TestResult.StudentID
+{join}
+JOIN VirtualQuestion ON VirtualQuestion.VirtualTestID = VirtualTest.VirtualTestID
+JOIN VirtualQuestionStateStandard ON VirtualQuestionStateStandard.VirtualQuestionID = VirtualQuestion.VirtualQuestionID
+JOIN MasterStandard ON MasterStandard.MasterStandardID = VirtualQuestionStateStandard.StateStandardID
+JOIN Answer ON Answer.TestResultID = TestResult.TestResultID AND Answer.VirtualQuestionID = VirtualQuestion.VirtualQuestionID
+JOIN v ON v.DistrictID = Student.DistrictID
+JOIN banks ON banks.StateTest = v.StateTest AND banks.BankID = VirtualTest.BankID"""
+
+    blocks = {
+        "Gender": block("Gender", "JOIN Gender ON Student.GenderID = Gender.GenderID", "Gender.Name"),
+        "Race": block("Race", "JOIN Race ON Student.RaceID = Race.RaceID", "Race.Name"),
+        "Program": block("Program", "JOIN TestResultProgram ON TestResultProgram.TestResultID = TestResult.TestResultID\n"
+                                    "JOIN Program ON TestResultProgram.ProgramID = Program.ProgramID", "Program.Name"),
+    }
+
+    def agg(names):
+        body = "\nUNION ALL\n".join(blocks[n] for n in names)
+        return head + f"""
+SELECT DistrictID, School, TestName, Demographic, Value, Number,
+  sum(PointsEarned) AS PointsEarned, sum(PointsPossible) AS PointsPossible
+FROM ({body}) x GROUP BY DistrictID, School, TestName, Demographic, Value, Number"""
+
+    return {
+        "standards_by_demographic": agg(["Gender", "Race", "Program"]),
+        "standards_by_gender": agg(["Gender"]),
+        "standards_by_race": agg(["Race"]),
+        "standards_by_program": agg(["Program"]),
+    }
+
+
+# --------------------------------------------------------------- status ----
+
+def status_sql(cfg: ReportConfig, form: str) -> dict[str, str]:
+    tables = sorted(set(_STAR_TABLES + ["ClassUser", "ClassUserLOE", "ClassStudent"]))
+    roster = """SELECT DISTINCT Student.DistrictID, School.Name AS School, Student.LastName, Student.FirstName,
+  Student.MiddleName, Student.Code, Grade.Name AS Grade
+FROM DistrictTerm
+JOIN Class ON DistrictTerm.DistrictTermID = Class.DistrictTermID
+JOIN ClassUser ON Class.ClassID = ClassUser.ClassID
+JOIN School ON Class.SchoolID = School.SchoolID
+JOIN "User" ON ClassUser.UserID = "User".UserID
+JOIN ClassUserLOE ON ClassUser.ClassUserLOEID = ClassUserLOE.ClassUserLOEID
+JOIN ClassStudent ON Class.ClassID = ClassStudent.ClassID
+JOIN Student ON ClassStudent.StudentID = Student.StudentID
+LEFT JOIN Grade ON Student.CurrentGradeID = Grade.GradeID
+WHERE DistrictTerm.Active = 1"""
+    bench = f"""SELECT dt.DistrictID, s.Code AS StudentCode, sub.Name AS Subject, {_form('vt.Name', cfg)} AS Form
+{_STAR}WHERE dt.Active = 1 AND {_incl_excl('vt.Name', cfg.status_include, cfg.status_exclude)}"""
+    flags = ",\n  ".join(
+        f"""CASE WHEN EXISTS (SELECT 1 FROM b WHERE b.DistrictID = r.DistrictID AND b.StudentCode = r.Code
+    AND b.Subject = {q(subject)} AND b.Form = {q(form)}) THEN 'Yes' ELSE 'No' END AS {col}"""
+        for col, subject in cfg.status_subjects)
+    return {
+        "status_roster": with_tables(tables) + roster,
+        "status_matrix": with_tables(tables) + f""", r AS ({roster}), b AS ({bench})
+SELECT r.*, {flags} FROM r""",
+    }
+
+
+# --------------------------------------------------------------- labels ----
+
+def labels_sql(cfg: ReportConfig, district_id: int) -> dict[str, str]:
+    parcc = cfg.state_test_name_pattern.format(test=cfg.parcc_variant[0])
+    other = cfg.state_test_name_pattern.format(test=cfg.other_variant[0])
+    return {
+        "form_label": with_tables(["VirtualTest"]) + f"""SELECT VirtualTestID, Name AS TestName,
+  {_form('Name', cfg)} AS FormGuarded, {_form('Name', cfg, guarded=False)} AS FormUnguarded FROM VirtualTest""",
+        "term_label": with_tables(["TestResult", "Class", "DistrictTerm"]) + f"""SELECT tr.TestResultID, dt.Name AS TermName,
+  strftime(tr.UpdatedDate, '%Y-%m-%d %H:%M:%S') AS UpdatedDate,
+  {_school_year('dt.Name', 'tr.UpdatedDate', cfg)} AS SchoolYear
+FROM TestResult tr JOIN Class c ON c.ClassID = tr.ClassID JOIN DistrictTerm dt ON dt.DistrictTermID = c.DistrictTermID""",
+        "pattern_filter": with_tables(["VirtualTest"]) + f"""SELECT VirtualTestID, Name AS TestName,
+  ({_incl_excl('Name', cfg.detail_include, cfg.detail_exclude)}) AS detail_ok,
+  ({_incl_excl('Name', cfg.standards_include, cfg.standards_exclude)}) AS standards_ok,
+  ({_incl_excl('Name', cfg.status_include, cfg.status_exclude)}) AS status_ok,
+  ({_like_all('Name', cfg.usage_benchmark_include)}) AS usage_benchmark_ok,
+  ({_incl_excl('Name', (parcc,), cfg.state_score_exclude)}) AS parcc_score_ok,
+  (Name ILIKE {q(other)}) AS other_state_test
+FROM VirtualTest""",
+        "param_filter": with_tables(["TestResult", "Student"]) + f"""SELECT s.StudentID, s.Code AS StudentCode, count(*) AS Results
+FROM TestResult tr JOIN Student s ON s.StudentID = tr.StudentID
+WHERE s.DistrictID = {district_id} AND tr.ResultDate > {_ts(cfg.detail_since)}
+GROUP BY s.StudentID, s.Code""",
+    }

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ReportConfig
-from ..functions.dates import day_text, hour_label, period_table
+from ..functions.dates import day_text, hour_label, iso_day, period_table
 from ..functions.predicates import any_not_null, not_in
 from ..operators.aggregates import count_where, period_totals, share_of_total, with_total_row
 from ..operators.periods import assign_periods, densify_days, period_change
@@ -84,7 +84,7 @@ def results_by_date(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT,
     """Results per day: total, online, bubble sheet.  Days sort by date (the
     original sorted the ``MM/dd/yyyy`` text, wrong across a year end)."""
     df = _by_date(cat, as_of, cfg, exclude_clients)
-    return df.orderBy("period_ord", "day").select("period", "Date", "day", *RESULT_MEASURES)
+    return df.orderBy("period_ord", "day").select("period", "Date", *RESULT_MEASURES)
 
 
 def results_by_date_total(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
@@ -130,7 +130,7 @@ def dense_daily_counts(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT
     periods = periods_for(cat, as_of, cfg)
     counts = _by_date(cat, as_of, cfg, False, periods).drop("period_ord", "Date")
     return (densify_days(counts, periods, "day", RESULT_MEASURES)
-            .orderBy("period_ord", "day").select("period", "day", *RESULT_MEASURES))
+            .orderBy("period_ord", "day").select("period", iso_day("day").alias("day"), *RESULT_MEASURES))
 
 
 def _by_client(cat, as_of, cfg, benchmarks_only: bool, periods=None) -> DataFrame:
@@ -208,7 +208,7 @@ def sessions_by_date(cat: Catalog, as_of: dt.date, ts_col: str = "StartDate",
         *[count_where(F.col("StatusID") == code, name) for name, code in cfg.session_statuses])
     label = "DateStarted" if ts_col == "StartDate" else "DateLastLogIn"
     return (df.withColumn(label, day_text("day")).orderBy("period_ord", "day")
-            .select("period", label, "day", "TotalOnlineTests", *[n for n, _ in cfg.session_statuses]))
+            .select("period", label, "TotalOnlineTests", *[n for n, _ in cfg.session_statuses]))
 
 
 def sessions_by_hour(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
@@ -237,4 +237,6 @@ def period_windows(cat: Catalog, cfg: ReportConfig = DEFAULT) -> DataFrame:
     updated (a calendar of report windows)."""
     from ..functions.dates import with_periods
     days = cat["TestResult"].select(F.to_date("UpdatedDate").alias("as_of")).distinct()
-    return with_periods(days, "as_of", cfg).orderBy("as_of", "period_ord")
+    return (with_periods(days, "as_of", cfg).orderBy("as_of", "period_ord")
+            .select(*[iso_day(c).alias(c) for c in ("as_of",)], "period", "period_ord",
+                    iso_day("week_start").alias("week_start"), iso_day("week_end").alias("week_end")))

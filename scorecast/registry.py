@@ -9,11 +9,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
-from .plans import usage
+from .plans import extracts, labels, status, usage
 from .sources.binding import EVENTS_AS_OF, ORDERS_AS_OF, binding_config
 from .sources.catalog import BindingCatalog
 
 CFG = binding_config()
+# Report parameters used with the synthetic tables.
+PARAM_DISTRICT = 5
+STATUS_FORM = "A"
 
 
 def _cat(spark: SparkSession, sf_dir: str) -> BindingCatalog:
@@ -44,6 +47,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sessions_by_start_date": _q(usage.sessions_by_date, E, "StartDate", CFG),
         "sessions_by_login_date": _q(usage.sessions_by_date, E, "LastLoginDate", CFG),
         "sessions_by_hour": _q(usage.sessions_by_hour, E, CFG),
+        "form_label": _q(labels.form_labels, CFG),
+        "term_label": _q(labels.term_labels, CFG),
+        "pattern_filter": _q(labels.pattern_flags, CFG),
+        "param_filter": _q(labels.district_results, PARAM_DISTRICT, CFG.detail_since),
+        "report_variant": _q(extracts.report_variant, CFG),
+        "detail_star_join": _q(extracts.local_benchmark_detail, None, CFG),
+        "state_test_extract": _q(extracts.state_test_extract, None, CFG),
+        "state_scores": _q(extracts.state_scores, None, CFG),
+        "student_gender": _q(extracts.student_gender, None),
+        "student_race": _q(extracts.student_race, None),
+        "student_program": _q(extracts.student_program, None),
+        "student_dimension": _q(extracts.student_dimension, None),
+        "standards_summary": _q(extracts.standards_summary, None, CFG),
+        "skills_summary": _q(extracts.skills_summary, None, CFG),
+        "standards_by_demographic": _q(extracts.standards_by_demographic, None, CFG),
+        "standards_by_gender": _q(extracts.standards_by_demographic, None, CFG, ("Gender",)),
+        "standards_by_race": _q(extracts.standards_by_demographic, None, CFG, ("Race",)),
+        "standards_by_program": _q(extracts.standards_by_demographic, None, CFG, ("Program",)),
+        "cluster_ratio": _q(extracts.cluster_ratio, None, CFG),
+        "status_roster": _q(status.status_roster, None, CFG),
+        "status_matrix": _q(status.status_matrix, None, STATUS_FORM, CFG),
     }
 
 
@@ -51,4 +75,7 @@ def oracle_sql() -> dict[str, str]:
     out = {"period_windows": oracle.period_windows_sql(CFG)}
     out.update(oracle.usage_sql(CFG, ORDERS_AS_OF))
     out.update(oracle.sessions_sql(CFG, EVENTS_AS_OF))
+    out.update(oracle.extracts_sql(CFG))
+    out.update(oracle.status_sql(CFG, STATUS_FORM))
+    out.update(oracle.labels_sql(CFG, PARAM_DISTRICT))
     return out

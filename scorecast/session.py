@@ -19,6 +19,7 @@ SCALE_CONF = {
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
