@@ -80,13 +80,50 @@ def with_periods(df: DataFrame, as_of_col: str = "as_of", cfg: ReportConfig = DE
     return df.select("*", F.inline(period_structs(F.col(as_of_col), cfg)))
 
 
+def report_periods(as_of: dt.date, cfg: ReportConfig = DEFAULT) -> list[tuple]:
+    """The three (period, period_ord, week_start, week_end) of one report
+    date, computed on the driver from the same rules as ``period_structs``
+    (a test checks both agree for every weekday, year ends and leap days).
+    Knowing the dates while the plan is built lets each period become a
+    literal range that reaches the Parquet scan."""
+    def prev_friday(d):
+        wd = d.weekday()
+        return d - dt.timedelta(days=7 if wd == 4 else wd + 3)
+
+    def coming_friday(d):
+        return d + dt.timedelta(days=(4 - d.weekday()) % 7)
+
+    def year_earlier(d):
+        if (d.month, d.day) == (2, 29):  # like add_months: Feb 29 -> Feb 28
+            return d.replace(year=d.year - 1, day=28)
+        return d.replace(year=d.year - 1)
+
+    cw_end = coming_friday(as_of)
+    cw_start = cw_end - dt.timedelta(days=7) if cfg.strict_week else prev_friday(as_of)
+    lw_start = cw_start - dt.timedelta(days=7) if cfg.strict_week else prev_friday(cw_start)
+    bounds = ((cw_start, cw_end), (lw_start, cw_start),
+              (coming_friday(year_earlier(cw_start)), coming_friday(year_earlier(cw_end))))
+    return [(label, i + 1, s, e) for i, (label, (s, e)) in enumerate(zip(cfg.period_labels, bounds))]
+
+
 def period_table(spark: SparkSession, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """The 3-row period table for one report date, with timestamp bounds
-    (midnight) ready for the strict interval predicate."""
-    base = spark.range(1).select(F.lit(as_of).cast("date").alias("as_of"))
-    return (with_periods(base, "as_of", cfg)
-            .withColumn("start_ts", F.col("week_start").cast("timestamp_ntz"))
-            .withColumn("end_ts", F.col("week_end").cast("timestamp_ntz")))
+    (midnight) ready for the strict interval predicate.  Built from
+    literals: no job runs, and ``periods_of(table)`` returns the dates."""
+    rows = report_periods(as_of, cfg)
+    arr = F.array(*[F.struct(F.lit(p).alias("period"), F.lit(o).alias("period_ord"),
+                             F.lit(s).cast("date").alias("week_start"), F.lit(e).cast("date").alias("week_end"))
+                    for p, o, s, e in rows])
+    df = (spark.range(1).select(F.inline(arr))
+          .withColumn("start_ts", F.col("week_start").cast("timestamp_ntz"))
+          .withColumn("end_ts", F.col("week_end").cast("timestamp_ntz")))
+    df._report_periods = rows
+    return df
+
+
+def periods_of(periods: DataFrame):
+    """Period dates of a table built by ``period_table`` (else None)."""
+    return periods.__dict__.get("_report_periods")
 
 
 def day_text(c, padded: bool = True) -> Column:

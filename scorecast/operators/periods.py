@@ -5,29 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import ts_literal
-
-
-def period_bounds(periods: DataFrame):
-    """(earliest start, latest end) of a period table as Python values.
-
-    The period table has one row per report period (3), so this reads 3
-    rows; the bounds become a literal filter that reaches the Parquet scan
-    (and prunes date partitions) before the range join below."""
-    row = periods.agg(F.min("start_ts").alias("lo"), F.max("end_ts").alias("hi")).first()
-    return row["lo"], row["hi"]
+from ..functions.dates import periods_of, ts_literal
 
 
 def assign_periods(fact: DataFrame, ts_col: str, periods: DataFrame) -> DataFrame:
     """Tag each fact row with every period whose open interval
     ``start < ts < end`` contains it (periods may overlap: a row can land in
-    several).  The fact is first cut to the overall bounds with a plain
-    filter; the range join itself is a ``BroadcastNestedLoopJoin`` against
-    the 3-row period table, a streaming pass over the fact with no shuffle.
-    """
-    lo, hi = period_bounds(periods)
+    several).
+
+    When the period dates are known (tables from ``period_table``), the
+    fact is first cut to the union of the intervals by a literal filter
+    that Parquet pushdown and partition pruning apply at the scan, so only
+    the report weeks are read.  The range join itself is a
+    ``BroadcastNestedLoopJoin`` against the 3-row period table: a
+    streaming pass over the remaining rows, no shuffle."""
     ts = F.col(ts_col)
-    fact = fact.where((ts > ts_literal(lo)) & (ts < ts_literal(hi)))
+    rows = periods_of(periods)
+    if rows:
+        cut = None
+        for _, _, s, e in rows:
+            c = (ts > ts_literal(s)) & (ts < ts_literal(e))
+            cut = c if cut is None else cut | c
+        fact = fact.where(cut)
     p = F.broadcast(periods.select("period", "period_ord", "week_start", "week_end",
                                    F.col("start_ts").alias("_ps"), F.col("end_ts").alias("_pe")))
     return (fact.join(p, (ts > F.col("_ps")) & (ts < F.col("_pe")), "inner")

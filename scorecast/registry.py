@@ -19,8 +19,16 @@ PARAM_DISTRICT = 5
 STATUS_FORM = "A"
 
 
+_CATALOGS: dict = {}
+
+
 def _cat(spark: SparkSession, sf_dir: str) -> BindingCatalog:
-    return BindingCatalog(spark, sf_dir)
+    """One catalog per (session, folder): table schemas are read once."""
+    key = (id(spark), sf_dir)
+    cat = _CATALOGS.get(key)
+    if cat is None or cat.spark is not spark:
+        cat = _CATALOGS[key] = BindingCatalog(spark, sf_dir)
+    return cat
 
 
 def _q(fn, *args, **kw) -> Callable[[SparkSession, str], DataFrame]:

@@ -1,3 +1,3 @@
 """Sources (table resolvers, test-data binding) and sinks (report writers)."""
 
-from .catalog import BindingCatalog, Catalog, JdbcCatalog, ParquetCatalog  # noqa: F401
+from .catalog import BindingCatalog, Catalog, JdbcCatalog, MemoryCatalog, ParquetCatalog  # noqa: F401

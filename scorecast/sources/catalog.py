@@ -86,3 +86,14 @@ class BindingCatalog(Catalog):
 
     def _load(self, name):
         return binding.to_dataframe(self.spark, self.raw, name)
+
+
+class MemoryCatalog(Catalog):
+    """Tables given as DataFrames (tests, or tables a caller already has)."""
+
+    def __init__(self, spark, tables: dict[str, DataFrame]):
+        super().__init__(spark)
+        self._cache.update(tables)
+
+    def _load(self, name):
+        raise KeyError(f"table {name!r} not provided")
