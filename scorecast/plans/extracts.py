@@ -339,20 +339,26 @@ def _bank_filter(bank: Column, state_test: Column, cfg: ReportConfig) -> Column:
 
 
 def _result_tags(cat: Catalog, results: DataFrame, demographics) -> DataFrame:
-    """(TestResultID, Demographic, Value) for the requested demographics:
-    gender and race of the result's student, program(s) of the result."""
+    """(TestResultID, Demographic, Value): the gender and race of the
+    result's student in one pass over the results (left joins to the small
+    dimensions, then one row per *matched* value, so a missing dimension
+    row drops only that demographic, as an inner join would), plus the
+    program(s) recorded for the result."""
     parts = []
-    if "Gender" in demographics:
-        g = cat["Gender"].select("GenderID", F.col("Name").alias("Value"))
-        parts.append(results.select("TestResultID", "GenderID").join(g, "GenderID")
-                     .select("TestResultID", F.lit("Gender").alias("Demographic"), "Value"))
-    if "Race" in demographics:
-        r = cat["Race"].select("RaceID", F.col("Name").alias("Value"))
-        parts.append(results.select("TestResultID", "RaceID").join(r, "RaceID")
-                     .select("TestResultID", F.lit("Race").alias("Demographic"), "Value"))
+    student_dims = [d for d in ("Gender", "Race") if d in demographics]
+    if student_dims:
+        sr = results.select("TestResultID", "GenderID", "RaceID")
+        tags = []
+        for d in student_dims:
+            dim = cat[d].select(F.col(f"{d}ID"), F.col("Name").alias(f"_{d}_name"), F.lit(True).alias(f"_{d}_ok"))
+            sr = sr.join(dim, f"{d}ID", "left")
+            tags.append(F.struct(F.lit(d).alias("Demographic"), F.col(f"_{d}_name").alias("Value"),
+                                 F.col(f"_{d}_ok").isNotNull().alias("ok")))
+        parts.append(sr.select("TestResultID", F.explode(F.filter(F.array(*tags), lambda t: t["ok"])).alias("t"))
+                     .select("TestResultID", "t.Demographic", "t.Value"))
     if "Program" in demographics:
         p = cat["Program"].select("ProgramID", F.col("Name").alias("Value"))
-        parts.append(cat["TestResultProgram"].join(p, "ProgramID")
+        parts.append(cat["TestResultProgram"].select("TestResultID", "ProgramID").join(p, "ProgramID")
                      .select("TestResultID", F.lit("Program").alias("Demographic"), "Value"))
     out = parts[0]
     for p in parts[1:]:
@@ -370,7 +376,8 @@ def standards_by_demographic(cat: Catalog, district_id=None, cfg: ReportConfig =
     district's state test, answers are joined on (result, question) with the
     question's test equal to the result's test, and every answer row is
     labelled once per demographic value through a (result -> tag) table.
-    Both joins are on TestResultID, so the answers are shuffled once."""
+    Both big joins are keyed on TestResultID, so the answers are shuffled
+    once and the tag table joins them co-partitioned."""
     tr = cat["TestResult"].select("TestResultID", "VirtualTestID", "SchoolID", "StudentID")
     vt = cat["VirtualTest"].select("VirtualTestID", "BankID", F.col("Name").alias("TestName"))
     sch = cat["School"].select("SchoolID", F.col("Name").alias("School"))
@@ -386,8 +393,7 @@ def standards_by_demographic(cat: Catalog, district_id=None, cfg: ReportConfig =
                       "TestResultID")
                .join(vq, ["VirtualQuestionID", "VirtualTestID"])
                .join(vqss, "VirtualQuestionID").join(ms, "StateStandardID"))
-    tags = _result_tags(cat, results, demographics)
-    df = answers.join(tags, "TestResultID")
+    df = answers.join(_result_tags(cat, results, demographics), "TestResultID")
     out = df.groupBy("DistrictID", "School", "TestName", "Demographic", "Value", "Number").agg(
         F.sum("PointsEarned").alias("PointsEarned"), F.sum("PointsPossible").alias("PointsPossible"))
     return out.orderBy("DistrictID", "Demographic", "School", "TestName", "Number", "Value")
