@@ -37,14 +37,16 @@ def share_of_total(df: DataFrame, measure: str, by: list[str], alias: str,
 
 
 def with_total_row(df: DataFrame, periods: DataFrame, label_cols: dict, measures: list[str],
-                   first: bool = True) -> DataFrame:
-    """Append a per-period ``Total`` row (label columns set to constants)
-    and a ``row_kind`` column ('total' / 'detail').  Sorting on ``is_total``
-    places the total first (or last)."""
+                   carry: tuple = ()) -> DataFrame:
+    """Append a per-period ``Total`` row (label columns set to constants,
+    ``carry`` columns NULL) and a ``row_kind`` column ('total' / 'detail');
+    sorting on ``row_kind`` places the total first or last."""
     tot = period_totals(df, periods, measures)
+    types = dict(df.dtypes)
     tot = tot.select("period", "period_ord",
                      *[F.lit(v).cast("string").alias(k) for k, v in label_cols.items()],
+                     *[F.lit(None).cast(types[c]).alias(c) for c in carry],
                      *measures, F.lit("total").alias("row_kind"))
-    det = df.select("period", "period_ord", *label_cols.keys(), *measures,
+    det = df.select("period", "period_ord", *label_cols.keys(), *carry, *measures,
                     F.lit("detail").alias("row_kind"))
     return det.unionByName(tot)

@@ -130,12 +130,14 @@ def local_benchmark_detail(cat: Catalog, district_id=None, cfg: ReportConfig = D
     df = df.where(F.col("ResultDate") > _lit_ts(cfg.detail_since))
     df = _scope(df, "TermDistrictID", district_id)
     df = df.select(
-        F.col("TermDistrictID").alias("DistrictID"), "UpdatedDate",
+        F.col("TermDistrictID").alias("DistrictID"), "UpdatedDate", "TestResultID",
         day_text("UpdatedDate", padded=False).alias("ResultDate"),
         school_year("TermName", "UpdatedDate", cfg).alias("DistrictTerm"),
         "TestName", "Subject", "Grade", form_letter("TestName", True, cfg).alias("Form"),
         *DETAIL_COLUMNS[6:])
-    return df.orderBy(F.desc("UpdatedDate")).select("DistrictID", *DETAIL_COLUMNS)
+    # Newest first.  TestResultID breaks ties, so the range partitioning of
+    # the sort can split a date that holds a large share of the rows.
+    return df.orderBy(F.desc("UpdatedDate"), "TestResultID").select("DistrictID", *DETAIL_COLUMNS)
 
 
 # ---------------------------------------------------------- state test -----

@@ -175,8 +175,8 @@ def entry_by_date(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) ->
     base = _entries(cat, as_of, cfg, periods).withColumn("day", F.to_date("UpdatedDate"))
     df = (base.groupBy("period", "period_ord", "day").agg(F.count("TestResultID").alias("Total"))
           .withColumn("Date", day_text("day")))
-    df = with_total_row(df.drop("day"), periods, {"Date": "Total"}, ["Total"])
-    return (df.orderBy("period_ord", F.col("row_kind") == "total", "Date")
+    df = with_total_row(df, periods, {"Date": "Total"}, ["Total"], carry=("day",))
+    return (df.orderBy("period_ord", F.col("row_kind") == "total", "day")
             .select("period", "row_kind", "Date", "Total"))
 
 

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reports are one-shot batch runs over a snapshot: no watermark, stream
+window, state or late data appears in what they compute, and the
+Friday-to-Friday week is a batch filter, not a stream window.  No streaming
+operator is provided, so none is built here.
+"""
