@@ -15,9 +15,11 @@ def period_totals(df: DataFrame, periods: DataFrame, measures: list[str]) -> Dat
     """Column totals per period, one row per period even when the period
     has no rows (then all zeros).  Built from the 3-row period table, so an
     empty period still gets its row."""
-    sums = df.groupBy("period").agg(*[F.sum(m).alias(m) for m in measures])
-    base = F.broadcast(periods.select("period", "period_ord"))
-    return base.join(sums, "period", "left").select(
+    # One row per period (at most 3): bounded, so it is the broadcast side
+    # of a right outer join that keeps every period.
+    sums = F.broadcast(df.groupBy("period").agg(*[F.sum(m).alias(m) for m in measures]))
+    base = periods.select("period", "period_ord")
+    return sums.join(base, "period", "right").select(
         "period", "period_ord",
         *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in measures])
 

@@ -38,7 +38,8 @@ def densify_days(counts: DataFrame, periods: DataFrame, day_col: str, measures:
     measures 0 where no row exists (a left join from the calendar)."""
     cal = periods.select("period", "period_ord",
                          F.explode(F.sequence("week_start", "week_end")).alias(day_col))
-    out = cal.join(counts, ["period", day_col], "left")
+    # ``counts`` has one row per (period, day): at most 3 x 15 rows.
+    out = cal.join(F.broadcast(counts), ["period", day_col], "left")
     return out.select("period", "period_ord", day_col,
                       *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in measures])
 

@@ -73,14 +73,19 @@ def _state_test_name_matches(name: Column, state_test: Column, cfg: ReportConfig
 
 # ---------------------------------------------------------- snowflake ------
 
-def test_chain(cat: Catalog) -> DataFrame:
-    """VirtualTest -> Bank -> Subject -> Grade (all inner)."""
+def with_test_chain(df: DataFrame, cat: Catalog) -> DataFrame:
+    """Add test name, subject and grade: VirtualTest -> Bank -> Subject ->
+    Grade, all inner.  The dimensions are joined to the fact one at a time
+    (not pre-joined): Catalyst estimates a join of two tables as the product
+    of their sizes, so a pre-joined dimension chain never looks small enough
+    to broadcast, while each single dimension does when it is small."""
     vt = cat["VirtualTest"].select("VirtualTestID", "BankID", F.col("Name").alias("TestName"),
                                    "AchievementLevelSettingID")
     b = cat["Bank"].select("BankID", "SubjectID")
     sub = cat["Subject"].select("SubjectID", F.col("Name").alias("Subject"), "GradeID")
     gr = cat["Grade"].select("GradeID", F.col("Name").alias("Grade"))
-    return vt.join(b, "BankID").join(sub, "SubjectID").join(gr, "GradeID")
+    return (df.join(vt, "VirtualTestID").join(b, "BankID").join(sub, "SubjectID").join(gr, "GradeID")
+            .drop("BankID", "SubjectID", "GradeID"))
 
 
 def _students(cat):
@@ -95,11 +100,23 @@ def _teachers(cat):
                               F.col("NameLast").alias("TeacherLastName"))
 
 
-def _class_terms(cat):
+def with_class_term(df: DataFrame, cat: Catalog, how: str = "inner") -> DataFrame:
+    """Add class name and its term (name, district, active flag).
+
+    ``how="left"`` keeps rows without a match and sets the class *and* term
+    columns only when both the class and its term exist (the pair is inner
+    among itself), so the two single-dimension joins behave like one left
+    join to the class-term pair."""
     c = cat["Class"].select("ClassID", F.col("Name").alias("ClassName"), "DistrictTermID")
     t = cat["DistrictTerm"].select("DistrictTermID", F.col("DistrictID").alias("TermDistrictID"),
                                    F.col("Name").alias("TermName"), "Active")
-    return c.join(t, "DistrictTermID")
+    if how == "inner":
+        return df.join(c, "ClassID").join(t, "DistrictTermID").drop("DistrictTermID")
+    t = t.withColumn("_term_found", F.lit(True))
+    out = df.join(c, "ClassID", "left").join(t, "DistrictTermID", "left")
+    found = F.col("_term_found").isNotNull()
+    return (out.withColumn("ClassName", F.when(found, F.col("ClassName")))
+            .drop("DistrictTermID", "_term_found"))
 
 
 def scored_results(cat: Catalog, test_filter: Column) -> DataFrame:
@@ -110,9 +127,9 @@ def scored_results(cat: Catalog, test_filter: Column) -> DataFrame:
     tr = cat["TestResult"].select("TestResultID", "VirtualTestID", "StudentID", "SchoolID", "ClassID",
                                   "UserID", "UpdatedDate", "ResultDate")
     sch = cat["School"].select("SchoolID", F.col("Name").alias("School"))
-    tests = test_chain(cat).where(test_filter)
-    return (trs.join(tr, "TestResultID").join(tests, "VirtualTestID").join(_students(cat), "StudentID")
-            .join(sch, "SchoolID").join(_class_terms(cat), "ClassID").join(_teachers(cat), "UserID"))
+    df = with_test_chain(trs.join(tr, "TestResultID"), cat).where(test_filter)
+    df = df.join(_students(cat), "StudentID").join(sch, "SchoolID")
+    return with_class_term(df, cat).join(_teachers(cat), "UserID")
 
 
 DETAIL_COLUMNS = [
@@ -148,8 +165,7 @@ def _state_scores_base(cat: Catalog) -> DataFrame:
     tr = cat["TestResult"].select("TestResultID", "VirtualTestID", "StudentID", "SchoolID")
     sch = cat["School"].select("SchoolID", F.col("Name").alias("SchoolName"),
                                F.col("DistrictID").alias("SchoolDistrictID"))
-    return (trs.join(tr, "TestResultID").join(test_chain(cat), "VirtualTestID")
-            .join(_students(cat), "StudentID").join(sch, "SchoolID"))
+    return with_test_chain(trs.join(tr, "TestResultID"), cat).join(_students(cat), "StudentID").join(sch, "SchoolID")
 
 
 def state_test_extract(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
@@ -259,18 +275,20 @@ GROUP_COLUMNS = ["TermName", "TestName", "Subject", "Grade", "SchoolName", "User
 
 def _staged_results(cat: Catalog, district_id, cfg: ReportConfig) -> DataFrame:
     """Results since the standards date of teachers in the district, then
-    enriched: school (left), test chain (left), class and term (left),
-    teacher (inner, as the seed join already requires the teacher)."""
+    enriched: school (left), class and term (left pair), teacher (inner:
+    the seed join already requires the teacher) and the test chain.  The
+    test chain is an inner join here: the original enriched it with a left
+    update, but its test-name filter then drops every row the chain did not
+    match, so the result is the same."""
     tr = (cat["TestResult"].where(F.col("ResultDate") > _lit_ts(cfg.standards_since))
           .select("TestResultID", "VirtualTestID", "SchoolID", "UserID", "ClassID", "UpdatedDate"))
     u = cat["User"].select("UserID", F.col("DistrictID").alias("DistrictID"), F.col("Code").alias("TeacherCode"),
                            F.col("NameFirst").alias("TeacherFirstName"), F.col("NameLast").alias("TeacherLastName"))
     u = _scope(u, "DistrictID", district_id)
     sch = cat["School"].select("SchoolID", F.col("Name").alias("SchoolName"))
-    tests = test_chain(cat).select("VirtualTestID", "TestName", "Subject", "Grade")
-    ct = _class_terms(cat).select("ClassID", "ClassName", "TermName")
-    return (tr.join(u, "UserID").join(sch, "SchoolID", "left").join(tests, "VirtualTestID", "left")
-            .join(ct, "ClassID", "left"))
+    df = tr.join(u, "UserID").join(sch, "SchoolID", "left")
+    df = with_class_term(df, cat, "left").drop("TermDistrictID", "Active")
+    return with_test_chain(df, cat).drop("AchievementLevelSettingID")
 
 
 def _answers_tagged(cat: Catalog, bridge: str, tag_table: str, tag_key: str, tag_col: str) -> DataFrame:
