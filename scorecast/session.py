@@ -15,6 +15,12 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # AQE merges small shuffle partitions up to this size and splits
+    # skewed ones above a multiple of it.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # A selective small side (e.g. one district's students) pre-filters the
+    # big side of a shuffle join with a bloom filter.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.sql.parquet.filterPushdown": "true",

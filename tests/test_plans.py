@@ -62,3 +62,9 @@ def test_single_district_filter_reaches_scan(spark):
     from scorecast.registry import _cat
     p = plan(student_gender(_cat(spark, SF_SMALL), 5))
     assert "EqualTo(c_nationkey,5)" in p
+
+
+def test_no_single_partition_exchange(spark, q):
+    """No plan funnels its data through one task."""
+    for k, fn in q.items():
+        assert "SinglePartition" not in plan(fn(spark, SF_SMALL)), k
