@@ -7,7 +7,9 @@
 
 ``--tables`` is a folder of Parquet tables named after the logical tables
 (TestResult, Student, ...); ``--jdbc URL`` reads them from a database
-instead; ``--binding SF_DIR`` projects them from the TPC-H-style test data.
+instead; ``--database DB`` reads tables registered in the session catalog
+(e.g. facts bucketed by ``sources.layout.write_bucketed``); ``--binding
+SF_DIR`` projects them from the TPC-H-style test data.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from .plans import reports
 from .session import get_session
 from .sources.binding import binding_config
 from .sources.catalog import BindingCatalog, JdbcCatalog, ParquetCatalog
+from .sources.layout import TableCatalog
 
 
 def main(argv=None):
@@ -30,6 +33,7 @@ def main(argv=None):
     src.add_argument("--tables")
     src.add_argument("--jdbc")
     src.add_argument("--binding")
+    src.add_argument("--database", help="tables registered in the session catalog (e.g. bucketed facts)")
     ap.add_argument("--out", required=True)
     ap.add_argument("--district", type=int)
     ap.add_argument("--form", default="B")
@@ -44,6 +48,8 @@ def main(argv=None):
         cat = ParquetCatalog(spark, a.tables)
     elif a.jdbc:
         cat = JdbcCatalog(spark, a.jdbc)
+    elif a.database:
+        cat = TableCatalog(spark, a.database)
     else:
         cat, cfg = BindingCatalog(spark, a.binding), binding_config()
     if a.report == "status" and a.district is None:

@@ -127,9 +127,12 @@ def scored_results(cat: Catalog, test_filter: Column) -> DataFrame:
     tr = cat["TestResult"].select("TestResultID", "VirtualTestID", "StudentID", "SchoolID", "ClassID",
                                   "UserID", "UpdatedDate", "ResultDate")
     sch = cat["School"].select("SchoolID", F.col("Name").alias("School"))
+    # Selective and small joins first (test patterns, class term -- where a
+    # single district is asked for), the student table, the largest
+    # dimension, last.  Catalyst keeps this order without table statistics.
     df = with_test_chain(trs.join(tr, "TestResultID"), cat).where(test_filter)
-    df = df.join(_students(cat), "StudentID").join(sch, "SchoolID")
-    return with_class_term(df, cat).join(_teachers(cat), "UserID")
+    df = with_class_term(df, cat).join(sch, "SchoolID").join(_teachers(cat), "UserID")
+    return df.join(_students(cat), "StudentID")
 
 
 DETAIL_COLUMNS = [
@@ -165,7 +168,7 @@ def _state_scores_base(cat: Catalog) -> DataFrame:
     tr = cat["TestResult"].select("TestResultID", "VirtualTestID", "StudentID", "SchoolID")
     sch = cat["School"].select("SchoolID", F.col("Name").alias("SchoolName"),
                                F.col("DistrictID").alias("SchoolDistrictID"))
-    return with_test_chain(trs.join(tr, "TestResultID"), cat).join(_students(cat), "StudentID").join(sch, "SchoolID")
+    return with_test_chain(trs.join(tr, "TestResultID"), cat).join(sch, "SchoolID").join(_students(cat), "StudentID")
 
 
 def state_test_extract(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
@@ -219,13 +222,14 @@ def cluster_ratio(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -
     cls = cat["Class"].select("ClassID", F.col("Name").alias("ClassName"))
     sub = cat["TestResultSubScore"].select("TestResultScoreID", F.col("Name").alias("ClusterName"),
                                            F.col("ScoreScaled").alias("Score"))
+    # Student and teacher only have to exist (unique keys): semi joins.
     df = (tr.join(trs, "TestResultID").join(vt, "VirtualTestID").join(term, "DistrictTermID")
-          .join(dist, "DistrictID")
-          .join(cat["Student"].select("StudentID"), "StudentID")
-          .join(sch, "SchoolID").join(cls, "ClassID")
-          .join(cat["User"].select("UserID"), "UserID")
-          .join(sub, "TestResultScoreID"))
+          .join(dist, "DistrictID"))
     df = _scope(df, "DistrictID", district_id)
+    df = (df.join(sch, "SchoolID").join(cls, "ClassID")
+          .join(cat["User"].select("UserID"), "UserID", "left_semi")
+          .join(cat["Student"].select("StudentID"), "StudentID", "left_semi")
+          .join(sub, "TestResultScoreID"))
     score = F.col("Score")
     per_row = F.when(F.col("ClusterName").contains("Scale Score"), score).otherwise(
         F.when(score == 1, F.lit(1.0)).otherwise(F.lit(0.0)))

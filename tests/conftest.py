@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -11,6 +12,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from scorecast.session import get_session
-    s = get_session("local[4]", app="scorecast-tests", shuffle_partitions=4)
+    s = get_session("local[4]", app="scorecast-tests", shuffle_partitions=4,
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="scorecast-wh-")})
     yield s
     s.stop()
