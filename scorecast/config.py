@@ -98,6 +98,12 @@ STATUS_FORMS = ("A", "B", "C")
 # Reporting periods, in report order.
 PERIOD_LABELS = ("This Week", "Last Week", "Last Year")
 
+# Output names of the four reports.
+USAGE_REPORT_NAME = "{end} Weekly Usage Report"
+BENCHMARK_EXTRACT_NAME = "{district} Form B Data 2017-18"
+PARCC_EXTRACT_NAME = "{district} 3-Year PARCC Data"
+STATUS_REPORT_NAME = "{district} Form {form} Benchmark Status {date}"
+
 # ---------------------------------------------------------------------------
 
 
@@ -137,6 +143,10 @@ class ReportConfig:
     form_offset: int = FORM_OFFSET
     status_subjects: tuple = STATUS_SUBJECTS
     period_labels: tuple = PERIOD_LABELS
+    usage_report_name: str = USAGE_REPORT_NAME
+    benchmark_extract_name: str = BENCHMARK_EXTRACT_NAME
+    parcc_extract_name: str = PARCC_EXTRACT_NAME
+    status_report_name: str = STATUS_REPORT_NAME
     # Q1: on Saturday/Sunday the original "this week" spans 14 days.
     # strict_week=True keeps every week at 7 days instead.
     strict_week: bool = False

@@ -53,6 +53,17 @@ def district_variants(cat: Catalog, cfg: ReportConfig = DEFAULT) -> DataFrame:
                     level_setting_of(F.col("StateID"), cfg).alias("AchievementLevelSettingID"))
 
 
+def state_variant(cat: Catalog, district_id, cfg: ReportConfig = DEFAULT) -> tuple[str, int]:
+    """(state test, achievement-level setting) of one district: a one-row
+    lookup, used to name the state-test sheet of a single-district extract."""
+    d = validate_district_id(district_id)
+    row = district_variants(cat, cfg).where(F.col("DistrictID") == d).select(
+        "StateTest", "AchievementLevelSettingID").first()
+    if row is None:
+        return cfg.other_variant          # unknown state: the otherwise branch
+    return row["StateTest"], row["AchievementLevelSettingID"]
+
+
 def report_variant(cat: Catalog, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Variant of every district with its number of students."""
     students = cat["Student"].groupBy("DistrictID").agg(F.count(F.lit(1)).alias("Students"))

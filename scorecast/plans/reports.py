@@ -73,12 +73,14 @@ def usage_report(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> d
 
 
 def benchmark_extract(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> dict[str, DataFrame]:
-    """All sheets of the benchmark extract.  The state-test sheet is named
-    after the district's test; for all districts it carries a StateTest
-    column.  The points-by-program sheet is produced for every variant."""
+    """All sheets of the benchmark extract.  For one district the state-test
+    sheet is named after the district's test (PARCC / PSSA); for all
+    districts it is "State Test" with a StateTest column.  The
+    points-by-program sheet is produced for every variant."""
+    state_sheet = "State Test" if district_id is None else extracts.state_variant(cat, district_id, cfg)[0]
     return {
         "Linkit Benchmarks": extracts.local_benchmark_detail(cat, district_id, cfg),
-        "State Test": extracts.state_test_extract(cat, district_id, cfg),
+        state_sheet: extracts.state_test_extract(cat, district_id, cfg),
         "Standards": extracts.standards_summary(cat, district_id, cfg),
         "Skills": extracts.skills_summary(cat, district_id, cfg),
         "Gender": extracts.student_gender(cat, district_id),
@@ -123,7 +125,7 @@ def run(kind: str, cat: Catalog, out_root: str, *, district_id=None, as_of: dt.d
     if kind == "usage":
         as_of = as_of or dt.date.today()
         end = period_table(cat.spark, as_of, cfg)._report_periods[0][3]
-        out = report_path(out_root, "{end} Weekly Usage Report", end=end)
+        out = report_path(out_root, cfg.usage_report_name, end=end)
         return write_report(usage_report(usage_catalog(cat, as_of, cfg), as_of, cfg), out, fmt)
     name = "All Districts" if district_id is None else district_name(cat, district_id)
 
@@ -134,15 +136,15 @@ def run(kind: str, cat: Catalog, out_root: str, *, district_id=None, as_of: dt.d
 
     if kind == "benchmark":
         sheets = benchmark_extract(cat, district_id, cfg)
-        out = report_path(out_root, "{name} Benchmark Extract", name=name)
+        out = report_path(out_root, cfg.benchmark_extract_name, district=name)
         return write_report(sheets, out, fmt, skip_if_empty=GUARDED, partition_by=by_district(sheets))
     if kind == "parcc":
         sheets = parcc_extract(cat, district_id, cfg)
-        out = report_path(out_root, "{name} 3-Year PARCC Data", name=name)
+        out = report_path(out_root, cfg.parcc_extract_name, district=name)
         return write_report(sheets, out, fmt, partition_by=by_district(sheets))
     if kind == "status":
         as_of = as_of or dt.date.today()
-        out = report_path(out_root, "{name} Form {form} Benchmark Status {date}", name=name,
+        out = report_path(out_root, cfg.status_report_name, district=name,
                           form=validate_form(form), date=as_of)
         return write_report(benchmark_status(cat, district_id, form, cfg), out, fmt)
     raise ValueError(f"unknown report {kind!r}")

@@ -29,6 +29,9 @@ def test_district_extract_and_status(spark):
     out = tempfile.mkdtemp(prefix="scorecast-test-")
     written = reports.run("benchmark", cat, out, district_id=8, cfg=CFG)
     assert "Gender" in written and "Standards by Program" in written
+    # district 8 is in region 3: not the binding's PARCC state, so the
+    # state-test sheet is named after the other test
+    assert "PSSA" in written and "Form_B_Data_2017_18" in written["Gender"]
     for name, path in written.items():
         ids = {r.DistrictID for r in spark.read.parquet(path).select("DistrictID").distinct().collect()}
         assert ids <= {8}, name
