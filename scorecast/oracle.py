@@ -361,6 +361,10 @@ SELECT DistrictID, TestName, School, ClassID, ClassName, ClusterName,
        WHEN Score = 1 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY {keys}), 0.0) END AS NUM,
   CASE WHEN {null_key} THEN NULL ELSE count(Score) OVER (PARTITION BY {keys}) END AS DIV
 FROM base"""
+    out["cluster_ratio_groups"] = out["cluster_ratio"].split("SELECT DistrictID, TestName, School, ClassID")[0] + f"""SELECT {keys},
+  coalesce(sum(CASE WHEN strpos(ClusterName, 'Scale Score') > 0 THEN Score WHEN Score = 1 THEN 1.0 ELSE 0.0 END), 0.0) AS NUM,
+  count(Score) AS DIV
+FROM base WHERE NOT ({null_key}) GROUP BY {keys}"""
 
     out["student_gender"] = with_tables(["Student", "Gender"]) + """SELECT s.DistrictID, s.StudentID, g.Name AS Gender
 FROM Student s JOIN Gender g ON g.GenderID = s.GenderID"""

@@ -213,7 +213,8 @@ def state_scores(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) ->
                      F.col("AchievementLevel").alias("ProfLevel"))
 
 
-def cluster_ratio(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def cluster_ratio(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT,
+                  per_row_output: bool = True) -> DataFrame:
     """Sub-score clusters of PARCC results with the cluster's numerator and
     denominator repeated on each row of its (test, school, cluster) group.
 
@@ -244,9 +245,16 @@ def cluster_ratio(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -
     score = F.col("Score")
     per_row = F.when(F.col("ClusterName").contains("Scale Score"), score).otherwise(
         F.when(score == 1, F.lit(1.0)).otherwise(F.lit(0.0)))
-    df = write_back(df, ["DistrictID", "TestName", "School", "ClusterName"], [
-        F.coalesce(F.sum(per_row), F.lit(0.0)).alias("NUM"),
-        F.count(score).alias("DIV")])
+    keys = ["DistrictID", "TestName", "School", "ClusterName"]
+    aggs = [F.coalesce(F.sum(per_row), F.lit(0.0)).alias("NUM"), F.count(score).alias("DIV")]
+    if not per_row_output:
+        # One row per group (the de-duplicated variant); NULL keys excluded,
+        # as the original's grouping drops them.
+        no_null_key = F.col(keys[0]).isNotNull()
+        for k in keys[1:]:
+            no_null_key = no_null_key & F.col(k).isNotNull()
+        return df.where(no_null_key).groupBy(*keys).agg(*aggs)
+    df = write_back(df, keys, aggs)
     return df.select("DistrictID", "TestName", "School", "ClassID", "ClassName", "ClusterName", "NUM", "DIV")
 
 

@@ -74,6 +74,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "standards_by_race": _q(extracts.standards_by_demographic, None, CFG, ("Race",)),
         "standards_by_program": _q(extracts.standards_by_demographic, None, CFG, ("Program",)),
         "cluster_ratio": _q(extracts.cluster_ratio, None, CFG),
+        "cluster_ratio_groups": _q(extracts.cluster_ratio, None, CFG, False),
         "status_roster": _q(status.status_roster, None, CFG),
         "status_matrix": _q(status.status_matrix, None, STATUS_FORM, CFG),
     }
