@@ -1,8 +1,9 @@
 """Join helpers.
 
 Broadcast policy: an explicit ``broadcast()`` hint is only put on tables
-whose size is bounded *by construction* -- built from a config list or the
-3-row period table, where the row count is known when the plan is built.
+whose size is bounded *by construction*: the 3-row period table, totals
+grouped by period (at most 3 rows) and per-(period, day) counts (at most
+3 x 15 rows) -- row counts known when the plan is built.
 Every catalog table (students, tests, schools, even districts) is joined
 without a hint: Catalyst broadcasts it only when its size estimate (from
 Parquet file sizes) is under ``spark.sql.autoBroadcastJoinThreshold``,
@@ -12,20 +13,7 @@ runtime and splits skewed partitions (``spark.sql.adaptive.skewJoin``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Upper bound on rows of a config-built table that may be broadcast.
-MAX_LITERAL_ROWS = 10_000
-
-
-def literal_table(spark: SparkSession, rows: list, schema: T.StructType | str) -> DataFrame:
-    """A small table built from config values, hinted for broadcast.  Its
-    row count is known here, so the hint is checked, not assumed."""
-    if len(rows) > MAX_LITERAL_ROWS:
-        raise ValueError(f"config table of {len(rows)} rows is too large to broadcast")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+from pyspark.sql import DataFrame
 
 
 def exists_in(left: DataFrame, right: DataFrame, on) -> DataFrame:
