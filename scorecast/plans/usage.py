@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, ReportConfig
 from ..functions.dates import day_text, hour_label, iso_day, period_table
 from ..functions.predicates import any_not_null, not_in
-from ..operators.aggregates import count_where, period_totals, share_of_total, with_total_row
+from ..operators.aggregates import count_where, share_of_total, with_total_row
 from ..operators.periods import assign_periods, densify_days, period_change
 from ..sources.catalog import Catalog
 
@@ -55,12 +55,16 @@ def _scored(df: DataFrame) -> DataFrame:
     return df.where(any_not_null("BubbleSheetID", "QTIOnlineTestSessionID"))
 
 
+def _client_kept(cfg: ReportConfig):
+    """Row survives the named-client exclusions: ids, group ids (a NULL
+    group fails, as with SQL ``NOT IN``) and a name pattern."""
+    return (not_in("DistrictID", cfg.usage_excluded_district_ids)
+            & not_in("DistrictGroupID", cfg.usage_excluded_group_ids)
+            & ~F.col("District").ilike(cfg.frog_street_pattern))
+
+
 def _excluding_clients(df: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """Drop named clients: ids, group ids (a NULL group is dropped too, as
-    with SQL ``NOT IN``) and a name pattern."""
-    return df.where(not_in("DistrictID", cfg.usage_excluded_district_ids)
-                    & not_in("DistrictGroupID", cfg.usage_excluded_group_ids)
-                    & ~F.col("District").ilike(cfg.frog_street_pattern))
+    return df.where(_client_kept(cfg))
 
 
 def _result_counts(df: DataFrame, keys: list) -> DataFrame:
@@ -87,15 +91,34 @@ def results_by_date(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT,
     return df.orderBy("period_ord", "day").select("period", "Date", *RESULT_MEASURES)
 
 
+def _section_totals(cat: Catalog, as_of: dt.date, cfg: ReportConfig) -> DataFrame:
+    """Period totals of both by-date tables (all clients, excluding named
+    clients) from ONE pass over the weekly results: the exclusion is a
+    condition inside the counts, not a second scan.  Every period gets a
+    row, zeros when it is empty."""
+    periods = periods_for(cat, as_of, cfg)
+    base = _scored(_results(cat, periods, cfg))
+    kept = F.coalesce(_client_kept(cfg), F.lit(False)) & F.col("TestResultID").isNotNull()
+    qti, bub = F.col("QTIOnlineTestSessionID").isNotNull(), F.col("BubbleSheetID").isNotNull()
+    sums = base.groupBy("period").agg(
+        F.count("TestResultID").alias("all_Total"), count_where(qti, "all_OnlineTests"),
+        count_where(bub, "all_BubbleSheets"), count_where(kept, "excluding_clients_Total"),
+        count_where(kept & qti, "excluding_clients_OnlineTests"),
+        count_where(kept & bub, "excluding_clients_BubbleSheets"))
+    # at most one row per period: the bounded (broadcast) side of a right
+    # join that keeps every period
+    t = F.broadcast(sums).join(periods.select("period", "period_ord"), "period", "right")
+    sections = [F.struct(F.lit(sec).alias("section"),
+                         *[F.coalesce(F.col(f"{sec}_{m}"), F.lit(0)).cast("bigint").alias(m)
+                           for m in RESULT_MEASURES])
+                for sec in ("all", "excluding_clients")]
+    return t.select("period", "period_ord", F.inline(F.array(*sections)))
+
+
 def results_by_date_total(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """The total row under each by-date table, for both the all-clients and
     the excluding-clients table; an empty period gives a row of zeros."""
-    periods = periods_for(cat, as_of, cfg)
-    out = None
-    for section, excl in (("all", False), ("excluding_clients", True)):
-        t = period_totals(_by_date(cat, as_of, cfg, excl, periods), periods, RESULT_MEASURES)
-        t = t.withColumn("section", F.lit(section))
-        out = t if out is None else out.unionByName(t)
+    out = _section_totals(cat, as_of, cfg)
     return out.orderBy("section", "period_ord").select("section", "period", *RESULT_MEASURES)
 
 
@@ -115,12 +138,7 @@ def results_by_date_wide(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAU
 
 def period_change_report(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Weekly and yearly change of the period totals of both by-date tables."""
-    periods = periods_for(cat, as_of, cfg)
-    out = None
-    for section, excl in (("all", False), ("excluding_clients", True)):
-        t = period_totals(_by_date(cat, as_of, cfg, excl, periods), periods, RESULT_MEASURES)
-        t = t.withColumn("section", F.lit(section))
-        out = t if out is None else out.unionByName(t)
+    out = _section_totals(cat, as_of, cfg)
     return period_change(out, ["section"], RESULT_MEASURES, cfg.period_labels).orderBy("section", "measure")
 
 
