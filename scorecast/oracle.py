@@ -106,15 +106,14 @@ def usage_sql(cfg: ReportConfig, as_of) -> dict[str, str]:
 FROM ({_by_date_sql(cfg, False)}) x"""
     out["usage_results_by_date_excl"] = head + f"""SELECT period, strftime(day, '%m/%d/%Y') AS Date, Total, OnlineTests, BubbleSheets
 FROM ({_by_date_sql(cfg, True)}) x"""
-    totals = f"""SELECT sec.section, p.period, p.period_ord,
+    def section_totals(section, excl):
+        return f"""SELECT '{section}' AS section, p.period, p.period_ord,
   CAST(coalesce(sum(x.Total), 0) AS BIGINT) AS Total,
   CAST(coalesce(sum(x.OnlineTests), 0) AS BIGINT) AS OnlineTests,
   CAST(coalesce(sum(x.BubbleSheets), 0) AS BIGINT) AS BubbleSheets
-FROM periods p CROSS JOIN (VALUES ('all'), ('excluding_clients')) sec(section)
-LEFT JOIN (SELECT 'all' AS section, * FROM ({_by_date_sql(cfg, False)}) a
-           UNION ALL SELECT 'excluding_clients' AS section, * FROM ({_by_date_sql(cfg, True)}) b) x
-  ON x.period = p.period AND x.section = sec.section
-GROUP BY sec.section, p.period, p.period_ord"""
+FROM periods p LEFT JOIN ({_by_date_sql(cfg, excl)}) x ON x.period = p.period
+GROUP BY p.period, p.period_ord"""
+    totals = section_totals("all", False) + "\nUNION ALL\n" + section_totals("excluding_clients", True)
     out["usage_results_by_date_total"] = head + f"SELECT section, period, Total, OnlineTests, BubbleSheets FROM ({totals}) t"
     lab = cfg.period_labels
     measures = ["Total", "OnlineTests", "BubbleSheets"]

@@ -14,6 +14,12 @@ and pushes filters into the Parquet scan), and the DuckDB oracle turns the
 same text into CTEs.  Several Selects are unioned (bridge tables with
 fan-out).
 
+No row of any driver table is dropped: the main projection of every table
+has no filter, modulo expressions only derive foreign keys (e.g. the test of
+a result), and the few ``where`` clauses only *add* second rows to bridge
+tables (a student in two classes, a question under two standards, a result
+in two programs).
+
 Mapping (fact tables stay facts, small tables become dimensions):
 
 * TestResult, TestResultScore <- orders (one result per order)
