@@ -147,6 +147,8 @@ class ReportConfig:
     benchmark_extract_name: str = BENCHMARK_EXTRACT_NAME
     parcc_extract_name: str = PARCC_EXTRACT_NAME
     status_report_name: str = STATUS_REPORT_NAME
+    # Hot-group handling: salt buckets of group write-backs (1 = off).
+    write_back_salt_buckets: int = 16
     # Q1: on Saturday/Sunday the original "this week" spans 14 days.
     # strict_week=True keeps every week at 7 days instead.
     strict_week: bool = False

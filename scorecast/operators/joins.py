@@ -14,6 +14,7 @@ runtime and splits skewed partitions (``spark.sql.adaptive.skewJoin``).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def exists_in(left: DataFrame, right: DataFrame, on) -> DataFrame:
@@ -23,16 +24,25 @@ def exists_in(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_semi")
 
 
-def write_back(df: DataFrame, keys: list[str], aggs: list) -> DataFrame:
+def write_back(df: DataFrame, keys: list[str], aggs: list, salt_buckets: int = 0) -> DataFrame:
     """Attach a group aggregate to every member row (``agg ... OVER
     (PARTITION BY keys)``), computed as group-by + join back.
 
-    A window would move every row of a group into one task; a hot group
-    (a third of the rows) would then run on one executor.  The group-by
-    combines map-side first, and the join back is a plain equi-join that
-    AQE can split when one key is hot.  Rows with a NULL key get NULL
-    aggregates, since NULL never equals NULL (pandas ``groupby`` drops
-    NULL keys the same way).
+    A window would move every row of a group into one task.  The group-by
+    combines map-side first, so a hot group (a third of all rows) costs the
+    same as any other.  The join back, however, cannot be split by AQE's
+    skew handling: its aggregate side reuses the aggregation's own shuffle,
+    so the join is not between two plain shuffle stages.  ``salt_buckets``
+    (N > 1) therefore salts it: each detail row draws a salt in [0, N), the
+    one-row-per-group aggregate is replicated N times (one per salt), and the
+    join is on (keys, salt) -- a hot group is spread over N tasks.  All
+    replicas carry the same values, so the result does not depend on which
+    salt a row draws.  Rows with a NULL key get NULL aggregates, since NULL
+    never equals NULL (pandas ``groupby`` drops NULL keys the same way).
     """
     agg = df.groupBy(*keys).agg(*aggs)
-    return df.join(agg, keys, "left")
+    if salt_buckets <= 1:
+        return df.join(agg, keys, "left")
+    salted = df.withColumn("_salt", (F.rand(7) * salt_buckets).cast("int"))
+    replicas = agg.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return salted.join(replicas, [*keys, "_salt"], "left").drop("_salt")

@@ -254,7 +254,7 @@ def cluster_ratio(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT,
         for k in keys[1:]:
             no_null_key = no_null_key & F.col(k).isNotNull()
         return df.where(no_null_key).groupBy(*keys).agg(*aggs)
-    df = write_back(df, keys, aggs)
+    df = write_back(df, keys, aggs, cfg.write_back_salt_buckets)
     return df.select("DistrictID", "TestName", "School", "ClassID", "ClassName", "ClusterName", "NUM", "DIV")
 
 

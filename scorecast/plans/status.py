@@ -15,6 +15,11 @@ ROSTER_COLUMNS = ["School", "LastName", "FirstName", "MiddleName", "Code", "Grad
 
 
 def status_roster(cat, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """The roster, sorted by school, grade, name and code."""
+    return _roster(cat, district_id, cfg).orderBy("DistrictID", "School", "Grade", "LastName", "FirstName", "Code")
+
+
+def _roster(cat, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Distinct students enrolled in a class of an active term that has a
     teacher (with a user and a level-of-engagement record), with their
     current grade (left join: the grade may be missing).
@@ -33,8 +38,7 @@ def status_roster(cat, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFra
     g = cat["Grade"].select(F.col("GradeID").alias("CurrentGradeID"), F.col("Name").alias("Grade"))
     df = (cls.join(sch, "SchoolID").join(cat["ClassStudent"].select("ClassID", "StudentID"), "ClassID")
           .join(s, "StudentID").join(g, "CurrentGradeID", "left"))
-    return (df.select("DistrictID", *ROSTER_COLUMNS).distinct()
-            .orderBy("DistrictID", "School", "Grade", "LastName", "FirstName", "Code"))
+    return df.select("DistrictID", *ROSTER_COLUMNS).distinct()
 
 
 def status_matrix(cat, district_id=None, form: str = "A", cfg: ReportConfig = DEFAULT) -> DataFrame:
@@ -52,8 +56,14 @@ def status_matrix(cat, district_id=None, form: str = "A", cfg: ReportConfig = DE
     f = form_letter("TestName", True, cfg)
     flags = scores.groupBy(F.col("TermDistrictID").alias("DistrictID"), F.col("StudentCode").alias("Code")).agg(
         *[F.max((F.col("Subject") == subject) & (f == form)).alias(f"_{col}") for col, subject in cfg.status_subjects])
-    roster = status_roster(cat, district_id, cfg)
-    out = roster.join(flags, ["DistrictID", "Code"], "left")
+    roster = _roster(cat, district_id, cfg)
+    # A NULL code never matches; those rows skip the join instead of all
+    # hashing into one task of it.
+    flag_cols = [f"_{col}" for col, _ in cfg.status_subjects]
+    no_code = roster.where(F.col("Code").isNull()).select(
+        "*", *[F.lit(None).cast("boolean").alias(c) for c in flag_cols])
+    out = roster.where(F.col("Code").isNotNull()).join(flags, ["DistrictID", "Code"], "left")
+    out = out.unionByName(no_code)
     for col, _ in cfg.status_subjects:
         out = out.withColumn(col, F.when(F.col(f"_{col}"), F.lit("Yes")).otherwise(F.lit("No")))
     return (out.select("DistrictID", *ROSTER_COLUMNS, *[c for c, _ in cfg.status_subjects])
