@@ -166,9 +166,10 @@ def local_benchmark_detail(cat: Catalog, district_id=None, cfg: ReportConfig = D
         school_year("TermName", "UpdatedDate", cfg).alias("DistrictTerm"),
         "TestName", "Subject", "Grade", form_letter("TestName", True, cfg).alias("Form"),
         *DETAIL_COLUMNS[6:])
-    # Newest first.  TestResultID breaks ties, so the range partitioning of
-    # the sort can split a date that holds a large share of the rows.
-    return df.orderBy(F.desc("UpdatedDate"), "TestResultID").select("DistrictID", *DETAIL_COLUMNS)
+    # Per district, newest first.  TestResultID breaks ties, so the range
+    # partitioning of the sort can split a district or a date that holds a
+    # large share of the rows.
+    return df.orderBy("DistrictID", F.desc("UpdatedDate"), "TestResultID").select("DistrictID", *DETAIL_COLUMNS)
 
 
 # ---------------------------------------------------------- state test -----

@@ -48,3 +48,14 @@ def test_all_district_extract_is_partitioned_by_district(spark):
     import os
     parts = os.listdir(written["Score"])
     assert any(p.startswith("DistrictID=") for p in parts)
+
+
+def test_command_line(spark, capsys):
+    import json
+    from scorecast.__main__ import main
+    out = tempfile.mkdtemp(prefix="scorecast-cli-")
+    main(["parcc", "--binding", SF_SMALL, "--out", out, "--district", "8", "--format", "csv"])
+    written = json.loads(capsys.readouterr().out)
+    assert set(written) == {"Score", "Cluster", "Gender", "Race", "Program"}
+    df = spark.read.option("header", True).csv(written["Gender"])
+    assert "StudentID" in df.columns
