@@ -20,6 +20,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from . import binding
+from .schema import conform
 
 
 class Catalog:
@@ -40,13 +41,18 @@ class Catalog:
 
 
 class ParquetCatalog(Catalog):
-    def __init__(self, spark, root: str, suffix: str = ""):
+    """``typed=True`` casts the declared columns to their logical types
+    (``schema.conform``); off by default since Parquet keeps types."""
+
+    def __init__(self, spark, root: str, suffix: str = "", typed: bool = False):
         super().__init__(spark)
         self.root = root
         self.suffix = suffix
+        self.typed = typed
 
     def _load(self, name):
-        return self.spark.read.parquet(os.path.join(self.root, name + self.suffix))
+        df = self.spark.read.parquet(os.path.join(self.root, name + self.suffix))
+        return conform(df, name) if self.typed else df
 
 
 class JdbcCatalog(Catalog):
@@ -55,11 +61,12 @@ class JdbcCatalog(Catalog):
     read by many tasks in parallel instead of one connection."""
 
     def __init__(self, spark, url: str, properties: dict | None = None,
-                 partitioning: dict | None = None):
+                 partitioning: dict | None = None, typed: bool = True):
         super().__init__(spark)
         self.url = url
         self.properties = dict(properties or {})
         self.partitioning = dict(partitioning or {})
+        self.typed = typed
 
     def _load(self, name):
         reader = self.spark.read.format("jdbc").option("url", self.url).option("dbtable", name)
@@ -69,7 +76,8 @@ class JdbcCatalog(Catalog):
             col, lo, hi, n = self.partitioning[name]
             reader = (reader.option("partitionColumn", col).option("lowerBound", lo)
                       .option("upperBound", hi).option("numPartitions", n))
-        return reader.load()
+        df = reader.load()
+        return conform(df, name) if self.typed else df
 
 
 class BindingCatalog(Catalog):

@@ -61,3 +61,21 @@ def check_catalog(cat, tables=None) -> dict[str, list[str]]:
         if lost:
             missing[t] = lost
     return missing
+
+
+def conform(df, table: str):
+    """Cast the declared columns of ``table`` to their logical types (e.g.
+    a JDBC ``datetime`` that arrives as a zoned timestamp becomes
+    ``timestamp_ntz``); other columns pass through unchanged."""
+    if table not in SCHEMAS:
+        return df
+    declared = {}
+    for part in SCHEMAS[table].split(","):
+        name, typ = part.strip().split(" ", 1)
+        declared[name] = typ.strip()
+    have = dict(df.dtypes)
+    cols = []
+    for c in df.columns:
+        t = declared.get(c)
+        cols.append(df[c].cast(t).alias(c) if t and have[c] != t else df[c])
+    return df.select(*cols)
