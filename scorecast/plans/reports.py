@@ -51,8 +51,8 @@ def usage_catalog(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT,
     tr = _period_cut(cat["TestResult"], ["UpdatedDate"], rows)
     qs = _period_cut(cat["QTIOnlineTestSession"], ["StartDate", "LastLoginDate"], rows)
     if materialize_cuts:
-        tr = materialize(cat.spark, tr, "usage-results")
-        qs = materialize(cat.spark, qs, "usage-sessions")
+        tr = materialize(cat.spark, tr)
+        qs = materialize(cat.spark, qs)
     return OverlayCatalog(cat, {"TestResult": tr, "QTIOnlineTestSession": qs})
 
 

@@ -24,6 +24,8 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.sql.parquet.filterPushdown": "true",
+    # Checkpoint files are removed once their DataFrame is unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

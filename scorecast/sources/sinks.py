@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import os
 import re
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,12 +54,14 @@ def write_report(sheets: dict[str, DataFrame], out: str, fmt: str = "parquet", m
     return written
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it back.
+def materialize(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder
+    (``spark.checkpoint.dir``) and return a DataFrame that reads it.
 
     Cuts the lineage of a table several report sections read: each section
-    starts from the written files (on storage every executor reaches), so a
-    lost executor never forces the upstream scan and joins to re-run."""
-    path = os.path.join(checkpoint_dir(spark), "scorecast", f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    starts from the checkpointed files (on storage every executor reaches),
+    so a lost executor never forces the upstream scan and joins to re-run.
+    With ``spark.cleaner.referenceTracking.cleanCheckpoints`` the files go
+    away once the DataFrame is no longer referenced."""
+    checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
