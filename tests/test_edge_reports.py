@@ -167,3 +167,13 @@ def test_district_mode_equals_filtered_all_districts(spark):
     one = {tuple(r) for r in status.status_roster(cat, 8, DEFAULT).collect()}
     alld = {tuple(r) for r in status.status_roster(cat, None, DEFAULT).where("DistrictID = 8").collect()}
     assert one == alld
+
+
+def test_null_district_name_dropped_by_not_like(spark):
+    tables = dict(BASE)
+    tables["District"] = BASE["District"] + [(9, None, 1, 113)]
+    tables["Student"] = BASE["Student"] + [(103, "S103", 9, "Di", None, "Fox", 1, 1, 1)]
+    res = [result(1, 103, 10, T(2018, 3, 5, 9)), result(2, 102, 10, T(2018, 3, 5, 9))]
+    cat = catalog(spark, TestResult=res, **tables)
+    rows = usage.results_by_client(cat, AS_OF, DEFAULT).collect()
+    assert [(r.District, r.TotalResults) for r in rows] == [("Plain", 1)]
