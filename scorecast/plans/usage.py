@@ -2,10 +2,10 @@
 the same week last year.
 
 The original runs nine queries once per period (27 round trips).  Here every
-section is one plan: the fact is cut to the overall period bounds (a literal
-filter pushed into the scan), tagged with its period(s) by a broadcast range
-join against the 3-row period table, joined to its dimensions and grouped by
-``period`` plus the section's keys.  Output is long form (a ``period``
+section is one plan: the fact is cut to the three report weeks (a literal
+OR of three ranges pushed into the scan), tagged with its period(s) by a
+broadcast range join against the 3-row period table, joined to its
+dimensions and grouped by ``period`` plus the section's keys.  Output is long form (a ``period``
 column) -- ``results_by_date_wide`` gives the side-by-side layout.
 """
 
@@ -213,9 +213,6 @@ def _sessions(cat: Catalog, ts_col: str, periods: DataFrame, cfg: ReportConfig)
     return q.join(s, "StudentID").join(_districts(cat, cfg), "DistrictID")
 
 
-SESSION_MEASURES_PREFIX = ["TotalOnlineTests"]
-
-
 def sessions_by_date(cat: Catalog, as_of: dt.date, ts_col: str = "StartDate",
                      cfg: ReportConfig = DEFAULT) -> DataFrame:
     """Online sessions per day (by start or by last login) and status."""
