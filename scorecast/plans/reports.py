@@ -15,60 +15,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ReportConfig, validate_district_id, validate_form
-from ..functions.dates import period_table, ts_literal
+from ..functions.dates import period_table
 from ..sources.catalog import Catalog
 from ..sources.sinks import materialize, report_path, write_report
 from . import extracts, status, usage
 
 
-class OverlayCatalog(Catalog):
-    """A catalog with some tables replaced (e.g. by materialized cuts)."""
-
-    def __init__(self, base: Catalog, overrides: dict[str, DataFrame]):
-        super().__init__(base.spark)
-        self.base = base
-        self._cache.update(overrides)
-
-    def _load(self, name):
-        return self.base.table(name)
-
-
-def _period_cut(df: DataFrame, cols, rows) -> DataFrame:
-    cond = None
-    for c in cols:
-        for _, _, s, e in rows:
-            x = (F.col(c) > ts_literal(s)) & (F.col(c) < ts_literal(e))
-            cond = x if cond is None else cond | x
-    return df.where(cond)
-
-
-def usage_catalog(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT,
-                  materialize_cuts: bool = True) -> Catalog:
-    """The report weeks of the two fact tables, written once: all nine
-    sections (27 tables in the original) then read these small cuts instead
-    of the full facts."""
-    rows = usage.periods_for(cat, as_of, cfg)._report_periods
-    tr = _period_cut(cat["TestResult"], ["UpdatedDate"], rows)
-    qs = _period_cut(cat["QTIOnlineTestSession"], ["StartDate", "LastLoginDate"], rows)
-    if materialize_cuts:
-        tr = materialize(cat.spark, tr)
-        qs = materialize(cat.spark, qs)
-    return OverlayCatalog(cat, {"TestResult": tr, "QTIOnlineTestSession": qs})
-
-
-def usage_report(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> dict[str, DataFrame]:
+def usage_report(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT,
+                 share: bool = False) -> dict[str, DataFrame]:
+    """All sections of the weekly usage report.  They share one
+    ``WeeklyUsage``: with ``share`` its period-tagged bases (results and
+    sessions already joined to their dimensions) are checkpointed once and
+    every section aggregates them."""
+    u = usage.WeeklyUsage(cat, as_of, cfg, share=share)
     return {
-        "# of Results by Date": usage.results_by_date(cat, as_of, cfg),
-        "# of Results by Date (excluding clients)": usage.results_by_date(cat, as_of, cfg, exclude_clients=True),
-        "# of Results by Date totals": usage.results_by_date_total(cat, as_of, cfg),
-        "# of Results by Date change": usage.period_change_report(cat, as_of, cfg),
-        "# of Results by Client": usage.results_by_client(cat, as_of, cfg),
-        "# of LinkIt Benchmarks": usage.benchmarks_by_client(cat, as_of, cfg),
-        "# of Online by Start Date": usage.sessions_by_date(cat, as_of, "StartDate", cfg),
-        "# of Online by Last Login Date": usage.sessions_by_date(cat, as_of, "LastLoginDate", cfg),
-        "# of Online by Hour": usage.sessions_by_hour(cat, as_of, cfg),
-        "# of Data Locker by Date": usage.entry_by_date(cat, as_of, cfg),
-        "# of Data Locker by Client": usage.entry_by_client(cat, as_of, cfg),
+        "# of Results by Date": u.results_by_date(),
+        "# of Results by Date (excluding clients)": u.results_by_date(exclude_clients=True),
+        "# of Results by Date totals": u.results_by_date_total(),
+        "# of Results by Date change": u.period_change(),
+        "# of Results by Client": u.results_by_client(),
+        "# of LinkIt Benchmarks": u.benchmarks_by_client(),
+        "# of Online by Start Date": u.sessions_by_date("StartDate"),
+        "# of Online by Last Login Date": u.sessions_by_date("LastLoginDate"),
+        "# of Online by Hour": u.sessions_by_hour(),
+        "# of Data Locker by Date": u.entry_by_date(),
+        "# of Data Locker by Client": u.entry_by_client(),
     }
 
 
@@ -143,7 +114,7 @@ def run(kind: str, cat: Catalog, out_root: str, *, district_id=None, as_of: dt.d
         as_of = as_of or dt.date.today()
         end = period_table(cat.spark, as_of, cfg)._report_periods[0][3]
         out = report_path(out_root, cfg.usage_report_name, end=end)
-        return write_report(usage_report(usage_catalog(cat, as_of, cfg), as_of, cfg), out, fmt)
+        return write_report(usage_report(cat, as_of, cfg, share=True), out, fmt)
     name = "All Districts" if district_id is None else district_name(cat, district_id)
 
     def by_district(sheets):  # all-districts output: one folder per district

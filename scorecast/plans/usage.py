@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ReportConfig
-from ..functions.dates import day_text, hour_label, iso_day, period_table
+from ..functions.dates import day_text, hour_label, iso_day, period_table, with_periods
 from ..functions.predicates import any_not_null, not_in
 from ..operators.aggregates import count_where, share_of_total, with_total_row
 from ..operators.periods import assign_periods, densify_days, period_change
@@ -36,25 +36,6 @@ def _districts(cat: Catalog, cfg: ReportConfig) -> DataFrame:
     return d.where(~F.col("District").ilike(cfg.demo_district_pattern))
 
 
-def _results(cat: Catalog, periods: DataFrame, cfg: ReportConfig) -> DataFrame:
-    """TestResult x VirtualTest x Student x District x State, tagged with
-    the period(s) its UpdatedDate falls in; demo districts removed."""
-    tr = cat["TestResult"].select("TestResultID", "VirtualTestID", "StudentID", "UpdatedDate",
-                                  "QTIOnlineTestSessionID", "BubbleSheetID")
-    tr = assign_periods(tr, "UpdatedDate", periods)
-    vt = cat["VirtualTest"].select("VirtualTestID", F.col("Name").alias("TestName"),
-                                   "VirtualTestSourceID", "VirtualTestType")
-    s = cat["Student"].select("StudentID", "DistrictID")
-    st = cat["State"].select("StateID", F.col("Name").alias("State"))
-    return (tr.join(vt, "VirtualTestID").join(s, "StudentID")
-            .join(_districts(cat, cfg), "DistrictID").join(st, "StateID"))
-
-
-def _scored(df: DataFrame) -> DataFrame:
-    """Online or bubble-sheet results only."""
-    return df.where(any_not_null("BubbleSheetID", "QTIOnlineTestSessionID"))
-
-
 def _client_kept(cfg: ReportConfig):
     """Row survives the named-client exclusions: ids, group ids (a NULL
     group fails, as with SQL ``NOT IN``) and a name pattern."""
@@ -63,195 +44,272 @@ def _client_kept(cfg: ReportConfig):
             & ~F.col("District").ilike(cfg.frog_street_pattern))
 
 
-def _excluding_clients(df: DataFrame, cfg: ReportConfig) -> DataFrame:
-    return df.where(_client_kept(cfg))
-
-
-def _result_counts(df: DataFrame, keys: list) -> DataFrame:
-    return df.groupBy("period", "period_ord", *keys).agg(
-        F.count("TestResultID").alias("Total"),
-        count_where(F.col("QTIOnlineTestSessionID").isNotNull(), "OnlineTests"),
-        count_where(F.col("BubbleSheetID").isNotNull(), "BubbleSheets"))
-
-
-def _by_date(cat, as_of, cfg, exclude_clients: bool, periods=None) -> DataFrame:
-    periods = periods if periods is not None else periods_for(cat, as_of, cfg)
-    base = _scored(_results(cat, periods, cfg))
-    if exclude_clients:
-        base = _excluding_clients(base, cfg)
-    base = base.withColumn("day", F.to_date("UpdatedDate"))
-    return _result_counts(base, ["day"]).withColumn("Date", day_text("day"))
-
+class WeeklyUsage:
+    """All sections of the weekly usage report for one report date.
+
+    Two period-tagged bases feed every section: results (TestResult x
+    VirtualTest x Student x District x State) and online sessions
+    (per timestamp column, x Student x District).  Each is built once per
+    instance; with ``share=True`` (the report runner) each base is also
+    checkpointed into the shared folder, so the dimension joins -- the
+    student join is a shuffle join at scale -- run once for all sections
+    instead of once per section."""
+
+    def __init__(self, cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT, share: bool = False):
+        self.cat, self.as_of, self.cfg, self.share = cat, as_of, cfg, share
+        self.periods = periods_for(cat, as_of, cfg)
+        self._results = None
+        self._sessions: dict[str, DataFrame] = {}
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        if not self.share:
+            return df
+        from ..sources.sinks import materialize
+        return materialize(self.cat.spark, df)
+
+    # ------------------------------------------------------------ bases ----
+
+    def results(self) -> DataFrame:
+        """Results tagged with the period(s) their UpdatedDate falls in,
+        with test, district and state; demo districts removed."""
+        if self._results is None:
+            cat, cfg = self.cat, self.cfg
+            tr = cat["TestResult"].select("TestResultID", "VirtualTestID", "StudentID", "UpdatedDate",
+                                          "QTIOnlineTestSessionID", "BubbleSheetID")
+            tr = assign_periods(tr, "UpdatedDate", self.periods)
+            vt = cat["VirtualTest"].select("VirtualTestID", F.col("Name").alias("TestName"),
+                                           "VirtualTestSourceID", "VirtualTestType")
+            s = cat["Student"].select("StudentID", "DistrictID")
+            st = cat["State"].select("StateID", F.col("Name").alias("State"))
+            self._results = self._keep(
+                tr.join(vt, "VirtualTestID").join(s, "StudentID")
+                .join(_districts(cat, cfg), "DistrictID").join(st, "StateID"))
+        return self._results
+
+    def sessions(self, ts_col: str) -> DataFrame:
+        """Online sessions tagged by the period of ``ts_col``, with district."""
+        if ts_col not in self._sessions:
+            cat = self.cat
+            q = cat["QTIOnlineTestSession"].select("StudentID", ts_col, "StatusID")
+            q = assign_periods(q, ts_col, self.periods)
+            s = cat["Student"].select("StudentID", "DistrictID")
+            self._sessions[ts_col] = self._keep(
+                q.join(s, "StudentID").join(_districts(cat, self.cfg), "DistrictID"))
+        return self._sessions[ts_col]
+
+    def scored(self) -> DataFrame:
+        """Online or bubble-sheet results only."""
+        return self.results().where(any_not_null("BubbleSheetID", "QTIOnlineTestSessionID"))
+
+    def entries(self) -> DataFrame:
+        """Data-entry results (configured test source and types)."""
+        cfg = self.cfg
+        return self.results().where((F.col("VirtualTestSourceID") == cfg.data_entry_source_id)
+                                    & F.col("VirtualTestType").isin(list(cfg.data_entry_test_types)))
+
+    # ---------------------------------------------------------- by date ----
+
+    def by_date(self, exclude_clients: bool = False) -> DataFrame:
+        base = self.scored()
+        if exclude_clients:
+            base = base.where(_client_kept(self.cfg))
+        base = base.withColumn("day", F.to_date("UpdatedDate"))
+        return (base.groupBy("period", "period_ord", "day").agg(
+            F.count("TestResultID").alias("Total"),
+            count_where(F.col("QTIOnlineTestSessionID").isNotNull(), "OnlineTests"),
+            count_where(F.col("BubbleSheetID").isNotNull(), "BubbleSheets"))
+            .withColumn("Date", day_text("day")))
+
+    def results_by_date(self, exclude_clients: bool = False) -> DataFrame:
+        """Results per day: total, online, bubble sheet.  Days sort by date
+        (the original sorted the ``MM/dd/yyyy`` text, wrong across a year
+        end)."""
+        return (self.by_date(exclude_clients).orderBy("period_ord", "day")
+                .select("period", "Date", *RESULT_MEASURES))
+
+    def section_totals(self) -> DataFrame:
+        """Period totals of both by-date tables (all clients, excluding
+        named clients) from ONE pass over the weekly results: the exclusion
+        is a condition inside the counts, not a second scan.  Every period
+        gets a row, zeros when it is empty."""
+        kept = F.coalesce(_client_kept(self.cfg), F.lit(False)) & F.col("TestResultID").isNotNull()
+        qti, bub = F.col("QTIOnlineTestSessionID").isNotNull(), F.col("BubbleSheetID").isNotNull()
+        sums = self.scored().groupBy("period").agg(
+            F.count("TestResultID").alias("all_Total"), count_where(qti, "all_OnlineTests"),
+            count_where(bub, "all_BubbleSheets"), count_where(kept, "excluding_clients_Total"),
+            count_where(kept & qti, "excluding_clients_OnlineTests"),
+            count_where(kept & bub, "excluding_clients_BubbleSheets"))
+        # at most one row per period: the bounded (broadcast) side of a right
+        # join that keeps every period
+        t = F.broadcast(sums).join(self.periods.select("period", "period_ord"), "period", "right")
+        sections = [F.struct(F.lit(sec).alias("section"),
+                             *[F.coalesce(F.col(f"{sec}_{m}"), F.lit(0)).cast("bigint").alias(m)
+                               for m in RESULT_MEASURES])
+                    for sec in ("all", "excluding_clients")]
+        return t.select("period", "period_ord", F.inline(F.array(*sections)))
+
+    def results_by_date_total(self) -> DataFrame:
+        """The total row under each by-date table; an empty period gives a
+        row of zeros."""
+        return (self.section_totals().orderBy("section", "period_ord")
+                .select("section", "period", *RESULT_MEASURES))
+
+    def period_change(self) -> DataFrame:
+        """Weekly and yearly change of the period totals of both tables."""
+        return (period_change(self.section_totals(), ["section"], RESULT_MEASURES, self.cfg.period_labels)
+                .orderBy("section", "measure"))
+
+    def results_by_date_wide(self) -> DataFrame:
+        """Side-by-side layout: row ``n`` holds the n-th day of every period
+        (the original placed the three tables next to each other)."""
+        codes = {lab: lab.lower().replace(" ", "_") for lab in self.cfg.period_labels}
+        code = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv])[F.col("period")]
+        # At most 14 rows per period (one per day), so this window is bounded.
+        row = F.row_number().over(Window.partitionBy("period").orderBy("day"))
+        df = self.by_date().withColumn("period_code", code).withColumn("row", row)
+        wide = df.groupBy("row").pivot("period_code", list(codes.values())).agg(
+            F.max("Date").alias("Date"), *[F.max(m).alias(m) for m in RESULT_MEASURES])
+        return wide.orderBy("row")
+
+    def dense_daily_counts(self) -> DataFrame:
+        """Results per day with every calendar day of each period present
+        (start to end inclusive), missing days 0."""
+        counts = self.by_date().drop("period_ord", "Date")
+        return (densify_days(counts, self.periods, "day", RESULT_MEASURES)
+                .orderBy("period_ord", "day").select("period", iso_day("day").alias("day"), *RESULT_MEASURES))
+
+    # -------------------------------------------------------- by client ----
+
+    def by_client(self, benchmarks_only: bool = False) -> DataFrame:
+        base = self.scored()
+        if benchmarks_only:
+            base = base.where(F.col("TestName").ilike(self.cfg.usage_benchmark_include[0]))
+        return base.groupBy("period", "period_ord", "State", "District").agg(
+            F.count(F.lit(1)).alias("TotalResults"),
+            count_where(F.col("QTIOnlineTestSessionID").isNotNull(), "OnlineTests"),
+            count_where(F.col("BubbleSheetID").isNotNull(), "BubbleSheets"))
+
+    def results_by_client(self) -> DataFrame:
+        """Results per state and district with the district's share of the
+        period's results.  Sorted by count descending (ties by name)."""
+        df = share_of_total(self.by_client(), "TotalResults", ["period"], "share")
+        return (df.orderBy("period_ord", F.desc("TotalResults"), "State", "District")
+                .select("period", "State", "District", *CLIENT_MEASURES, "share"))
+
+    def benchmarks_by_client(self) -> DataFrame:
+        """Benchmark results per client with a ``Total`` row first in every
+        period (a zero row when the period is empty)."""
+        df = with_total_row(self.by_client(True), self.periods, {"State": "Total", "District": ""},
+                            CLIENT_MEASURES)
+        return (df.orderBy("period_ord", F.desc(F.col("row_kind") == "total"), F.desc("TotalResults"),
+                           "State", "District")
+                .select("period", "row_kind", "State", "District", *CLIENT_MEASURES))
+
+    # ------------------------------------------------------- data entry ----
+
+    def entry_by_date(self) -> DataFrame:
+        """Data-entry results per day, with the period total row."""
+        base = self.entries().withColumn("day", F.to_date("UpdatedDate"))
+        df = (base.groupBy("period", "period_ord", "day").agg(F.count("TestResultID").alias("Total"))
+              .withColumn("Date", day_text("day")))
+        df = with_total_row(df, self.periods, {"Date": "Total"}, ["Total"], carry=("day",))
+        return (df.orderBy("period_ord", F.col("row_kind") == "total", "day")
+                .select("period", "row_kind", "Date", "Total"))
+
+    def entry_by_client(self) -> DataFrame:
+        df = (self.entries().groupBy("period", "period_ord", "State", "District")
+              .agg(F.count("TestResultID").alias("Total")))
+        return (df.orderBy("period_ord", F.desc("Total"), "State", "District")
+                .select("period", "State", "District", "Total"))
+
+    # ---------------------------------------------------------- sessions ----
+
+    def sessions_by_date(self, ts_col: str = "StartDate") -> DataFrame:
+        """Online sessions per day (by start or by last login) and status."""
+        cfg = self.cfg
+        q = self.sessions(ts_col).withColumn("day", F.to_date(ts_col))
+        df = q.groupBy("period", "period_ord", "day").agg(
+            F.count(F.lit(1)).alias("TotalOnlineTests"),
+            *[count_where(F.col("StatusID") == code, name) for name, code in cfg.session_statuses])
+        label = "DateStarted" if ts_col == "StartDate" else "DateLastLogIn"
+        return (df.withColumn(label, day_text("day")).orderBy("period_ord", "day")
+                .select("period", label, "TotalOnlineTests", *[n for n, _ in cfg.session_statuses]))
+
+    def sessions_by_hour(self) -> DataFrame:
+        """Sessions per (shifted) login hour, split by client group, with
+        each group's share.  ``Others`` may go negative when groups
+        overlap."""
+        cfg = self.cfg
+        q = self.sessions("LastLoginDate").withColumn("Hour", hour_label("LastLoginDate", cfg.hour_shift_hours))
+        df = q.groupBy("period", "period_ord", "Hour").agg(
+            F.count(F.lit(1)).alias("NumberOfSessions"),
+            count_where(F.col("DistrictID") == cfg.a_beka_district_id, "ABeka"),
+            count_where(F.col("DistrictGroupID") == cfg.bec_group_id, "BEC"),
+            count_where(F.col("District").ilike(cfg.frog_street_pattern), "Frogstreet"))
+        n = F.col("NumberOfSessions").cast("double")
+        others = F.col("NumberOfSessions") - (F.col("ABeka") + F.col("BEC") + F.col("Frogstreet"))
+        df = df.select("*", others.alias("Others"))
+        pct = [F.try_divide(F.col(src).cast("double"), n).alias(dst)
+               for src, dst in (("ABeka", "pct_ABeka"), ("BEC", "pct_BEC"), ("Frogstreet", "pct_FrogStreet"),
+                                ("Others", "pct_Others"))]
+        return (df.select("*", *pct).orderBy("period_ord", F.desc("NumberOfSessions"), "Hour")
+                .select("period", "Hour", "NumberOfSessions", "ABeka", "BEC", "Frogstreet", "Others",
+                        "pct_ABeka", "pct_BEC", "pct_FrogStreet", "pct_Others"))
+
+
+# One function per section (each builds its own plan; the report runner uses
+# one shared WeeklyUsage instead).
 
 def results_by_date(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT,
                     exclude_clients: bool = False) -> DataFrame:
-    """Results per day: total, online, bubble sheet.  Days sort by date (the
-    original sorted the ``MM/dd/yyyy`` text, wrong across a year end)."""
-    df = _by_date(cat, as_of, cfg, exclude_clients)
-    return df.orderBy("period_ord", "day").select("period", "Date", *RESULT_MEASURES)
-
-
-def _section_totals(cat: Catalog, as_of: dt.date, cfg: ReportConfig) -> DataFrame:
-    """Period totals of both by-date tables (all clients, excluding named
-    clients) from ONE pass over the weekly results: the exclusion is a
-    condition inside the counts, not a second scan.  Every period gets a
-    row, zeros when it is empty."""
-    periods = periods_for(cat, as_of, cfg)
-    base = _scored(_results(cat, periods, cfg))
-    kept = F.coalesce(_client_kept(cfg), F.lit(False)) & F.col("TestResultID").isNotNull()
-    qti, bub = F.col("QTIOnlineTestSessionID").isNotNull(), F.col("BubbleSheetID").isNotNull()
-    sums = base.groupBy("period").agg(
-        F.count("TestResultID").alias("all_Total"), count_where(qti, "all_OnlineTests"),
-        count_where(bub, "all_BubbleSheets"), count_where(kept, "excluding_clients_Total"),
-        count_where(kept & qti, "excluding_clients_OnlineTests"),
-        count_where(kept & bub, "excluding_clients_BubbleSheets"))
-    # at most one row per period: the bounded (broadcast) side of a right
-    # join that keeps every period
-    t = F.broadcast(sums).join(periods.select("period", "period_ord"), "period", "right")
-    sections = [F.struct(F.lit(sec).alias("section"),
-                         *[F.coalesce(F.col(f"{sec}_{m}"), F.lit(0)).cast("bigint").alias(m)
-                           for m in RESULT_MEASURES])
-                for sec in ("all", "excluding_clients")]
-    return t.select("period", "period_ord", F.inline(F.array(*sections)))
+    return WeeklyUsage(cat, as_of, cfg).results_by_date(exclude_clients)
 
 
 def results_by_date_total(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
-    """The total row under each by-date table, for both the all-clients and
-    the excluding-clients table; an empty period gives a row of zeros."""
-    out = _section_totals(cat, as_of, cfg)
-    return out.orderBy("section", "period_ord").select("section", "period", *RESULT_MEASURES)
+    return WeeklyUsage(cat, as_of, cfg).results_by_date_total()
 
 
 def results_by_date_wide(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
-    """Side-by-side layout: row ``n`` holds the n-th day of every period
-    (the original placed the three tables next to each other)."""
-    df = _by_date(cat, as_of, cfg, False)
-    codes = {lab: lab.lower().replace(" ", "_") for lab in cfg.period_labels}
-    code = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv])[F.col("period")]
-    # At most 14 rows per period (one per day), so this window is bounded.
-    row = F.row_number().over(Window.partitionBy("period").orderBy("day"))
-    df = df.withColumn("period_code", code).withColumn("row", row)
-    wide = df.groupBy("row").pivot("period_code", list(codes.values())).agg(
-        F.max("Date").alias("Date"), *[F.max(m).alias(m) for m in RESULT_MEASURES])
-    return wide.orderBy("row")
+    return WeeklyUsage(cat, as_of, cfg).results_by_date_wide()
 
 
 def period_change_report(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
-    """Weekly and yearly change of the period totals of both by-date tables."""
-    out = _section_totals(cat, as_of, cfg)
-    return period_change(out, ["section"], RESULT_MEASURES, cfg.period_labels).orderBy("section", "measure")
+    return WeeklyUsage(cat, as_of, cfg).period_change()
 
 
 def dense_daily_counts(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
-    """Results per day with every calendar day of each period present
-    (start to end inclusive), missing days 0."""
-    periods = periods_for(cat, as_of, cfg)
-    counts = _by_date(cat, as_of, cfg, False, periods).drop("period_ord", "Date")
-    return (densify_days(counts, periods, "day", RESULT_MEASURES)
-            .orderBy("period_ord", "day").select("period", iso_day("day").alias("day"), *RESULT_MEASURES))
-
-
-def _by_client(cat, as_of, cfg, benchmarks_only: bool, periods=None) -> DataFrame:
-    periods = periods if periods is not None else periods_for(cat, as_of, cfg)
-    base = _scored(_results(cat, periods, cfg))
-    if benchmarks_only:
-        base = base.where(F.col("TestName").ilike(cfg.usage_benchmark_include[0]))
-    return base.groupBy("period", "period_ord", "State", "District").agg(
-        F.count(F.lit(1)).alias("TotalResults"),
-        count_where(F.col("QTIOnlineTestSessionID").isNotNull(), "OnlineTests"),
-        count_where(F.col("BubbleSheetID").isNotNull(), "BubbleSheets"))
+    return WeeklyUsage(cat, as_of, cfg).dense_daily_counts()
 
 
 def results_by_client(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
-    """Results per state and district with the district's share of the
-    period's results.  Sorted by count descending (ties by name)."""
-    df = share_of_total(_by_client(cat, as_of, cfg, False), "TotalResults", ["period"], "share")
-    return (df.orderBy("period_ord", F.desc("TotalResults"), "State", "District")
-            .select("period", "State", "District", *CLIENT_MEASURES, "share"))
+    return WeeklyUsage(cat, as_of, cfg).results_by_client()
 
 
 def benchmarks_by_client(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
-    """Benchmark results per client with a ``Total`` row first in every
-    period (a zero row when the period is empty)."""
-    periods = periods_for(cat, as_of, cfg)
-    df = _by_client(cat, as_of, cfg, True, periods)
-    df = with_total_row(df, periods, {"State": "Total", "District": ""}, CLIENT_MEASURES)
-    return (df.orderBy("period_ord", F.desc(F.col("row_kind") == "total"), F.desc("TotalResults"),
-                       "State", "District")
-            .select("period", "row_kind", "State", "District", *CLIENT_MEASURES))
-
-
-def _entries(cat, as_of, cfg, periods) -> DataFrame:
-    base = _results(cat, periods, cfg)
-    return base.where((F.col("VirtualTestSourceID") == cfg.data_entry_source_id)
-                      & F.col("VirtualTestType").isin(list(cfg.data_entry_test_types)))
+    return WeeklyUsage(cat, as_of, cfg).benchmarks_by_client()
 
 
 def entry_by_date(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
-    """Data-entry results per day, with the period total row."""
-    periods = periods_for(cat, as_of, cfg)
-    base = _entries(cat, as_of, cfg, periods).withColumn("day", F.to_date("UpdatedDate"))
-    df = (base.groupBy("period", "period_ord", "day").agg(F.count("TestResultID").alias("Total"))
-          .withColumn("Date", day_text("day")))
-    df = with_total_row(df, periods, {"Date": "Total"}, ["Total"], carry=("day",))
-    return (df.orderBy("period_ord", F.col("row_kind") == "total", "day")
-            .select("period", "row_kind", "Date", "Total"))
+    return WeeklyUsage(cat, as_of, cfg).entry_by_date()
 
 
 def entry_by_client(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
-    periods = periods_for(cat, as_of, cfg)
-    df = (_entries(cat, as_of, cfg, periods).groupBy("period", "period_ord", "State", "District")
-          .agg(F.count("TestResultID").alias("Total")))
-    return (df.orderBy("period_ord", F.desc("Total"), "State", "District")
-            .select("period", "State", "District", "Total"))
-
-
-def _sessions(cat: Catalog, ts_col: str, periods: DataFrame, cfg: ReportConfig) -> DataFrame:
-    q = cat["QTIOnlineTestSession"].select("StudentID", ts_col, "StatusID")
-    q = assign_periods(q, ts_col, periods)
-    s = cat["Student"].select("StudentID", "DistrictID")
-    return q.join(s, "StudentID").join(_districts(cat, cfg), "DistrictID")
+    return WeeklyUsage(cat, as_of, cfg).entry_by_client()
 
 
 def sessions_by_date(cat: Catalog, as_of: dt.date, ts_col: str = "StartDate",
                      cfg: ReportConfig = DEFAULT) -> DataFrame:
-    """Online sessions per day (by start or by last login) and status."""
-    periods = periods_for(cat, as_of, cfg)
-    q = _sessions(cat, ts_col, periods, cfg).withColumn("day", F.to_date(ts_col))
-    df = q.groupBy("period", "period_ord", "day").agg(
-        F.count(F.lit(1)).alias("TotalOnlineTests"),
-        *[count_where(F.col("StatusID") == code, name) for name, code in cfg.session_statuses])
-    label = "DateStarted" if ts_col == "StartDate" else "DateLastLogIn"
-    return (df.withColumn(label, day_text("day")).orderBy("period_ord", "day")
-            .select("period", label, "TotalOnlineTests", *[n for n, _ in cfg.session_statuses]))
+    return WeeklyUsage(cat, as_of, cfg).sessions_by_date(ts_col)
 
 
 def sessions_by_hour(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
-    """Sessions per (shifted) login hour, split by client group, with each
-    group's share.  ``Others`` may go negative when groups overlap."""
-    periods = periods_for(cat, as_of, cfg)
-    q = _sessions(cat, "LastLoginDate", periods, cfg)
-    q = q.withColumn("Hour", hour_label("LastLoginDate", cfg.hour_shift_hours))
-    df = q.groupBy("period", "period_ord", "Hour").agg(
-        F.count(F.lit(1)).alias("NumberOfSessions"),
-        count_where(F.col("DistrictID") == cfg.a_beka_district_id, "ABeka"),
-        count_where(F.col("DistrictGroupID") == cfg.bec_group_id, "BEC"),
-        count_where(F.col("District").ilike(cfg.frog_street_pattern), "Frogstreet"))
-    n = F.col("NumberOfSessions").cast("double")
-    df = df.withColumn("Others", F.col("NumberOfSessions") - (F.col("ABeka") + F.col("BEC") + F.col("Frogstreet")))
-    for src, dst in (("ABeka", "pct_ABeka"), ("BEC", "pct_BEC"), ("Frogstreet", "pct_FrogStreet"),
-                     ("Others", "pct_Others")):
-        df = df.withColumn(dst, F.try_divide(F.col(src).cast("double"), n))
-    return (df.orderBy("period_ord", F.desc("NumberOfSessions"), "Hour")
-            .select("period", "Hour", "NumberOfSessions", "ABeka", "BEC", "Frogstreet", "Others",
-                    "pct_ABeka", "pct_BEC", "pct_FrogStreet", "pct_Others"))
+    return WeeklyUsage(cat, as_of, cfg).sessions_by_hour()
 
 
 def period_windows(cat: Catalog, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """The three report periods for every date on which results were
     updated (a calendar of report windows)."""
-    from ..functions.dates import with_periods
     days = cat["TestResult"].select(F.to_date("UpdatedDate").alias("as_of")).distinct()
     return (with_periods(days, "as_of", cfg).orderBy("as_of", "period_ord")
-            .select(*[iso_day(c).alias(c) for c in ("as_of",)], "period", "period_ord",
+            .select(iso_day("as_of").alias("as_of"), "period", "period_ord",
                     iso_day("week_start").alias("week_start"), iso_day("week_end").alias("week_end")))

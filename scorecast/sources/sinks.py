@@ -33,14 +33,18 @@ def report_path(root: str, template: str, **params) -> str:
 def write_report(sheets: dict[str, DataFrame], out: str, fmt: str = "parquet", mode: str = "overwrite",
                  skip_if_empty: tuple = (), partition_by: dict | None = None) -> dict[str, str]:
     """Write every sheet; sheets named in ``skip_if_empty`` are written only
-    when they have a row (``isEmpty`` stops at the first row found).
+    when they have a row.
     ``partition_by`` maps a sheet to partition columns (e.g. DistrictID
     for an all-districts extract, so each district's rows sit in their own
     folder).  Returns {sheet: path} of what was written."""
     written = {}
     for name, df in sheets.items():
-        if name in skip_if_empty and df.isEmpty():
-            continue
+        if name in skip_if_empty:
+            # computed once: the emptiness check and the write both read
+            # the checkpoint (an aggregate cannot report "empty" early)
+            df = materialize(df.sparkSession, df)
+            if df.isEmpty():
+                continue
         path = os.path.join(out, sheet_folder(name))
         w = df.write.mode(mode)
         cols = (partition_by or {}).get(name)
