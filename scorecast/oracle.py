@@ -61,160 +61,154 @@ def q(s: str) -> str:
 
 
 # ---------------------------------------------------------------- usage ----
-
-_RESULTS_FROM = """
-FROM TestResult tr
-JOIN periods p ON tr.UpdatedDate > CAST(p.week_start AS TIMESTAMP) AND tr.UpdatedDate < CAST(p.week_end AS TIMESTAMP)
-JOIN VirtualTest vt ON vt.VirtualTestID = tr.VirtualTestID
-JOIN Student s ON s.StudentID = tr.StudentID
-JOIN District d ON d.DistrictID = s.DistrictID
-JOIN State st ON st.StateID = d.StateID
-WHERE d.Name NOT ILIKE {demo}
-"""
+#
+# One CTE ``wk`` holds every result of the three weeks (a row per matching
+# period) with the attributes the sections filter and group on; each
+# section is then a query over ``wk``.
 
 _USAGE_TABLES = ["TestResult", "VirtualTest", "Student", "District", "State"]
 
 
-def _results_from(cfg):
-    return _RESULTS_FROM.format(demo=q(cfg.demo_district_pattern))
-
+def _wk(cfg) -> str:
+    return f"""wk AS (
+  SELECT p.period, p.period_ord, r.TestResultID AS rid, CAST(r.UpdatedDate AS DATE) AS day,
+         (r.QTIOnlineTestSessionID IS NOT NULL) AS online, (r.BubbleSheetID IS NOT NULL) AS bubble,
+         t.Name AS test_name, t.VirtualTestSourceID AS test_source, t.VirtualTestType AS test_type,
+         dist.DistrictID AS did, dist.Name AS dname, dist.DistrictGroupID AS dgroup, sta.Name AS sname
+  FROM periods p
+  JOIN TestResult r ON r.UpdatedDate > CAST(p.week_start AS TIMESTAMP) AND r.UpdatedDate < CAST(p.week_end AS TIMESTAMP)
+  JOIN Student stu ON stu.StudentID = r.StudentID
+  JOIN District dist ON dist.DistrictID = stu.DistrictID
+  JOIN State sta ON sta.StateID = dist.StateID
+  JOIN VirtualTest t ON t.VirtualTestID = r.VirtualTestID
+  WHERE dist.Name NOT ILIKE {q(cfg.demo_district_pattern)})"""
 
-def _scored():
-    return " AND (tr.BubbleSheetID IS NOT NULL OR tr.QTIOnlineTestSessionID IS NOT NULL)"
 
+def _kept(cfg) -> str:
+    """Named-client exclusions (NULL group -> not kept, like NOT IN)."""
+    return (f"(did NOT IN {sql_list(cfg.usage_excluded_district_ids)} AND dgroup NOT IN "
+            f"{sql_list(cfg.usage_excluded_group_ids)} AND dname NOT ILIKE {q(cfg.frog_street_pattern)})")
 
-def _excl(cfg):
-    return (f" AND d.DistrictID NOT IN {sql_list(cfg.usage_excluded_district_ids)}"
-            f" AND d.DistrictGroupID NOT IN {sql_list(cfg.usage_excluded_group_ids)}"
-            f" AND d.Name NOT ILIKE {q(cfg.frog_street_pattern)}")
 
-
-def _by_date_sql(cfg, excl):
-    return f"""SELECT p.period, p.period_ord, CAST(tr.UpdatedDate AS DATE) AS day,
-  CAST(count(tr.TestResultID) AS BIGINT) AS Total,
-  CAST(sum(CASE WHEN tr.QTIOnlineTestSessionID IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS OnlineTests,
-  CAST(sum(CASE WHEN tr.BubbleSheetID IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS BubbleSheets
-{_results_from(cfg)}{_scored()}{_excl(cfg) if excl else ''}
-GROUP BY p.period, p.period_ord, CAST(tr.UpdatedDate AS DATE)"""
+def _daily(excl: bool, cfg) -> str:
+    cond = "(online OR bubble)" + (f" AND {_kept(cfg)}" if excl else "")
+    return f"""SELECT period, period_ord, day, CAST(count(rid) AS BIGINT) AS Total,
+  CAST(count(*) FILTER (WHERE online) AS BIGINT) AS OnlineTests,
+  CAST(count(*) FILTER (WHERE bubble) AS BIGINT) AS BubbleSheets
+FROM wk WHERE {cond} GROUP BY period, period_ord, day"""
 
 
 def usage_sql(cfg: ReportConfig, as_of) -> dict[str, str]:
-    P = periods_cte(as_of, cfg)
-    head = with_tables(_USAGE_TABLES, [P])
+    head = with_tables(_USAGE_TABLES, [periods_cte(as_of, cfg), _wk(cfg)])
+    lab = cfg.period_labels
+    measures = ["Total", "OnlineTests", "BubbleSheets"]
     out = {}
-    out["usage_results_by_date"] = head + f"""SELECT period, strftime(day, '%m/%d/%Y') AS Date, Total, OnlineTests, BubbleSheets
-FROM ({_by_date_sql(cfg, False)}) x"""
-    out["usage_results_by_date_excl"] = head + f"""SELECT period, strftime(day, '%m/%d/%Y') AS Date, Total, OnlineTests, BubbleSheets
-FROM ({_by_date_sql(cfg, True)}) x"""
+    for key, excl in (("usage_results_by_date", False), ("usage_results_by_date_excl", True)):
+        out[key] = head + f"""SELECT period, strftime(day, '%m/%d/%Y') AS Date, Total, OnlineTests, BubbleSheets
+FROM ({_daily(excl, cfg)}) daily"""
+
     def section_totals(section, excl):
-        return f"""SELECT '{section}' AS section, p.period, p.period_ord,
-  CAST(coalesce(sum(x.Total), 0) AS BIGINT) AS Total,
-  CAST(coalesce(sum(x.OnlineTests), 0) AS BIGINT) AS OnlineTests,
-  CAST(coalesce(sum(x.BubbleSheets), 0) AS BIGINT) AS BubbleSheets
-FROM periods p LEFT JOIN ({_by_date_sql(cfg, excl)}) x ON x.period = p.period
-GROUP BY p.period, p.period_ord"""
+        return f"""SELECT '{section}' AS section, per.period, per.period_ord,
+  CAST(coalesce(sum(daily.Total), 0) AS BIGINT) AS Total,
+  CAST(coalesce(sum(daily.OnlineTests), 0) AS BIGINT) AS OnlineTests,
+  CAST(coalesce(sum(daily.BubbleSheets), 0) AS BIGINT) AS BubbleSheets
+FROM periods per LEFT JOIN ({_daily(excl, cfg)}) daily ON daily.period = per.period
+GROUP BY per.period, per.period_ord"""
     totals = section_totals("all", False) + "\nUNION ALL\n" + section_totals("excluding_clients", True)
-    out["usage_results_by_date_total"] = head + f"SELECT section, period, Total, OnlineTests, BubbleSheets FROM ({totals}) t"
-    lab = cfg.period_labels
-    measures = ["Total", "OnlineTests", "BubbleSheets"]
+    out["usage_results_by_date_total"] = head + f"SELECT section, period, Total, OnlineTests, BubbleSheets FROM ({totals}) tot"
+    pivots = ",\n  ".join(
+        f"max(value) FILTER (WHERE period = {q(label)}) AS {col}"
+        for label, col in zip(lab, ("this_week", "last_week", "last_year")))
     unpivot = " UNION ALL ".join(
-        f"SELECT section, period, '{m}' AS measure, {m} AS value FROM t" for m in measures)
-    out["usage_period_change"] = head + f""", t AS ({totals}), l AS ({unpivot}),
-w AS (SELECT section, measure,
-  max(CASE WHEN period = {q(lab[0])} THEN value END) AS this_week,
-  max(CASE WHEN period = {q(lab[1])} THEN value END) AS last_week,
-  max(CASE WHEN period = {q(lab[2])} THEN value END) AS last_year
-  FROM l GROUP BY section, measure)
+        f"SELECT section, period, '{m}' AS measure, {m} AS value FROM tot" for m in measures)
+    out["usage_period_change"] = head + f""", tot AS ({totals}), longform AS ({unpivot}),
+piv AS (SELECT section, measure,
+  {pivots}
+  FROM longform GROUP BY section, measure)
 SELECT section, measure, this_week, last_week, last_year,
-  CAST(this_week - last_week AS DOUBLE) / nullif(CAST(last_week AS DOUBLE), 0) AS weekly_change,
-  CAST(this_week - last_year AS DOUBLE) / nullif(CAST(last_year AS DOUBLE), 0) AS yearly_change
-FROM w"""
+  (this_week - last_week) / nullif(CAST(last_week AS DOUBLE), 0) AS weekly_change,
+  (this_week - last_year) / nullif(CAST(last_year AS DOUBLE), 0) AS yearly_change
+FROM piv"""
     codes = [x.lower().replace(" ", "_") for x in lab]
     cols = []
     for label, code in zip(lab, codes):
-        cols.append(f"max(CASE WHEN period = {q(label)} THEN Date END) AS {code}_Date")
-        for m in measures:
-            cols.append(f"max(CASE WHEN period = {q(label)} THEN {m} END) AS {code}_{m}")
-    out["usage_results_by_date_wide"] = head + f""", r AS (
+        cols.append(f"max(Date) FILTER (WHERE period = {q(label)}) AS {code}_Date")
+        cols += [f"max({m}) FILTER (WHERE period = {q(label)}) AS {code}_{m}" for m in measures]
+    out["usage_results_by_date_wide"] = head + f""", numbered AS (
   SELECT period, strftime(day, '%m/%d/%Y') AS Date, Total, OnlineTests, BubbleSheets,
     CAST(row_number() OVER (PARTITION BY period ORDER BY day) AS INTEGER) AS "row"
-  FROM ({_by_date_sql(cfg, False)}) x)
-SELECT "row", {', '.join(cols)} FROM r GROUP BY "row" """
-    out["dense_daily_counts"] = head + f""", cal AS (
+  FROM ({_daily(False, cfg)}) daily)
+SELECT "row", {', '.join(cols)} FROM numbered GROUP BY "row" """
+    out["dense_daily_counts"] = head + f""", calendar AS (
   SELECT period, CAST(unnest(generate_series(week_start, week_end, INTERVAL 1 DAY)) AS DATE) AS day FROM periods)
-SELECT cal.period, strftime(cal.day, '%Y-%m-%d') AS day,
-  CAST(coalesce(x.Total, 0) AS BIGINT) AS Total,
-  CAST(coalesce(x.OnlineTests, 0) AS BIGINT) AS OnlineTests,
-  CAST(coalesce(x.BubbleSheets, 0) AS BIGINT) AS BubbleSheets
-FROM cal LEFT JOIN ({_by_date_sql(cfg, False)}) x ON x.period = cal.period AND x.day = cal.day"""
-    by_client = f"""SELECT p.period, st.Name AS State, d.Name AS District, CAST(count(*) AS BIGINT) AS TotalResults,
-  CAST(sum(CASE WHEN tr.QTIOnlineTestSessionID IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS OnlineTests,
-  CAST(sum(CASE WHEN tr.BubbleSheetID IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS BubbleSheets
-{_results_from(cfg)}{_scored()}{{extra}}
-GROUP BY p.period, st.Name, d.Name"""
+SELECT calendar.period, strftime(calendar.day, '%Y-%m-%d') AS day,
+  CAST(coalesce(daily.Total, 0) AS BIGINT) AS Total,
+  CAST(coalesce(daily.OnlineTests, 0) AS BIGINT) AS OnlineTests,
+  CAST(coalesce(daily.BubbleSheets, 0) AS BIGINT) AS BubbleSheets
+FROM calendar LEFT JOIN ({_daily(False, cfg)}) daily ON daily.period = calendar.period AND daily.day = calendar.day"""
+
+    def clients(extra):
+        return f"""SELECT period, sname AS State, dname AS District, CAST(count(*) AS BIGINT) AS TotalResults,
+  CAST(count(*) FILTER (WHERE online) AS BIGINT) AS OnlineTests,
+  CAST(count(*) FILTER (WHERE bubble) AS BIGINT) AS BubbleSheets
+FROM wk WHERE (online OR bubble){extra} GROUP BY period, sname, dname"""
     out["usage_results_by_client"] = head + f"""SELECT period, State, District, TotalResults, OnlineTests, BubbleSheets,
-  CAST(TotalResults AS DOUBLE) / CAST(sum(TotalResults) OVER (PARTITION BY period) AS DOUBLE) AS share
-FROM ({by_client.format(extra='')}) x"""
-    bench = by_client.format(extra=f" AND vt.Name ILIKE {q(cfg.usage_benchmark_include[0])}")
-    out["benchmarks_by_client_total"] = head + f""", b AS ({bench})
-SELECT period, 'detail' AS row_kind, State, District, TotalResults, OnlineTests, BubbleSheets FROM b
+  TotalResults / CAST(sum(TotalResults) OVER (PARTITION BY period) AS DOUBLE) AS share
+FROM ({clients('')}) c"""
+    bench = clients(f" AND test_name ILIKE {q(cfg.usage_benchmark_include[0])}")
+    out["benchmarks_by_client_total"] = head + f""", bc AS ({bench})
+SELECT period, 'detail' AS row_kind, State, District, TotalResults, OnlineTests, BubbleSheets FROM bc
 UNION ALL
-SELECT p.period, 'total', 'Total', '', CAST(coalesce(sum(TotalResults), 0) AS BIGINT),
-  CAST(coalesce(sum(OnlineTests), 0) AS BIGINT), CAST(coalesce(sum(BubbleSheets), 0) AS BIGINT)
-FROM periods p LEFT JOIN b ON b.period = p.period GROUP BY p.period"""
-    entry_where = (f" AND vt.VirtualTestSourceID = {cfg.data_entry_source_id}"
-                   f" AND vt.VirtualTestType IN {sql_list(cfg.data_entry_test_types)}")
-    out["entry_by_date"] = head + f""", e AS (
-  SELECT p.period, CAST(tr.UpdatedDate AS DATE) AS day, CAST(count(tr.TestResultID) AS BIGINT) AS Total
-  {_results_from(cfg)}{entry_where}
-  GROUP BY p.period, CAST(tr.UpdatedDate AS DATE))
-SELECT period, 'detail' AS row_kind, strftime(day, '%m/%d/%Y') AS Date, Total FROM e
+SELECT per.period, 'total', 'Total', '', CAST(coalesce(sum(bc.TotalResults), 0) AS BIGINT),
+  CAST(coalesce(sum(bc.OnlineTests), 0) AS BIGINT), CAST(coalesce(sum(bc.BubbleSheets), 0) AS BIGINT)
+FROM periods per LEFT JOIN bc ON bc.period = per.period GROUP BY per.period"""
+    entry = (f"test_source = {cfg.data_entry_source_id} AND test_type IN {sql_list(cfg.data_entry_test_types)}")
+    out["entry_by_date"] = head + f""", ent AS (
+  SELECT period, day, CAST(count(rid) AS BIGINT) AS Total FROM wk WHERE {entry} GROUP BY period, day)
+SELECT period, 'detail' AS row_kind, strftime(day, '%m/%d/%Y') AS Date, Total FROM ent
 UNION ALL
-SELECT p.period, 'total', 'Total', CAST(coalesce(sum(e.Total), 0) AS BIGINT)
-FROM periods p LEFT JOIN e ON e.period = p.period GROUP BY p.period"""
-    out["entry_by_client"] = head + f"""SELECT p.period, st.Name AS State, d.Name AS District, CAST(count(tr.TestResultID) AS BIGINT) AS Total
-{_results_from(cfg)}{entry_where}
-GROUP BY p.period, st.Name, d.Name"""
+SELECT per.period, 'total', 'Total', CAST(coalesce(sum(ent.Total), 0) AS BIGINT)
+FROM periods per LEFT JOIN ent ON ent.period = per.period GROUP BY per.period"""
+    out["entry_by_client"] = head + f"""SELECT period, sname AS State, dname AS District, CAST(count(rid) AS BIGINT) AS Total
+FROM wk WHERE {entry} GROUP BY period, sname, dname"""
     return out
 
 
 def sessions_sql(cfg: ReportConfig, as_of) -> dict[str, str]:
-    P = periods_cte(as_of, cfg)
-    head = with_tables(["QTIOnlineTestSession", "Student", "District"], [P])
-
-    def base(ts):
-        return f"""FROM QTIOnlineTestSession qs
-JOIN periods p ON qs.{ts} > CAST(p.week_start AS TIMESTAMP) AND qs.{ts} < CAST(p.week_end AS TIMESTAMP)
-JOIN Student s ON s.StudentID = qs.StudentID
-JOIN District d ON d.DistrictID = s.DistrictID
-WHERE d.Name NOT ILIKE {q(cfg.demo_district_pattern)}"""
-
-    status_cols = ", ".join(
-        f"CAST(sum(CASE WHEN qs.StatusID = {code} THEN 1 ELSE 0 END) AS BIGINT) AS {name}"
-        for name, code in cfg.session_statuses)
+    def online(ts):
+        return f"""online_{ts} AS (
+  SELECT p.period, sess.{ts} AS ts, sess.StatusID AS status, dist.DistrictID AS did,
+         dist.DistrictGroupID AS dgroup, dist.Name AS dname
+  FROM periods p
+  JOIN QTIOnlineTestSession sess ON sess.{ts} > CAST(p.week_start AS TIMESTAMP) AND sess.{ts} < CAST(p.week_end AS TIMESTAMP)
+  JOIN Student stu ON stu.StudentID = sess.StudentID
+  JOIN District dist ON dist.DistrictID = stu.DistrictID
+  WHERE dist.Name NOT ILIKE {q(cfg.demo_district_pattern)})"""
+
+    statuses = ", ".join(f"CAST(count(*) FILTER (WHERE status = {code}) AS BIGINT) AS {name}"
+                         for name, code in cfg.session_statuses)
     out = {}
     for key, ts, label in (("sessions_by_start_date", "StartDate", "DateStarted"),
                            ("sessions_by_login_date", "LastLoginDate", "DateLastLogIn")):
-        out[key] = head + f"""SELECT p.period, strftime(CAST(qs.{ts} AS DATE), '%m/%d/%Y') AS {label},
-  CAST(count(*) AS BIGINT) AS TotalOnlineTests, {status_cols}
-{base(ts)}
-GROUP BY p.period, CAST(qs.{ts} AS DATE)"""
-    shift = cfg.hour_shift_hours
-    out["sessions_by_hour"] = head + f""", h AS (
-SELECT p.period, strftime(qs.LastLoginDate + INTERVAL ({shift}) HOUR, '%Y-%m-%d %H') AS Hour,
+        head = with_tables(["QTIOnlineTestSession", "Student", "District"], [periods_cte(as_of, cfg), online(ts)])
+        out[key] = head + f"""SELECT period, strftime(CAST(ts AS DATE), '%m/%d/%Y') AS {label},
+  CAST(count(*) AS BIGINT) AS TotalOnlineTests, {statuses}
+FROM online_{ts} GROUP BY period, CAST(ts AS DATE)"""
+    head = with_tables(["QTIOnlineTestSession", "Student", "District"], [periods_cte(as_of, cfg), online("LastLoginDate")])
+    out["sessions_by_hour"] = head + f""", hourly AS (
+SELECT period, strftime(ts + to_hours({cfg.hour_shift_hours}), '%Y-%m-%d %H') AS Hour,
   CAST(count(*) AS BIGINT) AS NumberOfSessions,
-  CAST(sum(CASE WHEN d.DistrictID = {cfg.a_beka_district_id} THEN 1 ELSE 0 END) AS BIGINT) AS ABeka,
-  CAST(sum(CASE WHEN d.DistrictGroupID = {cfg.bec_group_id} THEN 1 ELSE 0 END) AS BIGINT) AS BEC,
-  CAST(sum(CASE WHEN d.Name ILIKE {q(cfg.frog_street_pattern)} THEN 1 ELSE 0 END) AS BIGINT) AS Frogstreet
-{base('LastLoginDate')}
-GROUP BY p.period, strftime(qs.LastLoginDate + INTERVAL ({shift}) HOUR, '%Y-%m-%d %H'))
+  CAST(count(*) FILTER (WHERE did = {cfg.a_beka_district_id}) AS BIGINT) AS ABeka,
+  CAST(count(*) FILTER (WHERE dgroup = {cfg.bec_group_id}) AS BIGINT) AS BEC,
+  CAST(count(*) FILTER (WHERE dname ILIKE {q(cfg.frog_street_pattern)}) AS BIGINT) AS Frogstreet
+FROM online_LastLoginDate GROUP BY 1, 2)
 SELECT period, Hour, NumberOfSessions, ABeka, BEC, Frogstreet,
-  NumberOfSessions - (ABeka + BEC + Frogstreet) AS Others,
-  CAST(ABeka AS DOUBLE) / NumberOfSessions AS pct_ABeka,
-  CAST(BEC AS DOUBLE) / NumberOfSessions AS pct_BEC,
-  CAST(Frogstreet AS DOUBLE) / NumberOfSessions AS pct_FrogStreet,
-  CAST(NumberOfSessions - (ABeka + BEC + Frogstreet) AS DOUBLE) / NumberOfSessions AS pct_Others
-FROM h"""
+  NumberOfSessions - ABeka - BEC - Frogstreet AS Others,
+  ABeka / CAST(NumberOfSessions AS DOUBLE) AS pct_ABeka,
+  BEC / CAST(NumberOfSessions AS DOUBLE) AS pct_BEC,
+  Frogstreet / CAST(NumberOfSessions AS DOUBLE) AS pct_FrogStreet,
+  (NumberOfSessions - ABeka - BEC - Frogstreet) / CAST(NumberOfSessions AS DOUBLE) AS pct_Others
+FROM hourly"""
     return out
 
 
@@ -277,157 +271,176 @@ def _variant_cols(cfg) -> str:
             f"CASE WHEN StateID = {cfg.parcc_state_id} THEN {pl} ELSE {ol} END AS lvl")
 
 
-_STAR = """FROM TestResultScore trs
-JOIN TestResult tr ON tr.TestResultID = trs.TestResultID
-JOIN VirtualTest vt ON vt.VirtualTestID = tr.VirtualTestID
-JOIN Bank b ON b.BankID = vt.BankID
-JOIN Subject sub ON sub.SubjectID = b.SubjectID
-JOIN Grade gr ON gr.GradeID = sub.GradeID
-JOIN Student s ON s.StudentID = tr.StudentID
-JOIN School sch ON sch.SchoolID = tr.SchoolID
-JOIN Class c ON c.ClassID = tr.ClassID
-JOIN DistrictTerm dt ON dt.DistrictTermID = c.DistrictTermID
-JOIN "User" u ON u.UserID = tr.UserID
-"""
-_STAR_TABLES = ["TestResultScore", "TestResult", "VirtualTest", "Bank", "Subject", "Grade", "Student",
-                "School", "Class", "DistrictTerm", "User"]
-
-_STATE = """FROM TestResultScore trs
-JOIN TestResult tr ON tr.TestResultID = trs.TestResultID
-JOIN VirtualTest vt ON vt.VirtualTestID = tr.VirtualTestID
-JOIN Bank b ON b.BankID = vt.BankID
-JOIN Subject sub ON sub.SubjectID = b.SubjectID
-JOIN Grade gr ON gr.GradeID = sub.GradeID
-JOIN Student s ON s.StudentID = tr.StudentID
-JOIN School sch ON sch.SchoolID = tr.SchoolID
-"""
+# Test -> subject -> grade, and class -> term, as lookup CTEs.
+_TESTS = """tests AS (
+  SELECT t.VirtualTestID, t.BankID, t.Name AS test_name, t.AchievementLevelSettingID AS lvl,
+         sj.Name AS subject, g.Name AS grade
+  FROM VirtualTest t, Bank bk, Subject sj, Grade g
+  WHERE bk.BankID = t.BankID AND sj.SubjectID = bk.SubjectID AND g.GradeID = sj.GradeID)"""
+_CLASSES = """classes AS (
+  SELECT cl.ClassID, cl.Name AS class_name, cl.SchoolID AS class_school, term.DistrictID AS term_district,
+         term.Name AS term_name, term.Active AS active
+  FROM Class cl JOIN DistrictTerm term ON term.DistrictTermID = cl.DistrictTermID)"""
+_SCORED = """scored AS (
+  SELECT r.TestResultID, r.UpdatedDate, r.ResultDate, sc.ScoreRaw, sc.PointsPossible AS score_possible,
+         x.test_name, x.subject, x.grade, k.class_name, k.ClassID, k.term_district, k.term_name, k.active,
+         sch.Name AS school_name, tch.UserID, tch.Code AS teacher_code, tch.NameFirst AS teacher_first,
+         tch.NameLast AS teacher_last, stu.StudentID, stu.Code AS student_code, stu.FirstName AS student_first,
+         stu.LastName AS student_last
+  FROM TestResult r
+  JOIN TestResultScore sc ON sc.TestResultID = r.TestResultID
+  JOIN tests x ON x.VirtualTestID = r.VirtualTestID
+  JOIN classes k ON k.ClassID = r.ClassID
+  JOIN School sch ON sch.SchoolID = r.SchoolID
+  JOIN "User" tch ON tch.UserID = r.UserID
+  JOIN Student stu ON stu.StudentID = r.StudentID)"""
+_SCORED_TABLES = ["TestResult", "TestResultScore", "VirtualTest", "Bank", "Subject", "Grade", "Class",
+                  "DistrictTerm", "School", "User", "Student"]
+
+_STATE_ROWS = """state_rows AS (
+  SELECT sch.DistrictID AS school_district, x.test_name, x.subject, x.grade, x.lvl, sch.SchoolID,
+         sch.Name AS school_name, stu.StudentID, stu.Code AS student_code, stu.FirstName AS student_first,
+         stu.LastName AS student_last, sc.ScoreScaled, sc.AchievementLevel
+  FROM TestResult r
+  JOIN TestResultScore sc ON sc.TestResultID = r.TestResultID
+  JOIN tests x ON x.VirtualTestID = r.VirtualTestID
+  JOIN School sch ON sch.SchoolID = r.SchoolID
+  JOIN Student stu ON stu.StudentID = r.StudentID)"""
 
 
 def extracts_sql(cfg: ReportConfig) -> dict[str, str]:
     out = {}
-    out["detail_star_join"] = with_tables(_STAR_TABLES) + f"""SELECT dt.DistrictID AS DistrictID,
-  strftime(tr.UpdatedDate, '%-m/%-d/%Y') AS ResultDate,
-  {_school_year('dt.Name', 'tr.UpdatedDate', cfg)} AS DistrictTerm,
-  vt.Name AS TestName, sub.Name AS Subject, gr.Name AS Grade, {_form('vt.Name', cfg)} AS Form,
-  sch.Name AS School, u.UserID, u.Code AS TeacherCode, u.NameFirst AS TeacherFirstName,
-  u.NameLast AS TeacherLastName, c.ClassID, c.Name AS ClassName, s.StudentID, s.Code AS StudentCode,
-  s.FirstName AS StudentFirstName, s.LastName AS StudentLastName,
-  trs.ScoreRaw AS TotalPointsEarned, trs.PointsPossible AS TotalPointsPossible
-{_STAR}WHERE tr.ResultDate > {_ts(cfg.detail_since)} AND {_incl_excl('vt.Name', cfg.detail_include, cfg.detail_exclude)}"""
-
-    state_tables = ["TestResultScore", "TestResult", "VirtualTest", "Bank", "Subject", "Grade", "Student",
-                    "School", "District"]
+    out["detail_star_join"] = with_tables(_SCORED_TABLES, [_TESTS, _CLASSES, _SCORED]) + f"""SELECT term_district AS DistrictID,
+  strftime(UpdatedDate, '%-m/%-d/%Y') AS ResultDate,
+  {_school_year('term_name', 'UpdatedDate', cfg)} AS DistrictTerm,
+  test_name AS TestName, subject AS Subject, grade AS Grade, {_form('test_name', cfg)} AS Form,
+  school_name AS School, UserID, teacher_code AS TeacherCode, teacher_first AS TeacherFirstName,
+  teacher_last AS TeacherLastName, ClassID, class_name AS ClassName, StudentID, student_code AS StudentCode,
+  student_first AS StudentFirstName, student_last AS StudentLastName,
+  ScoreRaw AS TotalPointsEarned, score_possible AS TotalPointsPossible
+FROM scored
+WHERE ResultDate > {_ts(cfg.detail_since)} AND {_incl_excl('test_name', cfg.detail_include, cfg.detail_exclude)}"""
+
+    state_tables = ["TestResult", "TestResultScore", "VirtualTest", "Bank", "Subject", "Grade", "School",
+                    "Student", "District"]
     pattern = cfg.state_test_name_pattern
     pre, post = pattern.split("{test}")
-    out["state_test_extract"] = with_tables(state_tables) + f""", v AS (SELECT DistrictID, {_variant_cols(cfg)} FROM District)
-SELECT sch.DistrictID AS DistrictID, v.StateTest, substr(vt.Name, 6, 4) AS Year, vt.Name AS TestName,
-  sub.Name AS Subject, gr.Name AS Grade, sch.SchoolID, sch.Name AS SchoolName, s.StudentID,
-  s.Code AS StudentCode, s.FirstName AS StudentFirstName, s.LastName AS StudentLastName,
-  trs.ScoreScaled AS ScaledScore, trs.AchievementLevel
-{_STATE}JOIN v ON v.DistrictID = sch.DistrictID
-WHERE vt.Name ILIKE ({q(pre)} || v.StateTest || {q(post)}) AND vt.AchievementLevelSettingID = v.lvl"""
+    variants = f"variants AS (SELECT DistrictID, {_variant_cols(cfg)} FROM District)"
+    out["state_test_extract"] = with_tables(state_tables, [_TESTS, _STATE_ROWS, variants]) + f"""SELECT
+  school_district AS DistrictID, v.StateTest, substr(test_name, 6, 4) AS Year, test_name AS TestName,
+  subject AS Subject, grade AS Grade, SchoolID, school_name AS SchoolName, StudentID,
+  student_code AS StudentCode, student_first AS StudentFirstName, student_last AS StudentLastName,
+  ScoreScaled AS ScaledScore, AchievementLevel
+FROM state_rows JOIN variants v ON v.DistrictID = school_district
+WHERE test_name ILIKE ({q(pre)} || v.StateTest || {q(post)}) AND state_rows.lvl = v.lvl"""
 
     ptest, plevel = cfg.parcc_variant
-    nav = "CASE " + " ".join(f"WHEN strpos(vt.Name, {q(n)}) > 0 THEN {q(g)}" for n, g in cfg.nav_grade_rules) + " ELSE gr.Name END"
-    subj = "CASE " + " ".join(f"WHEN sub.Name = {q(a)} THEN {q(b)}" for a, b in cfg.subject_recodes) + " ELSE sub.Name END"
-    out["state_scores"] = with_tables(state_tables[:-1]) + f"""SELECT sch.DistrictID AS DistrictID, substr(vt.Name, 6, 4) AS Year, vt.Name AS TestName,
-  {subj} AS Subject, gr.Name AS Grade, {nav} AS NAVGrade, sch.Name AS SchoolID, s.StudentID,
-  s.Code AS StudentCode, s.FirstName AS StudentFirstName, s.LastName AS StudentLastName,
-  trs.ScoreScaled AS ScaledScore, trs.AchievementLevel AS ProfLevel
-{_STATE}WHERE {_incl_excl('vt.Name', (pattern.format(test=ptest),), cfg.state_score_exclude)}
-  AND vt.AchievementLevelSettingID = {plevel}"""
+    nav = ("CASE " + " ".join(f"WHEN strpos(test_name, {q(n)}) > 0 THEN {q(g)}" for n, g in cfg.nav_grade_rules)
+           + " ELSE grade END")
+    subj = "CASE " + " ".join(f"WHEN subject = {q(a)} THEN {q(b)}" for a, b in cfg.subject_recodes) + " ELSE subject END"
+    out["state_scores"] = with_tables(state_tables[:-1], [_TESTS, _STATE_ROWS]) + f"""SELECT
+  school_district AS DistrictID, substr(test_name, 6, 4) AS Year, test_name AS TestName, {subj} AS Subject,
+  grade AS Grade, {nav} AS NAVGrade, school_name AS SchoolID, StudentID, student_code AS StudentCode,
+  student_first AS StudentFirstName, student_last AS StudentLastName, ScoreScaled AS ScaledScore,
+  AchievementLevel AS ProfLevel
+FROM state_rows
+WHERE {_incl_excl('test_name', (pattern.format(test=ptest),), cfg.state_score_exclude)} AND lvl = {plevel}"""
 
     cl_tables = ["TestResult", "TestResultScore", "VirtualTest", "DistrictTerm", "District", "Student",
                  "School", "Class", "User", "TestResultSubScore"]
     keys = "DistrictID, TestName, School, ClusterName"
     null_key = " OR ".join(f"{k} IS NULL" for k in keys.split(", "))
-    out["cluster_ratio"] = with_tables(cl_tables) + f""", base AS (
-SELECT District.DistrictID, VirtualTest.Name AS TestName, School.Name AS School, Class.ClassID,
-  Class.Name AS ClassName, TestResultSubScore.Name AS ClusterName, TestResultSubScore.ScoreScaled AS Score
-FROM TestResult
-JOIN TestResultScore trs ON trs.TestResultID = TestResult.TestResultID
-JOIN VirtualTest ON TestResult.VirtualTestID = VirtualTest.VirtualTestID
-JOIN DistrictTerm ON TestResult.DistrictTermID = DistrictTerm.DistrictTermID
-JOIN District ON District.DistrictID = DistrictTerm.DistrictID
-JOIN Student ON TestResult.StudentID = Student.StudentID
-JOIN School ON TestResult.SchoolID = School.SchoolID
-JOIN Class ON TestResult.ClassID = Class.ClassID
-JOIN "User" ON TestResult.UserID = "User".UserID
-JOIN TestResultSubScore ON TestResultSubScore.TestResultScoreID = trs.TestResultScoreID
-WHERE VirtualTest.Name ILIKE {q(pattern.format(test=ptest))} AND VirtualTest.AchievementLevelSettingID = {plevel})
-SELECT DistrictID, TestName, School, ClassID, ClassName, ClusterName,
-  CASE WHEN {null_key} THEN NULL ELSE coalesce(sum(CASE WHEN strpos(ClusterName, 'Scale Score') > 0 THEN Score
-       WHEN Score = 1 THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY {keys}), 0.0) END AS NUM,
+    num = "CASE WHEN strpos(ClusterName, 'Scale Score') > 0 THEN Score WHEN Score = 1 THEN 1.0 ELSE 0.0 END"
+    clusters = f"""clusters AS (
+  SELECT term.DistrictID, t.Name AS TestName, sch.Name AS School, cl.ClassID, cl.Name AS ClassName,
+         part.Name AS ClusterName, part.ScoreScaled AS Score
+  FROM TestResultSubScore part
+  JOIN TestResultScore sc ON sc.TestResultScoreID = part.TestResultScoreID
+  JOIN TestResult r ON r.TestResultID = sc.TestResultID
+  JOIN VirtualTest t ON t.VirtualTestID = r.VirtualTestID
+  JOIN DistrictTerm term ON term.DistrictTermID = r.DistrictTermID
+  JOIN District dd ON dd.DistrictID = term.DistrictID
+  JOIN School sch ON sch.SchoolID = r.SchoolID
+  JOIN Class cl ON cl.ClassID = r.ClassID
+  WHERE t.Name ILIKE {q(pattern.format(test=ptest))} AND t.AchievementLevelSettingID = {plevel}
+    AND EXISTS (SELECT 1 FROM Student stu WHERE stu.StudentID = r.StudentID)
+    AND EXISTS (SELECT 1 FROM "User" tch WHERE tch.UserID = r.UserID))"""
+    out["cluster_ratio"] = with_tables(cl_tables, [clusters]) + f"""SELECT DistrictID, TestName, School, ClassID,
+  ClassName, ClusterName,
+  CASE WHEN {null_key} THEN NULL ELSE coalesce(sum({num}) OVER (PARTITION BY {keys}), 0.0) END AS NUM,
   CASE WHEN {null_key} THEN NULL ELSE count(Score) OVER (PARTITION BY {keys}) END AS DIV
-FROM base"""
-    out["cluster_ratio_groups"] = out["cluster_ratio"].split("SELECT DistrictID, TestName, School, ClassID")[0] + f"""SELECT {keys},
-  coalesce(sum(CASE WHEN strpos(ClusterName, 'Scale Score') > 0 THEN Score WHEN Score = 1 THEN 1.0 ELSE 0.0 END), 0.0) AS NUM,
-  count(Score) AS DIV
-FROM base WHERE NOT ({null_key}) GROUP BY {keys}"""
-
-    out["student_gender"] = with_tables(["Student", "Gender"]) + """SELECT s.DistrictID, s.StudentID, g.Name AS Gender
-FROM Student s JOIN Gender g ON g.GenderID = s.GenderID"""
-    out["student_race"] = with_tables(["Student", "Race"]) + """SELECT s.DistrictID, s.StudentID, r.Name AS Race
-FROM Student s JOIN Race r ON r.RaceID = s.RaceID"""
-    out["student_program"] = with_tables(["StudentProgram", "Program"]) + """SELECT p.DistrictID, sp.StudentID, p.Name AS Program
-FROM StudentProgram sp JOIN Program p ON p.ProgramID = sp.ProgramID"""
+FROM clusters"""
+    out["cluster_ratio_groups"] = with_tables(cl_tables, [clusters]) + f"""SELECT {keys},
+  coalesce(sum({num}), 0.0) AS NUM, count(Score) AS DIV
+FROM clusters WHERE NOT ({null_key}) GROUP BY {keys}"""
+
+    out["student_gender"] = with_tables(["Student", "Gender"]) + """SELECT stu.DistrictID, stu.StudentID, gd.Name AS Gender
+FROM Student stu JOIN Gender gd ON gd.GenderID = stu.GenderID"""
+    out["student_race"] = with_tables(["Student", "Race"]) + """SELECT stu.DistrictID, stu.StudentID, rc.Name AS Race
+FROM Student stu JOIN Race rc ON rc.RaceID = stu.RaceID"""
+    out["student_program"] = with_tables(["StudentProgram", "Program"]) + """SELECT pr.DistrictID, link.StudentID, pr.Name AS Program
+FROM StudentProgram link JOIN Program pr ON pr.ProgramID = link.ProgramID"""
     out["student_dimension"] = with_tables(["Student", "Gender", "Race", "StudentProgram", "Program"]) + """
-SELECT s.DistrictID, s.StudentID, 'Gender' AS Dimension, g.Name AS Value FROM Student s JOIN Gender g ON g.GenderID = s.GenderID
-UNION ALL SELECT s.DistrictID, s.StudentID, 'Race', r.Name FROM Student s JOIN Race r ON r.RaceID = s.RaceID
-UNION ALL SELECT p.DistrictID, sp.StudentID, 'Program', p.Name FROM StudentProgram sp JOIN Program p ON p.ProgramID = sp.ProgramID"""
+SELECT stu.DistrictID, stu.StudentID, 'Gender' AS Dimension, gd.Name AS Value FROM Student stu JOIN Gender gd ON gd.GenderID = stu.GenderID
+UNION ALL SELECT stu.DistrictID, stu.StudentID, 'Race', rc.Name FROM Student stu JOIN Race rc ON rc.RaceID = stu.RaceID
+UNION ALL SELECT pr.DistrictID, link.StudentID, 'Program', pr.Name FROM StudentProgram link JOIN Program pr ON pr.ProgramID = link.ProgramID"""
 
     out.update(_standards_sql(cfg))
     out.update(_demographic_sql(cfg))
 
-    out["report_variant"] = with_tables(["District", "Student"]) + f"""SELECT d.DistrictID, d.Name AS DistrictName, d.StateID,
-  CASE WHEN d.StateID = {cfg.parcc_state_id} THEN {q(cfg.parcc_variant[0])} ELSE {q(cfg.other_variant[0])} END AS StateTest,
-  CASE WHEN d.StateID = {cfg.parcc_state_id} THEN {cfg.parcc_variant[1]} ELSE {cfg.other_variant[1]} END AS AchievementLevelSettingID,
-  CAST(coalesce(c.n, 0) AS BIGINT) AS Students
-FROM District d LEFT JOIN (SELECT DistrictID, count(*) AS n FROM Student GROUP BY DistrictID) c ON c.DistrictID = d.DistrictID"""
+    out["report_variant"] = with_tables(["District", "Student"]) + f"""SELECT dd.DistrictID, dd.Name AS DistrictName, dd.StateID,
+  CASE WHEN dd.StateID = {cfg.parcc_state_id} THEN {q(cfg.parcc_variant[0])} ELSE {q(cfg.other_variant[0])} END AS StateTest,
+  CASE WHEN dd.StateID = {cfg.parcc_state_id} THEN {cfg.parcc_variant[1]} ELSE {cfg.other_variant[1]} END AS AchievementLevelSettingID,
+  CAST((SELECT count(*) FROM Student stu WHERE stu.DistrictID = dd.DistrictID) AS BIGINT) AS Students
+FROM District dd"""
     return out
 
 
 def _standards_sql(cfg) -> dict[str, str]:
+    """Points per class, teacher, test and tag.  School and class/term
+    names are scalar lookups (NULL when absent); the test-name filter needs
+    the test, so that join is inner."""
     tables = ["TestResult", "User", "School", "VirtualTest", "Bank", "Subject", "Grade", "Class", "DistrictTerm",
               "Answer", "VirtualQuestion", "QTIItem"]
-    td = f"""td AS (
-SELECT tr.TestResultID, tr.UpdatedDate, u.DistrictID, u.UserID, u.Code AS TeacherCode,
-  u.NameFirst AS TeacherFirstName, u.NameLast AS TeacherLastName, sc.Name AS SchoolName,
-  t.TestName, t.Subject, t.Grade, ct.ClassID, ct.ClassName, ct.TermName
-FROM TestResult tr JOIN "User" u ON tr.UserID = u.UserID
-LEFT JOIN School sc ON sc.SchoolID = tr.SchoolID
-LEFT JOIN (SELECT vt.VirtualTestID, vt.Name AS TestName, sb.Name AS Subject, g.Name AS Grade
-           FROM VirtualTest vt JOIN Bank b ON vt.BankID = b.BankID
-           JOIN Subject sb ON b.SubjectID = sb.SubjectID JOIN Grade g ON sb.GradeID = g.GradeID) t
-  ON t.VirtualTestID = tr.VirtualTestID
-LEFT JOIN (SELECT c.ClassID, c.Name AS ClassName, d.Name AS TermName
-           FROM Class c JOIN DistrictTerm d ON c.DistrictTermID = d.DistrictTermID) ct ON ct.ClassID = tr.ClassID
-WHERE tr.ResultDate > {_ts(cfg.standards_since)})"""
-    group = ("td.DistrictID, td.TermName, td.TestName, td.Subject, td.Grade, td.SchoolName, td.UserID, "
-             "td.TeacherCode, td.TeacherFirstName, td.TeacherLastName, td.ClassID, td.ClassName, tda.Tag")
-    where = _incl_excl("td.TestName", cfg.standards_include, cfg.standards_exclude)
+    scoped = f"""scoped AS (
+  SELECT r.TestResultID, r.UpdatedDate, tch.DistrictID, tch.UserID, tch.Code AS TeacherCode,
+         tch.NameFirst AS TeacherFirstName, tch.NameLast AS TeacherLastName, r.ClassID,
+         (SELECT sch.Name FROM School sch WHERE sch.SchoolID = r.SchoolID) AS SchoolName,
+         (SELECT k.class_name FROM classes k WHERE k.ClassID = r.ClassID) AS ClassName,
+         (SELECT k.term_name FROM classes k WHERE k.ClassID = r.ClassID) AS TermName,
+         x.test_name AS TestName, x.subject AS Subject, x.grade AS Grade
+  FROM TestResult r
+  JOIN "User" tch ON tch.UserID = r.UserID
+  JOIN tests x ON x.VirtualTestID = r.VirtualTestID
+  WHERE r.ResultDate > {_ts(cfg.standards_since)}
+    AND {_incl_excl('x.test_name', cfg.standards_include, cfg.standards_exclude)})"""
+    keys = ("DistrictID, TermName, TestName, Subject, Grade, SchoolName, UserID, TeacherCode, "
+            "TeacherFirstName, TeacherLastName, ClassID, ClassName, tag")
 
     def block(bridge, bridge_key, tag_table, tag_key, tag_col, final_tag):
-        return with_tables(tables + [bridge, tag_table]) + f""", {td},
-tda AS (SELECT a.TestResultID, m.{tag_col} AS Tag,
-  CAST(trunc(a.PointsEarned) AS INTEGER) AS pe, CAST(trunc(a.PointsPossible) AS INTEGER) AS pp
-  FROM Answer a JOIN VirtualQuestion vq ON a.VirtualQuestionID = vq.VirtualQuestionID
-  JOIN QTIItem qi ON vq.QTIItemID = qi.QTIItemID
-  JOIN {bridge} br ON vq.VirtualQuestionID = br.VirtualQuestionID
-  JOIN {tag_table} m ON br.{bridge_key} = m.{tag_key}),
-agg AS (SELECT {group}, max(td.UpdatedDate) AS MostRecentDate,
-  CAST(sum(tda.pe) AS BIGINT) AS TotalPointsEarned, CAST(sum(tda.pp) AS BIGINT) AS TotalPointsPossible
-  FROM td JOIN tda ON td.TestResultID = tda.TestResultID WHERE {where} GROUP BY {group})
-SELECT DistrictID, {_school_year('TermName', 'MostRecentDate', cfg)} AS TermName, TestName, Subject, Grade,
+        points = f"""points AS (
+  SELECT a.TestResultID, lbl.{tag_col} AS tag,
+         CAST(trunc(a.PointsEarned) AS INTEGER) AS earned, CAST(trunc(a.PointsPossible) AS INTEGER) AS possible
+  FROM Answer a
+  JOIN VirtualQuestion vq ON vq.VirtualQuestionID = a.VirtualQuestionID
+  JOIN {bridge} link ON link.VirtualQuestionID = vq.VirtualQuestionID
+  JOIN {tag_table} lbl ON lbl.{tag_key} = link.{bridge_key}
+  WHERE EXISTS (SELECT 1 FROM QTIItem item WHERE item.QTIItemID = vq.QTIItemID))"""
+        return with_tables(tables + [bridge, tag_table], [_TESTS, _CLASSES, scoped, points]) + f""", grouped AS (
+  SELECT {keys}, max(UpdatedDate) AS latest,
+         CAST(sum(earned) AS BIGINT) AS TotalPointsEarned, CAST(sum(possible) AS BIGINT) AS TotalPointsPossible
+  FROM scoped JOIN points USING (TestResultID)
+  GROUP BY {keys})
+SELECT DistrictID, {_school_year('TermName', 'latest', cfg)} AS TermName, TestName, Subject, Grade,
   {_form('TestName', cfg, guarded=False)} AS Form, SchoolName, UserID, TeacherCode, TeacherFirstName,
   TeacherLastName, ClassID, ClassName, {final_tag}, TotalPointsEarned, TotalPointsPossible
-FROM agg"""
+FROM grouped"""
 
     return {
         "standards_summary": block("VirtualQuestionStateStandard", "StateStandardID", "MasterStandard",
-                                   "MasterStandardID", "Number", "Tag AS StandardNbr"),
+                                   "MasterStandardID", "Number", "tag AS StandardNbr"),
         "skills_summary": block("VirtualQuestionLessonOne", "LessonOneID", "LessonOne", "LessonOneID", "Name",
-                                "replace(replace(Tag, chr(10), ''), chr(13), '') AS Skills"),
+                                "replace(replace(tag, chr(10), ''), chr(13), '') AS Skills"),
     }
 
 
@@ -436,37 +449,40 @@ def _demographic_sql(cfg) -> dict[str, str]:
               "VirtualQuestionStateStandard", "MasterStandard", "Answer", "District", "Gender", "Race",
               "TestResultProgram", "Program"]
     banks = ", ".join(f"({q(t)}, {b})" for t, ids in cfg.bank_ids.items() for b in ids)
-    head = with_tables(tables) + f""", v AS (SELECT DistrictID, {_variant_cols(cfg)} FROM District),
-banks(StateTest, BankID) AS (VALUES {banks})"""
-
-    def block(label, join, value):
-        return f"""SELECT Student.DistrictID, School.Name AS School, VirtualTest.Name AS TestName,
-  '{label}' AS Demographic, {value} AS Value, MasterStandard.Number, Answer.PointsEarned, Answer.PointsPossible
-FROM VirtualTest
-JOIN TestResult ON TestResult.VirtualTestID = VirtualTest.VirtualTestID
-JOIN School ON School.SchoolID = TestResult.SchoolID
-JOIN Student ON Student.StudentID = TestResult.StudentID
-{join}
-JOIN VirtualQuestion ON VirtualQuestion.VirtualTestID = VirtualTest.VirtualTestID
-JOIN VirtualQuestionStateStandard ON VirtualQuestionStateStandard.VirtualQuestionID = VirtualQuestion.VirtualQuestionID
-JOIN MasterStandard ON MasterStandard.MasterStandardID = VirtualQuestionStateStandard.StateStandardID
-JOIN Answer ON Answer.TestResultID = TestResult.TestResultID AND Answer.VirtualQuestionID = VirtualQuestion.VirtualQuestionID
-JOIN v ON v.DistrictID = Student.DistrictID
-JOIN banks ON banks.StateTest = v.StateTest AND banks.BankID = VirtualTest.BankID"""
-
-    blocks = {
-        "Gender": block("Gender", "JOIN Gender ON Student.GenderID = Gender.GenderID", "Gender.Name"),
-        "Race": block("Race", "JOIN Race ON Student.RaceID = Race.RaceID", "Race.Name"),
-        "Program": block("Program", "JOIN TestResultProgram ON TestResultProgram.TestResultID = TestResult.TestResultID\n"
-                                    "JOIN Program ON TestResultProgram.ProgramID = Program.ProgramID", "Program.Name"),
+    ctes = [
+        f"variants AS (SELECT DistrictID, {_variant_cols(cfg)} FROM District)",
+        f"banks(StateTest, BankID) AS (VALUES {banks})",
+        """picked AS (
+  SELECT r.TestResultID, r.VirtualTestID, t.Name AS TestName, sch.Name AS School, stu.DistrictID,
+         stu.GenderID, stu.RaceID
+  FROM TestResult r
+  JOIN VirtualTest t ON t.VirtualTestID = r.VirtualTestID
+  JOIN School sch ON sch.SchoolID = r.SchoolID
+  JOIN Student stu ON stu.StudentID = r.StudentID
+  JOIN variants v ON v.DistrictID = stu.DistrictID
+  JOIN banks bk ON bk.StateTest = v.StateTest AND bk.BankID = t.BankID)""",
+        """pts AS (
+  SELECT pk.*, ms.Number, a.PointsEarned, a.PointsPossible
+  FROM picked pk
+  JOIN Answer a ON a.TestResultID = pk.TestResultID
+  JOIN VirtualQuestion vq ON vq.VirtualQuestionID = a.VirtualQuestionID AND vq.VirtualTestID = pk.VirtualTestID
+  JOIN VirtualQuestionStateStandard link ON link.VirtualQuestionID = vq.VirtualQuestionID
+  JOIN MasterStandard ms ON ms.MasterStandardID = link.StateStandardID)""",
+    ]
+    head = with_tables(tables, ctes)
+    parts = {
+        "Gender": "SELECT pts.*, 'Gender' AS Demographic, gd.Name AS Value FROM pts JOIN Gender gd ON gd.GenderID = pts.GenderID",
+        "Race": "SELECT pts.*, 'Race' AS Demographic, rc.Name AS Value FROM pts JOIN Race rc ON rc.RaceID = pts.RaceID",
+        "Program": ("SELECT pts.*, 'Program' AS Demographic, pr.Name AS Value FROM pts "
+                    "JOIN TestResultProgram rp ON rp.TestResultID = pts.TestResultID "
+                    "JOIN Program pr ON pr.ProgramID = rp.ProgramID"),
     }
 
     def agg(names):
-        body = "\nUNION ALL\n".join(blocks[n] for n in names)
-        return head + f"""
-SELECT DistrictID, School, TestName, Demographic, Value, Number,
+        body = "\nUNION ALL\n".join(parts[n] for n in names)
+        return head + f"""SELECT DistrictID, School, TestName, Demographic, Value, Number,
   sum(PointsEarned) AS PointsEarned, sum(PointsPossible) AS PointsPossible
-FROM ({body}) x GROUP BY DistrictID, School, TestName, Demographic, Value, Number"""
+FROM ({body}) labelled GROUP BY DistrictID, School, TestName, Demographic, Value, Number"""
 
     return {
         "standards_by_demographic": agg(["Gender", "Race", "Program"]),
@@ -479,29 +495,33 @@ FROM ({body}) x GROUP BY DistrictID, School, TestName, Demographic, Value, Numbe
 # --------------------------------------------------------------- status ----
 
 def status_sql(cfg: ReportConfig, form: str) -> dict[str, str]:
-    tables = sorted(set(_STAR_TABLES + ["ClassUser", "ClassUserLOE", "ClassStudent"]))
-    roster = """SELECT DISTINCT Student.DistrictID, School.Name AS School, Student.LastName, Student.FirstName,
-  Student.MiddleName, Student.Code, Grade.Name AS Grade
-FROM DistrictTerm
-JOIN Class ON DistrictTerm.DistrictTermID = Class.DistrictTermID
-JOIN ClassUser ON Class.ClassID = ClassUser.ClassID
-JOIN School ON Class.SchoolID = School.SchoolID
-JOIN "User" ON ClassUser.UserID = "User".UserID
-JOIN ClassUserLOE ON ClassUser.ClassUserLOEID = ClassUserLOE.ClassUserLOEID
-JOIN ClassStudent ON Class.ClassID = ClassStudent.ClassID
-JOIN Student ON ClassStudent.StudentID = Student.StudentID
-LEFT JOIN Grade ON Student.CurrentGradeID = Grade.GradeID
-WHERE DistrictTerm.Active = 1"""
-    bench = f"""SELECT dt.DistrictID, s.Code AS StudentCode, sub.Name AS Subject, {_form('vt.Name', cfg)} AS Form
-{_STAR}WHERE dt.Active = 1 AND {_incl_excl('vt.Name', cfg.status_include, cfg.status_exclude)}"""
+    tables = sorted(set(_SCORED_TABLES + ["ClassUser", "ClassUserLOE", "ClassStudent"]))
+    roster = """roster AS (
+  SELECT DISTINCT stu.DistrictID, sch.Name AS School, stu.LastName, stu.FirstName, stu.MiddleName, stu.Code,
+         gr.Name AS Grade
+  FROM ClassStudent enr
+  JOIN Student stu ON stu.StudentID = enr.StudentID
+  JOIN classes k ON k.ClassID = enr.ClassID AND k.active = 1
+  JOIN School sch ON sch.SchoolID = k.class_school
+  LEFT JOIN Grade gr ON gr.GradeID = stu.CurrentGradeID
+  WHERE EXISTS (SELECT 1 FROM ClassUser cu
+                WHERE cu.ClassID = enr.ClassID
+                  AND EXISTS (SELECT 1 FROM "User" tch WHERE tch.UserID = cu.UserID)
+                  AND EXISTS (SELECT 1 FROM ClassUserLOE loe WHERE loe.ClassUserLOEID = cu.ClassUserLOEID)))"""
+    done = f"""done AS (
+  SELECT term_district AS DistrictID, student_code, subject, {_form('test_name', cfg)} AS form_letter
+  FROM scored
+  WHERE active = 1 AND {_incl_excl('test_name', cfg.status_include, cfg.status_exclude)})"""
     flags = ",\n  ".join(
-        f"""CASE WHEN EXISTS (SELECT 1 FROM b WHERE b.DistrictID = r.DistrictID AND b.StudentCode = r.Code
-    AND b.Subject = {q(subject)} AND b.Form = {q(form)}) THEN 'Yes' ELSE 'No' END AS {col}"""
+        f"""CASE WHEN EXISTS (SELECT 1 FROM done WHERE done.DistrictID = roster.DistrictID
+    AND done.student_code = roster.Code AND done.subject = {q(subject)} AND done.form_letter = {q(form)})
+    THEN 'Yes' ELSE 'No' END AS {col}"""
         for col, subject in cfg.status_subjects)
     return {
-        "status_roster": with_tables(tables) + roster,
-        "status_matrix": with_tables(tables) + f""", r AS ({roster}), b AS ({bench})
-SELECT r.*, {flags} FROM r""",
+        "status_roster": with_tables(tables, [_CLASSES, roster]) + "SELECT * FROM roster",
+        "status_matrix": with_tables(tables, [_TESTS, _CLASSES, _SCORED, roster, done]) + f"""SELECT roster.*,
+  {flags}
+FROM roster""",
     }
 
 
