@@ -34,7 +34,7 @@ def usage_report(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT,
         "# of Results by Date totals": u.results_by_date_total(),
         "# of Results by Date change": u.period_change(),
         "# of Results by Client": u.results_by_client(),
-        "# of LinkIt Benchmarks": u.benchmarks_by_client(),
+        "# of Benchmarks by Client": u.benchmarks_by_client(),
         "# of Online by Start Date": u.sessions_by_date("StartDate"),
         "# of Online by Last Login Date": u.sessions_by_date("LastLoginDate"),
         "# of Online by Hour": u.sessions_by_hour(),
@@ -69,7 +69,7 @@ def benchmark_extract(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAUL
     points-by-program sheet is produced for every variant."""
     state_sheet = "State Test" if district_id is None else extracts.state_variant(cat, district_id, cfg)[0]
     return {
-        "Linkit Benchmarks": extracts.local_benchmark_detail(cat, district_id, cfg),
+        "Local Benchmarks": extracts.local_benchmark_detail(cat, district_id, cfg),
         state_sheet: extracts.state_test_extract(cat, district_id, cfg),
         "Standards": extracts.standards_summary(cat, district_id, cfg),
         "Skills": extracts.skills_summary(cat, district_id, cfg),
@@ -95,7 +95,7 @@ def benchmark_status(cat: Catalog, district_id, form: str, cfg: ReportConfig = D
 
 
 # Sections written only when non-empty (as the original guarded them).
-GUARDED = ("Linkit Benchmarks", "Standards", "Skills")
+GUARDED = ("Local Benchmarks", "Standards", "Skills")
 
 
 def district_name(cat: Catalog, district_id) -> str:

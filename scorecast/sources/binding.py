@@ -54,7 +54,7 @@ def _s(source, *exprs, where=None):
     return Select(source, tuple(exprs), where)
 
 
-# Test names: three in four tests are local benchmarks ("LinkIt <type>
+# Test names: three in four tests are local benchmarks ("<vendor> <type>
 # Form|form <A|B|C>", some CR / Retake / Luppino variants), one in four is a
 # state test ("<yyyy>-<yyyy> PARCC|PSSA <subject>").
 _VT_NAME = """CASE WHEN p_partkey % 4 = 3 THEN
