@@ -46,8 +46,13 @@ def write_report(sheets: dict[str, DataFrame], out: str, fmt: str = "parquet", m
             if df.isEmpty():
                 continue
         path = os.path.join(out, sheet_folder(name))
-        w = df.write.mode(mode)
         cols = (partition_by or {}).get(name)
+        if cols:
+            # REBALANCE: AQE gathers each partition value into few, evenly
+            # sized tasks (few files per folder) and splits a value that is
+            # too large for one task (a district with a third of the rows).
+            df = df.hint("rebalance", *cols)
+        w = df.write.mode(mode)
         if cols:
             w = w.partitionBy(*cols)
         if fmt == "csv":
