@@ -221,7 +221,8 @@ def cluster_ratio(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT,
 
     NUM: sum of scores for ``Scale Score`` clusters, else the number of
     scores equal to 1; DIV: number of non-NULL scores.  Written back by
-    group-by + join (``operators.joins.write_back``), never a window."""
+    group-by + salted join (``operators.joins.write_back``), never a
+    window, so a hot group is spread over many tasks."""
     test, level = cfg.parcc_variant
     tr = cat["TestResult"].select("TestResultID", "VirtualTestID", "DistrictTermID", "StudentID",
                                   "SchoolID", "ClassID", "UserID")
