@@ -134,11 +134,17 @@ FROM piv"""
     for label, code in zip(lab, codes):
         cols.append(f"max(Date) FILTER (WHERE period = {q(label)}) AS {code}_Date")
         cols += [f"max({m}) FILTER (WHERE period = {q(label)}) AS {code}_{m}" for m in measures]
-    out["usage_results_by_date_wide"] = head + f""", numbered AS (
-  SELECT period, strftime(day, '%m/%d/%Y') AS Date, Total, OnlineTests, BubbleSheets,
-    CAST(row_number() OVER (PARTITION BY period ORDER BY day) AS INTEGER) AS "row"
-  FROM ({_daily(False, cfg)}) daily)
-SELECT "row", {', '.join(cols)} FROM numbered GROUP BY "row" """
+    out["usage_results_by_date_wide"] = head + f""", calendar AS (
+  SELECT period, week_start, CAST(unnest(generate_series(week_start, week_end, INTERVAL 1 DAY)) AS DATE) AS day
+  FROM periods),
+cells AS (
+  SELECT calendar.period, CAST(calendar.day - calendar.week_start AS INTEGER) AS "row",
+    strftime(calendar.day, '%m/%d/%Y') AS Date,
+    CAST(coalesce(daily.Total, 0) AS BIGINT) AS Total,
+    CAST(coalesce(daily.OnlineTests, 0) AS BIGINT) AS OnlineTests,
+    CAST(coalesce(daily.BubbleSheets, 0) AS BIGINT) AS BubbleSheets
+  FROM calendar LEFT JOIN ({_daily(False, cfg)}) daily ON daily.period = calendar.period AND daily.day = calendar.day)
+SELECT "row", {', '.join(cols)} FROM cells GROUP BY "row" """
     out["dense_daily_counts"] = head + f""", calendar AS (
   SELECT period, CAST(unnest(generate_series(week_start, week_end, INTERVAL 1 DAY)) AS DATE) AS day FROM periods)
 SELECT calendar.period, strftime(calendar.day, '%Y-%m-%d') AS day,

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ReportConfig
@@ -160,13 +160,16 @@ class WeeklyUsage:
                 .orderBy("section", "measure"))
 
     def results_by_date_wide(self) -> DataFrame:
-        """Side-by-side layout: row ``n`` holds the n-th day of every period
-        (the original placed the three tables next to each other)."""
+        """Side-by-side layout of the three by-date tables (the original
+        placed them next to each other).  Row ``n`` is day ``n`` of every
+        period's calendar (week start = row 0), with missing days as zero
+        counts, so the same weekday sits on the same row in every period."""
         codes = {lab: lab.lower().replace(" ", "_") for lab in self.cfg.period_labels}
         code = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv])[F.col("period")]
-        # At most 14 rows per period (one per day), so this window is bounded.
-        row = F.row_number().over(Window.partitionBy("period").orderBy("day"))
-        df = self.by_date().withColumn("period_code", code).withColumn("row", row)
+        dense = densify_days(self.by_date().drop("period_ord", "Date"), self.periods, "day", RESULT_MEASURES)
+        dense = dense.join(F.broadcast(self.periods.select("period", "week_start")), "period")
+        df = dense.select(code.alias("period_code"), F.datediff("day", "week_start").alias("row"),
+                          day_text("day").alias("Date"), *RESULT_MEASURES)
         wide = df.groupBy("row").pivot("period_code", list(codes.values())).agg(
             F.max("Date").alias("Date"), *[F.max(m).alias(m) for m in RESULT_MEASURES])
         return wide.orderBy("row")

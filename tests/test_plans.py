@@ -64,6 +64,11 @@ def test_single_district_filter_reaches_scan(spark):
     assert "EqualTo(c_nationkey,5)" in p
 
 
+def test_no_window_anywhere(spark, q):
+    for k, fn in q.items():
+        assert "Window" not in plan(fn(spark, SF_SMALL)), k
+
+
 def test_no_single_partition_exchange(spark, q):
     """No plan funnels its data through one task."""
     for k, fn in q.items():
