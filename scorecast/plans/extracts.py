@@ -334,9 +334,14 @@ def _answers_tagged(cat: Catalog, bridge: str, tag_table: str, tag_key: str, tag
             .join(br, "VirtualQuestionID").join(tag, "_tag_key").drop("_tag_key"))
 
 
-def _points_by(cat, district_id, cfg, bridge, tag_table, tag_key, tag_col) -> DataFrame:
-    td = _staged_results(cat, district_id, cfg).where(
+def staged_results(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """The enriched results both summaries start from (benchmark tests only)."""
+    return _staged_results(cat, district_id, cfg).where(
         include_exclude("TestName", cfg.standards_include, cfg.standards_exclude))
+
+
+def _points_by(cat, district_id, cfg, bridge, tag_table, tag_key, tag_col, staged=None) -> DataFrame:
+    td = staged if staged is not None else staged_results(cat, district_id, cfg)
     tda = _answers_tagged(cat, bridge, tag_table, tag_key, tag_col)
     df = td.join(tda, "TestResultID")
     return df.groupBy("DistrictID", *GROUP_COLUMNS, "Tag").agg(
@@ -352,20 +357,25 @@ def _label_summary(df: DataFrame, cfg: ReportConfig) -> DataFrame:
             .withColumn("TermName", school_year("TermName", "MostRecentDate", cfg)))
 
 
-def standards_summary(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
-    """Points earned and possible per class, teacher, test and standard."""
+def standards_summary(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT,
+                      staged: DataFrame | None = None) -> DataFrame:
+    """Points earned and possible per class, teacher, test and standard.
+    ``staged``: a precomputed ``staged_results`` (shared with the skills
+    summary by the report runner)."""
     df = _points_by(cat, district_id, cfg, "VirtualQuestionStateStandard", "MasterStandard",
-                    "MasterStandardID", "Number")
+                    "MasterStandardID", "Number", staged)
     df = _label_summary(df, cfg).withColumnRenamed("Tag", "StandardNbr")
     return df.select("DistrictID", "TermName", "TestName", "Subject", "Grade", "Form", "SchoolName", "UserID",
                      "TeacherCode", "TeacherFirstName", "TeacherLastName", "ClassID", "ClassName",
                      "StandardNbr", "TotalPointsEarned", "TotalPointsPossible")
 
 
-def skills_summary(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def skills_summary(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT,
+                   staged: DataFrame | None = None) -> DataFrame:
     """As ``standards_summary`` per skill; line breaks are removed from the
     skill name after grouping on the raw name."""
-    df = _points_by(cat, district_id, cfg, "VirtualQuestionLessonOne", "LessonOne", "LessonOneID", "Name")
+    df = _points_by(cat, district_id, cfg, "VirtualQuestionLessonOne", "LessonOne", "LessonOneID", "Name",
+                    staged)
     df = _label_summary(df, cfg).withColumn("Skills", strip_crlf("Tag"))
     return df.select("DistrictID", "TermName", "TestName", "Subject", "Grade", "Form", "SchoolName", "UserID",
                      "TeacherCode", "TeacherFirstName", "TeacherLastName", "ClassID", "ClassName",
