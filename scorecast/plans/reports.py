@@ -68,10 +68,10 @@ def benchmark_extract(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAUL
     districts it is "State Test" with a StateTest column.  The
     points-by-program sheet is produced for every variant."""
     state_sheet = "State Test" if district_id is None else extracts.state_variant(cat, district_id, cfg)[0]
-    # standards and skills start from the same enriched results: built once
+    # standards and skills start from the same enriched results (one plan;
+    # re-scanning it is cheaper than checkpointing it: a pruned scan plus
+    # broadcast joins)
     staged = extracts.staged_results(cat, district_id, cfg)
-    if share:
-        staged = materialize(cat.spark, staged)
     return {
         "Local Benchmarks": extracts.local_benchmark_detail(cat, district_id, cfg),
         state_sheet: extracts.state_test_extract(cat, district_id, cfg),
