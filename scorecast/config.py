@@ -147,6 +147,9 @@ class ReportConfig:
     benchmark_extract_name: str = BENCHMARK_EXTRACT_NAME
     parcc_extract_name: str = PARCC_EXTRACT_NAME
     status_report_name: str = STATUS_REPORT_NAME
+    # Sum answers per (result, standard) before joining them to the results
+    # (pays off when several answers of a result share a standard).
+    preaggregate_answers: bool = False
     # Hot-group handling: salt buckets of group write-backs (1 = off).
     write_back_salt_buckets: int = 16
     # Q1: on Saturday/Sunday the original "this week" spans 14 days.

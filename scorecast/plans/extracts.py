@@ -343,6 +343,11 @@ def staged_results(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT)
 def _points_by(cat, district_id, cfg, bridge, tag_table, tag_key, tag_col, staged=None) -> DataFrame:
     td = staged if staged is not None else staged_results(cat, district_id, cfg)
     tda = _answers_tagged(cat, bridge, tag_table, tag_key, tag_col)
+    if cfg.preaggregate_answers:
+        # one row per (result, tag) before the big join: exact, as points
+        # are truncated per answer first and sums add up
+        tda = tda.groupBy("TestResultID", "Tag").agg(
+            F.sum("PointsEarned").alias("PointsEarned"), F.sum("PointsPossible").alias("PointsPossible"))
     df = td.join(tda, "TestResultID")
     return df.groupBy("DistrictID", *GROUP_COLUMNS, "Tag").agg(
         F.max("UpdatedDate").alias("MostRecentDate"),

@@ -88,3 +88,10 @@ def test_single_district_equals_filtered_all(cat, fn):
         one = sorted(map(repr, fn(cat, d, CFG).collect()))
         alld = sorted(map(repr, fn(cat, None, CFG).where(F.col("DistrictID") == d).collect()))
         assert one == alld
+
+
+def test_answer_preaggregation_is_exact(cat):
+    import dataclasses
+    on = dataclasses.replace(CFG, preaggregate_answers=True)
+    for fn in (extracts.standards_summary, extracts.skills_summary):
+        assert sorted(map(tuple, fn(cat, None, CFG).collect())) == sorted(map(tuple, fn(cat, None, on).collect()))
