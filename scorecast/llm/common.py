@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import os
+import tempfile
+import zipfile
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +22,32 @@ MAX_BLOOM_BITS = 1 << 28
 _BUCKET = 1 << 15  # bits in one row of a filter (4 KB)
 
 
+_SHIPPED: dict = {}
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers: its sources go to
+    the executors once per application, as with ``--py-files``."""
+    sc = spark.sparkContext
+    if _SHIPPED.get(sc.applicationId):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    top = os.path.dirname(here)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w") as z:
+        for folder in (top, here):
+            for name in sorted(os.listdir(folder)):
+                if name.endswith(".py") and (folder == here or name in ("__init__.py", "session.py")):
+                    path = os.path.join(folder, name)
+                    with open(path) as f:
+                        z.writestr(zipfile.ZipInfo(os.path.relpath(path, os.path.dirname(top))), f.read())
+    path = os.path.join(tempfile.mkdtemp(), f"scorecast_llm_{zlib.crc32(buf.getvalue()):08x}.zip")
+    with open(path, "wb") as f:
+        f.write(buf.getvalue())
+    sc.addPyFile(path)
+    _SHIPPED[sc.applicationId] = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import table
-from . import exact_dedup, sharding
+from . import exact_dedup, jaccard_join, sharding
+
+
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
 def op6_sharding(spark, sf_dir):
@@ -18,7 +22,7 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_sharding, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op3_jaccard_join, op6_sharding, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": r"""
