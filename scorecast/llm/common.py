@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 import zlib
 
@@ -60,6 +61,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

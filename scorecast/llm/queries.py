@@ -4,25 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .common import table
-from . import exact_dedup, jaccard_join, sharding
+from .common import scratch, table
+from . import exact_dedup, html_extract, jaccard_join, sharding, warc
 
 
 def op3_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extract(spark, sf_dir):
+    out = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_sharding(spark, sf_dir):
     out = sharding.shard(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_warc(spark, sf_dir):
+    folder = scratch(spark, "warc")
+    index = warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_jaccard_join, op6_sharding, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op3_jaccard_join, op5_html_extract, op6_sharding, op9_warc, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": r"""
