@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import scratch, table
-from . import exact_dedup, html_extract, jaccard_join, sharding, warc
+from . import exact_dedup, html_extract, jaccard_join, sharding, substring_dedup, warc
 
 
 def op3_jaccard_join(spark, sf_dir):
@@ -23,6 +23,10 @@ def op6_sharding(spark, sf_dir):
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op7_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op9_warc(spark, sf_dir):
     folder = scratch(spark, "warc")
     index = warc.write(table(spark, sf_dir, "pages"), folder)
@@ -33,7 +37,7 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_jaccard_join, op5_html_extract, op6_sharding, op9_warc, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op3_jaccard_join, op5_html_extract, op6_sharding, op7_substring_dedup, op9_warc, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": r"""
