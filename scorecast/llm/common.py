@@ -66,6 +66,30 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _hadoop(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def make_folder(spark: SparkSession, folder: str) -> None:
+    fs, path = _hadoop(spark, folder)
+    fs.mkdirs(path)
+
+
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that ``scratch`` named, with all in it."""
+    fs, path = _hadoop(spark, folder)
+    fs.delete(path, True)
+
+
+def filesystem(folder: str):
+    """(pyarrow file system, path) of a folder that executors share."""
+    from pyarrow.fs import FileSystem, LocalFileSystem
+    if folder.startswith("file:"):
+        return LocalFileSystem(), "/" + folder[5:].lstrip("/")
+    return FileSystem.from_uri(folder) if "://" in folder else (LocalFileSystem(), folder)
+
+
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from .common import scratch, table
-from . import exact_dedup, html_extract, jaccard_join, sharding, substring_dedup, warc
+from .common import cut, drop_folder, scratch, table
+from . import bpe, exact_dedup, html_extract, jaccard_join, sharding, substring_dedup, warc
+
+
+def public_vocabulary(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def op3_jaccard_join(spark, sf_dir):
@@ -27,17 +32,27 @@ def op7_substring_dedup(spark, sf_dir):
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op8_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = bpe.encode(docs, public_vocabulary("word_bpe_49k.json"))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                      F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op9_warc(spark, sf_dir):
     folder = scratch(spark, "warc")
     index = warc.write(table(spark, sf_dir, "pages"), folder)
-    return warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    out = cut(warc.read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+    drop_folder(spark, folder)
+    return out
 
 
 def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_jaccard_join, op5_html_extract, op6_sharding, op7_substring_dedup, op9_warc, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op3_jaccard_join, op5_html_extract, op6_sharding, op7_substring_dedup, op8_bpe, op9_warc, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": r"""

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, bloom_bits, bloom_of, cut, maybe_in, ship, text_or_empty
+from .common import attach, bloom_bits, bloom_of, cut, filesystem, make_folder, maybe_in, ship, text_or_empty
 
 FRAME_BYTES = 1 << 20      # records are gathered into frames of about this many bytes
 BUNDLE_BYTES = 64 << 20    # a bundle of this compressed size is closed
@@ -130,21 +130,12 @@ def read_frame(f, entry: tuple[int, int, int]) -> bytes:
     return data
 
 
-def _filesystem(folder: str):
-    from pyarrow.fs import FileSystem, LocalFileSystem
-    if "://" in folder or folder.startswith("file:"):
-        if folder.startswith("file:"):
-            return LocalFileSystem(), folder.removeprefix("file:").replace("//", "/", 1) if folder.startswith("file://") else folder[5:]
-        return FileSystem.from_uri(folder)
-    return LocalFileSystem(), folder
-
-
 INDEX = "bundle string, frame int, offset long, length long, record_id string, page_id long"
 
 
 def _writer(folder: str, frame_bytes: int, bundle_bytes: int, date: str):
     def run(batches):
-        fs, root = _filesystem(folder)
+        fs, root = filesystem(folder)
         bundle, name, held, size, rows = None, None, [], 0, []
 
         def flush():
@@ -217,8 +208,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     marked = maybe_in(src, F.xxhash64("sha"), bloom_of(groups.select(F.xxhash64("sha").alias("h")), "h", bits), bits, "maybe")
     alone = marked.filter(~F.col("maybe")).select("id", "url", "html", F.lit(None).cast("long").alias("keep"), F.lit(None).cast("long").alias("n"))
     again = attach(marked.filter("maybe").select("id", "url", "html", "sha"), groups, ["sha"], "n", n).select("id", "url", "html", "keep", "n")
-    fs = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(fs)
+    make_folder(spark, folder)
     return cut(alone.unionByName(again).mapInArrow(_writer(folder, frame_bytes, bundle_bytes, date), INDEX))
 
 
@@ -235,7 +225,7 @@ def _reader(batches):
                 if f is not None:
                     f.close()
                 folder, _, file = bundle.rpartition("/")
-                fs, root = _filesystem(folder)
+                fs, root = filesystem(folder)
                 name, f = bundle, fs.open_input_file(f"{root}/{file}")
                 entries = seek_table(f)
             for at, head, http, payload in parse(read_frame(f, entries[frame])):
