@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import cut, drop_folder, scratch, table
-from . import bpe, exact_dedup, html_extract, jaccard_join, sharding, substring_dedup, warc
+from . import bpe, decontaminate, exact_dedup, html_extract, jaccard_join, sharding, substring_dedup, warc
 
 
 def public_vocabulary(name: str) -> str:
@@ -17,6 +17,10 @@ def op3_jaccard_join(spark, sf_dir):
     return jaccard_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_html_extract(spark, sf_dir):
     out = html_extract.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -52,7 +56,7 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_jaccard_join, op5_html_extract, op6_sharding, op7_substring_dedup, op8_bpe, op9_warc, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op3_jaccard_join, op4_decontaminate, op5_html_extract, op6_sharding, op7_substring_dedup, op8_bpe, op9_warc, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": r"""
