@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import cut, drop_folder, scratch, table
-from . import bpe, decontaminate, exact_dedup, html_extract, jaccard_join, sharding, substring_dedup, warc
+from . import bpe, decontaminate, exact_dedup, html_extract, jaccard_join, pii, sharding, substring_dedup, warc
+
+
+def op2_pii(spark, sf_dir):
+    out = pii.find(table(spark, sf_dir, "documents"))
+    of = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k))
+    counts = [of(k).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    return out.select("doc_id", *counts, F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
+                      pii.spans_text(F.col("spans")).alias("spans"))
 
 
 def public_vocabulary(name: str) -> str:
@@ -56,7 +64,7 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_jaccard_join, op4_decontaminate, op5_html_extract, op6_sharding, op7_substring_dedup, op8_bpe, op9_warc, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_pii, op3_jaccard_join, op4_decontaminate, op5_html_extract, op6_sharding, op7_substring_dedup, op8_bpe, op9_warc, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": r"""
