@@ -19,25 +19,23 @@ from __future__ import annotations
 import json
 import mmap
 import os
+import re
 import tempfile
 import unicodedata
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filesystem, make_folder, scratch, ship, text_or_empty
+from .common import cut, filesystem, make_folder, scratch, ship, text_or_empty
 from . import words as W
 
 LEXICON = 131_072     # words in the automaton
-MEMO = 200_000        # chunks whose ids a worker remembers
 
-# White_Space of Unicode: str.split() also splits at \x1c-\x1f
-_GAP = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
-_ODD = regex.compile(r"[\x1c-\x1f]")
+# White_Space of Unicode, as ranges for a class
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _BIG = np.int32(2**31 - 1)
 
 
@@ -49,19 +47,28 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in same else chr(next(spare)) for b in range(256)]
 
 
-def _class(kind: str) -> str:
-    """The characters of a general category, as ranges for a regex class.
-    The pattern engine knows letters of later Unicode versions than the
-    tokenizers library; Python's table has the same version as that."""
-    ranges, start = [], None
-    for c in range(0x110001):
-        inside = c < 0x110000 and unicodedata.category(chr(c))[0] == kind
-        if inside and start is None:
-            start = c
-        elif not inside and start is not None:
-            ranges.append(f"\\U{start:08x}-\\U{c - 1:08x}")
-            start = None
-    return "".join(ranges)
+# Letters and digits that Unicode 16.0 added, as first-last code
+# points, and the lower case of new capitals up to 17.0; the tokenizers library
+# knows them, Python's table does not.
+_NEW = {
+    "L": "1C89-1C8A A7CB-A7CD A7DA-A7DC 105C0-105F3 10D4A-10D65 10D6F-10D85 10EC2-10EC4 11380-11389 1138B-1138B 1138E-1138E "
+         "11390-113B5 113B7-113B7 113D1-113D1 113D3-113D3 11BC0-11BE0 13460-143FA 16100-1611D 16D40-16D6C 18CFF-18CFF 1E5D0-1E5ED 1E5F0-1E5F0",
+    "N": "10D40-10D49 116D0-116E3 11BF0-11BF9 16130-16139 16D70-16D79 1CCF0-1CCF9 1E5F1-1E5FA",
+}
+_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5,
+          **{c: c + 27 for c in range(0x16EA0, 0x16EB9)}, **{c: c + 32 for c in range(0x10D50, 0x10D66)}}
+_CAPITALS = re.compile("[" + "".join(map(chr, _LOWER)) + "Σ]")
+_LOWER[ord("Σ")] = ord("σ")     # character by character: no final form of sigma
+
+
+def _class(kind: str, last: int) -> str:
+    """The characters of a general category up to ``last``, as ranges."""
+    inside = np.fromiter((unicodedata.category(chr(c))[0] == kind for c in range(0x110000)), bool, 0x110000)
+    for part in _NEW[kind].split():
+        a, b = (int(x, 16) for x in part.split("-"))
+        inside[a: b + 1] = True
+    edge = np.flatnonzero(np.diff(np.concatenate(([False], inside[: last + 1], [False])).astype(np.int8)))
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()))
 
 
 class Vocabulary:
@@ -77,9 +84,12 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         for t, i in self.special.items():
             self.token[i] = t
-        self.special_re = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
+        self.special_re = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.word = regex.compile(pattern.replace(r"\p{L}", _class("L")).replace(r"\p{N}", _class("N")))
+        # texts below U+10000 take a pattern of bit maps only
+        self.word, self.word_wide = (
+            re.compile(pattern.replace(r"\p{L}", _class("L", last)).replace(r"\p{N}", _class("N", last)).replace(r"\s", _WHITE))
+            for last in (0xFFFF, 0x10FFFF))
         end, chars = model["end_of_word_suffix"], byte_characters()
         self.inner = np.array([vocab[c] for c in chars], np.int32)
         self.final = np.array([vocab[c + end] for c in chars], np.int32)
@@ -91,50 +101,56 @@ class Vocabulary:
         order = np.argsort(key, kind="stable")
         self.pair_key, self.pair_rank = key[order], order.astype(np.int32)
 
-    def words(self, chunk: str) -> list[str]:
+    def words(self, text: str) -> list[str]:
         """The words of a text without special tokens."""
-        if not unicodedata.is_normalized("NFC", chunk):
-            chunk = unicodedata.normalize("NFC", chunk)
-        if chunk.isascii() and chunk.isalpha():
-            return [chunk.lower()]
-        # character by character: no final form of sigma
-        return self.word.findall(chunk.replace("Σ", "σ").lower())
+        if not text.isascii():
+            if not unicodedata.is_normalized("NFC", text):
+                text = unicodedata.normalize("NFC", text)
+            if _CAPITALS.search(text):
+                text = text.translate(_LOWER)
+        text = text.lower()
+        return (self.word if text.isascii() or max(text) <= "\uffff" else self.word_wide).findall(text)
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a.astype(np.int64) * self.size + b
         at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
         return np.where((self.pair_key[at] == key) & (a >= 0) & (b >= 0), self.pair_rank[at], _BIG)
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Exact BPE of each word: again and again the leftmost pair of least rank."""
-        out: list = [None] * len(words)
+    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Exact BPE of each word, again and again the leftmost pair of least
+        rank: (number of ids of each word, all ids)."""
         size = np.array([len(w) for w in words], np.int64)
-        low = 0
+        n = np.zeros(len(words), np.int64)
+        found, low = [], 0
         for high in (4, 8, 16, 32, 64):
             which = np.flatnonzero((size > low) & (size <= high))
-            for part in np.array_split(which, max(1, len(which) // 20_000)):
+            for part in np.array_split(which, len(which) // 20_000 + 1):
                 if len(part):
-                    self._merge_rows([words[i] for i in part], part, high, out)
+                    s = self._merge_rows([words[i] for i in part.tolist()], size[part], high)
+                    n[part] = (s >= 0).sum(1)
+                    found.append((part, s[s >= 0]))
             low = high
-        for i in np.flatnonzero(size > 64):
-            out[i] = self._merge_long(words[i])
-        return out
-
-    def _merge_rows(self, words, where, width, out) -> None:
-        n = len(words)
-        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), np.uint8).reshape(n, width)
-        size = np.array([len(w) for w in words])
-        cols = np.arange(width)
+        for i in np.flatnonzero(size > 64).tolist():
+            s = self._merge_long(words[i])
+            n[i] = len(s)
+            found.append((np.array([i]), s))
+        begin = np.cumsum(n) - n
+        flat = np.empty(int(n.sum()), np.int32)
+        for part, ids in found:
+            flat[ragged(begin[part], n[part])] = ids
+        return n, flat
+
+    def _merge_rows(self, words: list[bytes], size: np.ndarray, width: int) -> np.ndarray:
+        raw = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), np.uint8).reshape(len(words), width)
+        cols, out = np.arange(width), np.full((len(words), width), -1, np.int32)
         s = np.where(cols < size[:, None] - 1, self.inner[raw], np.where(cols == size[:, None] - 1, self.final[raw], -1)).astype(np.int32)
-        r = self.ranks(s[:, :-1], s[:, 1:])
-        where = np.asarray(where)
+        r, where = self.ranks(s[:, :-1], s[:, 1:]), np.arange(len(words))
         while len(s):
             j = r.argmin(1)
             rank = r[np.arange(len(s)), j]
             done = rank == _BIG
             if done.any():
-                for i, row in zip(where[done], s[done]):
-                    out[i] = row[row >= 0]
+                out[where[done]] = s[done]
                 s, r, j, rank, where = s[~done], r[~done], j[~done], rank[~done], where[~done]
                 if not len(s):
                     break
@@ -145,9 +161,10 @@ class Vocabulary:
             s[:, -1] = -1
             r = np.take_along_axis(r, np.minimum(shift[:, :-1], width - 2), 1)
             r[:, -1] = _BIG
-            r[at, j] = np.where(j + 1 < width, self.ranks(s[at, j], s[at, np.minimum(j + 1, width - 1)]), _BIG) if width > 1 else _BIG
-            left = j > 0
-            r[at[left], j[left] - 1] = self.ranks(s[at[left], j[left] - 1], s[at[left], j[left]])
+            r[at, j] = self.ranks(s[at, j], s[at, j + 1])
+            left = at[j > 0]
+            r[left, j[left] - 1] = self.ranks(s[left, j[left] - 1], s[left, j[left]])
+        return out
 
     def _merge_long(self, word: bytes) -> np.ndarray:
         """The same for a long word, with a heap of pairs and linked symbols."""
@@ -310,91 +327,61 @@ def _count_words(broadcast):
     def run(batches):
         vocabulary = _vocabulary(broadcast)
         for batch in batches:
-            chunks: Counter = Counter()
-            for text in batch.column(0):
-                chunks.update(text.as_py().split())
             found: Counter = Counter()
-            for chunk, n in chunks.items():
-                for w in vocabulary.words(chunk):
-                    found[w] += n
+            for text in batch.column(0):
+                found.update(vocabulary.words(text.as_py()))
             yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["word", "n"])
     return run
 
 
-class Encoder:
-    """Chunk by chunk, with a bounded memory of chunks seen."""
+def ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... (size[0] of them), begin[1], ..."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - ends + size, size)
+
 
+class Encoder:
     def __init__(self, vocabulary: Vocabulary, auto: dict[str, np.ndarray]):
         self.v, self.auto = vocabulary, auto
-        self.clear()
-
-    def clear(self) -> None:
-        self.code: dict[str, int] = {}
-        self.begin, self.flat = np.zeros(1, np.int64), np.zeros(0, np.int32)
-
-    def learn(self, chunks: set[str]) -> None:
-        if len(self.code) + len(chunks) > MEMO:
-            self.clear()
-        new = [c for c in chunks if c not in self.code]
-        if not new:
-            return
-        parts = [self.v.words(c) for c in new]
-        unique = sorted({w for p in parts for w in p})
-        place = {w: i for i, w in enumerate(unique)}
-        raw = [w.encode("utf-8", "replace") for w in unique]
-        number = walk(self.auto, raw)
-        ids: list = [None] * len(raw)
-        known = np.flatnonzero(number >= 0)
-        first = self.auto["first"]
-        for i, a, b in zip(known.tolist(), first[number[known]].tolist(), first[number[known] + 1].tolist()):
-            ids[i] = self.auto["ids"][a:b]
-        miss = np.flatnonzero(number < 0)
-        for i, got in zip(miss.tolist(), self.v.merge([raw[i] for i in miss])):
-            ids[i] = got
-        rows = [[ids[place[w]] for w in p] for p in parts]
-        size = np.array([sum(map(len, r)) for r in rows], np.int64)
-        base, at = len(self.begin) - 1, len(self.flat)
-        for k, c in enumerate(new):
-            self.code[c] = base + k
-        self.begin = np.concatenate((self.begin, at + np.cumsum(size)))
-        self.flat = np.concatenate([self.flat, *(x for r in rows for x in r)])
 
     def pieces(self, text: str) -> list:
-        """Chunks of a text; special tokens as their ids."""
+        """The words of a text; special tokens as their ids."""
         v = self.v
-        if v.special_re is not None and "<" in text and v.special_re.search(text):
-            out, at = [], 0
-            for m in v.special_re.finditer(text):
-                out += self.chunks(text[at:m.start()])
-                out.append(v.special[m.group()])
-                at = m.end()
-            return out + self.chunks(text[at:])
-        return self.chunks(text)
-
-    @staticmethod
-    def chunks(text: str) -> list[str]:
-        if _ODD.search(text):
-            return [c for c in _GAP.split(text) if c]
-        return text.split()
+        if v.special_re is None or not v.special_re.search(text):
+            return v.words(text)
+        out, at = [], 0
+        for m in v.special_re.finditer(text):
+            out += v.words(text[at:m.start()])
+            out.append(v.special[m.group()])
+            at = m.end()
+        return out + v.words(text[at:])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of the texts."""
-        found = [self.pieces(t) for t in texts]
-        self.learn({c for f in found for c in f if type(c) is str})
-        code = self.code
-        for k, f in enumerate(found):
-            for c in f:
-                if type(c) is int and ("id", c) not in code:
-                    code[("id", c)] = len(self.begin) - 1
-                    self.begin = np.append(self.begin, self.begin[-1] + 1)
-                    self.flat = np.append(self.flat, np.int32(c))
-            found[k] = [code[c] if type(c) is str else code[("id", c)] for c in f] if any(type(c) is int for c in f) else list(map(code.__getitem__, f))
-        count = np.array([len(f) for f in found], np.int64)
-        codes = np.concatenate([np.array(f, np.int64) for f in found]) if found else np.zeros(0, np.int64)
-        size = self.begin[codes + 1] - self.begin[codes]
-        ends = np.concatenate(([0], np.cumsum(size)))
-        take = np.arange(ends[-1]) + np.repeat(self.begin[codes] - ends[:-1], size)
-        return ends[np.concatenate(([0], np.cumsum(count)))], self.flat[take]
+        words: list = []
+        ends = [0]
+        for t in texts:
+            words += self.pieces(t)
+            ends.append(len(words))
+        code = dict.fromkeys(words)                      # each distinct word once
+        distinct = list(code)
+        code = dict(zip(distinct, range(len(distinct))))
+        raw = [w.encode("utf-8", "replace") if type(w) is str else b"" for w in distinct]
+        number = walk(self.auto, raw)
+        size, begin = np.ones(len(raw), np.int64), np.zeros(len(raw), np.int64)
+        known, first = number >= 0, self.auto["first"]
+        begin[known] = first[number[known]]
+        size[known] = first[number[known] + 1] - begin[known]
+        other = [i for i in np.flatnonzero(~known).tolist() if raw[i]]
+        n, merged = self.v.merge([raw[i] for i in other])
+        base = len(self.auto["ids"])
+        begin[other], size[other] = base + np.cumsum(n) - n, n
+        special = [i for i, w in enumerate(distinct) if type(w) is int] if self.v.special_re is not None else []
+        begin[special] = base + len(merged) + np.arange(len(special))
+        store = np.concatenate((self.auto["ids"], merged, np.array([distinct[i] for i in special], np.int32)))
+        codes = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
+        offsets = np.concatenate(([0], np.cumsum(size[codes])))[ends]
+        return offsets, store[ragged(begin[codes], size[codes])]
 
 
 def decode(vocabulary: Vocabulary, ids) -> str:
@@ -422,6 +409,22 @@ def _encode(broadcast, folder: str, name: str):
     return run
 
 
+def _most_frequent(counts: DataFrame, most: int) -> list[str]:
+    """The most frequent words, at most ``most`` of them: all above a
+    threshold that a histogram of the counts in fine logarithmic steps gives.
+    Words that occur once or twice never belong."""
+    counts = cut(counts.filter("n > 2").withColumn("step", F.floor(F.log2("n") * 16).cast("int")))
+    steps = sorted(((r["step"], r["count"]) for r in counts.groupBy("step").count().collect()), reverse=True)   # below 1024 rows
+    room, least = most, None
+    for step, n in steps:
+        if n > room:
+            break
+        room, least = room - n, step
+    if least is None:
+        return []
+    return counts.filter(F.col("step") >= least).select("word").toPandas()["word"].tolist()
+
+
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", lexicon: int = LEXICON) -> DataFrame:
     """One row per row of ``docs``: id, ids (array of int), decoded.
 
@@ -439,12 +442,11 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     v = Vocabulary(raw)
     text = text_or_empty(text_col).alias("text")
     counts = docs.select(text).mapInArrow(_count_words(shared), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(lexicon).select("word").toPandas()["word"]   # bounded by `lexicon`
+    top = _most_frequent(counts, lexicon)
     words = sorted({w.encode("utf-8", "replace") for w in top if w})
     arrays = compile_lexicon(words)
-    ids = v.merge(words)
-    arrays["first"] = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
-    arrays["ids"] = np.concatenate([np.zeros(0, np.int32), *ids])
+    n, ids = v.merge(words)
+    arrays["first"], arrays["ids"] = np.concatenate(([0], np.cumsum(n))).astype(np.int32), ids
     folder = scratch(spark, "bpe")
     make_folder(spark, folder)
     save(arrays, folder, "lexicon")
