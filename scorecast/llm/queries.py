@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import cut, drop_folder, scratch, table
-from . import bpe, decontaminate, exact_dedup, html_extract, jaccard_join, pii, sharding, substring_dedup, warc
+from . import bpe, decontaminate, exact_dedup, html_extract, jaccard_join, pii, sharding, substring_dedup, toxicity, warc
+
+
+def op1_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
 def op2_pii(spark, sf_dir):
@@ -64,7 +71,7 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_pii, op3_jaccard_join, op4_decontaminate, op5_html_extract, op6_sharding, op7_substring_dedup, op8_bpe, op9_warc, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_pii, op3_jaccard_join, op4_decontaminate, op5_html_extract, op6_sharding, op7_substring_dedup, op8_bpe, op9_warc, op10_exact_dedup)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": r"""
