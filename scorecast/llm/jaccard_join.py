@@ -1,22 +1,28 @@
 """Similarity join on word-shingle sets: size-banded tiles, bitmap bounds.
 
 1. Sizes are cut into bands so that two sets that reach the similarity lie in
-   one band or in neighbouring ones; a *tile* is two neighbouring bands.
-2. In a tile, similar sets differ in at most ``D`` shingles (by the sizes in
-   the tile).  Shingles are dealt by hash into ``D + 1`` segments, so similar
-   sets agree on one whole segment: (tile, segment, its content) is the key
-   on which candidates meet.  Sets that merely share a passage do not meet.
-3. Around each key only a star of candidate pairs is made (each set with the
-   smallest), never all pairs.
-4. A pair is first bounded by its sizes and by the bit count of the XOR of
-   two 256-bit parity bitmaps, which is at most the number of differing
-   shingles; then the sorted shingle arrays are intersected exactly.
-5. Where a pair of a star fails, the sets around that key that are still in
-   different components are compared pair by pair, so no link is lost.
+   one band or in neighbouring ones.  Sets of two neighbouring bands that are
+   similar differ in at most ``D`` shingles (by the sizes in the bands).
+   Shingles are dealt by hash into ``D + 1`` segments, so similar sets agree
+   on one whole segment: (bands, segment, its content) is a key on which they
+   meet.  Sets that merely share a passage do not meet.
+2. The sets around a key are chained to the smallest of them, and connected
+   components of these chains are the candidate clusters: similar sets are in
+   one cluster.  No pairs are made here.
+3. A cluster is a tile; a large one is cut into cells by size band and hash,
+   and tiles are pairs of cells in the same band or in neighbouring ones.  The
+   sets of a tile meet in one task, each once, with their sorted shingle arrays.
+4. In a tile a set is compared with those not yet linked to it.  Sizes bound the
+   overlap first, then the bit count of the XOR of hashed parity bitmaps, which
+   is at most the number of differing shingles; what remains is decided by exact
+   intersection of the sorted arrays.  Only links that join two groups leave the
+   task, fewer than sets in the tile.
+5. Connected components of the links are the classes.
 """
 
 from __future__ import annotations
 
+import math
 from typing import Iterator
 
 import numpy as np
@@ -29,6 +35,7 @@ from .components import components
 from . import words as W
 
 _U = np.uint64
+TILE = 2_000_000      # shingles in a tile: 16 MB of arrays
 
 
 class Bands:
@@ -110,20 +117,12 @@ def _identity(s: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-def _bitmap(s: np.ndarray) -> np.ndarray:
-    odd = (np.bincount((s & _U(255)).astype(np.int64), minlength=256) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64)
-
-
 def _describe(k: int):
     def run(batches):
         for batch in batches:
-            ids, out = batch.column(0), []
-            for s in shingle_sets(batch.column(1), k):
-                out.append((len(s), *_identity(s), *(int(x) for x in _bitmap(s))))
-            cols = list(zip(*out)) if out else [[] for _ in range(7)]
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, pa.int64()) for c in cols)],
-                                             ["id", "n", "s1", "s2", "g0", "g1", "g2", "g3"])
+            out = [(len(s), *_identity(s)) for s in shingle_sets(batch.column(1), k)]
+            cols = list(zip(*out)) if out else [[] for _ in range(3)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in cols)], ["id", "n", "s1", "s2"])
     return run
 
 
@@ -175,19 +174,81 @@ def _arrays(k: int):
     return run
 
 
-def _verify(num: int, den: int):
+def bitmaps(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """One row of ``bits`` bits a set: bit b is the parity of the number of
+    shingles that hash to it."""
+    out = np.empty((len(sets), bits // 64), _U)
+    step = max(1, (1 << 22) // bits)
+    for i in range(0, len(sets), step):
+        part = sets[i: i + step]
+        row = np.repeat(np.arange(len(part)), [len(s) for s in part])
+        place = (np.concatenate(part) & _U(bits - 1)).astype(np.int64)
+        odd = np.bincount(row * bits + place, minlength=len(part) * bits).astype(np.uint8) & 1
+        out[i: i + len(part)] = np.packbits(odd.reshape(len(part), bits), axis=1).view(_U)
+    return out
+
+
+def tile_links(sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
+    """Links (i, j) that connect all similar sets of a tile; with two sides,
+    only pairs across them are compared."""
+    n = np.array([len(s) for s in sets])
+    order = np.argsort(n, kind="stable")
+    n, side = n[order], side[order]
+    sets = [sets[i] for i in order]
+    most = 2 * int(n[-1]) * (den - num) // (den + num)      # shingles that similar sets differ in
+    bits = 256
+    while bits < 64 * most and bits < 1 << 14:
+        bits *= 2
+    maps = bitmaps(sets, bits)
+    group, across, out = np.arange(len(sets)), bool(side.any() and not side.all()), []
+    for i in range(len(sets) - 1):
+        end = int(np.searchsorted(n, int(n[i]) * den // num, "right"))   # sizes bound the overlap
+        at = np.arange(i + 1, end)
+        keep = group[i + 1: end] != group[i]
+        if across:
+            keep &= side[i + 1: end] != side[i]
+        at = at[keep]
+        if not len(at):
+            continue
+        differ = np.bitwise_count(maps[at] ^ maps[i]).sum(1, dtype=np.int64)
+        total = n[at] + n[i]
+        for j in at[(total - differ) * (num + den) >= 2 * num * total].tolist():
+            if group[j] == group[i]:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if den * both >= num * (int(n[i] + n[j]) - both):
+                group[group == group[j]] = group[i]
+                out.append((int(order[i]), int(order[j])))
+    return out
+
+
+def _compare(num: int, den: int):
+    """Rows (tile, side, rep, arr), sorted by tile -> links (u, v)."""
+    def links(held):
+        sets = [x[2] for x in held]
+        found = tile_links(sets, np.array([x[0] for x in held]), num, den) if len(held) > 1 else []
+        return [(held[i][1], held[j][1]) for i, j in found]
+
     def run(batches):
+        now, held = None, []
         for batch in batches:
-            left, right = batch.column(2), batch.column(3)
-            ok = np.zeros(len(left), bool)
-            for i in range(len(left)):
-                x, y = (np.frombuffer(c[i].as_buffer(), _U) for c in (left, right))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                ok[i] = den * both >= num * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok)], ["a", "b", "ok"])
+            out = []
+            for tile, side, rep, arr in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+                if tile != now:
+                    out += links(held)
+                    now, held = tile, []
+                held.append((side, rep, np.frombuffer(arr.as_buffer(), _U).copy()))
+            if out:
+                yield _links(out)
+        yield _links(links(held))
     return run
 
 
+def _links(rows: list) -> pa.RecordBatch:
+    u, v = zip(*rows) if rows else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+
 def jaccard_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id.
@@ -205,32 +266,24 @@ def jaccard_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100,
     g = int(np.gcd(num, den))
     num, den = num // g, den // g
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = cut(src.mapInArrow(_describe(k), "id long, n long, s1 long, s2 long, g0 long, g1 long, g2 long, g3 long"))
+    rows = cut(src.mapInArrow(_describe(k), "id long, n long, s1 long, s2 long"))
     same = ["n", "s1", "s2"]
-    # one node per distinct set; ids that repeat with another text tie sets together
-    sets = cut(rows.filter("n > 0").groupBy(*same).agg(
-        F.min("id").alias("rep"), F.min(F.struct("g0", "g1", "g2", "g3")).alias("g"), F.count(F.lit(1)).alias("size"))
-        .filter("rep is not null"))
+    # one node per distinct set: its smallest id
+    sets = cut(rows.filter("n > 0").groupBy(*same).agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("size"))
+               .filter("rep is not null"))
 
     keys = src.select("text").mapInArrow(_keys(k, num, den), "key long, a long, b long")
     around = Window.partitionBy("key")
-    tiles = cut(keys.withColumn("lo", F.min("a").over(around)).withColumn("hi", F.max("b").over(around))
-                .filter("lo < hi").select("key", "lo", "a", "b").distinct())
-    pairs = tiles.select(F.explode(F.array(F.struct(F.col("lo").alias("x"), F.col("a").alias("y")),
-                                           F.struct(F.col("a").alias("x"), F.col("b").alias("y")))).alias("p")).select("p.*")
-    verified = _checked(pairs, sets, src, k, num, den)
-    links = verified.filter("ok").select(F.col("a").alias("u"), F.col("b").alias("v"))
-
+    chains = (keys.withColumn("lo", F.min("a").over(around)).filter("lo != a or a != b")
+              .select(F.explode(F.array(F.struct(F.col("lo").alias("u"), F.col("a").alias("v")),
+                                        F.struct(F.col("a").alias("u"), F.col("b").alias("v")))).alias("p")).select("p.*"))
+    cluster = cut(components(chains))
+    members = cut(sets.join(cluster, F.col("s1") == F.col("node")).select("rep", "s1", "n", F.col("component").alias("c")))
+    links = cut(_tiles(members, src, k, num, den))
     # an id that repeats with another text ties the sets of its texts
     many = rows.filter("n > 0").groupBy("id").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).filter("lo < hi").select("id")
     tied = rows.select("id", *same).join(many, "id").join(sets.select(*same, "rep"), same)
-    links = cut(links.unionByName(tied.select(F.col("id").alias("u"), F.col("rep").alias("v"))))
-    comp = cut(components(links))
-
-    failed = verified.filter("not ok")
-    if not failed.isEmpty():
-        links2 = _residual(tiles, failed, comp, sets, src, k, num, den)
-        comp = cut(components(links.unionByName(links2)))
+    comp = cut(components(links.unionByName(tied.select(F.col("id").alias("u"), F.col("rep").alias("v")))))
 
     label = sets.select(*same, "rep", "size").join(comp, F.col("rep") == F.col("node"), "left").select(
         *same, F.coalesce("component", "rep").alias("component_id"), "size")
@@ -243,48 +296,34 @@ def jaccard_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100,
         empty.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id"))
 
 
-def _checked(pairs: DataFrame, sets: DataFrame, src: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """Candidate pairs of set hashes -> (a, b, ok) for pairs of documents
-    that stand for them; pairs that the bounds refuse have ok = false."""
-    pairs = pairs.filter("x != y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    side = lambda p: sets.select(F.col("s1").alias(f"{p}1"), F.col("n").alias(f"{p}n"), F.col("rep").alias(f"{p}r"), F.col("g").alias(f"{p}g"))
-    both = pairs.join(side("x"), F.col("x") == F.col("x1")).join(side("y"), F.col("y") == F.col("y1"))
-    differ = sum((F.bit_count(F.col(f"xg.g{i}").bitwiseXOR(F.col(f"yg.g{i}"))) for i in range(4)), F.lit(0))
-    total = F.col("xn") + F.col("yn")
-    fits = (F.least("xn", "yn") * den >= F.greatest("xn", "yn") * num) & ((total - differ) * (num + den) >= 2 * num * total)
-    both = cut(both.filter("xr != yr or x != y").select(
-        F.col("xr").alias("a"), "x", F.col("yr").alias("b"), "y", fits.alias("fits")))
-
-    # shingle arrays of the documents in question only: a Bloom filter lets
-    # the others go before their texts are shuffled
-    ask = both.filter("fits")
-    ids = cut(ask.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    bits = bloom_bits(ids.count())
-    some = maybe_in(src, F.xxhash64("id"), bloom_of(ids.select(F.xxhash64("id").alias("h")), "h", bits), bits, "maybe").filter("maybe")
-    arrays = (some.select("id", "text").join(ids, "id", "left_semi")
-              .mapInArrow(_arrays(k), "id long, s1 long, arr binary").dropDuplicates(["id", "s1"]))
-    side = lambda c, s, out: arrays.select(F.col("id").alias(c), F.col("s1").alias(s), F.col("arr").alias(out))
-    tested = (ask.select("a", "x", "b", "y").join(side("b", "y", "right"), ["b", "y"]).join(side("a", "x", "left"), ["a", "x"])
-              .select("a", "b", "left", "right").mapInArrow(_verify(num, den), "a long, b long, ok boolean"))
-    return cut(tested.unionByName(both.filter("not fits").select("a", "b", F.lit(False).alias("ok"))))
-
-
-def _residual(tiles: DataFrame, failed: DataFrame, comp: DataFrame, sets: DataFrame, src: DataFrame, k: int, num: int,
-              den: int) -> DataFrame:
-    """Links among the sets around a key where a pair of the star failed and
-    its ends are still apart: pairs across components, all of them."""
-    at = comp.select("node", "component")
-    named = lambda df, c, out: df.join(at.withColumnRenamed("node", c).withColumnRenamed("component", out), c, "left").withColumn(
-        out, F.coalesce(out, c))
-    apart = named(named(failed.select("a", "b"), "a", "ca"), "b", "cb").filter("ca != cb")
-    reps = sets.select("s1", "rep")
-    bad = apart.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(reps, "rep").select("s1").distinct()
-    members = tiles.select("key", F.explode(F.array("lo", "a", "b")).alias("s1")).distinct()
-    open_keys = members.join(bad, "s1", "left_semi").groupBy("key").count().select("key")
-    around = members.join(open_keys, "key", "left_semi").join(reps, "s1")
-    around = cut(named(around, "rep", "c").select("key", "s1", "c"))
-    mixed = around.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo != hi").select("key")
-    around = around.join(mixed, "key", "left_semi")
-    other = around.select("key", F.col("s1").alias("y"), F.col("c").alias("cy"))
-    pairs = around.withColumnRenamed("s1", "x").join(other, "key").filter("c != cy and x < y").select("x", "y")
-    return _checked(pairs, sets, src, k, num, den).filter("ok").select(F.col("a").alias("u"), F.col("b").alias("v"))
+def _tiles(members: DataFrame, src: DataFrame, k: int, num: int, den: int, limit: int = TILE) -> DataFrame:
+    """Links (u, v) among the members (rep, s1, n, c) of candidate clusters."""
+    # shingle arrays of the members only: a Bloom filter lets the others go
+    # before their texts are shuffled
+    bits = bloom_bits(members.count())
+    some = maybe_in(src, F.xxhash64("id"), bloom_of(members.select(F.xxhash64("rep").alias("h")), "h", bits), bits, "maybe").filter("maybe")
+
+    total = cut(members.groupBy("c").agg(F.sum("n").alias("total"), F.min("n").alias("least")))
+    small = members.join(total.filter(F.col("total") <= limit), "c").select(
+        "rep", "s1", F.col("c").alias("tile"), F.lit(0).alias("side"))
+    # a large cluster: cells by size band (in steps of the similarity, from
+    # its smallest set) and hash
+    band = F.floor(F.log(F.col("n") / F.col("least")) / math.log(den / num) + 1e-9).cast("int")
+    large = members.join(total.filter(F.col("total") > limit), "c").withColumn("band", band)
+    cells = cut(large.groupBy("c", "band").agg(F.sum("n").alias("n"))
+                .withColumn("blocks", F.ceil(F.col("n") / (limit // 2)).cast("int")))
+    one = cells.select("c", "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+    two = one.select("c", F.col("band").alias("band2"), F.col("block").alias("block2"))
+    pairs = (one.join(two, "c").filter("band2 = band and block2 >= block or band2 = band + 1")
+             .withColumn("tile", F.xxhash64("c", "band", "block", "band2", "block2")))
+    seats = pairs.select("c", "band", "block", "tile", F.lit(0).alias("side")).unionByName(
+        pairs.filter("band2 != band or block2 != block").select("c", F.col("band2").alias("band"), F.col("block2").alias("block"), "tile", F.lit(1).alias("side")))
+    placed = (large.join(cells.select("c", "band", "blocks"), ["c", "band"])
+              .withColumn("block", F.pmod(F.xxhash64("rep", "s1"), F.col("blocks")).cast("int")))
+    seated = small.unionByName(placed.join(seats, ["c", "band", "block"]).select("rep", "s1", "tile", "side"))
+
+    arrays = (some.join(members.select(F.col("rep").alias("id")).distinct(), "id", "left_semi").select("id", "text")
+              .mapInArrow(_arrays(k), "id long, s1 long, arr binary"))
+    rows = (seated.join(arrays.withColumnRenamed("id", "rep"), ["rep", "s1"])
+            .select("tile", "side", "rep", "arr").repartition("tile").sortWithinPartitions("tile"))
+    return rows.mapInArrow(_compare(num, den), "u long, v long").distinct()
