@@ -141,6 +141,19 @@ def maybe_in(df: DataFrame, key: Column, bloom: DataFrame, bits: int, flag: str)
             .drop("_b", "_p1", "_p2", "_block", "_bitmap"))
 
 
+def without(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """The rows of ``df`` whose ``key`` is not in ``gone[key]``, columns
+    unchanged.  Rows outside a Bloom filter of the keys pass straight through;
+    the others are checked by an anti join.  Null keys stay."""
+    bits = bloom_bits(gone.count())
+    gone = gone.select(F.col(key).alias("key"))
+    # the row as one value, so that its names clash with nothing here
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(key).alias("key"))
+    marked = maybe_in(rows, F.xxhash64("key"), bloom_of(gone.select(F.xxhash64("key").alias("h")), "h", bits), bits, "maybe")
+    asked = marked.filter("maybe").join(gone, "key", "left_anti")
+    return marked.filter("not maybe").select("row.*").unionByName(asked.select("row.*"))
+
+
 def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int,
            parts: int = 10_000) -> DataFrame:
     """Left join of ``rows`` with one-row-per-key ``groups``, safe for hot keys.

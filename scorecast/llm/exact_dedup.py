@@ -73,16 +73,15 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Dropped ids leave by an anti join on the id; rows whose id repeats are
     told apart by their text digest."""
     found = exact_dedup(docs, id_col, text_col)
-    gone = found.groupBy(F.col(id_col).alias("_gid"), F.col("text_sha256").alias("_gsha")).agg(
-        F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_n")).filter("not _kept or _n > 1")
-    gone = cut(gone)
+    gone = cut(found.groupBy(F.col(id_col).alias("gid"), F.col("text_sha256").alias("gsha")).agg(
+        F.max("kept").alias("stays"), F.count(F.lit(1)).alias("n")).filter("not stays or n > 1"))
     bits = bloom_bits(gone.count())
-    marked = maybe_in(docs, F.xxhash64(F.col(id_col)), bloom_of(gone.select(F.xxhash64("_gid").alias("_k")), "_k", bits), bits, "_maybe")
-    clean = marked.filter(~F.col("_maybe")).drop("_maybe")
-    rest = marked.filter("_maybe").drop("_maybe").withColumn("_sha", F.sha2(normalised(text_col), 256))
-    rest = rest.join(gone, F.col(id_col).eqNullSafe(F.col("_gid")) & (F.col("_sha") == F.col("_gsha")), "left")
-    out = rest.filter(F.col("_gid").isNull() & F.col("_kept").isNull())
-    # a kept row that repeats with the same id and text: one copy
-    once = rest.filter("_kept").dropDuplicates([id_col, "_sha"])
-    cols = docs.columns
-    return clean.select(cols).unionByName(out.select(cols)).unionByName(once.select(cols))
+    # the row as one value, so that its names clash with nothing here
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), normalised(text_col).alias("norm"))
+    marked = maybe_in(rows, F.xxhash64("id"), bloom_of(gone.select(F.xxhash64("gid").alias("h")), "h", bits), bits, "maybe")
+    rest = marked.filter("maybe").select("row", "id", F.sha2("norm", 256).alias("sha"), F.length(text_or_empty(F.col(f"row.`{text_col}`"))).alias("len"))
+    rest = rest.join(gone, F.col("id").eqNullSafe(F.col("gid")) & (F.col("sha") == F.col("gsha")), "left")
+    # rows that repeat a kept id and text: one of the longest
+    once = rest.filter("stays").groupBy("id", "sha").agg(F.max_by("row", "len").alias("row"))
+    return marked.filter("not maybe").select("row.*").unionByName(
+        rest.filter("gsha is null").select("row.*")).unionByName(once.select("row.*"))

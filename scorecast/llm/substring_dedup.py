@@ -144,18 +144,21 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
     twice = cut(narrow.groupBy("id").count().filter("count > 1").select("id"))
     bits = bloom_bits(twice.count())
     src = maybe_in(src, F.xxhash64("id"), bloom_of(twice.select(F.xxhash64("id").alias("h")), "h", bits), bits, "again")
-    src = src.withColumn("tie", F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))).drop("again")
+    src = src.withColumn("tie", F.when(F.col("again"), F.xxhash64("text")).otherwise(F.lit(0).cast("long")))
 
     groups = cut(narrow.groupBy("sha").agg(F.min("id").alias("lead"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
     copies = cut(attach(narrow, groups, ["sha"], "n", n).filter("lead < id").select("id", "sha").distinct())
     bits = bloom_bits(copies.count())
     src = maybe_in(src, F.xxhash64("id"), bloom_of(copies.select(F.xxhash64("id").alias("h")), "h", bits), bits, "maybe")
-    sure = src.filter(~F.col("maybe")).select("id", "own", "tie", "text", F.lit(False).alias("copied"))
+    sure = src.filter(~F.col("maybe")).select("id", "own", "tie", "text", "again", F.lit(False).alias("copied"))
     asked = src.filter("maybe").withColumn("sha", F.sha2("text", 256)).join(
         copies.withColumn("copied", F.lit(True)), ["id", "sha"], "left").select(
-        "id", "own", "tie", "text", F.coalesce("copied", F.lit(False)).alias("copied"))
+        "id", "own", "tie", "text", "again", F.coalesce("copied", F.lit(False)).alias("copied"))
     rows = sure.unionByName(asked)
-    return rows.filter(~F.col("copied")), rows
+    texts = rows.filter(~F.col("copied")).select("id", "tie", "text", "again")
+    # rows that repeat an id and a text are one document
+    texts = texts.filter(~F.col("again")).unionByName(texts.filter("again").dropDuplicates(["id", "tie"]))
+    return texts.select("id", "tie", "text"), rows.drop("again")
 
 
 def _with_lists(rows: DataFrame, lists: DataFrame, name: str, others: bool) -> DataFrame:
@@ -174,7 +177,6 @@ def repeats(docs: DataFrame, size: int = 20, id_col: str = "doc_id", text_col: s
     and for documents with repeats id, tie, spans: array of start * 2^32 + stop
     in words, each covered by windows that also start earlier."""
     texts, rows = _documents(docs, id_col, text_col)
-    texts = texts.select("id", "tie", "text")
     short = texts.mapInArrow(_anchor_rows(size), _CONTEST)
     votes = F.sum(F.when(F.col("kind") == 1, 2).when(F.col("kind") == 0, 1).otherwise(0)).over(Window.partitionBy("key"))
     shared = short.withColumn("votes", votes).filter("kind = 2 or (kind = 0 and votes > 1)")

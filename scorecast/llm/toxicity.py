@@ -313,3 +313,18 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     kind = src.schema["id"].dataType.simpleString()
     out = src.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model)), f"id {kind}, score double")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).withColumnRenamed("id", id_col)
+
+
+def keep_clean(docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, columns unchanged."""
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        for batch in batches:
+            text = pa.RecordBatch.from_arrays([batch.column(at), batch.column(at)], ["id", "text"])
+            score = [x for part in _score(shared)([text]) for x in part.column(1).to_pylist()]
+            yield batch.filter(pa.array([x < threshold for x in score], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
