@@ -107,6 +107,17 @@ STATUS_REPORT_NAME = "{district} Form {form} Benchmark Status {date}"
 # ---------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class ClientGroup:
+    """Sessions whose ``column`` equals ``value`` (or is like it)."""
+
+    name: str
+    share_name: str
+    column: str
+    value: object
+    pattern: bool = False
+
+
 @dataclass(frozen=True)
 class ReportConfig:
     detail_include: tuple = DETAIL_INCLUDE
@@ -147,15 +158,16 @@ class ReportConfig:
     benchmark_extract_name: str = BENCHMARK_EXTRACT_NAME
     parcc_extract_name: str = PARCC_EXTRACT_NAME
     status_report_name: str = STATUS_REPORT_NAME
-    # Sum answers per (result, standard) before joining them to the results
-    # (pays off when several answers of a result share a standard).
-    preaggregate_answers: bool = False
-    # Hot-group handling: salt buckets of group write-backs (1 = off).
-    write_back_salt_buckets: int = 16
     # Q1: on Saturday/Sunday the original "this week" spans 14 days.
     # strict_week=True keeps every week at 7 days instead.
     strict_week: bool = False
 
+    def client_groups(self) -> tuple:
+        """The client groups of the hourly section, in column order."""
+        return (ClientGroup("ABeka", "pct_ABeka", "DistrictID", self.a_beka_district_id),
+                ClientGroup("BEC", "pct_BEC", "DistrictGroupID", self.bec_group_id),
+                ClientGroup("Frogstreet", "pct_FrogStreet", "District", self.frog_street_pattern, pattern=True))
+
     def __hash__(self):  # bank_ids is a dict; hash by identity is enough
         return id(self)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,18 +24,12 @@ def period_totals(df: DataFrame, periods: DataFrame, measures: list[str]) -> Dat
         *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in measures])
 
 
-def share_of_total(df: DataFrame, measure: str, by: list[str], alias: str,
-                   totals_bounded: bool = True) -> DataFrame:
-    """``measure / SUM(measure) OVER (PARTITION BY by)`` on an already
-    aggregated frame, computed as totals + join back so no single task
-    holds a whole partition.  ``totals_bounded``: the number of ``by`` groups
-    is fixed by config (e.g. the 3 periods), so the totals are broadcast."""
-    tot = df.groupBy(*by).agg(F.sum(measure).alias("_total"))
-    if totals_bounded:
-        tot = F.broadcast(tot)
-    return (df.join(tot, by, "left")
-            .withColumn(alias, F.try_divide(F.col(measure).cast("double"), F.col("_total").cast("double")))
-            .drop("_total"))
+def share_of_total(df: DataFrame, measure: str, by: list[str], alias: str) -> DataFrame:
+    """``measure / SUM(measure) OVER (PARTITION BY by)`` on an *aggregated*
+    frame: the window runs over the groups (districts x periods), so the fact
+    below is read once.  Not for raw facts."""
+    total = F.sum(measure).over(Window.partitionBy(*by))
+    return df.withColumn(alias, F.try_divide(F.col(measure).cast("double"), total.cast("double")))
 
 
 def with_total_row(df: DataFrame, periods: DataFrame, label_cols: dict, measures: list[str],

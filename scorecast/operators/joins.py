@@ -13,7 +13,9 @@ runtime and splits skewed partitions (``spark.sql.adaptive.skewJoin``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,25 +26,24 @@ def exists_in(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_semi")
 
 
-def write_back(df: DataFrame, keys: list[str], aggs: list, salt_buckets: int = 0) -> DataFrame:
-    """Attach a group aggregate to every member row (``agg ... OVER
-    (PARTITION BY keys)``), computed as group-by + join back.
-
-    A window would move every row of a group into one task.  The group-by
-    combines map-side first, so a hot group (a third of all rows) costs the
-    same as any other.  The join back, however, cannot be split by AQE's
-    skew handling: its aggregate side reuses the aggregation's own shuffle,
-    so the join is not between two plain shuffle stages.  ``salt_buckets``
-    (N > 1) therefore salts it: each detail row draws a salt in [0, N), the
-    one-row-per-group aggregate is replicated N times (one per salt), and the
-    join is on (keys, salt) -- a hot group is spread over N tasks.  All
-    replicas carry the same values, so the result does not depend on which
-    salt a row draws.  Rows with a NULL key get NULL aggregates, since NULL
-    never equals NULL (pandas ``groupby`` drops NULL keys the same way).
-    """
-    agg = df.groupBy(*keys).agg(*aggs)
-    if salt_buckets <= 1:
-        return df.join(agg, keys, "left")
-    salted = df.withColumn("_salt", (F.rand(7) * salt_buckets).cast("int"))
-    replicas = agg.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return salted.join(replicas, [*keys, "_salt"], "left").drop("_salt")
+def write_back(df: DataFrame, keys: list[str], carry: list[str], sums: dict) -> DataFrame:
+    """``keys`` and ``carry`` of every row with the totals of its group
+    (``SUM(...) OVER (PARTITION BY keys)``) in one pass over ``df``.
+
+    ``sums`` maps a name to a column that is summed.  Rows that agree on
+    ``keys`` and ``carry`` are alike in the output, so they are counted and
+    summed first (map-side, then one shuffle of the partial sums).  The group
+    totals are a window over that small frame -- one row per distinct
+    ``carry`` of a group, never the raw rows -- and each row is then repeated
+    as often as it was counted.  A group with a third of all rows costs no
+    more than any other, and nothing is drawn at random.
+
+    Rows with a NULL key get NULL totals (pandas ``groupby`` drops NULL keys
+    the same way)."""
+    small = df.groupBy(*keys, *carry).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_{name}") for name, c in sums.items()])
+    group = Window.partitionBy(*keys)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    totals = [F.when(known, F.coalesce(F.sum(f"_{name}").over(group), F.lit(0))).alias(name) for name in sums]
+    return (small.select(*keys, *carry, "_n", *totals)
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))).drop("_n", "_copy"))

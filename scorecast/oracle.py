@@ -180,6 +180,30 @@ FROM wk WHERE {entry} GROUP BY period, sname, dname"""
     return out
 
 
+def side_by_side_sql(section: str, order: str, columns: list[str], cfg: ReportConfig) -> str:
+    """A section's periods next to each other, row by row in ``order``."""
+    cells = ", ".join(f'max({c}) FILTER (WHERE period = {q(lab)}) AS {lab.lower().replace(" ", "_")}_{c}'
+                      for lab in cfg.period_labels for c in columns)
+    return (f'SELECT "row", {cells} FROM (SELECT *, row_number() OVER (PARTITION BY period ORDER BY {order}) - 1 AS "row" '
+            f'FROM ({section}) section) ranked GROUP BY "row"')
+
+
+def wide_sql(usage: dict, sessions: dict, cfg: ReportConfig) -> dict[str, str]:
+    measures = ["TotalResults", "OnlineTests", "BubbleSheets"]
+    statuses = [name for name, _ in cfg.session_statuses]
+    by_count = "TotalResults DESC, State, District"
+    return {
+        "usage_results_by_client_wide": side_by_side_sql(usage["usage_results_by_client"], by_count, ["State", "District", *measures, "share"], cfg),
+        "benchmarks_by_client_wide": side_by_side_sql(usage["benchmarks_by_client_total"], f"row_kind DESC, {by_count}", ["State", "District", *measures], cfg),
+        "entry_by_client_wide": side_by_side_sql(usage["entry_by_client"], "Total DESC, State, District", ["State", "District", "Total"], cfg),
+        "sessions_by_start_date_wide": side_by_side_sql(sessions["sessions_by_start_date"], "strptime(DateStarted, '%m/%d/%Y')",
+                                                        ["DateStarted", "TotalOnlineTests", *statuses], cfg),
+        "sessions_by_hour_wide": side_by_side_sql(
+            sessions["sessions_by_hour"], "NumberOfSessions DESC, Hour",
+            ["Hour", "NumberOfSessions", "ABeka", "BEC", "Frogstreet", "Others", "pct_ABeka", "pct_BEC", "pct_FrogStreet", "pct_Others"], cfg),
+    }
+
+
 def sessions_sql(cfg: ReportConfig, as_of) -> dict[str, str]:
     def online(ts):
         return f"""online_{ts} AS (
@@ -236,7 +260,8 @@ def period_windows_sql(cfg: ReportConfig) -> str:
     return with_tables(["TestResult"]) + f""", days AS (SELECT DISTINCT CAST(UpdatedDate AS DATE) AS as_of FROM TestResult),
 w AS (SELECT as_of, CAST({lastfri('as_of')} AS DATE) AS cs, CAST({thisfri('as_of')} AS DATE) AS ce FROM days)
 SELECT strftime(as_of, '%Y-%m-%d') AS as_of, period, period_ord,
-  strftime(week_start, '%Y-%m-%d') AS week_start, strftime(week_end, '%Y-%m-%d') AS week_end FROM (
+  strftime(week_start, '%Y-%m-%d') AS week_start, strftime(week_end, '%Y-%m-%d') AS week_end,
+  strftime(make_date(CAST(year(as_of) - 1 AS INTEGER), 8, 1), '%Y-%m-%d') AS since FROM (
 SELECT as_of, {q(lab[0])} AS period, 1 AS period_ord, cs AS week_start, ce AS week_end FROM w
 UNION ALL SELECT as_of, {q(lab[1])}, 2, CAST({lastfri('cs')} AS DATE), cs FROM w
 UNION ALL SELECT as_of, {q(lab[2])}, 3, CAST({lastyear('cs')} AS DATE), CAST({lastyear('ce')} AS DATE) FROM w) u"""
@@ -433,7 +458,7 @@ def _standards_sql(cfg) -> dict[str, str]:
   JOIN {tag_table} lbl ON lbl.{tag_key} = link.{bridge_key}
   WHERE EXISTS (SELECT 1 FROM QTIItem item WHERE item.QTIItemID = vq.QTIItemID))"""
         return with_tables(tables + [bridge, tag_table], [_TESTS, _CLASSES, scoped, points]) + f""", grouped AS (
-  SELECT {keys}, max(UpdatedDate) AS latest,
+  SELECT {keys}, min(UpdatedDate) AS earliest, max(UpdatedDate) AS latest,
          CAST(sum(earned) AS BIGINT) AS TotalPointsEarned, CAST(sum(possible) AS BIGINT) AS TotalPointsPossible
   FROM scoped JOIN points USING (TestResultID)
   GROUP BY {keys})
@@ -442,7 +467,10 @@ SELECT DistrictID, {_school_year('TermName', 'latest', cfg)} AS TermName, TestNa
   TeacherLastName, ClassID, ClassName, {final_tag}, TotalPointsEarned, TotalPointsPossible
 FROM grouped"""
 
+    spans = block("VirtualQuestionStateStandard", "StateStandardID", "MasterStandard", "MasterStandardID", "Number",
+                  "tag AS StandardNbr, strftime(earliest, '%Y-%m-%d') AS FirstDate, strftime(latest, '%Y-%m-%d') AS LastDate")
     return {
+        "standards_dates": f"SELECT DistrictID, TestName, ClassID, UserID, StandardNbr, FirstDate, LastDate FROM ({spans}) spans",
         "standards_summary": block("VirtualQuestionStateStandard", "StateStandardID", "MasterStandard",
                                    "MasterStandardID", "Number", "tag AS StandardNbr"),
         "skills_summary": block("VirtualQuestionLessonOne", "LessonOneID", "LessonOne", "LessonOneID", "Name",

@@ -10,6 +10,8 @@ term, school, teacher, student, program), exactly as the original queries.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -130,20 +132,28 @@ def with_class_term(df: DataFrame, cat: Catalog, how: str = "inner") -> DataFram
             .drop("DistrictTermID", "_term_found"))
 
 
-def scored_results(cat: Catalog, test_filter: Column) -> DataFrame:
+def scored_results(cat: Catalog, test_filter: Column, result_filter: Column | None = None,
+                   term_filter: Column | None = None, district_id=None) -> DataFrame:
     """Score x result x test chain x student x school x class/term x teacher
-    (the 11-table star of the local-assessment detail)."""
+    (the 11-table star of the local-assessment detail).
+
+    The results are cut first -- by date, test and term (a single district
+    included) -- and only then meet the scores, the other fact, and the
+    students, the largest dimension.  Catalyst keeps this order without
+    table statistics."""
     trs = cat["TestResultScore"].select("TestResultID", F.col("ScoreRaw").alias("TotalPointsEarned"),
                                         F.col("PointsPossible").alias("TotalPointsPossible"))
     tr = cat["TestResult"].select("TestResultID", "VirtualTestID", "StudentID", "SchoolID", "ClassID",
                                   "UserID", "UpdatedDate", "ResultDate")
+    if result_filter is not None:
+        tr = tr.where(result_filter)
     sch = cat["School"].select("SchoolID", F.col("Name").alias("School"))
-    # Selective and small joins first (test patterns, class term -- where a
-    # single district is asked for), the student table, the largest
-    # dimension, last.  Catalyst keeps this order without table statistics.
-    df = with_test_chain(trs.join(tr, "TestResultID"), cat).where(test_filter)
-    df = with_class_term(df, cat).join(sch, "SchoolID").join(_teachers(cat), "UserID")
-    return df.join(_students(cat), "StudentID")
+    df = with_class_term(with_test_chain(tr, cat).where(test_filter), cat)
+    if term_filter is not None:
+        df = df.where(term_filter)
+    df = _scope(df, "TermDistrictID", district_id)
+    df = df.join(sch, "SchoolID").join(_teachers(cat), "UserID")
+    return df.join(trs, "TestResultID").join(_students(cat), "StudentID")
 
 
 DETAIL_COLUMNS = [
@@ -154,33 +164,44 @@ DETAIL_COLUMNS = [
 ]
 
 
-def local_benchmark_detail(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
-    """One labelled row per benchmark score since the configured date, newest
-    first: form letter, normalised school year, ``M/d/yyyy`` date."""
-    df = scored_results(cat, include_exclude("TestName", cfg.detail_include, cfg.detail_exclude))
-    df = df.where(F.col("ResultDate") > _lit_ts(cfg.detail_since))
-    df = _scope(df, "TermDistrictID", district_id)
-    df = df.select(
-        F.col("TermDistrictID").alias("DistrictID"), "UpdatedDate", "TestResultID",
+def detail_rows(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """The rows of the local-assessment detail, unsorted, with the columns
+    that sort them (``_UpdatedDate``, ``_TestResultID``)."""
+    df = scored_results(cat, include_exclude("TestName", cfg.detail_include, cfg.detail_exclude),
+                        F.col("ResultDate") > _lit_ts(cfg.detail_since), district_id=district_id)
+    return df.select(
+        F.col("TermDistrictID").alias("DistrictID"), F.col("UpdatedDate").alias("_UpdatedDate"),
+        F.col("TestResultID").alias("_TestResultID"),
         day_text("UpdatedDate", padded=False).alias("ResultDate"),
         school_year("TermName", "UpdatedDate", cfg).alias("DistrictTerm"),
         "TestName", "Subject", "Grade", form_letter("TestName", True, cfg).alias("Form"),
         *DETAIL_COLUMNS[6:])
-    # Per district, newest first.  TestResultID breaks ties, so the range
-    # partitioning of the sort can split a district or a date that holds a
-    # large share of the rows.
-    return df.orderBy("DistrictID", F.desc("UpdatedDate"), "TestResultID").select("DistrictID", *DETAIL_COLUMNS)
+
+
+def detail_order() -> list:
+    """Newest first per district.  TestResultID breaks ties, so the range
+    partitioning of a global sort can split a district or a date that holds
+    a large share of the rows."""
+    return [F.col("DistrictID"), F.desc("_UpdatedDate"), F.col("_TestResultID")]
+
+
+def local_benchmark_detail(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """One labelled row per benchmark score since the configured date, newest
+    first: form letter, normalised school year, ``M/d/yyyy`` date."""
+    return detail_rows(cat, district_id, cfg).orderBy(*detail_order()).select("DistrictID", *DETAIL_COLUMNS)
 
 
 # ---------------------------------------------------------- state test -----
 
-def _state_scores_base(cat: Catalog) -> DataFrame:
+def _state_scores_base(cat: Catalog, test_filter: Column) -> DataFrame:
+    """State-test results cut by test first, then joined to their scores."""
     trs = cat["TestResultScore"].select("TestResultID", F.col("ScoreScaled").alias("ScaledScore"),
                                         "AchievementLevel")
     tr = cat["TestResult"].select("TestResultID", "VirtualTestID", "StudentID", "SchoolID")
     sch = cat["School"].select("SchoolID", F.col("Name").alias("SchoolName"),
                                F.col("DistrictID").alias("SchoolDistrictID"))
-    return with_test_chain(trs.join(tr, "TestResultID"), cat).join(sch, "SchoolID").join(_students(cat), "StudentID")
+    df = with_test_chain(tr, cat).where(test_filter).join(sch, "SchoolID")
+    return df.join(trs, "TestResultID").join(_students(cat), "StudentID")
 
 
 def state_test_extract(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
@@ -188,8 +209,14 @@ def state_test_extract(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAU
     test of its own state (name pattern and achievement-level setting)."""
     v = district_variants(cat, cfg).select(F.col("DistrictID").alias("SchoolDistrictID"), "StateTest",
                                            F.col("AchievementLevelSettingID").alias("_level"))
-    df = _scope(_state_scores_base(cat), "SchoolDistrictID", district_id).join(v, "SchoolDistrictID")
-    df = df.where(_state_test_name_matches(F.col("TestName"), F.col("StateTest"), cfg)
+    name = F.col("TestName")
+    variants = (cfg.parcc_variant, cfg.other_variant)
+    # any state's test first; which one counts is known with the district
+    any_test = reduce(lambda a, b: a | b, [
+        name.ilike(cfg.state_test_name_pattern.format(test=test)) & (F.col("AchievementLevelSettingID") == level)
+        for test, level in variants])
+    df = _scope(_state_scores_base(cat, any_test), "SchoolDistrictID", district_id).join(v, "SchoolDistrictID")
+    df = df.where(_state_test_name_matches(name, F.col("StateTest"), cfg)
                   & (F.col("AchievementLevelSettingID") == F.col("_level")))
     return df.select(F.col("SchoolDistrictID").alias("DistrictID"), "StateTest",
                      year_slice("TestName").alias("Year"), "TestName", "Subject", "Grade", "SchoolID",
@@ -203,9 +230,9 @@ def state_scores(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) ->
     in the original sheet."""
     test, level = cfg.parcc_variant
     name = F.col("TestName")
-    df = _scope(_state_scores_base(cat), "SchoolDistrictID", district_id)
-    df = df.where(include_exclude(name, (cfg.state_test_name_pattern.format(test=test),), cfg.state_score_exclude)
-                  & (F.col("AchievementLevelSettingID") == level))
+    wanted = (include_exclude(name, (cfg.state_test_name_pattern.format(test=test),), cfg.state_score_exclude)
+              & (F.col("AchievementLevelSettingID") == level))
+    df = _scope(_state_scores_base(cat, wanted), "SchoolDistrictID", district_id)
     return df.select(F.col("SchoolDistrictID").alias("DistrictID"), year_slice(name).alias("Year"), "TestName",
                      recode_values("Subject", cfg.subject_recodes).alias("Subject"), "Grade",
                      nav_grade(name, F.col("Grade"), cfg).alias("NAVGrade"),
@@ -220,9 +247,9 @@ def cluster_ratio(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT,
     denominator repeated on each row of its (test, school, cluster) group.
 
     NUM: sum of scores for ``Scale Score`` clusters, else the number of
-    scores equal to 1; DIV: number of non-NULL scores.  Written back by
-    group-by + salted join (``operators.joins.write_back``), never a
-    window, so a hot group is spread over many tasks."""
+    scores equal to 1; DIV: number of non-NULL scores.  Results are cut by
+    test before they meet scores and sub-scores; the chain runs once
+    (``operators.joins.write_back``)."""
     test, level = cfg.parcc_variant
     tr = cat["TestResult"].select("TestResultID", "VirtualTestID", "DistrictTermID", "StudentID",
                                   "SchoolID", "ClassID", "UserID")
@@ -237,26 +264,23 @@ def cluster_ratio(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT,
     sub = cat["TestResultSubScore"].select("TestResultScoreID", F.col("Name").alias("ClusterName"),
                                            F.col("ScoreScaled").alias("Score"))
     # Student and teacher only have to exist (unique keys): semi joins.
-    df = (tr.join(trs, "TestResultID").join(vt, "VirtualTestID").join(term, "DistrictTermID")
-          .join(dist, "DistrictID"))
+    df = tr.join(vt, "VirtualTestID").join(term, "DistrictTermID").join(dist, "DistrictID")
     df = _scope(df, "DistrictID", district_id)
     df = (df.join(sch, "SchoolID").join(cls, "ClassID")
           .join(cat["User"].select("UserID"), "UserID", "left_semi")
           .join(cat["Student"].select("StudentID"), "StudentID", "left_semi")
-          .join(sub, "TestResultScoreID"))
+          .join(trs, "TestResultID").join(sub, "TestResultScoreID"))
     score = F.col("Score")
     per_row = F.when(F.col("ClusterName").contains("Scale Score"), score).otherwise(
         F.when(score == 1, F.lit(1.0)).otherwise(F.lit(0.0)))
     keys = ["DistrictID", "TestName", "School", "ClusterName"]
-    aggs = [F.coalesce(F.sum(per_row), F.lit(0.0)).alias("NUM"), F.count(score).alias("DIV")]
     if not per_row_output:
         # One row per group (the de-duplicated variant); NULL keys excluded,
         # as the original's grouping drops them.
-        no_null_key = F.col(keys[0]).isNotNull()
-        for k in keys[1:]:
-            no_null_key = no_null_key & F.col(k).isNotNull()
-        return df.where(no_null_key).groupBy(*keys).agg(*aggs)
-    df = write_back(df, keys, aggs, cfg.write_back_salt_buckets)
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        return df.where(known).groupBy(*keys).agg(F.coalesce(F.sum(per_row), F.lit(0.0)).alias("NUM"),
+                                                  F.count(score).alias("DIV"))
+    df = write_back(df, keys, ["ClassID", "ClassName"], {"NUM": per_row, "DIV": score.isNotNull().cast("bigint")})
     return df.select("DistrictID", "TestName", "School", "ClassID", "ClassName", "ClusterName", "NUM", "DIV")
 
 
@@ -298,59 +322,58 @@ GROUP_COLUMNS = ["TermName", "TestName", "Subject", "Grade", "SchoolName", "User
                  "TeacherFirstName", "TeacherLastName", "ClassID", "ClassName"]
 
 
-def _staged_results(cat: Catalog, district_id, cfg: ReportConfig) -> DataFrame:
-    """Results since the standards date of teachers in the district, then
-    enriched: school (left), class and term (left pair), teacher (inner:
-    the seed join already requires the teacher) and the test chain.  The
-    test chain is an inner join here: the original enriched it with a left
-    update, but its test-name filter then drops every row the chain did not
-    match, so the result is the same."""
+RESULT_KEYS = ["DistrictID", "VirtualTestID", "SchoolID", "UserID", "ClassID"]
+
+
+def staged_results(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """Benchmark results since the standards date of teachers in the
+    district: ids only (names are attached to the sums, see ``_points_by``).
+    The selective test chain comes first.  It is an inner join: the original
+    enriched it with a left update, but its test-name filter then drops every
+    row the chain did not match, so the result is the same."""
     tr = (cat["TestResult"].where(F.col("ResultDate") > _lit_ts(cfg.standards_since))
           .select("TestResultID", "VirtualTestID", "SchoolID", "UserID", "ClassID", "UpdatedDate"))
-    u = cat["User"].select("UserID", F.col("DistrictID").alias("DistrictID"), F.col("Code").alias("TeacherCode"),
-                           F.col("NameFirst").alias("TeacherFirstName"), F.col("NameLast").alias("TeacherLastName"))
-    u = _scope(u, "DistrictID", district_id)
+    df = with_test_chain(tr, cat).where(include_exclude("TestName", cfg.standards_include, cfg.standards_exclude))
+    u = _scope(cat["User"].select("UserID", "DistrictID"), "DistrictID", district_id)
+    return df.join(u, "UserID").select("TestResultID", "UpdatedDate", *RESULT_KEYS)
+
+
+def _with_names(df: DataFrame, cat: Catalog) -> DataFrame:
+    """Names for the ids of ``RESULT_KEYS``: test chain and teacher (inner),
+    school (left), class and term (left pair)."""
     sch = cat["School"].select("SchoolID", F.col("Name").alias("SchoolName"))
-    df = tr.join(u, "UserID").join(sch, "SchoolID", "left")
-    df = with_class_term(df, cat, "left").drop("TermDistrictID", "Active")
-    return with_test_chain(df, cat).drop("AchievementLevelSettingID")
+    df = with_test_chain(df, cat).drop("AchievementLevelSettingID").join(_teachers(cat), "UserID")
+    df = df.join(sch, "SchoolID", "left")
+    return with_class_term(df, cat, "left").drop("TermDistrictID", "Active")
 
 
-def _answers_tagged(cat: Catalog, bridge: str, tag_table: str, tag_key: str, tag_col: str) -> DataFrame:
-    """Answer x question x item (existence) x bridge x tag: one row per
-    answer *per tag* (an answer under two standards counts under both).
-    Points are truncated to whole numbers, as in the original staging
-    table."""
+def _points_by(cat, district_id, cfg, bridge, tag_table, tag_key, tag_col, staged=None) -> DataFrame:
+    """Points per group and tag; an answer under two standards counts under
+    both.  Points are truncated to whole numbers per answer, as in the
+    original staging table.
+
+    Sums and maxima compose, so each step aggregates before the next one
+    multiplies or widens rows: answers meet the staged results unmultiplied
+    (the one large shuffle) and are summed per (ids, question); those sums
+    fan out over the bridge and are summed per (ids, tag); only then come the
+    names, and a last sum over them."""
+    td = staged if staged is not None else staged_results(cat, district_id, cfg)
     a = cat["Answer"].select("TestResultID", "VirtualQuestionID",
                              F.col("PointsEarned").cast("int").alias("PointsEarned"),
                              F.col("PointsPossible").cast("int").alias("PointsPossible"))
+    sums = [F.min("FirstDate").alias("FirstDate"), F.max("LastDate").alias("LastDate"),
+            F.sum("PointsEarned").alias("PointsEarned"), F.sum("PointsPossible").alias("PointsPossible")]
+    td = td.select("*", F.col("UpdatedDate").alias("FirstDate"), F.col("UpdatedDate").alias("LastDate"))
+    df = td.join(a, "TestResultID").groupBy(*RESULT_KEYS, "VirtualQuestionID").agg(*sums)
     vq = cat["VirtualQuestion"].select("VirtualQuestionID", "QTIItemID")
     item = cat["QTIItem"].select("QTIItemID")
-    br = cat[bridge]
-    tag = cat[tag_table].select(F.col(tag_key).alias("_tag_key"), F.col(tag_col).alias("Tag"))
     bridge_key = "StateStandardID" if bridge == "VirtualQuestionStateStandard" else "LessonOneID"
-    br = br.select("VirtualQuestionID", F.col(bridge_key).alias("_tag_key"))
-    return (a.join(vq, "VirtualQuestionID").join(item, "QTIItemID", "left_semi")
-            .join(br, "VirtualQuestionID").join(tag, "_tag_key").drop("_tag_key"))
-
-
-def staged_results(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
-    """The enriched results both summaries start from (benchmark tests only)."""
-    return _staged_results(cat, district_id, cfg).where(
-        include_exclude("TestName", cfg.standards_include, cfg.standards_exclude))
-
-
-def _points_by(cat, district_id, cfg, bridge, tag_table, tag_key, tag_col, staged=None) -> DataFrame:
-    td = staged if staged is not None else staged_results(cat, district_id, cfg)
-    tda = _answers_tagged(cat, bridge, tag_table, tag_key, tag_col)
-    if cfg.preaggregate_answers:
-        # one row per (result, tag) before the big join: exact, as points
-        # are truncated per answer first and sums add up
-        tda = tda.groupBy("TestResultID", "Tag").agg(
-            F.sum("PointsEarned").alias("PointsEarned"), F.sum("PointsPossible").alias("PointsPossible"))
-    df = td.join(tda, "TestResultID")
-    return df.groupBy("DistrictID", *GROUP_COLUMNS, "Tag").agg(
-        F.max("UpdatedDate").alias("MostRecentDate"),
+    br = cat[bridge].select("VirtualQuestionID", F.col(bridge_key).alias("_tag_key"))
+    tag = cat[tag_table].select(F.col(tag_key).alias("_tag_key"), F.col(tag_col).alias("Tag"))
+    df = (df.join(vq, "VirtualQuestionID").join(item, "QTIItemID", "left_semi")
+          .join(br, "VirtualQuestionID").join(tag, "_tag_key").groupBy(*RESULT_KEYS, "Tag").agg(*sums))
+    return _with_names(df, cat).groupBy("DistrictID", *GROUP_COLUMNS, "Tag").agg(
+        F.min("FirstDate").alias("EarliestDate"), F.max("LastDate").alias("MostRecentDate"),
         F.sum("PointsEarned").cast("bigint").alias("TotalPointsEarned"),
         F.sum("PointsPossible").cast("bigint").alias("TotalPointsPossible"))
 
@@ -375,6 +398,15 @@ def standards_summary(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAUL
                      "StandardNbr", "TotalPointsEarned", "TotalPointsPossible")
 
 
+def standards_dates(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """First and last result date behind each row of ``standards_summary``
+    (the report itself shows neither)."""
+    df = _points_by(cat, district_id, cfg, "VirtualQuestionStateStandard", "MasterStandard", "MasterStandardID", "Number")
+    return df.select("DistrictID", "TestName", "ClassID", "UserID", F.col("Tag").alias("StandardNbr"),
+                     F.date_format("EarliestDate", "yyyy-MM-dd").alias("FirstDate"),
+                     F.date_format("MostRecentDate", "yyyy-MM-dd").alias("LastDate"))
+
+
 def skills_summary(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT,
                    staged: DataFrame | None = None) -> DataFrame:
     """As ``standards_summary`` per skill; line breaks are removed from the
@@ -398,62 +430,66 @@ def _bank_filter(bank: Column, state_test: Column, cfg: ReportConfig) -> Column:
     return out
 
 
-def _result_tags(cat: Catalog, results: DataFrame, demographics) -> DataFrame:
-    """(TestResultID, Demographic, Value): the gender and race of the
-    result's student in one pass over the results (left joins to the small
-    dimensions, then one row per *matched* value, so a missing dimension
-    row drops only that demographic, as an inner join would), plus the
-    program(s) recorded for the result."""
-    parts = []
-    student_dims = [d for d in ("Gender", "Race") if d in demographics]
-    if student_dims:
-        sr = results.select("TestResultID", "GenderID", "RaceID")
-        tags = []
-        for d in student_dims:
+def _with_tags(df: DataFrame, cat: Catalog, demographics) -> DataFrame:
+    """One row per row of ``df`` and demographic value of its result: gender
+    and race by their ids, programs by the result.  A missing dimension row
+    drops only that demographic, as an inner join would."""
+    tags = []
+    for d in ("Gender", "Race"):
+        if d in demographics:
             dim = cat[d].select(F.col(f"{d}ID"), F.col("Name").alias(f"_{d}_name"), F.lit(True).alias(f"_{d}_ok"))
-            sr = sr.join(dim, f"{d}ID", "left")
+            df = df.join(dim, f"{d}ID", "left")
             tags.append(F.struct(F.lit(d).alias("Demographic"), F.col(f"_{d}_name").alias("Value"),
                                  F.col(f"_{d}_ok").isNotNull().alias("ok")))
-        parts.append(sr.select("TestResultID", F.explode(F.filter(F.array(*tags), lambda t: t["ok"])).alias("t"))
-                     .select("TestResultID", "t.Demographic", "t.Value"))
+    tags = F.filter(F.array(*tags), lambda t: t["ok"]) if tags else None
     if "Program" in demographics:
-        p = cat["Program"].select("ProgramID", F.col("Name").alias("Value"))
-        parts.append(cat["TestResultProgram"].select("TestResultID", "ProgramID").join(p, "ProgramID")
-                     .select("TestResultID", F.lit("Program").alias("Demographic"), "Value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def standards_by_demographic(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT,
-                             demographics=DEMOGRAPHICS) -> DataFrame:
+        p = cat["Program"].select("ProgramID", F.struct(F.lit("Program").alias("Demographic"), F.col("Name").alias("Value"),
+                                                        F.lit(True).alias("ok")).alias("_program"))
+        programs = (cat["TestResultProgram"].select("TestResultID", "ProgramID").join(p, "ProgramID")
+                    .groupBy("TestResultID").agg(F.collect_list("_program").alias("_programs")))
+        df = df.join(programs, "TestResultID", "left")
+        own = F.coalesce("_programs", F.array().cast("array<struct<Demographic:string,Value:string,ok:boolean>>"))
+        tags = own if tags is None else F.concat(tags, own)
+    return df.select("*", F.inline(tags))
+
+
+def demographic_rows(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT,
+                     demographics=DEMOGRAPHICS) -> DataFrame:
     """Points per school, test, demographic value and standard for the
-    district's state-test banks.
+    district's state-test banks, unsorted.
 
     The six near-identical queries of the original (three demographics x
-    two states) are one plan: results are filtered to the banks of their
-    district's state test, answers are joined on (result, question) with the
-    question's test equal to the result's test, and every answer row is
-    labelled once per demographic value through a (result -> tag) table.
-    Both big joins are keyed on TestResultID, so the answers are shuffled
-    once and the tag table joins them co-partitioned."""
+    two states) are one plan, and the results chain runs once: results are
+    filtered to the banks of their district's state test; answers join them
+    on (result, question) with the question's test equal to the result's
+    test; points are summed per (result, standard) before each sum is labelled
+    once per demographic value of its result."""
     tr = cat["TestResult"].select("TestResultID", "VirtualTestID", "SchoolID", "StudentID")
     vt = cat["VirtualTest"].select("VirtualTestID", "BankID", F.col("Name").alias("TestName"))
+    banks = reduce(lambda a, b: a | b, [F.col("BankID").isin(list(ids)) for ids in cfg.bank_ids.values()])
     sch = cat["School"].select("SchoolID", F.col("Name").alias("School"))
     s = _scope(cat["Student"].select("StudentID", "DistrictID", "GenderID", "RaceID"), "DistrictID", district_id)
     v = district_variants(cat, cfg).select("DistrictID", "StateTest")
-    results = (tr.join(vt, "VirtualTestID").join(sch, "SchoolID").join(s, "StudentID").join(v, "DistrictID")
+    # any state's banks first; which ones count is known with the district
+    results = (tr.join(vt.where(banks), "VirtualTestID").join(sch, "SchoolID").join(s, "StudentID").join(v, "DistrictID")
                .where(_bank_filter(F.col("BankID"), F.col("StateTest"), cfg)))
     vq = cat["VirtualQuestion"].select("VirtualQuestionID", "VirtualTestID")
     vqss = cat["VirtualQuestionStateStandard"].select("VirtualQuestionID", "StateStandardID")
     ms = cat["MasterStandard"].select(F.col("MasterStandardID").alias("StateStandardID"), "Number")
     a = cat["Answer"].select("TestResultID", "VirtualQuestionID", "PointsEarned", "PointsPossible")
-    answers = (a.join(results.select("TestResultID", "VirtualTestID", "DistrictID", "School", "TestName"),
-                      "TestResultID")
-               .join(vq, ["VirtualQuestionID", "VirtualTestID"])
-               .join(vqss, "VirtualQuestionID").join(ms, "StateStandardID"))
-    df = answers.join(_result_tags(cat, results, demographics), "TestResultID")
-    out = df.groupBy("DistrictID", "School", "TestName", "Demographic", "Value", "Number").agg(
-        F.sum("PointsEarned").alias("PointsEarned"), F.sum("PointsPossible").alias("PointsPossible"))
-    return out.orderBy("DistrictID", "Demographic", "School", "TestName", "Number", "Value")
+    sums = [F.sum("PointsEarned").alias("PointsEarned"), F.sum("PointsPossible").alias("PointsPossible")]
+    of_result = ["TestResultID", "DistrictID", "School", "TestName", "GenderID", "RaceID"]
+    df = (a.join(results.select("VirtualTestID", *of_result), "TestResultID")
+          .join(vq, ["VirtualQuestionID", "VirtualTestID"]).join(vqss, "VirtualQuestionID").join(ms, "StateStandardID")
+          .groupBy(*of_result, "Number").agg(*sums))
+    return _with_tags(df, cat, demographics).groupBy(*DEMOGRAPHIC_KEYS).agg(*sums)
+
+
+DEMOGRAPHIC_KEYS = ["DistrictID", "School", "TestName", "Demographic", "Value", "Number"]
+
+
+def standards_by_demographic(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT,
+                             demographics=DEMOGRAPHICS) -> DataFrame:
+    """``demographic_rows`` in report order."""
+    return demographic_rows(cat, district_id, cfg, demographics).orderBy(
+        "DistrictID", "Demographic", "School", "TestName", "Number", "Value")

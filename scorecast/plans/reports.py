@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, ReportConfig, validate_district_id, validate_form
 from ..functions.dates import period_table
 from ..sources.catalog import Catalog
-from ..sources.sinks import materialize, report_path, write_report
+from ..sources.sinks import Sheet, materialize, report_path, write_report
 from . import extracts, status, usage
 
 
@@ -44,36 +44,33 @@ def usage_report(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT,
 
 
 def demographic_sheets(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT,
-                       share: bool = True) -> dict[str, DataFrame]:
+                       share: bool = True) -> dict[str, Sheet]:
     """The three standards-by-X sheets from ONE plan: the long form is
     computed once (checkpointed into the shared folder when ``share``) and
     split by demographic, each sheet naming its value column after it."""
-    long = extracts.standards_by_demographic(cat, district_id, cfg)
+    long = extracts.demographic_rows(cat, district_id, cfg)
     if share:
         long = materialize(cat.spark, long)
     sheets = {}
     for d in extracts.DEMOGRAPHICS:
-        sheets[f"Standards by {d}"] = (
-            long.where(F.col("Demographic") == d)
-            .select("DistrictID", "School", "TestName", F.col("Value").alias(d), "Number",
-                    "PointsEarned", "PointsPossible")
-            .orderBy("DistrictID", "School", "TestName", "Number", d))
+        rows = long.where(F.col("Demographic") == d).select(
+            "DistrictID", "School", "TestName", F.col("Value").alias(d), "Number", "PointsEarned", "PointsPossible")
+        sheets[f"Standards by {d}"] = Sheet(rows, ("DistrictID", "School", "TestName", "Number", d))
     return sheets
 
 
 def benchmark_extract(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT,
-                      share: bool = False) -> dict[str, DataFrame]:
+                      share: bool = False) -> dict[str, DataFrame | Sheet]:
     """All sheets of the benchmark extract.  For one district the state-test
     sheet is named after the district's test (PARCC / PSSA); for all
     districts it is "State Test" with a StateTest column.  The
     points-by-program sheet is produced for every variant."""
     state_sheet = "State Test" if district_id is None else extracts.state_variant(cat, district_id, cfg)[0]
-    # standards and skills start from the same enriched results (one plan;
-    # re-scanning it is cheaper than checkpointing it: a pruned scan plus
-    # broadcast joins)
+    # standards and skills start from the same results (ids only; re-scanning
+    # them is cheaper than keeping them)
     staged = extracts.staged_results(cat, district_id, cfg)
     return {
-        "Local Benchmarks": extracts.local_benchmark_detail(cat, district_id, cfg),
+        "Local Benchmarks": Sheet(extracts.detail_rows(cat, district_id, cfg), tuple(extracts.detail_order())),
         state_sheet: extracts.state_test_extract(cat, district_id, cfg),
         "Standards": extracts.standards_summary(cat, district_id, cfg, staged),
         "Skills": extracts.skills_summary(cat, district_id, cfg, staged),
@@ -119,12 +116,14 @@ def run(kind: str, cat: Catalog, out_root: str, *, district_id=None, as_of: dt.d
         end = period_table(cat.spark, as_of, cfg)._report_periods[0][3]
         out = report_path(out_root, cfg.usage_report_name, end=end)
         return write_report(usage_report(cat, as_of, cfg, share=True), out, fmt)
-    name = "All Districts" if district_id is None else district_name(cat, district_id)
+    # the id keeps districts apart whose names differ only in punctuation
+    name = "All Districts" if district_id is None else f"{validate_district_id(district_id)} {district_name(cat, district_id)}"
 
     def by_district(sheets):  # all-districts output: one folder per district
         if district_id is not None:
             return None
-        return {k: ["DistrictID"] for k, df in sheets.items() if "DistrictID" in df.columns}
+        return {k: ["DistrictID"] for k, x in sheets.items()
+                if "DistrictID" in (x.rows if isinstance(x, Sheet) else x).columns}
 
     if kind == "benchmark":
         sheets = benchmark_extract(cat, district_id, cfg, share=True)

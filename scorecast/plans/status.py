@@ -19,7 +19,7 @@ def status_roster(cat, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFra
     return _roster(cat, district_id, cfg).orderBy("DistrictID", "School", "Grade", "LastName", "FirstName", "Code")
 
 
-def _roster(cat, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
+def _roster(cat, district_id=None, cfg: ReportConfig = DEFAULT, with_id: bool = False) -> DataFrame:
     """Distinct students enrolled in a class of an active term that has a
     teacher (with a user and a level-of-engagement record), with their
     current grade (left join: the grade may be missing).
@@ -38,32 +38,34 @@ def _roster(cat, district_id=None, cfg: ReportConfig = DEFAULT) -> DataFrame:
     g = cat["Grade"].select(F.col("GradeID").alias("CurrentGradeID"), F.col("Name").alias("Grade"))
     df = (cls.join(sch, "SchoolID").join(cat["ClassStudent"].select("ClassID", "StudentID"), "ClassID")
           .join(s, "StudentID").join(g, "CurrentGradeID", "left"))
-    return df.select("DistrictID", *ROSTER_COLUMNS).distinct()
+    return df.select("DistrictID", *(["StudentID"] if with_id else []), *ROSTER_COLUMNS).distinct()
 
 
-def status_matrix(cat, district_id=None, form: str = "A", cfg: ReportConfig = DEFAULT) -> DataFrame:
+def status_matrix(cat, district_id=None, form: str = "A", cfg: ReportConfig = DEFAULT, key: str = "code",
+                  spread: int = 8) -> DataFrame:
     """Roster plus a Yes/No column per configured subject: does the
-    student (matched by student code, within the district) have a benchmark
-    score of that subject on the requested form?
+    student (matched within the district by ``key``: student code, as the
+    original does, or student id) have a benchmark score of that subject on
+    the requested form?  ``spread``: tasks that share one key.
 
     The original looked every student up in the score list (students x
     scores); here the scores are reduced to one row per (district, code)
     with one flag per subject, then left-joined to the roster."""
     form = validate_form(form)
-    scores = scored_results(cat, include_exclude("TestName", cfg.status_include, cfg.status_exclude))
-    scores = scores.where(F.col("Active") == 1)
-    scores = _scope(scores, "TermDistrictID", district_id)
+    by = {"code": ("StudentCode", "Code"), "id": ("StudentID", "StudentID")}[key]
+    scores = scored_results(cat, include_exclude("TestName", cfg.status_include, cfg.status_exclude),
+                            term_filter=F.col("Active") == 1, district_id=district_id)
     f = form_letter("TestName", True, cfg)
-    flags = scores.groupBy(F.col("TermDistrictID").alias("DistrictID"), F.col("StudentCode").alias("Code")).agg(
+    flags = scores.groupBy(F.col("TermDistrictID").alias("DistrictID"), F.col(by[0]).alias(by[1])).agg(
         *[F.max((F.col("Subject") == subject) & (f == form)).alias(f"_{col}") for col, subject in cfg.status_subjects])
-    roster = _roster(cat, district_id, cfg)
-    # A NULL code never matches; those rows skip the join instead of all
-    # hashing into one task of it.
-    flag_cols = [f"_{col}" for col, _ in cfg.status_subjects]
-    no_code = roster.where(F.col("Code").isNull()).select(
-        "*", *[F.lit(None).cast("boolean").alias(c) for c in flag_cols])
-    out = roster.where(F.col("Code").isNotNull()).join(flags, ["DistrictID", "Code"], "left")
-    out = out.unionByName(no_code)
+    # A key shared by many students (a blank or placeholder code) must not
+    # meet them in one task: each roster row takes one of ``spread`` seats by
+    # its own identity, and the few flags sit in every seat.  A NULL key never
+    # matches and is spread the same way.
+    roster = _roster(cat, district_id, cfg, by[1] == "StudentID")
+    seat = F.pmod(F.xxhash64(*roster.columns), F.lit(spread)).cast("int")
+    seated = flags.withColumn("_seat", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    out = roster.withColumn("_seat", seat).join(seated, ["DistrictID", by[1], "_seat"], "left")
     for col, _ in cfg.status_subjects:
         out = out.withColumn(col, F.when(F.col(f"_{col}"), F.lit("Yes")).otherwise(F.lit("No")))
     return (out.select("DistrictID", *ROSTER_COLUMNS, *[c for c, _ in cfg.status_subjects])

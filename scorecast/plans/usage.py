@@ -6,18 +6,19 @@ section is one plan: the fact is cut to the three report weeks (a literal
 OR of three ranges pushed into the scan), tagged with its period(s) by a
 broadcast range join against the 3-row period table, joined to its
 dimensions and grouped by ``period`` plus the section's keys.  Output is long form (a ``period``
-column) -- ``results_by_date_wide`` gives the side-by-side layout.
+column); the ``*_wide`` forms give the side-by-side layout.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, ReportConfig
-from ..functions.dates import day_text, hour_label, iso_day, period_table, with_periods
+from ..functions.dates import august_first_last_year, day_text, hour_label, iso_day, period_table, with_periods
 from ..functions.predicates import any_not_null, not_in
 from ..operators.aggregates import count_where, share_of_total, with_total_row
 from ..operators.periods import assign_periods, densify_days, period_change
@@ -174,6 +175,37 @@ class WeeklyUsage:
             F.max("Date").alias("Date"), *[F.max(m).alias(m) for m in RESULT_MEASURES])
         return wide.orderBy("row")
 
+    def side_by_side(self, section: DataFrame, order: list, columns: list[str]) -> DataFrame:
+        """The periods of a section next to each other, as the original's
+        sheets have them: row ``n`` holds the ``n``-th row of every period in
+        the section's own order, NULL where a period has fewer rows.
+        ``section`` is aggregated and has ``period``; ``order`` decides."""
+        codes = {lab: lab.lower().replace(" ", "_") for lab in self.cfg.period_labels}
+        code = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv])[F.col("period")]
+        place = F.row_number().over(Window.partitionBy("period").orderBy(*order)) - 1
+        ranked = section.select(code.alias("period_code"), place.alias("row"), *columns)
+        return ranked.groupBy("row").pivot("period_code", list(codes.values())).agg(
+            *[F.first(c).alias(c) for c in columns]).orderBy("row")
+
+    def by_client_wide(self) -> DataFrame:
+        rows = share_of_total(self.by_client(), "TotalResults", ["period"], "share")
+        return self.side_by_side(rows, [F.desc("TotalResults"), "State", "District"], ["State", "District", *CLIENT_MEASURES, "share"])
+
+    def benchmarks_by_client_wide(self) -> DataFrame:
+        rows = with_total_row(self.by_client(True), self.periods, {"State": "Total", "District": ""}, CLIENT_MEASURES)
+        order = [F.desc(F.col("row_kind") == "total"), F.desc("TotalResults"), "State", "District"]
+        return self.side_by_side(rows, order, ["State", "District", *CLIENT_MEASURES])
+
+    def sessions_by_date_wide(self, ts_col: str = "StartDate") -> DataFrame:
+        rows, label = self._sessions_by_day(ts_col)
+        return self.side_by_side(rows, ["day"], [label, "TotalOnlineTests", *[n for n, _ in self.cfg.session_statuses]])
+
+    def sessions_by_hour_wide(self) -> DataFrame:
+        return self.side_by_side(self._sessions_by_hour(), [F.desc("NumberOfSessions"), "Hour"], self._hour_columns())
+
+    def entry_by_client_wide(self) -> DataFrame:
+        return self.side_by_side(self._entry_by_client(), [F.desc("Total"), "State", "District"], ["State", "District", "Total"])
+
     def dense_daily_counts(self) -> DataFrame:
         """Results per day with every calendar day of each period present
         (start to end inclusive), missing days 0."""
@@ -219,45 +251,55 @@ class WeeklyUsage:
         return (df.orderBy("period_ord", F.col("row_kind") == "total", "day")
                 .select("period", "row_kind", "Date", "Total"))
 
+    def _entry_by_client(self) -> DataFrame:
+        return (self.entries().groupBy("period", "period_ord", "State", "District")
+                .agg(F.count("TestResultID").alias("Total")))
+
     def entry_by_client(self) -> DataFrame:
-        df = (self.entries().groupBy("period", "period_ord", "State", "District")
-              .agg(F.count("TestResultID").alias("Total")))
-        return (df.orderBy("period_ord", F.desc("Total"), "State", "District")
+        return (self._entry_by_client().orderBy("period_ord", F.desc("Total"), "State", "District")
                 .select("period", "State", "District", "Total"))
 
     # ---------------------------------------------------------- sessions ----
 
-    def sessions_by_date(self, ts_col: str = "StartDate") -> DataFrame:
-        """Online sessions per day (by start or by last login) and status."""
-        cfg = self.cfg
+    def _sessions_by_day(self, ts_col: str) -> tuple[DataFrame, str]:
         q = self.sessions(ts_col).withColumn("day", F.to_date(ts_col))
         df = q.groupBy("period", "period_ord", "day").agg(
             F.count(F.lit(1)).alias("TotalOnlineTests"),
-            *[count_where(F.col("StatusID") == code, name) for name, code in cfg.session_statuses])
+            *[count_where(F.col("StatusID") == code, name) for name, code in self.cfg.session_statuses])
         label = "DateStarted" if ts_col == "StartDate" else "DateLastLogIn"
-        return (df.withColumn(label, day_text("day")).orderBy("period_ord", "day")
-                .select("period", label, "TotalOnlineTests", *[n for n, _ in cfg.session_statuses]))
+        return df.withColumn(label, day_text("day")), label
 
-    def sessions_by_hour(self) -> DataFrame:
-        """Sessions per (shifted) login hour, split by client group, with
-        each group's share.  ``Others`` may go negative when groups
-        overlap."""
-        cfg = self.cfg
-        q = self.sessions("LastLoginDate").withColumn("Hour", hour_label("LastLoginDate", cfg.hour_shift_hours))
+    def sessions_by_date(self, ts_col: str = "StartDate") -> DataFrame:
+        """Online sessions per day (by start or by last login) and status."""
+        df, label = self._sessions_by_day(ts_col)
+        return (df.orderBy("period_ord", "day")
+                .select("period", label, "TotalOnlineTests", *[n for n, _ in self.cfg.session_statuses]))
+
+    def _hour_columns(self) -> list[str]:
+        names = [g.name for g in self.cfg.client_groups()]
+        shares = [g.share_name for g in self.cfg.client_groups()]
+        return ["Hour", "NumberOfSessions", *names, "Others", *shares, "pct_Others"]
+
+    def _sessions_by_hour(self) -> DataFrame:
+        groups = self.cfg.client_groups()
+        q = self.sessions("LastLoginDate").withColumn("Hour", hour_label("LastLoginDate", self.cfg.hour_shift_hours))
+
+        def member(g):
+            return F.col(g.column).ilike(g.value) if g.pattern else F.col(g.column) == g.value
         df = q.groupBy("period", "period_ord", "Hour").agg(
-            F.count(F.lit(1)).alias("NumberOfSessions"),
-            count_where(F.col("DistrictID") == cfg.a_beka_district_id, "ABeka"),
-            count_where(F.col("DistrictGroupID") == cfg.bec_group_id, "BEC"),
-            count_where(F.col("District").ilike(cfg.frog_street_pattern), "Frogstreet"))
+            F.count(F.lit(1)).alias("NumberOfSessions"), *[count_where(member(g), g.name) for g in groups])
         n = F.col("NumberOfSessions").cast("double")
-        others = F.col("NumberOfSessions") - (F.col("ABeka") + F.col("BEC") + F.col("Frogstreet"))
+        others = F.col("NumberOfSessions") - reduce(lambda a, b: a + b, [F.col(g.name) for g in groups])
         df = df.select("*", others.alias("Others"))
-        pct = [F.try_divide(F.col(src).cast("double"), n).alias(dst)
-               for src, dst in (("ABeka", "pct_ABeka"), ("BEC", "pct_BEC"), ("Frogstreet", "pct_FrogStreet"),
-                                ("Others", "pct_Others"))]
-        return (df.select("*", *pct).orderBy("period_ord", F.desc("NumberOfSessions"), "Hour")
-                .select("period", "Hour", "NumberOfSessions", "ABeka", "BEC", "Frogstreet", "Others",
-                        "pct_ABeka", "pct_BEC", "pct_FrogStreet", "pct_Others"))
+        return df.select("*", *[F.try_divide(F.col(src).cast("double"), n).alias(dst) for src, dst in
+                                [*((g.name, g.share_name) for g in groups), ("Others", "pct_Others")]])
+
+    def sessions_by_hour(self) -> DataFrame:
+        """Sessions per (shifted) login hour, split by the configured client
+        groups, with each group's share.  ``Others`` may go negative when
+        groups overlap."""
+        return (self._sessions_by_hour().orderBy("period_ord", F.desc("NumberOfSessions"), "Hour")
+                .select("period", *self._hour_columns()))
 
 
 # One function per section (each builds its own plan; the report runner uses
@@ -309,10 +351,17 @@ def sessions_by_hour(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT)
     return WeeklyUsage(cat, as_of, cfg).sessions_by_hour()
 
 
+def wide(cat: Catalog, as_of: dt.date, section: str, cfg: ReportConfig = DEFAULT, *args) -> DataFrame:
+    """The side-by-side layout of a section, by method name."""
+    return getattr(WeeklyUsage(cat, as_of, cfg), section)(*args)
+
+
 def period_windows(cat: Catalog, cfg: ReportConfig = DEFAULT) -> DataFrame:
     """The three report periods for every date on which results were
-    updated (a calendar of report windows)."""
+    updated (a calendar of report windows), with August 1 of the year before
+    (the start of the completion report's window)."""
     days = cat["TestResult"].select(F.to_date("UpdatedDate").alias("as_of")).distinct()
     return (with_periods(days, "as_of", cfg).orderBy("as_of", "period_ord")
             .select(iso_day("as_of").alias("as_of"), "period", "period_ord",
-                    iso_day("week_start").alias("week_start"), iso_day("week_end").alias("week_end")))
+                    iso_day("week_start").alias("week_start"), iso_day("week_end").alias("week_end"),
+                    iso_day(august_first_last_year("as_of")).alias("since")))

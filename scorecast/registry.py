@@ -47,6 +47,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "usage_results_by_date_excl": _q(usage.results_by_date, A, CFG, exclude_clients=True),
         "usage_results_by_date_total": _q(usage.results_by_date_total, A, CFG),
         "usage_results_by_date_wide": _q(usage.results_by_date_wide, A, CFG),
+        "usage_results_by_client_wide": _q(usage.wide, A, "by_client_wide", CFG),
+        "benchmarks_by_client_wide": _q(usage.wide, A, "benchmarks_by_client_wide", CFG),
+        "entry_by_client_wide": _q(usage.wide, A, "entry_by_client_wide", CFG),
+        "sessions_by_start_date_wide": _q(usage.wide, E, "sessions_by_date_wide", CFG, "StartDate"),
+        "sessions_by_hour_wide": _q(usage.wide, E, "sessions_by_hour_wide", CFG),
         "usage_period_change": _q(usage.period_change_report, A, CFG),
         "dense_daily_counts": _q(usage.dense_daily_counts, A, CFG),
         "benchmarks_by_client_total": _q(usage.benchmarks_by_client, A, CFG),
@@ -68,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "student_program": _q(extracts.student_program, None),
         "student_dimension": _q(extracts.student_dimension, None),
         "standards_summary": _q(extracts.standards_summary, None, CFG),
+        "standards_dates": _q(extracts.standards_dates, None, CFG),
         "skills_summary": _q(extracts.skills_summary, None, CFG),
         "standards_by_demographic": _q(extracts.standards_by_demographic, None, CFG),
         "standards_by_gender": _q(extracts.standards_by_demographic, None, CFG, ("Gender",)),
@@ -82,8 +88,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     out = {"period_windows": oracle.period_windows_sql(CFG)}
-    out.update(oracle.usage_sql(CFG, ORDERS_AS_OF))
-    out.update(oracle.sessions_sql(CFG, EVENTS_AS_OF))
+    weekly, sessions = oracle.usage_sql(CFG, ORDERS_AS_OF), oracle.sessions_sql(CFG, EVENTS_AS_OF)
+    out.update({**weekly, **sessions, **oracle.wide_sql(weekly, sessions, CFG)})
     out.update(oracle.extracts_sql(CFG))
     out.update(oracle.status_sql(CFG, STATUS_FORM))
     out.update(oracle.labels_sql(CFG, PARAM_DISTRICT))

@@ -52,13 +52,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting must come from the cluster configuration (a
-    folder every executor can reach).  Only a local-mode session (tests,
-    bench) without the setting gets a private scratch folder.
-    """
+    folder that every executor reaches).  Only a single-process session
+    (``local[...]``: tests, bench) without it gets a scratch folder."""
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; configure a shared folder for the cluster")
         d = tempfile.mkdtemp(prefix="scorecast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -156,7 +156,9 @@ BINDINGS: dict[str, list[Select]] = {
         "ELSE CAST(CAST(l_quantity AS BIGINT) % 3 AS DOUBLE) END AS ScoreScaled",
         "CAST(1 + l_linenumber % 5 AS INT) AS AchievementLevel",
     )],
-    "Answer": [_s("lineitem", "l_orderkey AS TestResultID", "l_partkey AS VirtualQuestionID",
+    # an answer is to a question of its result's own test (same remainder)
+    "Answer": [_s("lineitem", "l_orderkey AS TestResultID",
+                  "l_partkey - l_partkey % 200 + l_orderkey % 200 AS VirtualQuestionID",
                   "l_quantity AS PointsEarned", "CAST(50 AS DOUBLE) AS PointsPossible")],
     "VirtualQuestion": [_s("part", "p_partkey AS VirtualQuestionID",
                            "p_partkey % 200 AS VirtualTestID", "p_partkey AS QTIItemID")],

@@ -1,22 +1,50 @@
 """Report sinks: a report is a set of named tables written side by side.
 
 The original wrote spreadsheet workbooks (one sheet per section).  Here a
-report ``{sheet name: DataFrame}`` is written as one folder per sheet under
-the report folder (Parquet by default, CSV with a header row as an option);
-``mode="overwrite"`` replaces an earlier run of the same report.  Each
-sheet is written by the executors in parallel -- nothing is collected.
+report ``{sheet name: DataFrame or Sheet}`` is written as one folder per sheet
+under the report folder (Parquet by default, CSV with a header row as an
+option).  A run writes a fresh folder beside the old one and then takes its
+place, so a report never holds a sheet of an earlier run.  Each sheet is
+written once, by the executors in parallel; nothing is collected.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir
 
 
+@dataclass(frozen=True)
+class Sheet:
+    """Rows with the order of the report; columns named with a leading
+    underscore only sort."""
+
+    rows: DataFrame
+    order: tuple
+
+    def columns(self) -> list[str]:
+        return [c for c in self.rows.columns if not c.startswith("_")]
+
+    def frame(self) -> DataFrame:
+        """All rows in order."""
+        return self.rows.orderBy(*self.order).select(*self.columns())
+
+    def frame_by(self, cols: list[str]) -> DataFrame:
+        """Gathered by ``cols`` and in order inside every task.
+
+        REBALANCE: AQE gathers each value into few, evenly sized tasks (few
+        files per folder) and splits a value that is too large for one task.
+        The sort is the last step, so the order reaches the files, and there
+        is no global sort below that the exchange would undo."""
+        return self.rows.hint("rebalance", *cols).sortWithinPartitions(*cols, *self.order).select(*self.columns())
+
+
 def sheet_folder(name: str) -> str:
     """Folder name for a sheet title ('# of Results by Date' ->
     'of_Results_by_Date')."""
@@ -30,36 +58,45 @@ def report_path(root: str, template: str, **params) -> str:
     return os.path.join(root, sheet_folder(template.format(**params)))
 
 
-def write_report(sheets: dict[str, DataFrame], out: str, fmt: str = "parquet", mode: str = "overwrite",
-                 skip_if_empty: tuple = (), partition_by: dict | None = None) -> dict[str, str]:
-    """Write every sheet; sheets named in ``skip_if_empty`` are written only
-    when they have a row.
-    ``partition_by`` maps a sheet to partition columns (e.g. DistrictID
-    for an all-districts extract, so each district's rows sit in their own
-    folder).  Returns {sheet: path} of what was written."""
-    written = {}
-    for name, df in sheets.items():
-        if name in skip_if_empty:
-            # computed once: the emptiness check and the write both read
-            # the checkpoint (an aggregate cannot report "empty" early)
-            df = materialize(df.sparkSession, df)
-            if df.isEmpty():
-                continue
-        path = os.path.join(out, sheet_folder(name))
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def write_report(sheets: dict, out: str, fmt: str = "parquet", skip_if_empty: tuple = (),
+                 partition_by: dict | None = None) -> dict[str, str]:
+    """Write every sheet and put the report in the place of an earlier one.
+
+    Sheets named in ``skip_if_empty`` are there only if they have a row; the
+    written files tell (a read of the first rows), so no sheet is computed
+    twice or kept aside.  ``partition_by`` maps a sheet to partition columns
+    (e.g. DistrictID for an all-districts extract, so each district's rows
+    sit in their own folder, in the sheet's order).  Returns {sheet: path}."""
+    fresh, written, spark = f"{out.rstrip('/')}._{uuid.uuid4().hex}", {}, None
+    for name, sheet in sheets.items():
         cols = (partition_by or {}).get(name)
-        if cols:
-            # REBALANCE: AQE gathers each partition value into few, evenly
-            # sized tasks (few files per folder) and splits a value that is
-            # too large for one task (a district with a third of the rows).
-            df = df.hint("rebalance", *cols)
-        w = df.write.mode(mode)
-        if cols:
-            w = w.partitionBy(*cols)
-        if fmt == "csv":
-            w.option("header", True).csv(path)
+        if isinstance(sheet, Sheet):
+            df = sheet.frame_by(cols) if cols else sheet.frame()
         else:
-            w.format(fmt).save(path)
-        written[name] = path
+            df = sheet.hint("rebalance", *cols) if cols else sheet
+        spark = df.sparkSession
+        folder = sheet_folder(name)
+        path = os.path.join(fresh, folder)
+        w = df.write.partitionBy(*cols) if cols else df.write
+        (w.option("header", True) if fmt == "csv" else w).format(fmt).save(path)
+        if name in skip_if_empty and spark.read.schema(df.schema).format(fmt).option("header", True).load(path).isEmpty():
+            fs, p = _hadoop(spark, path)
+            fs.delete(p, True)
+            continue
+        written[name] = os.path.join(out, folder)
+    if spark is not None:
+        fs, target = _hadoop(spark, out)
+        _, source = _hadoop(spark, fresh)
+        fs.mkdirs(source)
+        fs.delete(target, True)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(source, target):
+            raise OSError(f"could not move {fresh} to {out}")
     return written
 
 

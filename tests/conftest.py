@@ -13,6 +13,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from scorecast.session import get_session
     s = get_session("local[4]", app="scorecast-tests", shuffle_partitions=4,
-                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="scorecast-wh-")})
+                    extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="scorecast-wh-"),
+                           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="scorecast-ckpt-")})
     yield s
     s.stop()

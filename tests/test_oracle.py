@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from scorecast import registry as entry
 from conftest import SF_SMALL
 
 from tools.check_oracle import TABLES, digest
@@ -40,7 +40,8 @@ def test_matches_oracle(spark, con, key):
 
 
 def test_entry_smoke(spark):
-    df = entry.entry(spark)
+    import __spark_entry__
+    df = __spark_entry__.entry(spark)
     rows = df.collect()
     assert len(rows) > 0
     assert df.columns == ["period", "State", "District", "TotalResults", "OnlineTests", "BubbleSheets", "share"]

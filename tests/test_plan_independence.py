@@ -4,7 +4,7 @@ the same rows as the default (broadcast-heavy) plans."""
 
 import pytest
 
-import __spark_entry__ as entry
+from scorecast import registry as entry
 from conftest import SF_SMALL
 
 KEYS = ["usage_results_by_client", "detail_star_join", "standards_summary", "standards_by_demographic",
