@@ -1,7 +1,7 @@
 """BPE encoding and decoding with a minimal acyclic transducer lexicon.
 
-The words of the whole corpus are counted, and the most frequent ones (a
-bounded number, ``LEXICON``) are encoded once and compiled into a minimal
+The chunks between white space of the whole corpus are counted, and the words
+of the most frequent ones (a bounded number, ``LEXICON``) are encoded once and compiled into a minimal
 acyclic automaton: words share prefixes and suffixes, and the sum of the
 outputs on a word's arcs is its number, which points at its ids.  The arrays
 go to the shared folder; each worker maps its copy into memory.  All words of
@@ -20,6 +20,7 @@ import json
 import mmap
 import os
 import re
+import sys
 import tempfile
 import unicodedata
 from collections import Counter
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import cut, filesystem, make_folder, scratch, ship, text_or_empty
 from . import words as W
 
-LEXICON = 131_072     # words in the automaton
+LEXICON = 131_072     # chunks whose words make the automaton, at most
 
 # White_Space of Unicode, as ranges for a class
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -61,6 +62,12 @@ _CAPITALS = re.compile("[" + "".join(map(chr, _LOWER)) + "Σ]")
 _LOWER[ord("Σ")] = ord("σ")     # character by character: no final form of sigma
 
 
+def _width(text: str) -> int:
+    """At least the bytes that Python stores a character of the text in: below
+    2 all characters are below U+0100, below 4 all are below U+10000."""
+    return sys.getsizeof(text) // max(1, len(text))
+
+
 def _class(kind: str, last: int) -> str:
     """The characters of a general category up to ``last``, as ranges."""
     inside = np.fromiter((unicodedata.category(chr(c))[0] == kind for c in range(0x110000)), bool, 0x110000)
@@ -106,10 +113,10 @@ class Vocabulary:
         if not text.isascii():
             if not unicodedata.is_normalized("NFC", text):
                 text = unicodedata.normalize("NFC", text)
-            if _CAPITALS.search(text):
+            if _width(text) > 1 and _CAPITALS.search(text):
                 text = text.translate(_LOWER)
         text = text.lower()
-        return (self.word if text.isascii() or max(text) <= "\uffff" else self.word_wide).findall(text)
+        return (self.word if _width(text) < 4 else self.word_wide).findall(text)
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a.astype(np.int64) * self.size + b
@@ -323,15 +330,12 @@ def _vocabulary(broadcast) -> Vocabulary:
     return _READY[key]
 
 
-def _count_words(broadcast):
-    def run(batches):
-        vocabulary = _vocabulary(broadcast)
-        for batch in batches:
-            found: Counter = Counter()
-            for text in batch.column(0):
-                found.update(vocabulary.words(text.as_py()))
-            yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["word", "n"])
-    return run
+def _count_chunks(batches):
+    for batch in batches:
+        found: Counter = Counter()
+        for text in batch.column(0):
+            found.update(text.as_py().split())
+        yield pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), pa.array(found.values(), pa.int64())], ["chunk", "n"])
 
 
 def ragged(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -347,7 +351,7 @@ class Encoder:
     def pieces(self, text: str) -> list:
         """The words of a text; special tokens as their ids."""
         v = self.v
-        if v.special_re is None or not v.special_re.search(text):
+        if v.special_re is None or not any(x in text for x in v.special):
             return v.words(text)
         out, at = [], 0
         for m in v.special_re.finditer(text):
@@ -356,8 +360,8 @@ class Encoder:
             at = m.end()
         return out + v.words(text[at:])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(offsets, ids) of the texts."""
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """(offsets, ids) of the texts, and what the ids decode to."""
         words: list = []
         ends = [0]
         for t in texts:
@@ -381,7 +385,12 @@ class Encoder:
         store = np.concatenate((self.auto["ids"], merged, np.array([distinct[i] for i in special], np.int32)))
         codes = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
         offsets = np.concatenate(([0], np.cumsum(size[codes])))[ends]
-        return offsets, store[ragged(begin[codes], size[codes])]
+        ids = store[ragged(begin, size)].tolist()           # of each distinct word
+        edge = np.concatenate(([0], np.cumsum(size))).tolist()
+        said = [decode(self.v, ids[a:b]) for a, b in zip(edge, edge[1:])]
+        spoken = list(map(said.__getitem__, codes.tolist()))
+        texts = [" ".join(spoken[a:b]) for a, b in zip(ends, ends[1:])]
+        return offsets, store[ragged(begin[codes], size[codes])], texts
 
 
 def decode(vocabulary: Vocabulary, ids) -> str:
@@ -401,18 +410,16 @@ def _encode(broadcast, folder: str, name: str):
         for batch in batches:
             column = batch.column(1)
             for i, j in W.slices(column):
-                offsets, ids = encoder.encode(column.slice(i, j - i).to_pylist())
+                offsets, ids, text = encoder.encode(column.slice(i, j - i).to_pylist())
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids, pa.int32()))
-                plain = ids.tolist()
-                text = [decode(vocabulary, plain[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), lists, pa.array(text, pa.string())], ["id", "ids", "decoded"])
     return run
 
 
 def _most_frequent(counts: DataFrame, most: int) -> list[str]:
-    """The most frequent words, at most ``most`` of them: all above a
+    """The most frequent chunks, at most ``most`` of them: all above a
     threshold that a histogram of the counts in fine logarithmic steps gives.
-    Words that occur once or twice never belong."""
+    Chunks that occur once or twice never belong."""
     counts = cut(counts.filter("n > 2").withColumn("step", F.floor(F.log2("n") * 16).cast("int")))
     steps = sorted(((r["step"], r["count"]) for r in counts.groupBy("step").count().collect()), reverse=True)   # below 1024 rows
     room, least = most, None
@@ -422,7 +429,7 @@ def _most_frequent(counts: DataFrame, most: int) -> list[str]:
         room, least = room - n, step
     if least is None:
         return []
-    return counts.filter(F.col("step") >= least).select("word").toPandas()["word"].tolist()
+    return counts.filter(F.col("step") >= least).select("chunk").toPandas()["chunk"].tolist()
 
 
 def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", lexicon: int = LEXICON) -> DataFrame:
@@ -441,9 +448,8 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     shared = spark.sparkContext.broadcast(raw)
     v = Vocabulary(raw)
     text = text_or_empty(text_col).alias("text")
-    counts = docs.select(text).mapInArrow(_count_words(shared), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = _most_frequent(counts, lexicon)
-    words = sorted({w.encode("utf-8", "replace") for w in top if w})
+    counts = docs.select(text).mapInArrow(_count_chunks, "chunk string, n long").groupBy("chunk").agg(F.sum("n").alias("n"))
+    words = sorted({w.encode("utf-8", "replace") for chunk in _most_frequent(counts, lexicon) for w in v.words(chunk)})
     arrays = compile_lexicon(words)
     n, ids = v.merge(words)
     arrays["first"], arrays["ids"] = np.concatenate(([0], np.cumsum(n))).astype(np.int32), ids
