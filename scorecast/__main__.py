@@ -7,7 +7,9 @@
 
 ``--tables`` is a folder of Parquet tables named after the logical tables
 (TestResult, Student, ...); ``--jdbc URL`` reads them from a database
-instead; ``--database DB`` reads tables registered in the session catalog
+instead (``--jdbc-user``, the password from the environment variable that
+``--jdbc-password-env`` names, ``--jdbc-partition Table:column:lower:upper:n`` for
+every fact, ``--jdbc-name Table=schema.table``); ``--database DB`` reads tables registered in the session catalog
 (e.g. facts bucketed by ``sources.layout.write_bucketed``); ``--binding
 SF_DIR`` projects them from the TPC-H-style test data.
 """
@@ -17,6 +19,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import os
 
 from .config import DEFAULT
 from .plans import reports
@@ -26,6 +29,16 @@ from .sources.catalog import BindingCatalog, JdbcCatalog, ParquetCatalog
 from .sources.layout import TableCatalog
 
 
+def jdbc_catalog(spark, a) -> JdbcCatalog:
+    """The catalog that the ``--jdbc`` options describe."""
+    properties = {k: v for k, v in (("user", a.jdbc_user), ("password", os.environ.get(a.jdbc_password_env))) if v}
+    partitioning = {}
+    for text in a.jdbc_partition:
+        table, column, *bounds = text.split(":")
+        partitioning[table] = (column, *(int(x) for x in bounds))
+    return JdbcCatalog(spark, a.jdbc, properties, partitioning, names=dict(x.split("=", 1) for x in a.jdbc_name))
+
+
 def main(argv=None):
     ap = argparse.ArgumentParser(prog="scorecast")
     ap.add_argument("report", choices=["usage", "benchmark", "parcc", "status"])
@@ -34,6 +47,10 @@ def main(argv=None):
     src.add_argument("--jdbc")
     src.add_argument("--binding")
     src.add_argument("--database", help="tables registered in the session catalog (e.g. bucketed facts)")
+    ap.add_argument("--jdbc-user")
+    ap.add_argument("--jdbc-password-env", default="SCORECAST_JDBC_PASSWORD")
+    ap.add_argument("--jdbc-partition", action="append", default=[], metavar="TABLE:COLUMN:LOWER:UPPER:N")
+    ap.add_argument("--jdbc-name", action="append", default=[], metavar="TABLE=NAME")
     ap.add_argument("--out", required=True)
     ap.add_argument("--district", type=int)
     ap.add_argument("--form", default="B")
@@ -47,7 +64,7 @@ def main(argv=None):
     if a.tables:
         cat = ParquetCatalog(spark, a.tables)
     elif a.jdbc:
-        cat = JdbcCatalog(spark, a.jdbc)
+        cat = jdbc_catalog(spark, a)
     elif a.database:
         cat = TableCatalog(spark, a.database)
     else:

@@ -55,27 +55,51 @@ class ParquetCatalog(Catalog):
         return conform(df, name) if self.typed else df
 
 
+# Facts grow with use; one connection must not read them whole.
+FACTS = ("TestResult", "TestResultScore", "TestResultSubScore", "Answer", "QTIOnlineTestSession", "TestResultProgram")
+
+# How a dialect quotes a name (``User`` is a reserved word in most).
+_QUOTES = {"sqlserver": ("[", "]"), "mysql": ("`", "`"), "mariadb": ("`", "`")}
+
+
 class JdbcCatalog(Catalog):
-    """Reads each table over JDBC.  ``partitioning`` maps a table to
-    ``(column, lower, upper, num_partitions)`` so that large fact tables are
-    read by many tasks in parallel instead of one connection."""
+    """Reads each table over JDBC.
+
+    ``partitioning`` maps a table to ``(column, lower, upper,
+    num_partitions)``, so that it is read by many tasks instead of one
+    connection; it must name every fact that a report reads.  ``names`` maps a
+    logical table to its name in the database (``schema.table``); names are
+    quoted as the dialect of the URL does.  ``properties`` are reader options
+    such as user, password and fetchsize."""
 
     def __init__(self, spark, url: str, properties: dict | None = None,
-                 partitioning: dict | None = None, typed: bool = True):
+                 partitioning: dict | None = None, typed: bool = True, names: dict | None = None):
         super().__init__(spark)
         self.url = url
         self.properties = dict(properties or {})
         self.partitioning = dict(partitioning or {})
+        self.names = dict(names or {})
         self.typed = typed
 
-    def _load(self, name):
-        reader = self.spark.read.format("jdbc").option("url", self.url).option("dbtable", name)
-        for k, v in self.properties.items():
-            reader = reader.option(k, v)
+    def quoted(self, name: str) -> str:
+        parts = self.url.split(":")
+        left, right = _QUOTES.get(parts[1] if len(parts) > 1 else "", ('"', '"'))
+        return ".".join(left + part.replace(right, right * 2) + right for part in self.names.get(name, name).split("."))
+
+    def options(self, name: str) -> dict:
+        """The reader options of one table."""
+        out = {**self.properties, "url": self.url, "dbtable": self.quoted(name)}
         if name in self.partitioning:
             col, lo, hi, n = self.partitioning[name]
-            reader = (reader.option("partitionColumn", col).option("lowerBound", lo)
-                      .option("upperBound", hi).option("numPartitions", n))
+            out |= {"partitionColumn": col, "lowerBound": lo, "upperBound": hi, "numPartitions": n}
+        elif name in FACTS:
+            raise ValueError(f"{name} is a fact table: give its partitioning as (column, lower, upper, partitions)")
+        return out
+
+    def _load(self, name):
+        reader = self.spark.read.format("jdbc")
+        for k, v in self.options(name).items():
+            reader = reader.option(k, v)
         df = reader.load()
         return conform(df, name) if self.typed else df
 

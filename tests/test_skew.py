@@ -35,7 +35,7 @@ def test_write_back_of_a_hot_group(spark):
     """Same rows as a window over the raw frame; the hot group is summed
     before it moves."""
     def run():
-        df = _hot_frame(spark).withColumn("c", F.col("id") % 7)
+        df = _hot_frame(spark).withColumn("c", F.col("v").cast("bigint") % 7)
         out = write_back(df, ["k"], ["c"], {"s": F.col("v"), "n": F.lit(1).cast("bigint")})
         group = Window.partitionBy("k")
         want = df.select("k", "c", F.sum("v").over(group).alias("s"), F.count(F.lit(1)).over(group).alias("n"))
