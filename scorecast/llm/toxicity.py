@@ -5,7 +5,7 @@ three- and four-grams.  A gated recurrent network reads each window of words in
 directions; attention over the states gives the window's score, and the
 highest-scoring of all overlapping windows gives the text's score.
 
-Training is multiple-instance learning on the driver, on a bounded sample of
+Training is multiple-instance learning in one task, on a bounded sample of
 labelled documents (``TRAIN`` of each class): in each epoch the window of a
 document that now scores highest, and one at random, learn its label.  The
 model has a fixed size and goes to the workers in a broadcast.  Scoring is one
@@ -16,6 +16,7 @@ through the recurrence together.
 
 from __future__ import annotations
 
+import pickle
 from typing import NamedTuple
 
 import numpy as np
@@ -292,13 +293,24 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not ids:
         return None
     spark = docs.sparkSession
+    ship(spark)
     wanted = spark.createDataFrame(ids, f"{id_col} long, _label int")
     rows = (docs.select(F.col(id_col).cast("long").alias(id_col), text_or_empty(text_col).alias("text")).join(F.broadcast(wanted), id_col)
-            .collect())                                                # the texts of at most 2 * `most` ids
+            .select(id_col, "text", "_label").repartition(1))          # the texts of at most 2 * `most` ids
+    found = rows.mapInArrow(_train, "model binary").collect()
+    return pickle.loads(bytes(found[0]["model"])) if found else None
+
+
+def _train(batches):
+    """The sample's rows -> one row with the trained model, or none.  One task
+    trains, on an executor: the driver gets the model and no text."""
     seen = {}
-    for r in sorted(rows, key=lambda r: (r[0], r["text"])):
-        seen.setdefault(r[0], (r["text"], r["_label"]))
-    return train([t for t, _ in seen.values()], [c for _, c in seen.values()])
+    rows = [x for b in batches for x in zip(*(b.column(i).to_pylist() for i in range(3)))]
+    for i, text, label in sorted(rows):
+        seen.setdefault(i, (text, label))
+    model = train([t for t, _ in seen.values()], [c for _, c in seen.values()])
+    if model is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
