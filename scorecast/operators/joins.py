@@ -41,9 +41,9 @@ def write_back(df: DataFrame, keys: list[str], carry: list[str], sums: dict) ->
     Rows with a NULL key get NULL totals (pandas ``groupby`` drops NULL keys
     the same way)."""
     small = df.groupBy(*keys, *carry).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_{name}") for name, c in sums.items()])
+        F.count(F.lit(1)).alias("_copies"), *[F.sum(c).alias(f"_sum_{name}") for name, c in sums.items()])
     group = Window.partitionBy(*keys)
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    totals = [F.when(known, F.coalesce(F.sum(f"_{name}").over(group), F.lit(0))).alias(name) for name in sums]
-    return (small.select(*keys, *carry, "_n", *totals)
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_n")))).drop("_n", "_copy"))
+    totals = [F.when(known, F.coalesce(F.sum(f"_sum_{name}").over(group), F.lit(0))).alias(name) for name in sums]
+    return (small.select(*keys, *carry, "_copies", *totals)
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))).drop("_copies", "_copy"))
