@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import cut, drop_folder, scratch, table
-from . import bpe, decontaminate, exact_dedup, html_extract, jaccard_join, pii, sharding, substring_dedup, toxicity, warc
+from . import bpe, decontaminate, exact_dedup, html_extract, jaccard_join, pii, resample, sharding, substring_dedup, toxicity, warc
 
 
 def op1_toxicity(spark, sf_dir):
@@ -71,7 +71,12 @@ def op10_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_pii, op3_jaccard_join, op4_decontaminate, op5_html_extract, op6_sharding, op7_substring_dedup, op8_bpe, op9_warc, op10_exact_dedup)}
+def op11_resample(spark, sf_dir):
+    out = resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_pii, op3_jaccard_join, op4_decontaminate, op5_html_extract, op6_sharding, op7_substring_dedup, op8_bpe, op9_warc, op10_exact_dedup, op11_resample)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": r"""

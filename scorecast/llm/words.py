@@ -59,12 +59,13 @@ def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def split(column: pa.Array, fold: bool = False) -> Words:
-    """The words of every text; ``fold`` lowers A-Z first."""
+def bounds(column: pa.Array, fold: bool, space: np.ndarray = _SPACE) -> tuple[np.ndarray, ...]:
+    """(data, start, end, first) as in ``Words``; ``space`` tells for each byte
+    value whether it separates words."""
     data, at = _bytes(column)
     if fold:
         data = _FOLD[data]
-    solid = ~_SPACE[data]
+    solid = ~space[data]
     before = np.empty(len(solid) + 1, bool)
     before[0] = False
     before[1:] = solid
@@ -74,7 +75,12 @@ def split(column: pa.Array, fold: bool = False) -> Words:
     after[:-1] = solid
     after[at] = False
     end = np.flatnonzero(solid & ~after[1:]) + 1
-    first = np.searchsorted(start, at, "left")
+    return data, start, end, np.searchsorted(start, at, "left")
+
+
+def split(column: pa.Array, fold: bool = False) -> Words:
+    """The words of every text; ``fold`` lowers A-Z first."""
+    data, start, end, first = bounds(column, fold)
     return Words(data, start, end, first, _hash(data, start, end))
 
 
