@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import cut, drop_folder, scratch, table
-from . import bpe, decontaminate, exact_dedup, html_extract, jaccard_join, pii, resample, sharding, substring_dedup, toxicity, warc
+from . import bpe, decontaminate, exact_dedup, hard_negatives, html_extract, jaccard_join, pii, resample, sharding, substring_dedup, toxicity, warc
 
 
 def op1_toxicity(spark, sf_dir):
@@ -76,7 +76,13 @@ def op11_resample(spark, sf_dir):
     return out.select("doc_id", "n_features", "weight", "score", "rank")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_pii, op3_jaccard_join, op4_decontaminate, op5_html_extract, op6_sharding, op7_substring_dedup, op8_bpe, op9_warc, op10_exact_dedup, op11_resample)}
+def op12_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_pii, op3_jaccard_join, op4_decontaminate, op5_html_extract, op6_sharding, op7_substring_dedup, op8_bpe, op9_warc, op10_exact_dedup, op11_resample,
+                                  op12_hard_negatives)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": r"""
@@ -86,6 +92,26 @@ ORACLE_SQL = {
         SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
                row_number() OVER w = 1 AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)""",
+    "op12_hard_negatives": """
+        WITH v AS (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+          SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id AS vec_id, b.label AS label,
+                 list_inner_product(a.c, b.c)::BIGINT AS score
+          FROM v a JOIN v b ON a.vec_id % 100 = 0),
+        p AS (
+          SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s
+          WHERE label = anchor_label AND vec_id <> anchor_id
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE s.label <> s.anchor_label AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
+        QUALIFY row_number() OVER w <= 5""",
 }
 
 
