@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import cut, drop_folder, scratch, table
-from . import bpe, decontaminate, exact_dedup, hard_negatives, html_extract, jaccard_join, pii, resample, sharding, substring_dedup, toxicity, warc
+from . import bpe, decontaminate, exact_dedup, hard_negatives, html_extract, jaccard_join, pii, pivot_index, resample, sharding, substring_dedup, toxicity, warc
 
 
 def op1_toxicity(spark, sf_dir):
@@ -81,8 +81,12 @@ def op12_hard_negatives(spark, sf_dir):
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
+def op13_near_vectors(spark, sf_dir):
+    return pivot_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_pii, op3_jaccard_join, op4_decontaminate, op5_html_extract, op6_sharding, op7_substring_dedup, op8_bpe, op9_warc, op10_exact_dedup, op11_resample,
-                                  op12_hard_negatives)}
+                                  op12_hard_negatives, op13_near_vectors)}
 
 ORACLE_SQL = {
     "op10_exact_dedup": r"""
@@ -112,6 +116,18 @@ ORACLE_SQL = {
         WHERE s.label <> s.anchor_label AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
         WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id)
         QUALIFY row_number() OVER w <= 5""",
+    "op13_near_vectors": """
+        WITH RECURSIVE v AS (
+          SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+          WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+              WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+        r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+        c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a),
+        n AS (SELECT a AS vec_id, count(*) AS n_links FROM p GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM c LEFT JOIN n USING (vec_id)""",
 }
 
 
