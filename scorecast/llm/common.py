@@ -66,6 +66,14 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet into a new shared folder and read again, and
+    that folder, for the caller to drop once nothing reads the frame."""
+    folder = scratch(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
 def _hadoop(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path

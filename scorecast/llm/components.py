@@ -11,23 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, cut
+from .common import attach, cut, drop_folder, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every end of ``edges(u, v)``; the component is
-    its smallest node.  Loops and repeated edges change nothing; rows with a
-    null end are not links."""
-    e = cut(edges.filter("u is not null and v is not null and u != v")
-            .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    """(node, component) for every end of ``edges(u, v)``, checkpointed; the
+    component is its smallest node.  Loops and repeated edges change nothing;
+    rows with a null end are not links.  Each round is written to the shared
+    folder and dropped after the next."""
+    spark = edges.sparkSession
+    e, folder = stored(edges.filter("u is not null and v is not null and u != v")
+                       .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = None
     while True:
         state = e.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0)).alias("s")).first()
         if state["n"] == 0 or (state["n"], state["s"]) == before:
-            return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before = (state["n"], state["s"])
-        e = cut(_small_star(_large_star(e, state["n"]), state["n"]))
+            out = cut(e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+                e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
+            drop_folder(spark, folder)
+            return out
+        before, last = (state["n"], state["s"]), folder
+        e, folder = stored(_small_star(_large_star(e, state["n"]), state["n"]), "edges")
+        drop_folder(spark, last)
 
 
 def _large_star(e: DataFrame, n: int) -> DataFrame:
