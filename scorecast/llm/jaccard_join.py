@@ -43,6 +43,7 @@ from . import words as W
 _U = np.uint64
 TILE = 2_000_000      # shingles in a tile: 16 MB of arrays
 THIN = 1              # a segment with so many shingles or fewer makes no key
+RARE, SPREAD = 0.9, 2.0    # see Bands._segments
 #: Dealings of a set, until one surely has a key that a similar set shares.  In
 #: the first ones shingles common in the sample count for nothing.
 SCHEMES = ((0, True), (1, True), (2, False), (3, False), (4, False), (5, False))
@@ -80,16 +81,19 @@ class Bands:
 
     def _segments(self, largest: int) -> int:
         """More than the largest sets of a tile can differ in, by as many as are
-        likely to be thin."""
+        likely to be thin in a set of which some shingles are common."""
         if largest not in self.count:
             least = 2 * largest * (self.den - self.num) // (self.den + self.num) + 1
-            s, found = least, least
+            s, best = least, (-math.inf, least)
             while s < 2 * least + 8:
-                thin = math.exp(-largest / s) * (1 + largest / s)
-                if s * (1 - thin) - 2 * math.sqrt(s * thin) >= least:
-                    found = s
+                rate = RARE * largest / s
+                thin = math.exp(-rate) * (1 + rate)
+                spare = s * (1 - thin) - SPREAD * math.sqrt(s * thin * (1 - thin)) - least
+                best = max(best, (spare, s))
+                if spare >= 0:
                     break
                 s += max(1, s // 64)
+            found = best[1]
             self.count[largest] = found
         return self.count[largest]
 
@@ -148,7 +152,7 @@ def _dealing(s: np.ndarray, number: int, common: np.ndarray | None):
     if common is not None and len(common):
         rare = (common[np.minimum(np.searchsorted(common, s), len(common) - 1)] != s).astype(np.int64)
     if number:
-        s = W.mix(s + W._M2 * _U(number))
+        s = W.mix(s + _U(number * 0x9E3779B9))
         order = np.argsort(s)
         s, rare = s[order], rare[order]
     return s, np.concatenate((np.zeros(1, _U), np.cumsum(W.mix(s ^ W._M1), dtype=_U))), np.concatenate(([0], np.cumsum(rare)))
