@@ -42,11 +42,13 @@ from . import words as W
 
 _U = np.uint64
 TILE = 2_000_000      # shingles in a tile: 16 MB of arrays
-THIN = 1              # a segment with so many shingles or fewer makes no key
-RARE, SPREAD = 0.9, 2.0    # see Bands._segments
-#: Dealings of a set, until one surely has a key that a similar set shares.  In
-#: the first ones shingles common in the sample count for nothing.
-SCHEMES = ((0, True), (1, True), (2, False), (3, False), (4, False), (5, False))
+THIN = 1              # a segment with so many shingles or fewer makes no key...
+LARGE = 100           # ...in a set of so many shingles, where the similarity is so low that no segments would be left: an empty one
+RARE, SPREAD = 0.85, 2.0    # see Bands._segments
+#: Dealings of a set, until one surely has a key that a similar set shares:
+#: whether shingles common in the sample count for nothing, and whether a
+#: segment must be empty to be thin.
+SCHEMES = ((True, False), (True, False), (True, True), (True, True), (False, False), (False, False), (False, False), (False, False))
 SAMPLE, COMMON, MOST_COMMON = 4_096, 4, 1 << 19      # documents; those that hold a common shingle; common shingles kept
 
 
@@ -63,9 +65,9 @@ class Bands:
             e.append(e[-1] * self.den // self.num + 1)
         return int(np.searchsorted(e, n, "right")) - 1
 
-    def tiles(self, n: int) -> list[tuple[int, int, int]]:
-        """(tile, segments, D) of the two tiles that a set of ``n`` shingles is
-        in; D is the most shingles that a similar set of the tile differs in."""
+    def tiles(self, n: int) -> list[tuple[int, int, int, int]]:
+        """(tile, segments, thin, D) of the two tiles that a set of ``n`` shingles
+        is in; D is the most shingles that a similar set of the tile differs in."""
         b = self.band(n)
         self.band(self.edge[b + 1])          # one band further is known
         e = self.edge
@@ -75,26 +77,28 @@ class Bands:
             out.append(self._tile(b + 1, n, e[b + 2] - 1))
         return out
 
-    def _tile(self, tile: int, n: int, largest: int) -> tuple[int, int, int]:
+    def _tile(self, tile: int, n: int, largest: int) -> tuple[int, int, int, int]:
         other = min(n * self.den // self.num, largest)
-        return tile, self._segments(largest), (n + other) * (self.den - self.num) // (self.den + self.num)
+        return tile, *self._segments(largest), (n + other) * (self.den - self.num) // (self.den + self.num)
 
-    def _segments(self, largest: int) -> int:
+    def _segments(self, largest: int) -> tuple[int, int]:
         """More than the largest sets of a tile can differ in, by as many as are
         likely to be thin in a set of which some shingles are common."""
         if largest not in self.count:
             least = 2 * largest * (self.den - self.num) // (self.den + self.num) + 1
-            s, best = least, (-math.inf, least)
-            while s < 2 * least + 8:
-                rate = RARE * largest / s
-                thin = math.exp(-rate) * (1 + rate)
-                spare = s * (1 - thin) - SPREAD * math.sqrt(s * thin * (1 - thin)) - least
-                best = max(best, (spare, s))
+            for few in (THIN, 0) if largest >= LARGE else (THIN,):
+                s, best = least, (-math.inf, least)
+                while s < 2 * least + 8:
+                    rate = RARE * largest / s
+                    thin = math.exp(-rate) * (1 + few * rate)
+                    spare = s * (1 - thin) - SPREAD * math.sqrt(s * thin * (1 - thin)) - least
+                    best = max(best, (spare, s))
+                    if spare >= 0:
+                        break
+                    s += max(1, s // 64)
                 if spare >= 0:
                     break
-                s += max(1, s // 64)
-            found = best[1]
-            self.count[largest] = found
+            self.count[largest] = best[1], few
         return self.count[largest]
 
     def keys(self, s: np.ndarray, common: np.ndarray) -> np.ndarray:
@@ -108,17 +112,17 @@ class Bands:
         stop is met by the other.  A set for which it never holds at last takes
         the thin segments, too, each with one of another dealing."""
         out, dealt = [], {}
-        for tile, segments, differ in self.tiles(len(s)):
-            for number, by_content in SCHEMES:
+        for tile, segments, few, differ in self.tiles(len(s)):
+            for number, (rare, empty) in enumerate(SCHEMES):
                 if number not in dealt:
-                    dealt[number] = _dealing(s, number, common if by_content else None)
-                keys, thin = _segment_keys(*dealt[number], tile, segments, number)
+                    dealt[number] = _dealing(s, number, common if rare else None)
+                keys, thin = _segment_keys(*dealt[number], tile, segments, number, 0 if empty else few)
                 out.append(keys[~thin])
                 if segments - differ - int(thin.sum()) > 0:
                     break
             else:
-                keys, thin = _segment_keys(*dealt[5], tile, segments, 6)
-                other, _ = _segment_keys(*dealt[4], tile, segments, 7)
+                keys, thin = _segment_keys(*dealt[number], tile, segments, number + 1, few)
+                other, _ = _segment_keys(*dealt[number - 1], tile, segments, number + 2, few)
                 out += [keys[~thin], W.mix(keys[thin][:, None] + other[None, :]).ravel()]
         return np.concatenate(out)
 
@@ -158,12 +162,12 @@ def _dealing(s: np.ndarray, number: int, common: np.ndarray | None):
     return s, np.concatenate((np.zeros(1, _U), np.cumsum(W.mix(s ^ W._M1), dtype=_U))), np.concatenate(([0], np.cumsum(rare)))
 
 
-def _segment_keys(s, total, rare, tile: int, segments: int, scheme: int) -> tuple[np.ndarray, np.ndarray]:
+def _segment_keys(s, total, rare, tile: int, segments: int, scheme: int, few: int) -> tuple[np.ndarray, np.ndarray]:
     """The key of each segment, and which segments are thin."""
     at = np.concatenate(([0], np.searchsorted(s, _cuts(segments)), [len(s)]))
     content = total[at[1:]] - total[at[:-1]]
     name = np.arange(segments, dtype=_U) * W._M3 + _U((tile * 2654435761 + segments * 31 + scheme) & 0xFFFFFFFF)
-    return W.mix(W.mix(name) ^ content), rare[at[1:]] - rare[at[:-1]] <= THIN
+    return W.mix(W.mix(name) ^ content), rare[at[1:]] - rare[at[:-1]] <= few
 
 
 def _identity(s: np.ndarray) -> tuple[int, int]:
@@ -375,13 +379,15 @@ def jaccard_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100,
     chains = cut(chains.withColumn("lo", F.min("a").over(around)).filter("direct or lo != a")
                  .select(F.when(F.col("direct"), F.col("a")).otherwise(F.col("lo")).alias("u"), F.col("b").alias("v"), "n")
                  .groupBy("u", "v").agg(F.sum("n").alias("n")))
-    first = cut(_first_links(chains, sets, src, k, num, den))
-    links = first
-    group = components(first)
-    members = cut(sets.join(components(chains), F.col("s1") == F.col("node")).select("rep", "s1", "n", F.col("component").alias("c"))
-                  .join(group, F.col("rep") == F.col("node"), "left").select("rep", "s1", "n", "c", F.coalesce("component", "rep").alias("known")))
-    open_ = members.groupBy("c").agg(F.min("known").alias("lo"), F.max("known").alias("hi")).filter("lo != hi").select("c")
-    links = cut(links.unionByName(_tiles(members.join(open_, "c"), src, k, num, den)))
+    links = cut(_first_links(chains, sets, src, k, num, den))
+    nodes = cut(sets.join(components(links), F.col("rep") == F.col("node"), "left")
+                .select("rep", "s1", "n", F.coalesce("component", "rep").alias("known")))
+    # chains between sets that are not joined yet
+    end = lambda c: nodes.select(F.col("s1").alias(c), F.col("known").alias(f"known_{c}"))
+    across = (chains.join(end("v"), "v").join(end("u"), "u").filter("known_u != known_v")
+              .select(F.col("known_u").alias("u"), F.col("known_v").alias("v")).distinct())
+    members = cut(nodes.join(components(across), F.col("known") == F.col("node")).select("rep", "s1", "n", "known", F.col("component").alias("c")))
+    links = cut(links.unionByName(_tiles(members, src, k, num, den)))
     # an id that repeats with another text ties the sets of its texts
     many = rows.filter("n > 0").groupBy("id").agg(F.min("s1").alias("lo"), F.max("s1").alias("hi")).filter("lo < hi").select("id")
     tied = rows.select("id", *same).join(many, "id").join(sets.select(*same, "rep"), same)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import attach, cut, ship
-from .components import components
+from .components import components, join_up
 
 PIVOTS = 4_096             # pivots, at most
 SAMPLE = 16 << 20          # bytes of sampled vectors that reach the driver, about
@@ -228,16 +228,7 @@ class _Found:
     def add(self, i: np.ndarray, j: np.ndarray) -> None:
         np.add.at(self.n, i, self.m[j])
         np.add.at(self.n, j, self.m[i])
-        while True:
-            a, b = self.label[i], self.label[j]
-            if (a == b).all():
-                return
-            np.minimum.at(self.label, np.maximum(a, b), np.minimum(a, b))
-            while True:
-                up = self.label[self.label]
-                if (up == self.label).all():
-                    break
-                self.label = up
+        self.label = join_up(self.label, i, j)
 
 
 def _shared(perm: np.ndarray, i: np.ndarray, j: np.ndarray, p: int, share: int) -> np.ndarray:
