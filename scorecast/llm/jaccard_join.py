@@ -44,7 +44,7 @@ _U = np.uint64
 TILE = 2_000_000      # shingles in a tile: 16 MB of arrays
 THIN = 1              # a segment with so many shingles or fewer makes no key...
 LARGE = 100           # ...in a set of so many shingles, where the similarity is so low that no segments would be left: an empty one
-RARE, SPREAD = 0.85, 2.0    # see Bands._segments
+RARE, SPREAD = 0.9, 2.0    # see Bands._segments
 #: Dealings of a set, until one surely has a key that a similar set shares:
 #: whether shingles common in the sample count for nothing, and whether a
 #: segment must be empty to be thin.
@@ -87,8 +87,10 @@ class Bands:
         if largest not in self.count:
             least = 2 * largest * (self.den - self.num) // (self.den + self.num) + 1
             for few in (THIN, 0) if largest >= LARGE else (THIN,):
-                s, best = least, (-math.inf, least)
+                s, best, room = least, (-math.inf, least), False
                 while s < 2 * least + 8:
+                    thin = math.exp(-largest / s) * (1 + few * largest / s)
+                    room |= s * (1 - thin) > least
                     rate = RARE * largest / s
                     thin = math.exp(-rate) * (1 + few * rate)
                     spare = s * (1 - thin) - SPREAD * math.sqrt(s * thin * (1 - thin)) - least
@@ -96,7 +98,7 @@ class Bands:
                     if spare >= 0:
                         break
                     s += max(1, s // 64)
-                if spare >= 0:
+                if room:
                     break
             self.count[largest] = best[1], few
         return self.count[largest]

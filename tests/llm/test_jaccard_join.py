@@ -86,7 +86,7 @@ def test_similar_sets_share_a_key(num, den):
     """The pigeonhole: whatever the sizes, two sets at the threshold agree on a key."""
     rng, bands = np.random.default_rng(1), jaccard_join.Bands(num, den)
     for n in [*range(1, 60), 150, 200, 1000, 3000]:
-        base = rng.integers(0, 2**63, n).astype(np.uint64)
+        base = rng.integers(0, 2**64, n, np.uint64)
         step = max(1, n // 20)
         for common in (0, n // 3, n):                          # shingles that count for nothing at first
             known = np.sort(base[n - common:])
@@ -95,7 +95,7 @@ def test_similar_sets_share_a_key(num, den):
                 new = den * (n - lost) // num - n
                 if new < 0:
                     break
-                other = np.unique(np.concatenate((base[lost:], rng.integers(0, 2**63, new).astype(np.uint64))))
+                other = np.unique(np.concatenate((base[lost:], rng.integers(0, 2**64, new, np.uint64))))
                 keys = [set(bands.keys(v, known).tolist()) for v in (np.unique(base), other)]
                 assert keys[0] & keys[1], (n, lost, new)
 
@@ -103,9 +103,9 @@ def test_similar_sets_share_a_key(num, den):
 def test_texts_that_share_a_common_passage_do_not_meet():
     """A passage common in the sample brings no two texts together."""
     rng, bands = np.random.default_rng(2), jaccard_join.Bands(4, 5)
-    passage = np.sort(rng.integers(0, 2**63, 60).astype(np.uint64))
+    passage = np.sort(rng.integers(0, 2**64, 60, np.uint64))
     seen = set()
     for _ in range(300):
-        keys = set(bands.keys(np.unique(np.concatenate((passage, rng.integers(0, 2**63, 400).astype(np.uint64)))), passage).tolist())
-        assert not keys & seen and len(keys) < 1.2 * 460
+        keys = set(bands.keys(np.unique(np.concatenate((passage, rng.integers(0, 2**64, 400, np.uint64)))), passage).tolist())
+        assert not keys & seen and len(keys) < 1.6 * 460
         seen |= keys
