@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, filesystem, make_folder, scratch, ship, text_or_empty
+from .common import cut, filesystem, held, let_go, make_folder, scratch, ship, text_or_empty
 from . import words as W
 
 LEXICON = 131_072     # chunks whose words make the automaton, at most
@@ -319,18 +319,11 @@ def load(folder: str, name: str) -> dict[str, np.ndarray]:
 
 # ---- workers ---------------------------------------------------------------
 
-_READY: dict = {}
-
-
-def _vocabulary(broadcast) -> Vocabulary:
-    raw = broadcast.value
-    key = ("vocabulary", hash(raw))
-    if key not in _READY:
-        _READY[key] = Vocabulary(raw)
-    return _READY[key]
+CHUNK = 64            # bytes of a chunk that may belong to the lexicon, at most
 
 
 def _count_chunks(batches):
+    let_go()
     for batch in batches:
         found: Counter = Counter()
         for text in batch.column(0):
@@ -400,13 +393,7 @@ def decode(vocabulary: Vocabulary, ids) -> str:
 
 def _encode(broadcast, folder: str, name: str):
     def run(batches):
-        vocabulary = _vocabulary(broadcast)
-        key = ("encoder", folder)
-        if key not in _READY:
-            for old in [k for k in _READY if k[0] == "encoder"]:
-                del _READY[old]
-            _READY[key] = Encoder(vocabulary, load(folder, name))
-        encoder = _READY[key]
+        encoder = held(("encoder", folder), lambda: Encoder(Vocabulary(broadcast.value), load(folder, name)))
         for batch in batches:
             column = batch.column(1)
             for i, j in W.slices(column):
@@ -419,8 +406,8 @@ def _encode(broadcast, folder: str, name: str):
 def _most_frequent(counts: DataFrame, most: int) -> list[str]:
     """The most frequent chunks, at most ``most`` of them: all above a
     threshold that a histogram of the counts in fine logarithmic steps gives.
-    Chunks that occur once or twice never belong."""
-    counts = cut(counts.filter("n > 2").withColumn("step", F.floor(F.log2("n") * 16).cast("int")))
+    Chunks that occur once or twice or have over ``CHUNK`` bytes never belong."""
+    counts = cut(counts.filter((F.col("n") > 2) & (F.octet_length("chunk") <= CHUNK)).withColumn("step", F.floor(F.log2("n") * 16).cast("int")))
     steps = sorted(((r["step"], r["count"]) for r in counts.groupBy("step").count().collect()), reverse=True)   # below 1024 rows
     room, least = most, None
     for step, n in steps:

@@ -49,6 +49,24 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED[sc.applicationId] = True
 
 
+_HELD: dict = {}
+
+
+def held(key, make):
+    """What ``make()`` gives, kept in this Python worker for its next tasks:
+    one object at a time, whichever operator it belongs to."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def let_go() -> None:
+    """Called by tasks that keep nothing, so that a reused worker does not hold
+    the tables of another operator."""
+    _HELD.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, text_or_empty
+from .common import held, ship, text_or_empty
 from . import words as W
 
 RADIUS, BLOCKS, NEAR = 19, 4, 4        # NEAR = RADIUS // BLOCKS
@@ -138,17 +138,10 @@ def _search(items: Items, w: W.Words, a: int, b: int, hits: np.ndarray, k: int,
                     found[doc, item] = (p, size + k - 1, int(distance), s)
 
 
-_READY: dict = {}
-
-
 def _scan(shared, k: int, least: float):
     def run(batches):
         rows = shared.value
-        key = hash(tuple(rows))
-        if key not in _READY:
-            _READY.clear()
-            _READY[key] = Items(rows, k)
-        items = _READY[key]
+        items = held(("items", hash(tuple(rows)), k), lambda: Items(rows, k))
         for batch in batches:
             for i, j in W.slices(batch.column(1)):
                 w = W.split(batch.column(1).slice(i, j - i), True)

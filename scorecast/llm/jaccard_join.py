@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import attach, bloom_bits, bloom_of, cut, maybe_in, ship
+from .common import attach, bloom_bits, bloom_of, cut, let_go, maybe_in, ship
 from .components import components
 from . import words as W
 
@@ -184,6 +184,7 @@ def _identity(s: np.ndarray) -> tuple[int, int]:
 
 def _describe(k: int):
     def run(batches):
+        let_go()
         for batch in batches:
             out = [(len(s), *_identity(s)) for s in shingle_sets(batch.column(1), k)]
             cols = list(zip(*out)) if out else [[] for _ in range(3)]

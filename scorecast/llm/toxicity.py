@@ -6,7 +6,7 @@ directions; attention over the states gives the window's score, and the
 highest-scoring of all overlapping windows gives the text's score.
 
 Training is multiple-instance learning in one task, on a bounded sample of
-labelled documents (``TRAIN`` of each class): in each epoch the window of a
+labelled documents (``TRAIN`` of each class, ``TRAIN_BYTES`` of text): in each epoch the window of a
 document that now scores highest, and one at random, learn its label.  The
 model has a fixed size and goes to the workers in a broadcast.  Scoring is one
 Arrow pass over the texts, without a shuffle: input projections are computed
@@ -24,10 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, text_or_empty
+from .common import let_go, ship, text_or_empty
 from . import words as W
 
 TRAIN = 2_000                 # labelled documents of each class that training takes at most
+TRAIN_BYTES = 8 << 20         # and bytes of their texts, of each class
+SLICE = 1_000_000             # bytes of text that are held as words at a time
 WINDOW, STRIDE = 32, 24       # words
 WORDS, GRAMS = 1 << 13, 1 << 14
 DIM, HIDDEN, EPOCHS, STEPS, BATCH, RATE = 8, 8, 6, 280, 128, 0.02   # more epochs where six have fewer steps
@@ -47,6 +49,24 @@ class Inputs(NamedTuple):
 
 
 def inputs(column: pa.Array) -> Inputs:
+    """The inputs of all texts, built a slice at a time."""
+    parts = [_inputs(column.slice(i, j - i)) for i, j in W.slices(column, SLICE)] or [_inputs(column)]
+    if len(parts) == 1:
+        return parts[0][1]
+    rows = np.cumsum([0] + [j - i for i, j in W.slices(column, SLICE)])
+    hashes, parts = [h for h, _ in parts], [p for _, p in parts]
+    known, first, of = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    tri_at = np.concatenate([p.tri_at[:-1] for p in parts]) + np.repeat(np.cumsum([0] + [len(p.tri) for p in parts[:-1]]), [len(h) for h in hashes])
+    n = np.concatenate([np.diff(p.tri_at) for p in parts])[first]
+    take = np.arange(n.sum()) + np.repeat(tri_at[first] - np.cumsum(n) + n, n)
+    at, words = np.cumsum([0] + [len(p.of) - 1 for p in parts]), np.split(of, np.cumsum([len(h) for h in hashes])[:-1])
+    return Inputs(
+        np.concatenate([p.word for p in parts])[first], np.concatenate([p.tri for p in parts])[take], np.concatenate(([0], np.cumsum(n))),
+        np.concatenate([w[p.of[:-1]].astype(np.int32) for w, p in zip(words, parts)] + [np.array([len(known)], np.int32)]),
+        np.concatenate([p.start + a for p, a in zip(parts, at)]), np.concatenate([p.size for p in parts]), np.concatenate([p.doc + r for p, r in zip(parts, rows)]))
+
+
+def _inputs(column: pa.Array) -> tuple[np.ndarray, Inputs]:
     w = W.split(column, True)
     _, first, of = np.unique(w.hash, return_index=True, return_inverse=True)
     begin, size = w.start[first], (w.end - w.start)[first]
@@ -70,8 +90,8 @@ def inputs(column: pa.Array) -> Inputs:
     doc = np.repeat(np.arange(len(n)), windows)
     number = np.arange(len(doc)) - np.repeat(np.cumsum(windows) - windows, windows)
     shift = np.minimum(number * STRIDE, np.maximum(n[doc] - WINDOW, 0))
-    return Inputs((w.hash[first] % _U(WORDS)).astype(np.int32), tri, tri_at, np.append(of, len(first)).astype(np.int64),
-                  w.first[doc] + shift, np.minimum(n[doc], WINDOW), doc)
+    return w.hash[first], Inputs((w.hash[first] % _U(WORDS)).astype(np.int32), tri, tri_at, np.append(of, len(first)).astype(np.int32),
+                                 w.first[doc] + shift, np.minimum(n[doc], WINDOW), doc)
 
 
 def grams_of(inp: Inputs, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -262,8 +282,9 @@ def _log_odds(model: Model, inp: Inputs, y: np.ndarray) -> None:
 def _score(shared):
     def run(batches):
         model = shared.value
+        let_go()
         for batch in batches:
-            for i, j in W.slices(batch.column(1)):
+            for i, j in W.slices(batch.column(1), SLICE):
                 score = np.zeros(j - i)
                 if model is not None:
                     inp = inputs(batch.column(1).slice(i, j - i))
@@ -295,24 +316,37 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     spark = docs.sparkSession
     ship(spark)
     wanted = spark.createDataFrame(ids, f"{id_col} long, _label int")
+    # an id that repeats comes once, before the texts meet in one task
     rows = (docs.select(F.col(id_col).cast("long").alias(id_col), text_or_empty(text_col).alias("text")).join(F.broadcast(wanted), id_col)
-            .select(id_col, "text", "_label").repartition(1))          # the texts of at most 2 * `most` ids
+            .groupBy(id_col, "_label").agg(F.min("text").alias("text")).select(F.xxhash64(id_col).alias("h"), id_col, "text", "_label").repartition(1))
     found = rows.mapInArrow(_train, "model binary").collect()
     return pickle.loads(bytes(found[0]["model"])) if found else None
 
 
 def _train(batches):
     """The sample's rows -> one row with the trained model, or none.  One task
-    trains, on an executor: the driver gets the model and no text."""
-    seen = {}
-    rows = [x for b in batches for x in zip(*(b.column(i).to_pylist() for i in range(3)))]
-    for i, text, label in sorted(rows):
-        seen.setdefault(i, (text, label))
-    model = train([t for t, _ in seen.values()], [c for _, c in seen.values()])
+    trains, on an executor: the driver gets the model and no text.  Of each
+    class the texts come in the order of the ids' hashes, until the next one
+    would pass ``TRAIN_BYTES`` (the first comes in any case)."""
+    let_go()
+    rows = {0: [], 1: []}
+    for batch in batches:
+        for part in [batch.slice(i, 64) for i in range(0, batch.num_rows, 64)]:
+            for h, i, text, label in zip(*(part.column(c).to_pylist() for c in range(4))):
+                rows[label].append((h, i, text))
+            for label in rows:
+                rows[label] = _within(sorted(rows[label]))
+    texts = sorted((i, text, label) for label, part in rows.items() for _, i, text in part)
+    model = train([t for _, t, _ in texts], [c for _, _, c in texts])
     if model is not None:
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
 
+def _within(rows: list[tuple]) -> list[tuple]:
+    total = np.cumsum([len(r[2].encode()) for r in rows])
+    return rows[:max(1, int(np.searchsorted(total, TRAIN_BYTES, "right")))]
+
+
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, score, predicted.
 
