@@ -1,11 +1,12 @@
 """Benchmark decontamination with SimHash windows and Hamming blocks.
 
 For every benchmark item a window of its size (in word shingles) slides over
-each document.  A window is compared by its 64-bit SimHash; fingerprints of
-the items are indexed by four blocks of 16 bits, each with all values at most
-four bits away, so every window within ``RADIUS`` = 19 bits of an item agrees
-with one of them in some block (20 differing bits would be needed to spread
-five over each).  Candidates within the radius are decided by exact weighted
+each document.  A window is compared by its 64-bit SimHash; fingerprints are
+indexed by four blocks of 16 bits.  Every window within ``RADIUS`` = 19 bits of
+an item differs from it by at most four bits in some block (20 differing bits
+would be needed to spread five over each); two of these bits are changed on the
+item's side, in the index, and two on the window's side, in the lookup, so
+that the index stays small.  Candidates within the radius are decided by exact weighted
 similarity of their shingle bags: sum of minima over sum of maxima, where a
 shingle weighs as many bytes as its words have.
 
@@ -29,10 +30,10 @@ from pyspark.sql import functions as F
 from .common import held, ship, text_or_empty
 from . import words as W
 
-RADIUS, BLOCKS, NEAR = 19, 4, 4        # NEAR = RADIUS // BLOCKS
-BLOCK_BYTES = 8 << 20
+RADIUS, BLOCKS, NEAR = 19, 4, 2        # 2 * NEAR = RADIUS // BLOCKS
+BLOCK_BYTES = 4 << 20
 _U = np.uint64
-_MASKS = np.array([sum(1 << b for b in c) for n in range(NEAR + 1) for c in combinations(range(16), n)], np.int64)
+_MASKS = np.array([sum(1 << b for b in c) for n in range(NEAR + 1) for c in combinations(range(16), n)], np.int32)
 
 RESULT = "item_id long, start_word int, n_words int, hamming int, similarity double"
 
@@ -64,38 +65,56 @@ def similarity(h1, w1, h2, w2) -> float:
 
 
 class Items:
-    """The items of one block: shingles, and indexes of each size."""
+    """The items of one block: shingles, and indexes of each size, in arrays."""
 
     def __init__(self, rows: list[tuple[int, str]], k: int):
         w = W.split(pa.array([t for _, t in rows], pa.string()), True)
         size = w.end - w.start
-        self.id, self.h, self.w, self.by_size, self.tables = [], [], [], {}, {}
+        self.id, self.by_size, self.tables, h, weight = [], {}, {}, [], []
         for (item, _), a, b in zip(rows, w.first[:-1], w.first[1:]):
-            h, weight = shingles(w.hash[a:b], size[a:b], k)
-            if len(h):
-                self.by_size.setdefault((len(h), min(k, int(b - a))), []).append(len(self.id))
+            x, y = shingles(w.hash[a:b], size[a:b], k)
+            if len(x):
+                self.by_size.setdefault((len(x), min(k, int(b - a))), []).append(len(self.id))
                 self.id.append(item)
-                self.h.append(h)
-                self.w.append(weight)
-        self.of = {}                        # shingle -> sizes of the items that hold it
-        for key, members in self.by_size.items():
-            for m in members:
-                for x in self.h[m].tolist():
-                    self.of.setdefault(x, set()).add(key)
-        self.known = np.array(sorted(self.of), _U)
-        self.lengths = sorted({k for _, k in self.by_size})
+                h.append(x)
+                weight.append(y.astype(np.int32))
+        self.at = np.concatenate(([0], np.cumsum([len(x) for x in h], dtype=np.int64)))
+        self.h = np.concatenate(h) if h else np.zeros(0, _U)
+        self.w = np.concatenate(weight) if h else np.zeros(0, np.int32)
+        self.keys = sorted(self.by_size)
+        self.by_size = {key: np.array(self.by_size[key], np.int32) for key in self.keys}
+        # for each known shingle, the sizes of the items that hold it
+        of = np.empty(len(self.id), np.int32)
+        for n, key in enumerate(self.keys):
+            of[self.by_size[key]] = n
+        of = np.repeat(of, np.diff(self.at))
+        order = np.lexsort((of, self.h))
+        x, y = self.h[order], of[order]
+        new = np.concatenate(([True], (x[1:] != x[:-1]) | (y[1:] != y[:-1]))) if len(x) else np.zeros(0, bool)
+        x, self.key_of = x[new], y[new]
+        first = np.concatenate(([True], x[1:] != x[:-1])) if len(x) else np.zeros(0, bool)
+        self.known = x[first]
+        self.known_at = np.append(np.flatnonzero(first), len(x))
+        self.lengths = sorted({k for _, k in self.keys})
+
+    def bag(self, m: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = self.at[m], self.at[m + 1]
+        return self.h[a:b], self.w[a:b]
+
+    def sizes_of(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``h``, number of a size), for known shingles."""
+        at = np.searchsorted(self.known, h)
+        n = self.known_at[at + 1] - self.known_at[at]
+        take = np.arange(n.sum()) + np.repeat(self.known_at[at] - np.cumsum(n) + n, n)
+        return np.repeat(np.arange(len(h)), n), self.key_of[take]
 
     def table(self, key):
         """(block value, item) pairs sorted by value, with fingerprints."""
         if key not in self.tables:
-            members = np.array(self.by_size[key])
-            prints = np.array([simhash(self.h[m], self.w[m], np.array([0]), len(self.h[m]))[0] for m in members], _U)
-            value, owner = [], []
-            for b in range(BLOCKS):
-                part = ((prints >> _U(16 * b)) & _U(0xFFFF)).astype(np.int64)
-                value.append(((part[:, None] ^ _MASKS[None, :]) + (b << 16)).ravel())
-                owner.append(np.repeat(np.arange(len(members)), len(_MASKS)))
-            value, owner = np.concatenate(value), np.concatenate(owner)
+            members = self.by_size[key]
+            prints = np.array([simhash(*self.bag(m), np.array([0]), key[0])[0] for m in members], _U)
+            value = np.concatenate([_near_values(prints, b).ravel() for b in range(BLOCKS)])
+            owner = np.tile(np.repeat(np.arange(len(members), dtype=np.int32), len(_MASKS)), BLOCKS)
             order = np.argsort(value, kind="stable")
             self.tables[key] = (members, prints, value[order], owner[order])
         return self.tables[key]
@@ -104,27 +123,38 @@ class Items:
         """(window, item, distance) of all pairs within the radius."""
         members, own, value, owner = self.table(key)
         pairs = []
-        for b in range(BLOCKS):
-            part = ((prints >> _U(16 * b)) & _U(0xFFFF)).astype(np.int64) + (b << 16)
-            lo, hi = np.searchsorted(value, part, "left"), np.searchsorted(value, part, "right")
-            count = hi - lo
-            at = np.arange(count.sum()) + np.repeat(lo - np.cumsum(count) + count, count)
-            pairs.append(np.repeat(np.arange(len(prints)), count) * len(members) + owner[at])
-        pairs = np.unique(np.concatenate(pairs))
+        for i in range(0, len(prints), 512):
+            for b in range(BLOCKS):
+                part = _near_values(prints[i: i + 512], b)
+                lo, hi = np.searchsorted(value, part, "left").ravel(), np.searchsorted(value, part, "right").ravel()
+                count = hi - lo
+                at = np.arange(count.sum()) + np.repeat(lo - np.cumsum(count) + count, count)
+                window = np.repeat(np.arange(part.size) // len(_MASKS) + i, count)
+                pairs.append(np.unique(window * len(members) + owner[at]))
+        pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
         window, item = pairs // len(members), pairs % len(members)
         distance = np.bitwise_count(prints[window] ^ own[item])
         ok = distance <= RADIUS
         return window[ok], members[item[ok]], distance[ok]
 
 
+def _near_values(prints: np.ndarray, b: int) -> np.ndarray:
+    """Block ``b`` of each fingerprint with up to ``NEAR`` bits changed."""
+    part = ((prints >> _U(16 * b)) & _U(0xFFFF)).astype(np.int32)
+    return (part[:, None] ^ _MASKS[None, :]) + np.int32(b << 16)
+
+
 def _search(items: Items, w: W.Words, a: int, b: int, hits: np.ndarray, k: int, least: float, found: dict, doc: int) -> None:
     """Windows of one document around the shared shingles ``hits`` (of ``k``
     words, counted within the document)."""
     h, weight = shingles(w.hash[a:b], (w.end - w.start)[a:b], k)
-    sizes = {key for x in h[hits].tolist() for key in items.of[x] if key[1] == k}
-    for key in sorted(sizes):
+    place, number = items.sizes_of(h[hits])
+    for n in np.unique(number).tolist():
+        key = items.keys[n]
+        if key[1] != k:
+            continue
         size = min(key[0], len(h))
-        at = hits[[key in items.of[x] for x in h[hits].tolist()]]
+        at = hits[place[number == n]]
         begin = np.unique(np.clip((at[:, None] - np.arange(size)[None, :]).ravel(), 0, len(h) - size))
         # runs of windows, so that long documents cost what their hits cost
         for run in np.split(begin, np.flatnonzero(np.diff(begin) > size) + 1):
@@ -132,7 +162,7 @@ def _search(items: Items, w: W.Words, a: int, b: int, hits: np.ndarray, k: int,
             prints = simhash(h[lo:hi], weight[lo:hi], run - lo, size)
             for i, item, distance in zip(*items.near(key, prints)):
                 p = int(run[i])
-                s = similarity(h[p: p + size], weight[p: p + size], items.h[item], items.w[item])
+                s = similarity(h[p: p + size], weight[p: p + size], *items.bag(item))
                 best = found.get((doc, item))
                 if s >= least and (best is None or s > best[3]):
                     found[doc, item] = (p, size + k - 1, int(distance), s)

@@ -407,7 +407,7 @@ def jaccard_classes(docs: DataFrame, k: int = 3, num: int = 90, den: int = 100,
         empty.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id"))
 
 
-def _first_links(chains: DataFrame, sets: DataFrame, src: DataFrame, k: int, num: int, den: int, limit: int = TILE) -> DataFrame:
+def _first_links(chains: DataFrame, sets: DataFrame, src: DataFrame, k: int, num: int, den: int, limit: int = TILE // 16) -> DataFrame:
     """Links (u, v) of each set with the one that most of its keys lead to.
 
     A set that many lead to is a hot key: its tile is cut into as many as its

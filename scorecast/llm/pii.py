@@ -33,7 +33,8 @@ _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    # whole runs of digits with single spaces or dashes; only those of 12 to 19 digits
+    "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "secret": r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])"
               r"|(?<=(?:password|passwd|pwd|token|secret|api_key|apikey)\x20{0,2}[=:]\x20{0,2}[\x22\x27]?)[A-Za-z0-9+/_!$%&*-]{8,128}+",
@@ -42,11 +43,12 @@ PATTERNS = {
 }
 # what a text must hold for a pattern to be worth running
 _NEEDS = {
-    "email": lambda t: t.contains("@"), "ip": lambda t: t.rlike(r"[0-9]\.[0-9]"), "card": lambda t: t.rlike(r"[0-9][\x20-]?[0-9]"),
+    "email": lambda t: t.contains("@"), "ip": lambda t: t.rlike(r"[0-9]\.[0-9]"), "card": lambda t: t.rlike(r"[0-9](?:[\x20-]?[0-9]){11}"),
     "phone": lambda t: t.contains("+"), "secret": lambda t: t.rlike("AKIA|password|passwd|pwd|token|secret|api_?key"),
     "account": lambda t: t.rlike(r"[0-9]{2}(?:-[0-9]{4}|\x20?[A-Z0-9]{4})"), "handle": lambda t: t.rlike(r"[(\[]at[)\]]"),
 }
 _CONTEXT = 32    # characters before a span that labelers see
+_CHUNK, _MATCHES = 128, "array<struct<m:string,p:string,q:string>>"
 
 # gazetteers, parameters of the labelers
 _GAZETTEER = {
@@ -77,7 +79,10 @@ _STRICT = {
 
 def _proposed(text: Column, kind: str) -> Column:
     """array<struct<kind, start, stop, text, before, after>> of a pattern's
-    matches; places in code points from the pieces between the matches."""
+    matches; places in code points from the pieces between the matches.
+
+    Arrays grow match by match only inside chunks of ``_CHUNK`` matches, so a
+    text with very many costs a bounded amount for each."""
     pattern = PATTERNS[kind]
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
@@ -92,8 +97,13 @@ def _proposed(text: Column, kind: str) -> Column:
         return F.struct((start + F.length(m)).alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
     both = F.transform(both, lambda x: F.struct(x["m"].alias("m"), x["p"].alias("p"), x["q"].alias("q")))
-    spans = F.aggregate(both, F.struct(F.lit(0).alias("at"), none.alias("spans")), step)["spans"]
-    return F.when(_NEEDS[kind](text), F.filter(spans, lambda s: _valid(s["text"], kind))).otherwise(none)
+    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(both) - 1) / _CHUNK).cast("int")), lambda c: F.slice(both, c * _CHUNK + 1, _CHUNK))
+    sizes = F.transform(chunks, lambda c: F.aggregate(c, F.lit(0), lambda n, x: n + F.length(x["m"]) + F.length(x["p"])))
+    starts = F.aggregate(sizes, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    placed = F.transform(F.arrays_zip(chunks.alias("c"), starts.alias("at")), lambda z: F.filter(
+        F.aggregate(F.coalesce(z["c"], F.array().cast(_MATCHES)), F.struct(z["at"].alias("at"), none.alias("spans")), step)["spans"],
+        lambda s: _valid(s["text"], kind)))
+    return F.when(_NEEDS[kind](text) & (F.size(found) > 0), F.flatten(placed)).otherwise(none)
 
 
 def _digits(m: Column) -> Column:

@@ -212,6 +212,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
     return cut(alone.unionByName(again).mapInArrow(_writer(folder, frame_bytes, bundle_bytes, date), INDEX))
 
 
+FRAMES = 64           # frames that a task reads back, once there are more tasks than cores
 RECORDS = ("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, "
            "record_id string, bundle string, frame int, offset long, html string")
 
@@ -249,8 +250,11 @@ def read(index: DataFrame) -> DataFrame:
     through their seek tables; responses are checked against their digests.
     ``html`` is null for revisits; ``refers_to`` is their response's id."""
     ship(index.sparkSession)
-    frames = index.select("bundle", "frame").distinct()
-    frames = frames.repartition("bundle", "frame").sortWithinPartitions("bundle", "frame")
+    frames = cut(index.select("bundle", "frame").distinct())
+    # the rows are tiny, what they stand for is not: the number of tasks follows the frames
+    n, cores = frames.count(), index.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(n, 2 * cores), -(-n // FRAMES))
+    frames = frames.repartition(tasks, "bundle", "frame").sortWithinPartitions("bundle", "frame")
     return frames.mapInArrow(_reader, RECORDS)
 
 

@@ -40,6 +40,14 @@ def test_base_spans_against_brute_force(spark):
         assert {(s["kind"], s["start"]) for s in r["base"]} <= {(s["kind"], s["start"]) for s in r["spans"]}
 
 
+def test_very_many_spans_in_one_text(spark):
+    rows = [(1, " ".join(f"{i % 90 + 10}" for i in range(100_000))), (2, "12 34, " * 30_000),
+            (3, " ".join(f"a{i}@b{i % 7}.org" for i in range(5_000))), (4, ", ".join(f"10.{i % 256}.3.{i // 256}" for i in range(5_000))),
+            (5, "; ".join(["4111 1111 1111 1111", "5", "4111 1111 1111 1112", "1234 5678 9012 3456 789 0 1"] * 1_500))]
+    out = {r["doc_id"]: [(s["kind"], s["start"], s["stop"]) for s in r["base"]] for r in pii.find(frame(spark, rows)).collect()}
+    assert out == {i: brute(t) for i, t in rows} and len(out[3]) == len(out[4]) == 5_000 and len(out[5]) == 1_500
+
+
 def test_classifier_adds_secrets(spark):
     rows = [(i, f"the password={i:02d}a7f9c3e1b2d4f{i:02d} of it") for i in range(40)] + [(100 + i, f"mail me{i}@host{i}.com") for i in range(40)]
     rows += [(200 + i, "key AKIAIOSFODNN7EXAMPL" + "ABCDFGHJ"[i] + " end") for i in range(8)]
