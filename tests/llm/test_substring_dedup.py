@@ -1,7 +1,12 @@
 import hashlib
+import random
 import re
 
+import numpy as np
+import pyarrow as pa
+
 from scorecast.llm import substring_dedup
+from scorecast.llm import words as W
 
 from .corpus import documents, empty, frame
 
@@ -30,6 +35,38 @@ def test_against_brute_force(spark):
     assert got == brute(rows, 20)
 
 
+def test_large_groups_are_split_by_longer_prefixes(spark, monkeypatch):
+    rows = documents(seed=8, n=120)
+    passage = " ".join(f"p{i % 60}" for i in range(70))
+    rows += [(3000 + i, f"a{i} b{i} " + " ".join(passage.split()[i % 5:60 + i % 9]) + f" {rows[20][1]}"[:i * 7]) for i in range(120)]
+    rows += [(4000 + i, "hum " * (25 + i)) for i in range(10)]
+    want = {i: x[:3] for i, x in brute(rows, 20).items()}
+    for group in (40, 12, 2):
+        monkeypatch.setattr(substring_dedup, "GROUP", group)
+        got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.remove_repeats(frame(spark, rows)).collect()}
+        assert got == want, group
+
+
+def test_words_are_compared_as_words(monkeypatch):
+    """Hashes that all collide change nothing in a subtree."""
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice(["aa", "ab", "abcdefghijk", "abcdefghijl", "é", "b" * 9]) for _ in range(34)) for _ in range(40)]
+    texts += texts[:10] + [texts[0][:60]]
+    size, n_left = 20, np.array([min(14, len(t.split()) - 6) for t in texts])
+    every = lambda v: np.full(len(texts), v)
+    args = (every(0), every(0), every(14), np.arange(len(texts)), n_left, pa.array(texts), size)
+    want = np.zeros((len(texts), 15), bool)
+    for o in range(15):
+        seen = set()
+        for i, t in enumerate(texts):
+            w = t.split()[n_left[i] - o: n_left[i] - o + size] if n_left[i] >= o else []
+            want[i, o] = len(w) == size and tuple(w) in seen and len(t.split()) >= n_left[i] - o + size
+            seen.add(tuple(w))
+    assert (substring_dedup.subtree_repeats(*args) == want).all() and want.sum() > 100
+    monkeypatch.setattr(W, "_hash", lambda data, start, end: np.full(len(start), 7, np.uint64))
+    assert (substring_dedup.subtree_repeats(*args) == want).all()
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i}" for i in range(40))
     rows = [(1, long), (1, long), (1, "x " + long), (None, long), (None, None), (0, "short")]
