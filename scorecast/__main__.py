@@ -55,7 +55,8 @@ def main(argv=None):
     ap.add_argument("--district", type=int)
     ap.add_argument("--form", default="B")
     ap.add_argument("--as-of", type=dt.date.fromisoformat)
-    ap.add_argument("--format", default="parquet", choices=["parquet", "csv"])
+    ap.add_argument("--format", default="parquet", choices=["parquet", "csv", "xlsx"])
+    ap.add_argument("--versioned", action="store_true", help="keep the report below versions/ and switch to it in one step")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
 
@@ -72,7 +73,7 @@ def main(argv=None):
     if a.report == "status" and a.district is None:
         ap.error("status needs --district")
     written = reports.run(a.report, cat, a.out, district_id=a.district, as_of=a.as_of, form=a.form,
-                          cfg=cfg, fmt=a.format)
+                          cfg=cfg, fmt=a.format, versioned=a.versioned)
     print(json.dumps(written, indent=1))
 
 

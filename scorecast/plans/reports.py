@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, ReportConfig, validate_district_id, validate_form
 from ..functions.dates import period_table
 from ..sources.catalog import Catalog
-from ..sources.sinks import Sheet, materialize, report_path, write_report
+from ..sources.sinks import Sheet, hadoop_path, materialize, report_path, write_report, write_sheets
+from ..sources.versions import publish
+from ..sources.workbook import round_trip, write_workbooks
 from . import extracts, status, usage
 
 
@@ -108,14 +110,50 @@ def district_name(cat: Catalog, district_id) -> str:
     return row["Name"]
 
 
+def _whole(spark, path: str) -> str:
+    """The path with its scheme, as executors need it."""
+    fs, p = hadoop_path(spark, path)
+    return fs.makeQualified(p).toString()
+
+
+def workbook_clients(cat: Catalog, as_of: dt.date, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """The weekly usage report's client sheets written as a workbook; results
+    by client read back from it."""
+    u = usage.WeeklyUsage(cat, as_of, cfg, share=True)
+    return round_trip({"# of Results by Client": u.results_by_client(), "# of Benchmarks by Client": u.benchmarks_by_client()}, "# of Results by Client")
+
+
+def workbook_scores(cat: Catalog, cfg: ReportConfig = DEFAULT) -> DataFrame:
+    """State scores and student sheets written as one workbook a district; the
+    scores of all districts read back from them."""
+    sheets = {k: x for k, x in parcc_extract(cat, None, cfg).items() if k in ("Score", "Gender")}
+    return round_trip(sheets, "Score", "DistrictID")
+
+
 def run(kind: str, cat: Catalog, out_root: str, *, district_id=None, as_of: dt.date | None = None,
-        form: str = "B", cfg: ReportConfig = DEFAULT, fmt: str = "parquet") -> dict[str, str]:
-    """Build and write one report; returns {sheet: path}."""
+        form: str = "B", cfg: ReportConfig = DEFAULT, fmt: str = "parquet", versioned: bool = False) -> dict[str, str]:
+    """Build and write one report; returns {sheet: path}.
+
+    ``fmt="xlsx"`` writes workbooks, one a district for all districts, and
+    returns {"": their folder}.  ``versioned`` keeps the report below
+    ``versions`` and switches to it in one step (``sources.versions``);
+    workbooks are always written this way."""
+    spark = cat.spark
+
+    def write(sheets, out, guarded=(), by=None, title="report"):
+        if fmt == "xlsx":
+            return {"": publish(spark, out, lambda folder: write_workbooks(sheets, _whole(spark, folder), "DistrictID" if by else None, title, guarded))}
+        if versioned:
+            made: dict = {}
+            folder = publish(spark, out, lambda folder: made.update(write_sheets(sheets, folder, fmt, guarded, by)))
+            return {name: f"{folder}/{x}" for name, x in made.items()}
+        return write_report(sheets, out, fmt, guarded, by)
+
     if kind == "usage":
         as_of = as_of or dt.date.today()
         end = period_table(cat.spark, as_of, cfg)._report_periods[0][3]
         out = report_path(out_root, cfg.usage_report_name, end=end)
-        return write_report(usage_report(cat, as_of, cfg, share=True), out, fmt)
+        return write(usage_report(cat, as_of, cfg, share=True), out, title="Usage")
     # the id keeps districts apart whose names differ only in punctuation
     name = "All Districts" if district_id is None else f"{validate_district_id(district_id)} {district_name(cat, district_id)}"
 
@@ -128,14 +166,14 @@ def run(kind: str, cat: Catalog, out_root: str, *, district_id=None, as_of: dt.d
     if kind == "benchmark":
         sheets = benchmark_extract(cat, district_id, cfg, share=True)
         out = report_path(out_root, cfg.benchmark_extract_name, district=name)
-        return write_report(sheets, out, fmt, skip_if_empty=GUARDED, partition_by=by_district(sheets))
+        return write(sheets, out, GUARDED, by_district(sheets), name)
     if kind == "parcc":
         sheets = parcc_extract(cat, district_id, cfg)
         out = report_path(out_root, cfg.parcc_extract_name, district=name)
-        return write_report(sheets, out, fmt, partition_by=by_district(sheets))
+        return write(sheets, out, (), by_district(sheets), name)
     if kind == "status":
         as_of = as_of or dt.date.today()
         out = report_path(out_root, cfg.status_report_name, district=name,
                           form=validate_form(form), date=as_of)
-        return write_report(benchmark_status(cat, district_id, form, cfg), out, fmt)
+        return write(benchmark_status(cat, district_id, form, cfg), out, title=name)
     raise ValueError(f"unknown report {kind!r}")

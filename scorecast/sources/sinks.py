@@ -58,11 +58,17 @@ def report_path(root: str, template: str, **params) -> str:
     return os.path.join(root, sheet_folder(template.format(**params)))
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop has them."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)
+
+
 def write_report(sheets: dict, out: str, fmt: str = "parquet", skip_if_empty: tuple = (),
                  partition_by: dict | None = None) -> dict[str, str]:
     """Write every sheet and put the report in the place of an earlier one.
@@ -72,7 +78,42 @@ def write_report(sheets: dict, out: str, fmt: str = "parquet", skip_if_empty: tu
     twice or kept aside.  ``partition_by`` maps a sheet to partition columns
     (e.g. DistrictID for an all-districts extract, so each district's rows
     sit in their own folder, in the sheet's order).  Returns {sheet: path}."""
-    fresh, written, spark = f"{out.rstrip('/')}._{uuid.uuid4().hex}", {}, None
+    if not sheets:
+        return {}
+    some = next(iter(sheets.values()))
+    spark, fresh = (some.rows if isinstance(some, Sheet) else some).sparkSession, f"{out.rstrip('/')}._{uuid.uuid4().hex}"
+    try:
+        written = write_sheets(sheets, fresh, fmt, skip_if_empty, partition_by)
+        _replace(spark, fresh, out)
+    except BaseException:
+        drop_path(spark, fresh)
+        raise
+    return {name: os.path.join(out, folder) for name, folder in written.items()}
+
+
+def _replace(spark: SparkSession, fresh: str, out: str) -> None:
+    """Put ``fresh`` in the place of ``out``.  The old report is set aside and
+    comes back if the new one cannot take its place (``versions.publish`` has no
+    moment without a report)."""
+    fs, target = hadoop_path(spark, out)
+    _, source = hadoop_path(spark, fresh)
+    _, aside = hadoop_path(spark, f"{fresh}.old")
+    fs.mkdirs(source)
+    fs.mkdirs(target.getParent())
+    old = fs.exists(target)
+    if old and not fs.rename(target, aside):
+        raise OSError(f"could not set {out} aside")
+    if not fs.rename(source, target):
+        if old:
+            fs.rename(aside, target)
+        raise OSError(f"could not move {fresh} to {out}")
+    if old:
+        fs.delete(aside, True)
+
+
+def write_sheets(sheets: dict, fresh: str, fmt: str = "parquet", skip_if_empty: tuple = (), partition_by: dict | None = None) -> dict[str, str]:
+    """Write every sheet into a new folder: {sheet: its folder there}."""
+    written = {}
     for name, sheet in sheets.items():
         cols = (partition_by or {}).get(name)
         if isinstance(sheet, Sheet):
@@ -85,18 +126,9 @@ def write_report(sheets: dict, out: str, fmt: str = "parquet", skip_if_empty: tu
         w = df.write.partitionBy(*cols) if cols else df.write
         (w.option("header", True) if fmt == "csv" else w).format(fmt).save(path)
         if name in skip_if_empty and spark.read.schema(df.schema).format(fmt).option("header", True).load(path).isEmpty():
-            fs, p = _hadoop(spark, path)
-            fs.delete(p, True)
+            drop_path(spark, path)
             continue
-        written[name] = os.path.join(out, folder)
-    if spark is not None:
-        fs, target = _hadoop(spark, out)
-        _, source = _hadoop(spark, fresh)
-        fs.mkdirs(source)
-        fs.delete(target, True)
-        fs.mkdirs(target.getParent())
-        if not fs.rename(source, target):
-            raise OSError(f"could not move {fresh} to {out}")
+        written[name] = folder
     return written
 
 
