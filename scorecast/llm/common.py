@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
 import os
 import tempfile
@@ -9,6 +11,7 @@ import uuid
 import zipfile
 import zlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,12 +27,17 @@ _BUCKET = 1 << 15  # bits in one row of a filter (4 KB)
 
 
 _SHIPPED: dict = {}
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers: its sources go to
     the executors once per application, as with ``--py-files``."""
     sc = spark.sparkContext
+    # texts travel in batches of a bounded size, however long they are; a value
+    # that the session sets itself stays
+    if spark.conf.get(_BATCH) == "67108864b":
+        spark.conf.set(_BATCH, "8m")
     if _SHIPPED.get(sc.applicationId):
         return
     here = os.path.dirname(os.path.abspath(__file__))
@@ -56,15 +64,21 @@ def held(key, make):
     """What ``make()`` gives, kept in this Python worker for its next tasks:
     one object at a time, whichever operator it belongs to."""
     if key not in _HELD:
-        _HELD.clear()
+        let_go()
         _HELD[key] = make()
     return _HELD[key]
 
 
 def let_go() -> None:
     """Called by tasks that keep nothing, so that a reused worker does not hold
-    the tables of another operator."""
+    the tables and freed memory of another operator."""
     _HELD.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):      # another C library
+        pass
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -180,6 +194,22 @@ def without(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     return marked.filter("not maybe").select("row.*").unionByName(asked.select("row.*"))
 
 
+def named_rows(df: DataFrame, id_col: str, text_col: str, name: str) -> DataFrame:
+    """``df`` with a column ``name`` that tells rows apart: the id (a long)
+    where it is the only one of its kind, else, for null and repeated ids, a
+    hash of id and text below all usual ids.  Rows alike in both share it."""
+    twice = cut(df.groupBy(F.col(id_col).alias("key")).count().filter("count > 1 and key is not null").select("key"))
+    bits = bloom_bits(twice.count())
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col).cast("long").alias("key"),
+                     F.xxhash64(F.col(id_col), F.lit(7), F.col(text_col)).alias("hash"))
+    marked = maybe_in(rows, F.xxhash64("key"), bloom_of(twice.select(F.xxhash64("key").alias("h")), "h", bits), bits, "maybe")
+    hashed = F.col("hash").bitwiseOR(F.lit(-(1 << 63)))           # always negative
+    sure = marked.filter(~F.col("maybe")).select("row.*", F.coalesce("key", hashed).alias(name))
+    asked = marked.filter("maybe").join(twice.withColumn("again", F.lit(True)), "key", "left").select(
+        "row.*", F.when(F.col("again"), hashed).otherwise(F.coalesce("key", hashed)).alias(name))
+    return sure.unionByName(asked)
+
+
 def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int,
            parts: int = 10_000) -> DataFrame:
     """Left join of ``rows`` with one-row-per-key ``groups``, safe for hot keys.

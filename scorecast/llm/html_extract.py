@@ -2,7 +2,8 @@
 
 Pass 1 classifies each block on its own: by the container it lies in, its
 link density, its length and its share of stop words it is *good*, *bad* or
-left *open*.  Pass 2 gives open blocks the label of the nearest decided
+left *open*.  Words in the class or id of a container are one vote against its
+blocks; where they would leave a page with text without any, they do not count.  Pass 2 gives open blocks the label of the nearest decided
 neighbours, those of the same article first.  Per page work only: one Arrow
 pass over the table, no shuffle.
 """
@@ -42,15 +43,39 @@ _BLOCK = frozenset(
     "form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section summary table "
     "tbody td tfoot th thead title tr ul".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template textarea iframe svg math select button object canvas audio video head title".split())
+_RAW = frozenset("script style noscript template textarea iframe svg select button object canvas audio video head title".split())
 _CONTENT = frozenset(("article", "main"))
 _HOME = frozenset(("article", "main", "section", "div", "td", "aside", "nav", "header", "footer", "form"))
 _BOILER = frozenset("nav footer aside form menu dialog".split())
-_HINT = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|"
-    r"newsletter|subscribe|signup|login|sidebar|side|widget|menu|navbar|navigation|nav|breadcrumbs?|pagination|pager|"
-    r"footer|header|masthead|toolbar|comments?|replies|respond|disqus|share|sharing|social|related|recommend\w*|"
-    r"teaser|tags|copyright|legal|disclaimer)(?:$|[\s_-])", re.I)
+# Words of class and id names.  A name counts if all its parts are such words or
+# say where or whose something is; the weak ones not within an article, nor
+# together with what they belong to (an article's header is part of it).
+_STRONG = frozenset(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promos promotion banner banners cookie cookies consent "
+    "gdpr popup modal newsletter subscribe subscription signup login sidebar sidebars widget widgets menu menus navbar navigation nav "
+    "breadcrumb breadcrumbs pagination pager footer masthead toolbar comments replies respond disqus share sharing social related "
+    "recommended recommendations teaser teasers copyright disclaimer".split())
+_WEAK = frozenset("side header notice notices alert overlay tags legal comment reply".split())
+_WHERE = frozenset("box wrap wrapper container block area list bar inner outer top bottom left right main unit slot row col group panel holder "
+                   "links buttons form site page global user users reader readers primary secondary".split())
+_WHOSE = frozenset("article post entry story blog news".split())
+_CONTENT_NAMES = frozenset("content article post entry story text body main article-body post-content entry-content main-content".split())
+
+
+def _hinted(value: str, article: bool) -> bool:
+    names = value.lower().split()
+    if any(n in _CONTENT_NAMES for n in names):
+        return False
+    for name in names:
+        parts = [x for x in re.split(r"[-_]+|(?<=[a-z])[0-9]+$", name) if x]
+        strong, weak = any(x in _STRONG for x in parts), any(x in _WEAK for x in parts)
+        if strong and all(x in _STRONG or x in _WEAK or x in _WHERE or x in _WHOSE for x in parts):
+            return True
+        if weak and not article and all(x in _WEAK or x in _WHERE for x in parts):
+            return True
+    return False
+
+
 _ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 
 _TOKEN = re.compile(
@@ -63,9 +88,10 @@ _WORD = re.compile(r"[^\W\d_]+")
 class Block(NamedTuple):
     text: str
     linked: int      # characters inside links
-    boiler: bool     # lies in a menu, advert, form ...
+    boiler: bool     # lies in a menu, footer, form ...
     article: bool    # lies in an article
     home: int        # number of the division, section or article around it
+    hint: bool = False    # lies in something that its class or id calls an advert, notice, comment ...
 
 
 def blocks(html: str) -> list[Block]:
@@ -73,20 +99,20 @@ def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     parts: list[str] = []
     stack: list[tuple] = []   # open containers: tag, and the state around them
-    boiler, article, home, homes, link, linked = False, False, 0, 0, 0, 0
-    at, end = 0, len(html)
+    boiler, article, home, homes, link, linked, hint = False, False, 0, 0, 0, 0, False
+    at, end, unclosed = 0, len(html), set()
 
     def flush():
         nonlocal linked
-        text = " ".join(unescape("".join(parts)).split())
+        text = " ".join("".join(parts).split())
         if text:
-            out.append(Block(text, linked, boiler, article, home))
+            out.append(Block(text, linked, boiler, article, home, hint))
         parts.clear()
         linked = 0
 
     for m in iter(lambda: _TOKEN.search(html, at), None):
         if m.start() > at:
-            piece = html[at:m.start()]
+            piece = unescape(html[at:m.start()])
             parts.append(piece)
             if link:
                 linked += len(piece.strip())
@@ -96,15 +122,19 @@ def blocks(html: str) -> list[Block]:
             continue
         tag = tag.lower()
         if not m.group(1):
+            if tag == "button" and any(x.strip() for x in parts):
+                continue                 # words in the middle of a sentence
             if tag in _RAW:
                 if tag in _BLOCK:
                     flush()
                 if not m.group(3).rstrip().endswith("/"):
-                    close = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+                    close = None if tag in unclosed else re.compile(rf"</{tag}\s*>", re.I).search(html, at)
                     if close:
                         at = close.end()
                     elif tag not in ("head", "title"):
                         at = end
+                    else:
+                        unclosed.add(tag)
                 continue
             if tag in _VOID:
                 if tag == "hr":
@@ -122,17 +152,18 @@ def blocks(html: str) -> list[Block]:
             if tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "tr", "dt", "dd", "option"):
                 if not m.group(3):
                     continue
-            stack.append((tag, boiler, article, home))
+            stack.append((tag, boiler, article, home, hint))
             if tag in _CONTENT:
                 # what was left open before it does not hold the article
-                boiler, article = boiler and article, True
+                boiler, article, hint = boiler and article, True, hint and article
             if tag in _HOME:
                 homes += 1
                 home = homes
             hints = {k.lower(): (a or b or c).lower() for k, a, b, c in _ATTR.findall(m.group(3))}
-            if (tag in _BOILER or tag == "header" and not article or hints.get("role") in _ROLE
-                    or tag not in _CONTENT and tag not in ("html", "body") and any(_HINT.search(hints.get(k, "")) for k in ("class", "id"))):
+            if tag in _BOILER or tag == "header" and not article or hints.get("role") in _ROLE:
                 boiler = True
+            elif tag not in _CONTENT and tag not in ("html", "body") and any(_hinted(hints.get(k, ""), article) for k in ("class", "id")):
+                hint = True
         else:
             if tag == "a":
                 link = max(0, link - 1)
@@ -143,13 +174,13 @@ def blocks(html: str) -> list[Block]:
             link = 0
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    _, boiler, article, home = stack[i]
+                    _, boiler, article, home, hint = stack[i]
                     del stack[i:]
                     break
                 if stack[i][0] in _CONTENT and tag not in _CONTENT and tag not in ("body", "html"):
                     break                # a stray end tag does not close an article
     if at < end:
-        parts.append(html[at:])
+        parts.append(unescape(html[at:]))
     flush()
     return out
 
@@ -195,7 +226,10 @@ def settle(found: list[Block], labels: list[int]) -> list[bool]:
 
 def main_text(html: str | None, stop_words=STOP_WORDS) -> str:
     found = blocks(html or "")
-    labels = [classify(b, stop_words) for b in found]
+    plain = [classify(b, stop_words) for b in found]
+    labels = [-1 if b.hint else x for b, x in zip(found, plain)]
+    if 1 not in labels and 1 in plain:
+        labels = plain                   # names alone do not empty a page
     if any(b.article for b in found):
         # a page that marks its article has its main text there
         labels = [x if b.article else -1 for b, x in zip(found, labels)]

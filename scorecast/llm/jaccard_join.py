@@ -207,6 +207,7 @@ def _keys(k: int, num: int, den: int, common):
     smallest around a key in its batch goes on to the other batches with the
     key; the others are chained to it directly, over n keys."""
     def run(batches):
+        let_go()
         bands, known = Bands(num, den), common.value
         for batch in batches:
             keys, who, rows, done = [], [], 0, set()
@@ -248,6 +249,7 @@ def _arrays(k: int):
     """(rep, text, seats) -> one row (tile, side, known, rep, s1, arr) a seat of
     the text's own set."""
     def run(batches):
+        let_go()
         for batch in batches:
             for i, (s, seats) in enumerate(zip(shingle_sets(batch.column(1), k), batch.column(2).to_pylist())):
                 s1 = _identity(s)[0]
@@ -322,6 +324,7 @@ def _compare(num: int, den: int):
         return [(rows[i][2], rows[j][2]) for i, j in found]
 
     def run(batches):
+        let_go()
         now, held = None, {}
         for batch in batches:
             out = []
