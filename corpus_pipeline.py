@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scorecast.llm import bpe, decontaminate, exact_dedup, jaccard_join, toxicity
-from scorecast.llm.common import cut, scratch, table, without
+from scorecast.llm.common import cut, drop_folder, named_rows, scratch, table, without
 from scorecast.llm.queries import public_vocabulary
 
 
@@ -28,19 +28,27 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_copies(docs)
 
 
+def _rows_without(docs: DataFrame, find) -> DataFrame:
+    """``docs`` without the rows that ``find`` names.  Rows go by their own
+    name, not by an id that may be null or repeat."""
+    rows = named_rows(docs, "doc_id", "text", "__row")
+    return without(rows, cut(find(rows).distinct()), "__row").drop("__row")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of similar texts (five-word shingles, Jaccard similarity
-    0.8 or more) the row with the smallest id stays; texts without words are
-    in no class and stay."""
-    found = jaccard_join.jaccard_classes(docs, k=5, num=80, den=100)
-    gone = cut(found.filter("n_shingles > 0 and doc_id != component_id").select("doc_id").distinct())
-    return without(docs, gone, "doc_id")
+    0.8 or more) one row stays, that with the smallest id (rows whose id is null
+    or repeats before the others); texts without words are in no class and
+    stay.  Rows alike in id and text count as one."""
+    def find(rows):
+        found = jaccard_join.jaccard_classes(rows, k=5, num=80, den=100, id_col="__row")
+        return found.filter("n_shingles > 0 and __row != component_id").select("__row")
+    return _rows_without(docs, find)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage leave."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
-    return without(docs, cut(found.select("doc_id").filter("doc_id is not null").distinct()), "doc_id")
+    return _rows_without(docs, lambda rows: decontaminate.leaks(rows, table(spark, sf_dir, "benchmark"), id_col="__row").select("__row"))
 
 
 def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,9 +66,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result goes through a Parquet table
-    in the shared checkpoint folder, which stays until that folder is cleaned."""
-    docs, folder = table(spark, sf_dir, "documents"), scratch(spark, "pipeline")
+    in the shared checkpoint folder.  A stage's table goes once the next one is
+    written; the last one stays until that folder is cleaned."""
+    docs, folder, last = table(spark, sf_dir, "documents"), scratch(spark, "pipeline"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if last:
+            drop_folder(spark, last)
+        last = f"{folder}/{name}"
     return docs
