@@ -180,6 +180,20 @@ FROM wk WHERE {entry} GROUP BY period, sname, dname"""
     return out
 
 
+def window_totals_sql(cfg: ReportConfig) -> str:
+    """Totals of the weeks of every report date, counted row by row."""
+    windows = period_windows_sql(cfg)
+    return f"""WITH windows AS ({windows}), facts AS ({with_tables(_USAGE_TABLES)}
+SELECT r.UpdatedDate AS ts, (r.QTIOnlineTestSessionID IS NOT NULL) AS online, (r.BubbleSheetID IS NOT NULL) AS bubble
+FROM TestResult r JOIN Student stu ON stu.StudentID = r.StudentID JOIN District dist ON dist.DistrictID = stu.DistrictID
+JOIN State sta ON sta.StateID = dist.StateID JOIN VirtualTest t ON t.VirtualTestID = r.VirtualTestID
+WHERE dist.Name NOT ILIKE {q(cfg.demo_district_pattern)} AND (r.QTIOnlineTestSessionID IS NOT NULL OR r.BubbleSheetID IS NOT NULL))
+SELECT w.as_of, w.period, CAST(count(f.ts) AS BIGINT) AS TotalResults, CAST(count(*) FILTER (WHERE f.online) AS BIGINT) AS OnlineTests,
+  CAST(count(*) FILTER (WHERE f.bubble) AS BIGINT) AS BubbleSheets
+FROM windows w LEFT JOIN facts f ON f.ts > CAST(w.week_start AS TIMESTAMP) AND f.ts < CAST(w.week_end AS TIMESTAMP)
+GROUP BY w.as_of, w.period"""
+
+
 def side_by_side_sql(section: str, order: str, columns: list[str], cfg: ReportConfig) -> str:
     """A section's periods next to each other, row by row in ``order``."""
     cells = ", ".join(f'max({c}) FILTER (WHERE period = {q(lab)}) AS {lab.lower().replace(" ", "_")}_{c}'

@@ -431,9 +431,9 @@ def _bank_filter(bank: Column, state_test: Column, cfg: ReportConfig) -> Column:
 
 
 def _with_tags(df: DataFrame, cat: Catalog, demographics) -> DataFrame:
-    """One row per row of ``df`` and demographic value of its result: gender
-    and race by their ids, programs by the result.  A missing dimension row
-    drops only that demographic, as an inner join would."""
+    """One row per row of ``df`` and demographic value: gender and race by
+    their ids, programs by the list of them.  A missing dimension row drops
+    only that demographic, as an inner join would."""
     tags = []
     for d in ("Gender", "Race"):
         if d in demographics:
@@ -443,12 +443,8 @@ def _with_tags(df: DataFrame, cat: Catalog, demographics) -> DataFrame:
                                  F.col(f"_{d}_ok").isNotNull().alias("ok")))
     tags = F.filter(F.array(*tags), lambda t: t["ok"]) if tags else None
     if "Program" in demographics:
-        p = cat["Program"].select("ProgramID", F.struct(F.lit("Program").alias("Demographic"), F.col("Name").alias("Value"),
-                                                        F.lit(True).alias("ok")).alias("_program"))
-        programs = (cat["TestResultProgram"].select("TestResultID", "ProgramID").join(p, "ProgramID")
-                    .groupBy("TestResultID").agg(F.collect_list("_program").alias("_programs")))
-        df = df.join(programs, "TestResultID", "left")
-        own = F.coalesce("_programs", F.array().cast("array<struct<Demographic:string,Value:string,ok:boolean>>"))
+        own = F.transform(F.coalesce("_programs", F.array().cast("array<string>")), lambda name: F.struct(
+            F.lit("Program").alias("Demographic"), name.alias("Value"), F.lit(True).alias("ok")))
         tags = own if tags is None else F.concat(tags, own)
     return df.select("*", F.inline(tags))
 
@@ -462,27 +458,37 @@ def demographic_rows(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT
     two states) are one plan, and the results chain runs once: results are
     filtered to the banks of their district's state test; answers join them
     on (result, question) with the question's test equal to the result's
-    test; points are summed per (result, standard) before each sum is labelled
-    once per demographic value of its result."""
+    test.  Points are summed by ids before they fan out over the standards and
+    again before they fan out over demographic values; a result is known by
+    its school, test, gender, race and list of programs, of which there are few,
+    and only those asked for.  Names come after the last large sum."""
     tr = cat["TestResult"].select("TestResultID", "VirtualTestID", "SchoolID", "StudentID")
-    vt = cat["VirtualTest"].select("VirtualTestID", "BankID", F.col("Name").alias("TestName"))
+    vt = cat["VirtualTest"].select("VirtualTestID", "BankID")
     banks = reduce(lambda a, b: a | b, [F.col("BankID").isin(list(ids)) for ids in cfg.bank_ids.values()])
-    sch = cat["School"].select("SchoolID", F.col("Name").alias("School"))
     s = _scope(cat["Student"].select("StudentID", "DistrictID", "GenderID", "RaceID"), "DistrictID", district_id)
     v = district_variants(cat, cfg).select("DistrictID", "StateTest")
     # any state's banks first; which ones count is known with the district
-    results = (tr.join(vt.where(banks), "VirtualTestID").join(sch, "SchoolID").join(s, "StudentID").join(v, "DistrictID")
+    results = (tr.join(vt.where(banks), "VirtualTestID").join(s, "StudentID").join(v, "DistrictID")
                .where(_bank_filter(F.col("BankID"), F.col("StateTest"), cfg)))
+    ids = ["DistrictID", "SchoolID", "VirtualTestID", *[f"{d}ID" for d in ("Gender", "Race") if d in demographics]]
+    if "Program" in demographics:
+        p = cat["Program"].select("ProgramID", F.struct("Name").alias("_name"))
+        programs = (cat["TestResultProgram"].select("TestResultID", "ProgramID").join(p, "ProgramID")
+                    .groupBy("TestResultID").agg(F.array_sort(F.collect_list("_name")).alias("_names")))
+        # a struct keeps programs without a name in the list
+        results = results.join(programs, "TestResultID", "left").withColumn("_programs", F.col("_names.Name"))
+        ids.append("_programs")
     vq = cat["VirtualQuestion"].select("VirtualQuestionID", "VirtualTestID")
     vqss = cat["VirtualQuestionStateStandard"].select("VirtualQuestionID", "StateStandardID")
     ms = cat["MasterStandard"].select(F.col("MasterStandardID").alias("StateStandardID"), "Number")
+    sch = cat["School"].select("SchoolID", F.col("Name").alias("School"))
+    name = cat["VirtualTest"].select("VirtualTestID", F.col("Name").alias("TestName"))
     a = cat["Answer"].select("TestResultID", "VirtualQuestionID", "PointsEarned", "PointsPossible")
     sums = [F.sum("PointsEarned").alias("PointsEarned"), F.sum("PointsPossible").alias("PointsPossible")]
-    of_result = ["TestResultID", "DistrictID", "School", "TestName", "GenderID", "RaceID"]
-    df = (a.join(results.select("VirtualTestID", *of_result), "TestResultID")
-          .join(vq, ["VirtualQuestionID", "VirtualTestID"]).join(vqss, "VirtualQuestionID").join(ms, "StateStandardID")
-          .groupBy(*of_result, "Number").agg(*sums))
-    return _with_tags(df, cat, demographics).groupBy(*DEMOGRAPHIC_KEYS).agg(*sums)
+    df = a.join(results.select("TestResultID", *ids), "TestResultID").groupBy(*ids, "VirtualQuestionID").agg(*sums)
+    df = (df.join(vq, ["VirtualQuestionID", "VirtualTestID"]).join(vqss, "VirtualQuestionID").groupBy(*ids, "StateStandardID").agg(*sums))
+    df = _with_tags(df, cat, demographics).groupBy("DistrictID", "SchoolID", "VirtualTestID", "Demographic", "Value", "StateStandardID").agg(*sums)
+    return df.join(ms, "StateStandardID").join(sch, "SchoolID").join(name, "VirtualTestID").groupBy(*DEMOGRAPHIC_KEYS).agg(*sums)
 
 
 DEMOGRAPHIC_KEYS = ["DistrictID", "School", "TestName", "Demographic", "Value", "Number"]

@@ -9,6 +9,7 @@ from ..config import DEFAULT, ReportConfig, validate_form
 from ..functions.labels import form_letter
 from ..functions.predicates import include_exclude
 from ..operators.joins import exists_in
+from ..operators.skew import split_join
 from .extracts import _scope, scored_results
 
 ROSTER_COLUMNS = ["School", "LastName", "FirstName", "MiddleName", "Code", "Grade"]
@@ -41,12 +42,11 @@ def _roster(cat, district_id=None, cfg: ReportConfig = DEFAULT, with_id: bool =
     return df.select("DistrictID", *(["StudentID"] if with_id else []), *ROSTER_COLUMNS).distinct()
 
 
-def status_matrix(cat, district_id=None, form: str = "A", cfg: ReportConfig = DEFAULT, key: str = "code",
-                  spread: int = 8) -> DataFrame:
+def status_matrix(cat, district_id=None, form: str = "A", cfg: ReportConfig = DEFAULT, key: str = "code") -> DataFrame:
     """Roster plus a Yes/No column per configured subject: does the
     student (matched within the district by ``key``: student code, as the
     original does, or student id) have a benchmark score of that subject on
-    the requested form?  ``spread``: tasks that share one key.
+    the requested form?
 
     The original looked every student up in the score list (students x
     scores); here the scores are reduced to one row per (district, code)
@@ -58,14 +58,9 @@ def status_matrix(cat, district_id=None, form: str = "A", cfg: ReportConfig = DE
     f = form_letter("TestName", True, cfg)
     flags = scores.groupBy(F.col("TermDistrictID").alias("DistrictID"), F.col(by[0]).alias(by[1])).agg(
         *[F.max((F.col("Subject") == subject) & (f == form)).alias(f"_{col}") for col, subject in cfg.status_subjects])
-    # A key shared by many students (a blank or placeholder code) must not
-    # meet them in one task: each roster row takes one of ``spread`` seats by
-    # its own identity, and the few flags sit in every seat.  A NULL key never
-    # matches and is spread the same way.
-    roster = _roster(cat, district_id, cfg, by[1] == "StudentID")
-    seat = F.pmod(F.xxhash64(*roster.columns), F.lit(spread)).cast("int")
-    seated = flags.withColumn("_seat", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    out = roster.withColumn("_seat", seat).join(seated, ["DistrictID", by[1], "_seat"], "left")
+    # A key shared by many students (a blank or placeholder code, or none) must
+    # not meet them in one task; how many share one is found at run time.
+    out = split_join(_roster(cat, district_id, cfg, by[1] == "StudentID"), flags, ["DistrictID", by[1]], "left")
     for col, _ in cfg.status_subjects:
         out = out.withColumn(col, F.when(F.col(f"_{col}"), F.lit("Yes")).otherwise(F.lit("No")))
     return (out.select("DistrictID", *ROSTER_COLUMNS, *[c for c, _ in cfg.status_subjects])

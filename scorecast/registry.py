@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import oracle
-from .plans import extracts, labels, reports, status, usage
+from .plans import extracts, labels, reports, staging, status, usage
 from .sources.binding import EVENTS_AS_OF, ORDERS_AS_OF, binding_config
 from .sources.catalog import BindingCatalog
 
@@ -81,6 +81,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "standards_by_program": _q(extracts.standards_by_demographic, None, CFG, ("Program",)),
         "cluster_ratio": _q(extracts.cluster_ratio, None, CFG),
         "cluster_ratio_groups": _q(extracts.cluster_ratio, None, CFG, False),
+        "staged_clients": _q(staging.staged_clients, A, CFG),
+        "window_totals": _q(staging.totals_of_all_windows, CFG),
         "workbook_clients": _q(reports.workbook_clients, A, CFG),
         "workbook_scores": _q(reports.workbook_scores, CFG),
         "status_roster": _q(status.status_roster, None, CFG),
@@ -95,5 +97,6 @@ def oracle_sql() -> dict[str, str]:
     out.update(oracle.extracts_sql(CFG))
     out.update(oracle.status_sql(CFG, STATUS_FORM))
     out.update(oracle.labels_sql(CFG, PARAM_DISTRICT))
+    out["staged_clients"], out["window_totals"] = out["usage_results_by_client"], oracle.window_totals_sql(CFG)
     out["workbook_clients"], out["workbook_scores"] = out["usage_results_by_client"], out["state_scores"]
     return out

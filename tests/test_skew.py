@@ -71,3 +71,36 @@ def test_roster_with_one_shared_code(spark):
     for key, yes in (("code", n // 3), ("id", 1)):
         out = _with_conf(spark, HOT, lambda: status.status_matrix(cat, None, "A", DEFAULT, key=key).collect())
         assert len(out) == n and sum(r["Math"] == "Yes" for r in out) == yes
+
+
+def test_heavy_keys_are_split_at_run_time(spark):
+    """A key with a third of the rows, and a null key with a sixth: same rows
+    as the plain join, no task with over twice the median."""
+    from scorecast.operators.skew import heavy_keys, split_join
+
+    def run():
+        n = 120_000
+        key = F.when(F.col("id") % 3 == 0, F.lit(0)).when(F.col("id") % 6 == 1, F.lit(None)).otherwise(F.col("id"))
+        left = spark.range(n).select(key.alias("k"), F.col("id").alias("v"))
+        right = spark.range(n).filter("id % 7 != 3").select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+        heavy = heavy_keys(left, ["k"], 256)
+        out = {}
+        for how in ("left", "inner"):
+            got, want = split_join(left, right, ["k"], how), left.join(right, ["k"], how)
+            same = got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+            tasks = sorted(r["count"] for r in got.groupBy(F.spark_partition_id().alias("p")).count().collect())
+            out[how] = (same, tasks)
+        return heavy, out
+
+    heavy, out = _with_conf(spark, HOT, run)
+    assert sorted(heavy.values()) == [43, 86]
+    for same, tasks in out.values():
+        assert same and len(tasks) == 16 and tasks[-1] <= 2 * tasks[8], tasks
+
+
+def test_no_heavy_key_is_a_plain_join(spark):
+    from scorecast.operators.skew import split_join
+    left, right = spark.range(100).toDF("k"), spark.range(50).selectExpr("id AS k", "id AS w")
+    joined = split_join(left, right, ["k"], parts=10)
+    assert joined.count() == 50 and "_seat" not in joined._jdf.queryExecution().toString()
+    assert split_join(left.limit(0), right, ["k"], "left").count() == 0
