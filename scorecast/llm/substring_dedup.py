@@ -21,8 +21,8 @@ repeats.  The tree is sparse and never built as a whole:
    ``size - o`` and, to the left, one of depth ``o``.  All of them but the first
    in the corpus repeat.
 4. *Whole windows* are internal nodes themselves, however many suffixes they
-   have: only their first suffix is asked for, a minimum that is formed in each
-   batch and task before anything moves.
+   have: only their first suffix is asked for.  A batch sends its own first one,
+   and a task lets them pass one by one, in order.
 
 Words are compared as words; hashes only choose anchors and partitions.
 Exact copies of whole texts are one document from the start.
@@ -37,11 +37,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import attach, bloom_bits, bloom_of, cut, drop_folder, maybe_in, ship, stored, text_or_empty
+from .common import attach, bloom_bits, bloom_of, cut, drop_folder, let_go, maybe_in, ship, stored, text_or_empty
 from . import words as W
 
 PREFIX = 6
-GROUP = 40_000             # suffixes of a subtree: about 12 MB of words and their numbers
+GROUP = 150_000            # suffixes of a subtree: about 90 MB of words and their numbers
 MOST_GROUPS = 1_000_000    # groups that are split by longer prefixes, at most; beyond it ``GROUP`` grows
 CHUNK = 60_000             # suffixes whose subtrees a task builds together
 _U = np.uint64
@@ -149,7 +149,7 @@ def _longer(size: int, hot):
 
 
 # level 0 and 1: suffixes of a subtree, for windows that begin low to high words before the anchor (at start);
-# level 2: a window; level 3: a known repeat from start to stop
+# level 2: a window; level 3: known repeats from start to stop
 _SUFFIX = "level int, key long, low int, high int, id long, tie long, start int, stop int, n_left int, words string"
 
 
@@ -210,7 +210,8 @@ def _rows(x: _Shared, here: np.ndarray, level: int, key, low: int, high: int, wo
 
 
 def _windows(x: _Shared, here: np.ndarray, at: np.ndarray, size: int, text, begin, end) -> list[pa.RecordBatch]:
-    """Whole windows: the first of each in this batch, and the known repeats."""
+    """Whole windows: the first of each in this batch, and the known repeats,
+    those that follow each other as one."""
     order = np.lexsort((at, x.tie[x.doc[here]], x.ids[x.doc[here]]))
     here, at = here[order], at[order]
     words, seen, first = _cut(text, begin, end, at, at + size), set(), np.zeros(len(here), bool)
@@ -218,10 +219,17 @@ def _windows(x: _Shared, here: np.ndarray, at: np.ndarray, size: int, text, begi
         if word not in seen:
             seen.add(word)
             first[n] = True
-    start = at - x.w.first[x.doc[here]]
-    key = np.zeros(len(here), np.int64)
-    return [_rows(x, here[first], 2, key[first], 0, 0, [w for w, f in zip(words, first) if f], start[first], start[first] + size),
-            _rows(x, here[~first], 3, key[~first], 0, 0, [], start[~first], start[~first] + size)]
+    h = W.runs(x.w.hash, size)
+    start = at[first] - x.w.first[x.doc[here[first]]]
+    out = [_rows(x, here[first], 2, h[at[first]], -1, -1, [w for w, f in zip(words, first) if f], start, start + size)]
+    here, at = here[~first], at[~first]
+    if len(at):
+        new = np.concatenate(([True], (x.doc[here[1:]] != x.doc[here[:-1]]) | (at[1:] != at[:-1] + 1)))
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(at)) - 1
+        first_word = x.w.first[x.doc[here[head]]]
+        out.append(_rows(x, here[head], 3, W.mix(at[head].astype(_U)), -2, -2, [], at[head] - first_word, at[tail] + size - first_word))
+    return out
 
 
 def word_numbers(w: W.Words) -> np.ndarray:
@@ -286,8 +294,21 @@ def subtree_repeats(group, low, high, rank, n_left, words: pa.Array, size: int)
     return out
 
 
+def _later(rows: pa.Table, state: dict) -> pa.Table:
+    """The windows of rows of level 2, sorted by key, id, tie and start, that
+    are not the first with their words; ``state`` has those of the last key."""
+    again = []
+    for key, words in zip(rows.column("key").to_pylist(), rows.column("words").to_pylist()):
+        if state.get("key") != key:
+            state.clear()
+            state["key"], state["seen"] = key, set()
+        again.append(words in state["seen"])
+        state["seen"].add(words)
+    return rows.filter(pa.array(again, pa.bool_()))
+
+
 def _subtrees(size: int):
-    """Rows of level 0 and 1, sorted by key and low -> (id, tie, start, stop)."""
+    """Rows sorted by key, low, id, tie and start -> (id, tie, start, stop)."""
     def spans(t: pa.Table) -> pa.RecordBatch:
         col = {c: t.column(c).to_numpy() for c in ("key", "low", "high", "id", "tie", "start", "n_left")}
         new = np.concatenate(([True], (col["key"][1:] != col["key"][:-1]) | (col["low"][1:] != col["low"][:-1])))
@@ -304,8 +325,18 @@ def _subtrees(size: int):
              pa.array((col["start"][row] - near + size).astype(np.int32))], ["id", "tie", "start", "stop"])
 
     def run(batches):
-        held, n = [], 0
+        let_go()
+        held, n, state = [], 0, {}
         for batch in batches:
+            level = batch.column(0).to_numpy()
+            if (level > 1).any():
+                whole = pa.Table.from_batches([batch.filter(pa.array(level == 2))])
+                known = pa.Table.from_batches([batch.filter(pa.array(level == 3))])
+                for t in (_later(whole, state), known):
+                    yield from t.select(["id", "tie", "start", "stop"]).to_batches()
+                batch = batch.filter(pa.array(level < 2))
+            if not batch.num_rows:
+                continue
             held.append(batch)
             n += batch.num_rows
             if n >= CHUNK:
@@ -382,23 +413,10 @@ def repeats(docs: DataFrame, size: int = 20, id_col: str = "doc_id", text_col: s
         counts = source.mapInArrow(_longer(size, hot_b), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
         longer = _keys(counts.filter(F.col("n") > limit).select("key"))
     suffixes = source.mapInArrow(_suffix_rows(size, hot_b, spark.sparkContext.broadcast(longer)), _SUFFIX)
-    folder = None
-    if len(longer):
-        suffixes, folder = stored(suffixes, "suffixes")       # read twice
-    found = (suffixes.filter("level < 2").repartition("key", "low").sortWithinPartitions("key", "low")
+    found = (suffixes.repartition("key", "low").sortWithinPartitions("key", "low", "id", "tie", "start")
              .mapInArrow(_subtrees(size), "id long, tie long, start int, stop int"))
-    if len(longer):
-        place = F.struct("id", "tie", "start")
-        windows = suffixes.filter("level = 2").select("words", "id", "tie", "start", "stop")
-        nodes = cut(windows.groupBy("words").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
-        later = attach(windows, nodes, ["words"], "n", max(1, windows.count())).filter(F.col("first") < place)
-        found = (found.unionByName(later.select("id", "tie", "start", "stop"))
-                 .unionByName(suffixes.filter("level = 3").select("id", "tie", "start", "stop")))
     span = F.shiftleft(F.col("start").cast("long"), 32) + F.col("stop")
-    out = cut(found.groupBy("id", "tie").agg(F.collect_set(span).alias("spans")))
-    if folder:
-        drop_folder(spark, folder)
-    return rows, out
+    return rows, cut(found.groupBy("id", "tie").agg(F.collect_set(span).alias("spans")))
 
 
 def _keys(keys: DataFrame) -> np.ndarray:
