@@ -20,6 +20,7 @@ from ..functions.dates import day_text, ts_literal
 from ..functions.labels import form_letter, nav_grade, recode_values, school_year, strip_crlf, year_slice
 from ..functions.predicates import include_exclude
 from ..operators.joins import write_back
+from ..operators.skew import split_join
 from ..sources.catalog import Catalog
 
 
@@ -364,7 +365,7 @@ def _points_by(cat, district_id, cfg, bridge, tag_table, tag_key, tag_col, stage
     sums = [F.min("FirstDate").alias("FirstDate"), F.max("LastDate").alias("LastDate"),
             F.sum("PointsEarned").alias("PointsEarned"), F.sum("PointsPossible").alias("PointsPossible")]
     td = td.select("*", F.col("UpdatedDate").alias("FirstDate"), F.col("UpdatedDate").alias("LastDate"))
-    df = td.join(a, "TestResultID").groupBy(*RESULT_KEYS, "VirtualQuestionID").agg(*sums)
+    df = split_join(a, td, ["TestResultID"]).groupBy(*RESULT_KEYS, "VirtualQuestionID").agg(*sums)
     vq = cat["VirtualQuestion"].select("VirtualQuestionID", "QTIItemID")
     item = cat["QTIItem"].select("QTIItemID")
     bridge_key = "StateStandardID" if bridge == "VirtualQuestionStateStandard" else "LessonOneID"
@@ -485,7 +486,7 @@ def demographic_rows(cat: Catalog, district_id=None, cfg: ReportConfig = DEFAULT
     name = cat["VirtualTest"].select("VirtualTestID", F.col("Name").alias("TestName"))
     a = cat["Answer"].select("TestResultID", "VirtualQuestionID", "PointsEarned", "PointsPossible")
     sums = [F.sum("PointsEarned").alias("PointsEarned"), F.sum("PointsPossible").alias("PointsPossible")]
-    df = a.join(results.select("TestResultID", *ids), "TestResultID").groupBy(*ids, "VirtualQuestionID").agg(*sums)
+    df = split_join(a, results.select("TestResultID", *ids), ["TestResultID"]).groupBy(*ids, "VirtualQuestionID").agg(*sums)
     df = (df.join(vq, ["VirtualQuestionID", "VirtualTestID"]).join(vqss, "VirtualQuestionID").groupBy(*ids, "StateStandardID").agg(*sums))
     df = _with_tags(df, cat, demographics).groupBy("DistrictID", "SchoolID", "VirtualTestID", "Demographic", "Value", "StateStandardID").agg(*sums)
     return df.join(ms, "StateStandardID").join(sch, "SchoolID").join(name, "VirtualTestID").groupBy(*DEMOGRAPHIC_KEYS).agg(*sums)

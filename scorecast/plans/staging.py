@@ -1,9 +1,9 @@
 """Daily partial sums of the usage report, kept and extended day by day.
 
 ``DailyStore`` holds counts per (day, state, district); they are additive, so a
-batch of new rows is summed alone and only the days that it touches are read
-again, merged and written.  A manifest names the folder that counts for each
-day; it is switched in one step (``sources.versions``), and it remembers the
+batch of new rows is summed alone and only the stretches (months, or single
+days) that it touches are read again, merged and written.  A manifest names the
+folder that counts for each stretch; it is switched in one step (``sources.versions``), and it remembers the
 batches, so that one that comes twice counts once.  Rows that change come as
 a batch with the old rows taken away (``sign=-1``) and the new ones added.
 
@@ -31,7 +31,7 @@ from ..sources.versions import current, publish
 from .usage import CLIENT_MEASURES, _districts
 
 KEYS = ["day", "midnight", "State", "District"]
-_MANIFEST = "day date, folder string"
+_MANIFEST = "stretch date, folder string"
 
 
 def daily_partials(cat: Catalog, cfg: ReportConfig = DEFAULT, results: DataFrame | None = None, sign: int = 1) -> DataFrame:
@@ -56,10 +56,14 @@ def merged(partials: DataFrame) -> DataFrame:
 
 
 class DailyStore:
-    """Daily partials in ``root``: ``manifest`` (versioned) and ``data``."""
+    """Daily partials in ``root``: ``manifest`` (versioned) and ``data``, a
+    file for each ``stretch`` of days ("day" or "month") that has rows."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, stretch: str = "month"):
+        self.spark, self.root, self.stretch = spark, root.rstrip("/"), stretch
+
+    def _stretch(self, day):
+        return F.to_date(F.date_trunc(self.stretch, day))
 
     def _state(self) -> tuple[DataFrame, set[str], str | None]:
         """(manifest, batches seen, its folder)."""
@@ -70,14 +74,21 @@ class DailyStore:
         seen = {r["batch"] for r in self.spark.read.schema("batch string").parquet(f"{folder}/batches").collect()}
         return self.spark.read.schema(_MANIFEST).parquet(f"{folder}/days"), seen, folder
 
-    def days(self, where=None) -> DataFrame:
-        """The partials of the days that ``where`` (a condition on ``day``)
-        holds for; files of other days are not touched."""
+    def days(self, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+        """The partials from ``first`` to ``last`` (all without them); files of
+        other stretches are not touched."""
         manifest, _, _ = self._state()
-        rows = (manifest if where is None else manifest.where(where)).collect()      # a row a day
+        wanted, inside = F.lit(True), F.lit(True)
+        if first is not None:
+            wanted = (F.col("stretch") >= self._stretch(F.lit(first))) & (F.col("stretch") <= F.lit(last))
+            inside = (F.col("day") >= F.lit(first)) & (F.col("day") <= F.lit(last))
+        return self._read(manifest.where(wanted)).where(inside)
+
+    def _read(self, manifest: DataFrame) -> DataFrame:
+        rows = manifest.collect()                # a row a stretch
         if not rows:
             return self.spark.createDataFrame([], self.schema())
-        paths = sorted(f"{self.root}/data/{r['folder']}/day={r['day'].isoformat()}" for r in rows)
+        paths = sorted(f"{self.root}/data/{r['folder']}/stretch={r['stretch'].isoformat()}" for r in rows)
         found = self.spark.read.schema(self.schema()).option("basePath", f"{self.root}/data").parquet(*paths)
         return found.select(*KEYS, *CLIENT_MEASURES)
 
@@ -86,8 +97,8 @@ class DailyStore:
         return "day date, midnight boolean, State string, District string, " + ", ".join(f"{m} long" for m in CLIENT_MEASURES)
 
     def apply(self, batch: str, *partials: DataFrame) -> list[dt.date]:
-        """Add the partials of a batch; returns the days that it touched (none
-        if the batch was there before).  A run that stops leaves the store as
+        """Add the partials of a batch; returns the stretches that it touched
+        (none if the batch was there before).  A run that stops leaves the store as
         it was."""
         manifest, seen, _ = self._state()
         if batch in seen:
@@ -98,22 +109,22 @@ class DailyStore:
         folder = f"batch={uuid.uuid4().hex}"      # a partition column, so that the days of several read as one table
         path = f"{self.root}/data/{folder}"
         try:
-            # the batch's own sums first: they say which days to read again
+            # the batch's own sums first: they say what to read again
             staged = f"{path}-new"
             merged(new).write.parquet(staged)
             fresh = self.spark.read.schema(self.schema()).parquet(staged)
-            touched = sorted(r["day"] for r in fresh.select("day").distinct().collect())
+            touched = sorted(r["stretch"] for r in fresh.select(self._stretch(F.col("day")).alias("stretch")).distinct().collect())
             if touched:
-                old = self.days(F.col("day").isin(touched))
+                old = self._read(manifest.where(F.col("stretch").isin(touched)))
                 both = merged(old.unionByName(fresh)).where(" OR ".join(f"{m} != 0" for m in CLIENT_MEASURES))
-                both.hint("rebalance", "day").write.partitionBy("day").parquet(path)
+                both.withColumn("stretch", self._stretch(F.col("day"))).hint("rebalance", "stretch").write.partitionBy("stretch").parquet(path)
             drop_path(self.spark, staged)
         except BaseException:
             for gone in (path, f"{path}-new"):
                 drop_path(self.spark, gone)
             raise
         days = self.spark.createDataFrame([(d, folder) for d in touched if self._has(path, d)], _MANIFEST)
-        kept = manifest.where(~F.col("day").isin(touched)) if touched else manifest
+        kept = manifest.where(~F.col("stretch").isin(touched)) if touched else manifest
 
         def write(to: str) -> None:
             kept.unionByName(days).coalesce(1).write.parquet(f"{to}/days")
@@ -121,9 +132,9 @@ class DailyStore:
         publish(self.spark, f"{self.root}/manifest", write)
         return touched
 
-    def _has(self, path: str, day: dt.date) -> bool:
-        """A day whose counts are all taken away has no folder."""
-        fs, p = hadoop_path(self.spark, f"{path}/day={day.isoformat()}")
+    def _has(self, path: str, stretch: dt.date) -> bool:
+        """A stretch whose counts are all taken away has no folder."""
+        fs, p = hadoop_path(self.spark, f"{path}/stretch={stretch.isoformat()}")
         return fs.exists(p)
 
 
@@ -136,13 +147,12 @@ def clients_of_week(store: DailyStore, as_of: dt.date, cfg: ReportConfig = DEFAU
     """``usage.results_by_client`` from the store: only the days of the three
     report weeks are read."""
     periods = period_table(store.spark, as_of, cfg)
-    weeks = [(r["period"], r["period_ord"], r["week_start"], r["week_end"]) for r in periods.collect()]
-    wanted = None
-    for _, _, start, end in weeks:
-        c = (F.col("day") >= F.lit(start)) & (F.col("day") < F.lit(end))
-        wanted = c if wanted is None else wanted | c
-    days = store.days(wanted)
-    tagged = days.join(F.broadcast(periods.select("period", "period_ord", "week_start", "week_end")), in_week(F.col("week_start"), F.col("week_end")))
+    days = None
+    for r in periods.collect():
+        week = store.days(r["week_start"], r["week_end"] - dt.timedelta(days=1)).withColumn("period", F.lit(r["period"]))
+        days = week if days is None else days.unionByName(week)
+    weeks = periods.select("period", "period_ord", "week_start", "week_end")
+    tagged = days.join(F.broadcast(weeks), "period").where(in_week(F.col("week_start"), F.col("week_end")))
     sums = tagged.groupBy("period", "period_ord", "State", "District").agg(*[F.sum(m).alias(m) for m in CLIENT_MEASURES])
     return (share_of_total(sums.where("TotalResults > 0"), "TotalResults", ["period"], "share")
             .orderBy("period_ord", F.desc("TotalResults"), "State", "District").select("period", "State", "District", *CLIENT_MEASURES, "share"))

@@ -22,8 +22,8 @@ def tiny_catalog(spark, results):
                    VirtualTest=[(10, 1, "LinkIt Math Form A", 0, 3, 1)], TestResult=results)
 
 
-def store_of(spark, tmp_path):
-    return staging.DailyStore(spark, str(tmp_path / "daily"))
+def store_of(spark, tmp_path, stretch="month"):
+    return staging.DailyStore(spark, str(tmp_path / "daily"), stretch)
 
 
 def same(spark, store, cat, as_of, cfg):
@@ -53,13 +53,13 @@ def test_batches_late_rows_and_replays(spark, tmp_path):
         touched = store.apply(f"b{n}", staging.daily_partials(cat, CFG, rows))
         assert touched and store.apply(f"b{n}", staging.daily_partials(cat, CFG, rows)) == []        # a replay counts once
     same(spark, store, cat, ORDERS_AS_OF, CFG)
-    # a late row touches its own day only
-    before = {r["day"]: r["folder"] for r in store._state()[0].collect()}
-    day = sorted(before)[len(before) // 2]
-    late = cat["TestResult"].where(F.to_date("UpdatedDate") == F.lit(day)).limit(1)
-    assert store.apply("late", staging.daily_partials(cat, CFG, late)) in ([day], [])
-    after = {r["day"]: r["folder"] for r in store._state()[0].collect()}
-    assert {d for d in after if after[d] != before.get(d)} <= {day}
+    # a late row touches its own month only
+    before = {r["stretch"]: r["folder"] for r in store._state()[0].collect()}
+    month = sorted(before)[len(before) // 2]
+    late = cat["TestResult"].where(F.to_date(F.date_trunc("month", "UpdatedDate")) == F.lit(month)).limit(20)
+    assert store.apply("late", staging.daily_partials(cat, CFG, late)) == [month]
+    after = {r["stretch"]: r["folder"] for r in store._state()[0].collect()}
+    assert {d for d in after if after[d] != before.get(d)} == {month}
 
 
 def test_rows_that_change_and_go(spark, tmp_path):
@@ -75,10 +75,14 @@ def test_rows_that_change_and_go(spark, tmp_path):
 
 
 def test_only_the_days_asked_for_are_read(spark, tmp_path):
-    cat, store = tiny_catalog(spark, edge_results()), store_of(spark, tmp_path)
-    store.apply("all", staging.daily_partials(cat, DEFAULT))
-    one = store.days(F.col("day") == F.lit(dt.date(2018, 3, 5)))
-    assert len(one.inputFiles()) == 1 and len(store.days().inputFiles()) > 10
+    cat = tiny_catalog(spark, edge_results())
+    for stretch, most in (("month", 2), ("day", 22)):
+        store = store_of(spark, tmp_path / stretch, stretch)
+        store.apply("all", staging.daily_partials(cat, DEFAULT))
+        one = store.days(dt.date(2018, 3, 5), dt.date(2018, 3, 5))
+        assert len(one.inputFiles()) == 1 and len(store.days().inputFiles()) == most
+        assert {r["day"] for r in one.collect()} == {dt.date(2018, 3, 5)}
+        same(spark, store, cat, AS_OF, DEFAULT)
 
 
 def test_a_batch_that_stops_changes_nothing(spark, tmp_path, monkeypatch):
