@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import binding
 from .schema import conform
+from .splits import equi_depth_bounds, predicates
 
 
 class Catalog:
@@ -70,33 +71,51 @@ class JdbcCatalog(Catalog):
     connection; it must name every fact that a report reads.  ``names`` maps a
     logical table to its name in the database (``schema.table``); names are
     quoted as the dialect of the URL does.  ``properties`` are reader options
-    such as user, password and fetchsize."""
+    such as user, password and fetchsize.
+
+    ``partitioning`` may also be ``(column, num_partitions)``: the bounds are
+    then quantiles of that column in ``snapshot``, a catalog that holds an
+    earlier state of the table, so that dense ranges of keys are cut finer."""
 
     def __init__(self, spark, url: str, properties: dict | None = None,
-                 partitioning: dict | None = None, typed: bool = True, names: dict | None = None):
+                 partitioning: dict | None = None, typed: bool = True, names: dict | None = None, snapshot: Catalog | None = None):
         super().__init__(spark)
-        self.url = url
+        self.url, self.snapshot = url, snapshot
         self.properties = dict(properties or {})
         self.partitioning = dict(partitioning or {})
         self.names = dict(names or {})
         self.typed = typed
 
     def quoted(self, name: str) -> str:
+        return ".".join(self.quoted_column(part) for part in self.names.get(name, name).split("."))
+
+    def quoted_column(self, name: str) -> str:
         parts = self.url.split(":")
         left, right = _QUOTES.get(parts[1] if len(parts) > 1 else "", ('"', '"'))
-        return ".".join(left + part.replace(right, right * 2) + right for part in self.names.get(name, name).split("."))
+        return left + name.replace(right, right * 2) + right
 
     def options(self, name: str) -> dict:
         """The reader options of one table."""
         out = {**self.properties, "url": self.url, "dbtable": self.quoted(name)}
-        if name in self.partitioning:
+        if name in self.partitioning and len(self.partitioning[name]) == 4:
             col, lo, hi, n = self.partitioning[name]
             out |= {"partitionColumn": col, "lowerBound": lo, "upperBound": hi, "numPartitions": n}
-        elif name in FACTS:
+        elif name in FACTS and name not in self.partitioning:
             raise ValueError(f"{name} is a fact table: give its partitioning as (column, lower, upper, partitions)")
         return out
 
+    def splits(self, name: str) -> list[str]:
+        """The conditions of a table's splits, from the snapshot."""
+        col, n = self.partitioning[name]
+        if self.snapshot is None:
+            raise ValueError(f"{name} is to be split by quantiles of {col}: give a snapshot")
+        return predicates(self.quoted_column(col), equi_depth_bounds(self.snapshot[name], col, n))
+
     def _load(self, name):
+        if name in self.partitioning and len(self.partitioning[name]) == 2:
+            options = {k: str(v) for k, v in self.properties.items()}
+            df = self.spark.read.jdbc(self.url, self.quoted(name), predicates=self.splits(name), properties=options)
+            return conform(df, name) if self.typed else df
         reader = self.spark.read.format("jdbc")
         for k, v in self.options(name).items():
             reader = reader.option(k, v)

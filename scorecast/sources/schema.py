@@ -7,6 +7,11 @@ in-memory tables in tests.  Ids are ``bigint``, points and scores
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
+
 SCHEMAS: dict[str, str] = {
     "State": "StateID bigint, Name string",
     "District": "DistrictID bigint, Name string, StateID bigint, DistrictGroupID bigint",
@@ -63,16 +68,46 @@ def check_catalog(cat, tables=None) -> dict[str, list[str]]:
     return missing
 
 
+def declared_types(table: str) -> dict[str, str]:
+    return dict(part.strip().split(" ", 1) for part in SCHEMAS[table].split(","))
+
+
+class Typed(NamedTuple):
+    """``good`` rows in the declared types; ``rejects``: table, the columns that
+    do not fit and the row as JSON; ``counts``: rows and rejected rows, known
+    once ``good`` has been read (``counts.get``)."""
+
+    good: DataFrame
+    rejects: DataFrame
+    counts: Observation
+
+
+def typed(df: DataFrame, table: str) -> Typed:
+    """``df`` cast to the declared types of ``table``, with the rows set apart
+    that hold a value which is there but cannot be cast.
+
+    Both frames are filters over one scan each; the counts come along with the
+    reading of ``good`` (``observe``), with no pass of their own.  A null stays a
+    null; columns that are not declared pass through."""
+    declared, have = declared_types(table), dict(df.dtypes)
+    change = {c: t for c, t in declared.items() if c in have and have[c] != t}
+    failed = {c: F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(t).isNull() for c, t in change.items()}
+    bad = F.array_compact(F.array(*[F.when(test, F.lit(c)) for c, test in failed.items()])) if failed else F.array().cast("array<string>")
+    counts = Observation(f"{table} typed")
+    seen = df.observe(counts, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum((F.size(bad) > 0).cast("long")), F.lit(0)).alias("rejected"))
+    good = seen.where(F.size(bad) == 0).select(
+        *[F.col(f"`{c}`").try_cast(change[c]).alias(c) if c in change else F.col(f"`{c}`") for c in df.columns])
+    rejects = df.where(F.size(bad) > 0).select(F.lit(table).alias("table"), bad.alias("columns"), F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("row"))
+    return Typed(good, rejects, counts)
+
+
 def conform(df, table: str):
     """Cast the declared columns of ``table`` to their logical types (e.g.
     a JDBC ``datetime`` that arrives as a zoned timestamp becomes
     ``timestamp_ntz``); other columns pass through unchanged."""
     if table not in SCHEMAS:
         return df
-    declared = {}
-    for part in SCHEMAS[table].split(","):
-        name, typ = part.strip().split(" ", 1)
-        declared[name] = typ.strip()
+    declared = declared_types(table)
     have = dict(df.dtypes)
     cols = []
     for c in df.columns:

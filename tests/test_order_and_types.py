@@ -1,6 +1,7 @@
 """Row order of the sorted sections (the oracle check ignores order) and
 typing of source tables."""
 
+import json
 import datetime as dt
 
 import pytest
@@ -59,3 +60,19 @@ def test_parquet_catalog_reads_written_tables(spark, tmp_path):
     pc = ParquetCatalog(spark, str(tmp_path), typed=True)
     assert pc["District"].count() == 25
     assert dict(pc["District"].dtypes)["DistrictID"] == "bigint"
+
+
+def test_typed_read_sets_rows_apart(spark):
+    from scorecast.sources.schema import typed
+    rows = [("1", "2018-03-07 10:00:00", "7", "x"), ("2", "not a date", "8", "y"), ("3", None, None, "z"), ("four", "2018-02-30", "99999999999999999999", "w"),
+            (None, "2018-03-08", "", "v")]
+    df = spark.createDataFrame(rows, "TestResultID string, UpdatedDate string, StudentID string, Other string")
+    got = typed(df, "TestResult")
+    good = got.good.collect()
+    assert got.counts.get == {"rows": 5, "rejected": 3}
+    assert dict(got.good.dtypes) == {"TestResultID": "bigint", "UpdatedDate": "timestamp_ntz", "StudentID": "bigint", "Other": "string"}
+    assert [(r["TestResultID"], r["StudentID"], r["Other"]) for r in good] == [(1, 7, "x"), (3, None, "z")]
+    bad = {json.loads(r["row"])["Other"]: set(r["columns"]) for r in got.rejects.collect()}
+    assert bad == {"y": {"UpdatedDate"}, "w": {"TestResultID", "UpdatedDate", "StudentID"}, "v": {"StudentID"}}
+    same = typed(got.good, "TestResult")
+    assert same.rejects.count() == 0 and same.good.count() == 2
