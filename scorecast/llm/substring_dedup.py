@@ -43,6 +43,7 @@ from . import words as W
 PREFIX = 6
 GROUP = 150_000            # suffixes of a subtree: about 90 MB of words and their numbers
 MOST_GROUPS = 1_000_000    # groups that are split by longer prefixes, at most; beyond it ``GROUP`` grows
+SLICE = 4_000_000          # bytes of text in which repeats are known without an exchange
 CHUNK = 60_000             # suffixes whose subtrees a task builds together
 _U = np.uint64
 _LAST = (1 << 63) - 1      # stands for a null id: after all others
@@ -81,7 +82,7 @@ def _anchor_rows(size: int):
     one marker is sent; its suffixes are known to go on."""
     def run(batches):
         for batch in batches:
-            for i, j in W.slices(batch.column(2)):
+            for i, j in W.slices(batch.column(2), SLICE):
                 ids, tie = (batch.column(c).slice(i, j - i).to_numpy(zero_copy_only=False) for c in (0, 1))
                 at, h, doc = anchors(W.split(batch.column(2).slice(i, j - i)), size)
                 if not len(at):
@@ -138,7 +139,7 @@ def _longer(size: int, hot):
     """Counts of the longer prefixes of suffixes whose group is too large."""
     def run(batches):
         for batch in batches:
-            for i, j in W.slices(batch.column(2)):
+            for i, j in W.slices(batch.column(2), SLICE):
                 x = _Shared(batch, i, j, size)
                 large = _isin(x.key, hot.value)
                 for before, n, *_ in _halves(size):
@@ -156,7 +157,7 @@ _SUFFIX = "level int, key long, low int, high int, id long, tie long, start int,
 def _suffix_rows(size: int, hot, hotter):
     def run(batches):
         for batch in batches:
-            for i, j in W.slices(batch.column(2)):
+            for i, j in W.slices(batch.column(2), SLICE):
                 x = _Shared(batch, i, j, size)
                 if not len(x.at):
                     continue

@@ -35,7 +35,7 @@ class Words(NamedTuple):
     hash: np.ndarray    # 64-bit hash of each word
 
 
-def slices(column: pa.Array, max_bytes: int = 4_000_000) -> Iterator[tuple[int, int]]:
+def slices(column: pa.Array, max_bytes: int = 1_000_000) -> Iterator[tuple[int, int]]:
     """Row ranges [i, j) of about ``max_bytes`` bytes, one row at least."""
     if not len(column):
         return
