@@ -88,7 +88,90 @@ def op13_near_vectors(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_pii, op3_jaccard_join, op4_decontaminate, op5_html_extract, op6_sharding, op7_substring_dedup, op8_bpe, op9_warc, op10_exact_dedup, op11_resample,
                                   op12_hard_negatives, op13_near_vectors)}
 
+# CRC-32 of bytes in SQL: a table built from the polynomial, then one step a byte.
+_CRC = """
+        WITH RECURSIVE t(v, c, k) AS (
+          SELECT unnest(range(0, 256)), unnest(range(0, 256)), 0 UNION ALL
+          SELECT v, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM t WHERE k < 8),
+        crc AS (SELECT list(c ORDER BY v) AS t FROM t WHERE k = 8),"""
+
 ORACLE_SQL = {
+    "op3_jaccard_join": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+          FROM documents),
+        s AS (
+          SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])
+                                              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle
+          FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (
+          SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b USING (shingle)
+          JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+          WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 90 * (x.n + y.n - count(*))),
+        r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a)
+        SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id
+        FROM documents d JOIN r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""",
+    "op6_sharding": _CRC + r"""
+        b AS (
+          SELECT doc_id, coalesce('=' || source, 'null') AS source, strlen(coalesce(text, '')) + 16 AS size,
+                 xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, strlen(coalesce(text, ''))), lambda i: ('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::BIGINT)),
+                   lambda a, b: xor(a // 256, t[1 + xor(a % 256, b)]::BIGINT))) AS text_crc32,
+                 ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h
+          FROM documents, crc),
+        r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY h, doc_id NULLS LAST, text_crc32, size) AS rank, count(*) OVER (PARTITION BY source) AS n FROM b),
+        p AS (SELECT *, row_number() OVER (ORDER BY (2 * rank - 1) / (2 * n)::DOUBLE, source, rank) - 1 AS place, count(*) OVER () AS total FROM r),
+        s AS (SELECT *, place * 40 // total AS shard FROM p)
+        SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, shard::INTEGER AS shard, (place - (shard * total + 39) // 40)::BIGINT AS slot, NULL::INTEGER AS grown_shard
+        FROM s""",
+    "op7_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        v AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS words FROM (SELECT *, unnest(range(1, len(w) - 18)) AS i FROM w)),
+        again AS (SELECT doc_id, i FROM v QUALIFY row_number() OVER (PARTITION BY words ORDER BY doc_id, i) > 1),
+        gone AS (SELECT doc_id, list(DISTINCT j) AS gone FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM again) GROUP BY doc_id),
+        words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS j FROM w),
+        kept AS (
+          SELECT words.doc_id, string_agg(word, ' ' ORDER BY j) AS kept FROM words
+          LEFT JOIN (SELECT doc_id, unnest(gone) AS j, true AS hit FROM gone) g USING (doc_id, j) WHERE hit IS NULL GROUP BY words.doc_id)
+        SELECT w.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+    "op9_warc": r"""
+        WITH h AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        d AS (
+          SELECT *, strlen(html) AS payload_bytes,
+                 array_to_string(list_transform(range(0, 8), lambda i: list_transform([('0x' || substr(sha1(html), 5 * i + 1, 5))::BIGINT], lambda v:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v // 32768)::INT, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v // 1024 % 32)::INT, 1)
+                   || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v // 32 % 32)::INT, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (v % 32)::INT, 1))[1]), '') AS payload_digest,
+                 max(page_id) OVER (PARTITION BY html) AS keep
+          FROM h)
+        SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest, CASE WHEN page_id = keep THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> keep THEN keep END AS refers_to
+        FROM d""",
+    "op11_resample": _CRC + r"""
+        d AS (
+          SELECT doc_id, true AS own, text FROM documents UNION ALL SELECT item_id, false, text FROM benchmark),
+        w AS (SELECT doc_id, own, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM d),
+        f AS (
+          SELECT doc_id, own, unnest(list_concat(w, list_concat(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+                                     list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])))) AS g FROM w),
+        c AS (SELECT doc_id, own, g, count(*) AS n FROM f GROUP BY ALL),
+        h AS (
+          SELECT g, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, strlen(g)), lambda i: ('0x' || substr(hex(encode(g)), 2 * i + 1, 2))::BIGINT)),
+                   lambda a, b: xor(a // 256, t[1 + xor(a % 256, b)]::BIGINT))) % 10000 AS bucket
+          FROM (SELECT DISTINCT g FROM c), crc),
+        s AS (SELECT bucket, sum(n) FILTER (WHERE own) AS s, sum(n) FILTER (WHERE NOT own) AS t FROM c JOIN h USING (g) GROUP BY bucket),
+        total AS (SELECT coalesce(sum(s), 0)::DOUBLE AS s, coalesce(sum(t), 0)::DOUBLE AS t FROM s),
+        gain AS (SELECT bucket, floor(1000 * ln((coalesce(s.t, 0) + 1) * (total.s + 10000) / ((coalesce(s.s, 0) + 1) * (total.t + 10000))))::BIGINT AS gain FROM s, total),
+        x AS (SELECT doc_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM c JOIN h USING (g) JOIN gain USING (bucket) WHERE own GROUP BY doc_id),
+        y AS (
+          SELECT w.doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                 coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || w.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+          FROM w LEFT JOIN x USING (doc_id) WHERE own)
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN n_words >= 20 AND row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) <= 5 * count(*) OVER (PARTITION BY n_words >= 20) // 100
+                    THEN row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) END AS rank
+        FROM y""",
     "op10_exact_dedup": r"""
         WITH d AS (
           SELECT doc_id, sha256(translate(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')) AS text_sha256,
