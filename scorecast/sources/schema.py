@@ -93,7 +93,7 @@ def typed(df: DataFrame, table: str) -> Typed:
     change = {c: t for c, t in declared.items() if c in have and have[c] != t}
     failed = {c: F.col(f"`{c}`").isNotNull() & F.col(f"`{c}`").try_cast(t).isNull() for c, t in change.items()}
     bad = F.array_compact(F.array(*[F.when(test, F.lit(c)) for c, test in failed.items()])) if failed else F.array().cast("array<string>")
-    counts = Observation(f"{table} typed")
+    counts = Observation()
     seen = df.observe(counts, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum((F.size(bad) > 0).cast("long")), F.lit(0)).alias("rejected"))
     good = seen.where(F.size(bad) == 0).select(
         *[F.col(f"`{c}`").try_cast(change[c]).alias(c) if c in change else F.col(f"`{c}`") for c in df.columns])
