@@ -29,7 +29,7 @@ from . import words as W
 
 TRAIN = 2_000                 # labelled documents of each class that training takes at most
 TRAIN_BYTES = 8 << 20         # and bytes of their texts, of each class
-SLICE = 1_000_000             # bytes of text that are held as words at a time
+SLICE = 500_000               # bytes of text that are held as words at a time
 WINDOW, STRIDE = 32, 24       # words
 WORDS, GRAMS = 1 << 13, 1 << 14
 DIM, HIDDEN, EPOCHS, STEPS, BATCH, RATE = 8, 8, 6, 280, 128, 0.02   # more epochs where six have fewer steps
@@ -209,7 +209,7 @@ def window_rows(inp: Inputs, which: np.ndarray) -> np.ndarray:
     return inp.of[np.where(inside, at, len(inp.of) - 1)]
 
 
-def window_logits(model: Model, inp: Inputs, step: int = 8192) -> np.ndarray:
+def window_logits(model: Model, inp: Inputs, step: int = 4096) -> np.ndarray:
     x = model.embed(inp, np.arange(len(inp.word) + 1))
     order = np.argsort(inp.size, kind="stable")        # short windows together
     out = np.empty(len(order), _f)
